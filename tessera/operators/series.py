@@ -24,28 +24,41 @@ def zero_filled_pivot(rows: DataFrame, key: str, category: str,
 
 
 def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
-                buckets: int | None = None) -> DataFrame:
-    """Cumulative sum of ``value`` in the total order of ``order_cols``.
-
-    A window with no partition would pull every row into one task. Instead:
-
-    1. range-partition by the (unique) order key into ``buckets`` slices -
-       range bounds on a unique key split even a timestamp that holds a third
-       of all rows across many slices;
-    2. sum each slice (partial aggregation, one row per slice) and prefix-sum
-       those few rows into per-slice offsets (a ``buckets``-row table:
-       a proven-small broadcast);
-    3. within-slice running sum plus the slice offset.
+                buckets: int | None = None, partition_cols: list[str] | None = None) -> DataFrame:
+    """Cumulative sum of ``value`` in the order of ``order_cols`` (W1), within
+    each ``partition_cols`` group when given (a global order otherwise).
+
+    A plain window would pull a whole group - or, with no partition, every
+    row - into one task. Instead:
+
+    1. range-partition by (group, order key) into ``buckets`` slices; range
+       bounds on a unique key split even a group or timestamp that holds a
+       third of all rows across many slices;
+    2. sum each (slice, group) (partial aggregation: one row per slice and
+       group) and prefix-sum those rows per group into offsets - a table of
+       at most slices + groups rows;
+    3. running sum within (slice, group) plus its offset.
     """
+    parts = list(partition_cols or [])
     n = buckets or default_parallelism(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order_cols)
+    ranged = (df.repartitionByRange(n, *parts, *order_cols)
               .withColumn("_slice", F.spark_partition_id()))
-    sums = ranged.groupBy("_slice").agg(F.sum(value).alias("_slice_sum"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_slice", F.coalesce(F.sum("_slice_sum").over(before),
-                                               F.lit(0)).alias("_offset"))
-    within = (Window.partitionBy("_slice").orderBy(*order_cols)
+    sums = ranged.groupBy("_slice", *parts).agg(F.sum(value).alias("_slice_sum"))
+    before = (Window.partitionBy(*parts).orderBy("_slice") if parts else Window.orderBy("_slice")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_slice", *parts, F.coalesce(F.sum("_slice_sum").over(before),
+                                                       F.lit(0)).alias("_offset"))
+    within = (Window.partitionBy("_slice", *parts).orderBy(*order_cols)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranged.join(F.broadcast(offsets), "_slice")
+    # Offsets hold one row per (slice, group): small next to the data, and
+    # AQE broadcasts them when their measured size allows.
+    return (ranged.join(offsets, ["_slice", *parts])
             .withColumn(out, F.col("_offset") + F.sum(value).over(within))
             .drop("_slice", "_offset"))
+
+
+def rank_within(df: DataFrame, order_cols: list[str], out: str = "rank",
+                partition_cols: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """1-based position in ``order_cols`` order (unique key), skew-proof."""
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    return running_sum(one, order_cols, "_one", out, buckets, partition_cols).drop("_one")
