@@ -110,8 +110,10 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5) -> Data
     ``ntile`` assigns them.
     """
     from tessera.operators.series import rank_within
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = rank_within(df, [id_col], "_pos", partition_cols=[label]).join(n, label)
+    ranked = rank_within(df, [id_col], "_pos", partition_cols=[label])
+    # class sizes from the (checkpointed) ranks: no second pass over ``df``
+    n = ranked.groupBy(label).agg(F.max("_pos").alias("_n"))
+    ranked = ranked.join(n, label)
     q = F.floor(F.col("_n") / k)
     r = F.col("_n") - q * k
     pos = F.col("_pos") - 1

@@ -167,9 +167,9 @@ def pixel_sample(px: DataFrame, fraction: float = fixed.SAMPLE_FRACTION,
     pixels is still ranked by many tasks; the per-image size is a partial
     aggregate joined back on the image id.
     """
-    n = px.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n"))
     keyed = px.withColumn("_h", hash_key(seed, "image_id", "y", "x"))
     ranked = rank_within(keyed, ["_h", "y", "x"], "_rank", partition_cols=["image_id"])
+    n = ranked.groupBy("image_id").agg(F.max("_rank").alias("_n"))
     return (ranked.join(n, "image_id")
             .filter(F.col("_rank") <= F.floor(F.col("_n") * fraction))
             .drop("_h", "_rank", "_n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import default_parallelism
+from tessera.session import checkpoint_dir, default_parallelism
 
 
 def zero_filled_pivot(rows: DataFrame, key: str, category: str,
@@ -38,11 +38,19 @@ def running_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
        group) and prefix-sum those rows per group into offsets - a table of
        at most slices + groups rows;
     3. running sum within (slice, group) plus its offset.
+
+    Step 1 is materialised with ``checkpoint()`` (see below).
     """
     parts = list(partition_cols or [])
     n = buckets or default_parallelism(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
+    # The slice id depends on range bounds sampled from the input; the sums
+    # and the rows must see the same bounds, so the sliced rows are written
+    # once to the shared checkpoint folder (also cutting the lineage) rather
+    # than re-derived by two independently planned exchanges.
     ranged = (df.repartitionByRange(n, *parts, *order_cols)
-              .withColumn("_slice", F.spark_partition_id()))
+              .withColumn("_slice", F.spark_partition_id())
+              .checkpoint(eager=True))
     sums = ranged.groupBy("_slice", *parts).agg(F.sum(value).alias("_slice_sum"))
     before = (Window.partitionBy(*parts).orderBy("_slice") if parts else Window.orderBy("_slice")) \
         .rowsBetween(Window.unboundedPreceding, -1)
