@@ -40,12 +40,16 @@ def drop_fragment(u) -> Column:
     return F.regexp_replace(_col(u), "#.*$", "")
 
 
-def _remove_dots(path: Column) -> Column:
+def _remove_dots(path: Column, relative: bool) -> Column:
+    """Fold ``.``/``..`` segments with a stack; empty inner segments are
+    dropped for merged relative paths only; a path losing its root gets it
+    back (a URL with an authority always has an absolute path)."""
     segs = F.split(path, "/")
-    n = F.size(segs)
-    inner = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
-    segs = F.when(n >= 2, F.concat(F.array(segs[0]), inner, F.array(F.element_at(segs, -1)))) \
-            .otherwise(segs)
+    if relative:
+        n = F.size(segs)
+        inner = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
+        segs = F.when(n >= 2, F.concat(F.array(segs[0]), inner, F.array(F.element_at(segs, -1)))) \
+                .otherwise(segs)
     empty = F.array().cast("array<string>")
     folded = F.aggregate(
         segs, empty,
@@ -55,7 +59,8 @@ def _remove_dots(path: Column) -> Column:
     last = F.element_at(segs, -1)
     folded = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
     out = F.array_join(folded, "/")
-    return F.when(out == "", F.lit("/")).otherwise(out)
+    return F.when(out == "", F.lit("/")).when(~out.startswith("/"), F.concat(F.lit("/"), out)) \
+            .otherwise(out)
 
 
 def resolve(base, href) -> Column:
@@ -67,12 +72,14 @@ def resolve(base, href) -> Column:
     origin = F.concat(b_scheme, F.lit("://"), b_auth)
     base_dir = F.regexp_replace(b_path, "[^/]*$", "")
     base_dir = F.when((base_dir == "") & (b_auth != ""), F.lit("/")).otherwise(base_dir)
-    return (F.when(url_part(h, "scheme") != "", h)
+    h_scheme = url_part(h, "scheme")
+    same = F.concat(F.lower(h_scheme), h.substr(F.length(h_scheme) + 1, F.length(h)))
+    return (F.when(h_scheme != "", F.when(F.lower(h_scheme) == b_scheme, same).otherwise(h))
             .when(h.rlike(_HAS_AUTHORITY), F.concat(b_scheme, F.lit(":"), h))
             .when(h_path == "", F.concat(origin, b_path,
                                          F.when(h_query != "", h_query).otherwise(b_query), h_frag))
-            .when(h_path.startswith("/"), F.concat(origin, _remove_dots(h_path), h_query, h_frag))
-            .otherwise(F.concat(origin, _remove_dots(F.concat(base_dir, h_path)), h_query, h_frag)))
+            .when(h_path.startswith("/"), F.concat(origin, _remove_dots(h_path, False), h_query, h_frag))
+            .otherwise(F.concat(origin, _remove_dots(F.concat(base_dir, h_path), True), h_query, h_frag)))
 
 
 def is_web(u) -> Column:

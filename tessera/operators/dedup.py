@@ -14,8 +14,10 @@ def dedup_first(df: DataFrame, id_col: str, hash_col: str) -> DataFrame:
     per map task before it moves; the survivors then semi-join back on the
     unique id, which cannot be skewed.
     """
-    keep = df.groupBy(hash_col).agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(keep, id_col, "left_semi")
+    keep = df.groupBy(hash_col).agg(F.min(id_col).alias(id_col))
+    if set(df.columns) <= {id_col, hash_col}:
+        return keep.select(id_col, hash_col)  # the aggregate is the answer
+    return df.join(keep.select(id_col), id_col, "left_semi")
 
 
 def exclude_seen(df: DataFrame, seen: DataFrame, hash_col: str) -> DataFrame:

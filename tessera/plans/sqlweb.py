@@ -60,16 +60,18 @@ def sql_url_part(u: str, part: str) -> str:
     return f"regexp_extract({u}, {sql_str(ux.URL_PARTS)}, {ux._GROUP[part]})"
 
 
-def sql_remove_dots(p: str) -> str:
+def sql_remove_dots(p: str, relative: bool) -> str:
     segs = f"string_split({p}, '/')"
-    mid = (f"CASE WHEN len({segs}) >= 2 THEN list_concat([{segs}[1]], "
-           f"list_filter({segs}[2:len({segs})-1], lambda s: s <> ''), [{segs}[-1]]) ELSE {segs} END")
-    fold = (f"list_reduce({mid}, lambda acc, s: CASE "
+    if relative:
+        segs = (f"(CASE WHEN len({segs}) >= 2 THEN list_concat([{segs}[1]], "
+                f"list_filter({segs}[2:len({segs})-1], lambda s: s <> ''), [{segs}[-1]]) ELSE {segs} END)")
+    fold = (f"list_reduce({segs}, lambda acc, s: CASE "
             "WHEN s = '..' THEN acc[1:greatest(len(acc) - 1, 0)] WHEN s = '.' THEN acc "
             "ELSE list_append(acc, s) END, []::VARCHAR[])")
     fold = (f"CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({fold}, '') ELSE {fold} END")
     out = f"array_to_string({fold}, '/')"
-    return f"CASE WHEN {out} = '' THEN '/' ELSE {out} END"
+    return (f"CASE WHEN {out} = '' THEN '/' WHEN NOT starts_with({out}, '/') THEN '/' || {out} "
+            f"ELSE {out} END")
 
 
 def sql_resolve(b: str, h: str) -> str:
@@ -79,11 +81,13 @@ def sql_resolve(b: str, h: str) -> str:
     origin = f"{bs} || '://' || {ba}"
     bdir = f"regexp_replace({bp}, '[^/]*$', '')"
     bdir = f"CASE WHEN {bdir} = '' AND {ba} <> '' THEN '/' ELSE {bdir} END"
-    return (f"CASE WHEN {sql_url_part(h, 'scheme')} <> '' THEN {h} "
+    hs = sql_url_part(h, "scheme")
+    return (f"CASE WHEN {hs} <> '' THEN (CASE WHEN lower({hs}) = {bs} "
+            f"THEN lower({hs}) || substring({h}, length({hs}) + 1) ELSE {h} END) "
             f"WHEN regexp_matches({h}, {sql_str(ux._HAS_AUTHORITY)}) THEN {bs} || ':' || {h} "
             f"WHEN {hp} = '' THEN {origin} || {bp} || CASE WHEN {hq} <> '' THEN {hq} ELSE {bq} END || {hf} "
-            f"WHEN starts_with({hp}, '/') THEN {origin} || {sql_remove_dots(hp)} || {hq} || {hf} "
-            f"ELSE {origin} || {sql_remove_dots(bdir + ' || ' + hp)} || {hq} || {hf} END")
+            f"WHEN starts_with({hp}, '/') THEN {origin} || {sql_remove_dots(hp, False)} || {hq} || {hf} "
+            f"ELSE {origin} || {sql_remove_dots('(' + bdir + ') || ' + hp, True)} || {hq} || {hf} END")
 
 
 def sql_drop_fragment(u: str) -> str:
