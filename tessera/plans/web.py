@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera import fixed
 from tessera.functions import text as tx
 from tessera.functions import urls as ux
-from tessera.operators import graph, links
+from tessera.operators import dedup, graph, links
 from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import sql_word_count
 from tessera.plans.sqlweb import (sql_article_like, sql_container_kind, sql_drop_fragment,
@@ -200,3 +200,36 @@ def kg_two_hop(spark, sf):
 def kg_degree(spark, sf):
     return graph.kg_degree(_triples(spark, sf))
 
+
+
+# --- Crawl cycle (F2, F1, X6/D1, H7, H10, X7 composed) ------------------------
+# The driver data holds no Greek, and the crawl cleaner keeps only ASCII and
+# Greek letters: the script filter runs with capital ASCII letters as the
+# stand-in class (same thresholds).
+CRAWL_CLASS = "[A-Z]"
+
+
+def _crawl_sql() -> str:
+    from tessera.plans.text import _script_sql
+    cond = _script_sql(CRAWL_CLASS).split(" WHERE ", 1)[1].replace("text", "t")
+    dom = f"replace({sql_url_part('url', 'authority')}, 'www.', '')"
+    return (f"WITH s AS (SELECT page_id, url, t, md5(t) AS h FROM (SELECT page_id, url, "
+            f"{sql_page_text('html')} AS t FROM pages) WHERE trim(t) <> '' AND ({cond})), "
+            "k AS (SELECT min(page_id) AS page_id FROM s GROUP BY h), "
+            f"b AS (SELECT page_id, {dom} AS domain, t, row_number() OVER (PARTITION BY {dom} "
+            "ORDER BY page_id) AS rank FROM s JOIN k USING (page_id)) "
+            f"SELECT page_id, domain, rank, {sql_word_count('t')} AS direct_terms FROM b "
+            f"WHERE rank <= {fixed.CRAWL_MAX_PAGES}")
+
+
+@register("crawl_saved_pages", _crawl_sql())
+def crawl_saved_pages(spark, sf):
+    """One crawl cycle over landed pages: main text, non-blank, script
+    filter, first copy of each content hash, 50 pages per domain in id
+    order, word-count metric."""
+    t = links.page_texts(_pages(spark, sf), ["page_id", "url"])
+    ok = (t.filter(tx.nonblank("page_text") & tx.script_ratio_ok("page_text", CRAWL_CLASS))
+          .withColumn("content_hash", tx.content_hash("page_text")))
+    first = dedup.dedup_first(ok, "page_id", "content_hash", carry=True)
+    kept = links.page_budget(first.withColumn("domain", ux.domain("url")), "domain", ["page_id"])
+    return kept.select("page_id", "domain", "rank", tx.word_count("page_text").alias("direct_terms"))
