@@ -88,3 +88,16 @@ def test_greek_pages_filter(spark):
     # counted; a short all-Greek sample passes on ratio; letters after the
     # first 3000 characters are not seen.
     assert [g[0] for g in got] == [True, False, False, True, False]
+
+
+def test_timeseries_and_totals_csv(spark):
+    from tessera.sources import csvio
+    root = tempfile.mkdtemp(prefix="tessera-csv-")
+    piv = spark.createDataFrame([("2024-01-02", 1, 0), ("2024-01-01", 0, 3)], "date string, A long, B long")
+    csvio.write_timeseries_csv(piv, f"{root}/ts")
+    back = spark.read.option("header", True).csv(f"{root}/ts").collect()
+    assert [r.Date for r in back] == ["2024-01-01", "2024-01-02"] and back[0].B == "3"
+    tot = spark.createDataFrame([("Category", "A", 1), ("Term", "x", 0)], "type string, name string, count long")
+    csvio.write_totals_csv(tot, f"{root}/tot")
+    got = csvio.read_totals_csv(spark, f"{root}/tot").collect()
+    assert sorted((r.Type, r.Name, r.Count) for r in got) == [("Category", "A", 1), ("Term", "x", 0)]
