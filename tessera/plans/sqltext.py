@@ -52,7 +52,7 @@ def sql_taxonomy_values(taxonomy=None) -> str:
     return "VALUES " + ", ".join(rows)
 
 
-def sql_term_counts(source: str, id_cols: str, text_expr: str) -> str:
+def sql_term_counts(source: str, id_cols: str, text_expr: str, taxonomy=None) -> str:
     """(id_cols, category, term, cnt) by padded substring counting.
 
     Doubling every space pads each token with its own separators, so
@@ -63,7 +63,7 @@ def sql_term_counts(source: str, id_cols: str, text_expr: str) -> str:
     WITH d AS (
       SELECT {id_cols}, ' ' || replace(translate({sql_preprocess(text_expr)}, 'ς', 'σ'), ' ', '  ') || ' ' AS p
       FROM {source}),
-    k(key, category, term) AS ({sql_key_values()}),
+    k(key, category, term) AS ({sql_key_values(taxonomy)}),
     m AS (
       SELECT {id_cols}, k.category, k.term,
              (length(d.p) - length(replace(d.p, ' ' || replace(k.key, ' ', '  ') || ' ', '')))

@@ -213,3 +213,25 @@ def word_count(spark, sf):
     words = _docs(spark, sf, ("text",)).select(
         F.explode(F.split(tx.preprocess_text("text"), " ")).alias("word"))
     return words.filter(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+# --- DM7: the expanded keyword list as extra taxonomy rows -------------------
+FULL_TAXONOMY = {**fixed.TAXONOMY, **fixed.EXPANDED_TAXONOMY}
+
+
+def _totals_sql(taxonomy) -> str:
+    return f"""
+WITH tc AS ({sql_term_counts("documents", "doc_id", "text", taxonomy)}),
+tax(cat_pos, category, term_pos, term) AS ({sql_taxonomy_values(taxonomy)}),
+g AS (SELECT tax.category, tax.term, coalesce(sum(tc.cnt), 0) AS cnt
+      FROM tax LEFT JOIN tc ON tc.category = tax.category AND tc.term = tax.term
+      GROUP BY tax.category, tax.term)
+SELECT 'Category' AS type, category AS name, sum(cnt)::BIGINT AS count FROM g GROUP BY category
+UNION ALL
+SELECT 'Term' AS type, term AS name, sum(cnt)::BIGINT AS count FROM g GROUP BY term"""
+
+
+@register("totals_expanded_taxonomy", _totals_sql(FULL_TAXONOMY))
+def totals_expanded_taxonomy(spark, sf):
+    counts = terms.term_counts(_docs(spark, sf), "text", ["doc_id"], FULL_TAXONOMY)
+    return terms.totals_long(counts, FULL_TAXONOMY)

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoints (BFS rounds, range slices) are removed from the shared
+    # folder once the DataFrames that wrote them are unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcasts are explicit (fixed-size lookup tables); keep the automatic
     # threshold at its default so Catalyst only broadcasts small scans.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
