@@ -118,24 +118,32 @@ def min_distance(spark, sf):
 
 
 # --- F3: language scoring ----------------------------------------------------------
-_GRAMS = (f"s AS (SELECT doc_id, lang, lower(substring(text, 1, {fixed.LANG_SAMPLE_CHARS})) AS s FROM documents), "
-          "g AS (SELECT doc_id, lang, unnest(CASE WHEN length(s) >= 3 THEN "
-          "list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3)) ELSE [] END) AS gram FROM s)")
-
-
-@register("lang_score",
-          f"WITH {_GRAMS}, cnt AS (SELECT lang, gram, count(*) AS c FROM g GROUP BY 1, 2), "
-          "tot AS (SELECT lang, sum(c) AS t FROM cnt GROUP BY 1), "
-          "voc AS (SELECT count(DISTINCT gram) AS v FROM cnt), "
-          "prof AS (SELECT cnt.lang, gram, ln((c + 1) / (t + v)) AS logp, ln(1 / (t + v)) AS lu "
-          "FROM cnt JOIN tot USING (lang), voc), "
-          "dg AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY 1, 2), "
-          "total AS (SELECT doc_id, sum(n) AS total FROM dg GROUP BY 1), "
-          "m AS (SELECT doc_id, prof.lang, sum(n * logp) AS s, sum(n) AS matched, any_value(lu) AS lu "
-          "FROM dg JOIN prof USING (gram) GROUP BY 1, 2), "
-          "sc AS (SELECT m.doc_id, m.lang, s + (total - matched) * lu AS score FROM m JOIN total USING (doc_id)) "
-          "SELECT doc_id, lang AS pred_lang FROM (SELECT *, row_number() OVER (PARTITION BY doc_id "
-          "ORDER BY score DESC, lang DESC) AS rk FROM sc) WHERE rk = 1")
+def _lang_sql(score_sql: str, id_col: str) -> str:
+    """Trigram profiles from ``documents``; best language for each row of
+    ``score_sql`` (columns ``{id_col}, text``)."""
+    n = fixed.LANG_SAMPLE_CHARS
+    grams = ("unnest(CASE WHEN length(s) >= 3 THEN "
+             "list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3)) ELSE [] END)")
+    return (f"WITH ts AS (SELECT lang, lower(substring(text, 1, {n})) AS s FROM documents), "
+            f"tg AS (SELECT lang, {grams} AS gram FROM ts), "
+            "cnt AS (SELECT lang, gram, count(*) AS c FROM tg GROUP BY 1, 2), "
+            "tot AS (SELECT lang, sum(c) AS t FROM cnt GROUP BY 1), "
+            "voc AS (SELECT count(DISTINCT gram) AS v FROM cnt), "
+            "prof AS (SELECT cnt.lang, gram, ln((c + 1) / (t + v)) AS logp, ln(1 / (t + v)) AS lu "
+            "FROM cnt JOIN tot USING (lang), voc), "
+            f"ss AS (SELECT {id_col}, lower(substring(text, 1, {n})) AS s FROM ({score_sql})), "
+            f"sg AS (SELECT {id_col}, {grams} AS gram FROM ss), "
+            f"dg AS (SELECT {id_col}, gram, count(*) AS n FROM sg GROUP BY 1, 2), "
+            f"total AS (SELECT {id_col}, sum(n) AS total FROM dg GROUP BY 1), "
+            f"m AS (SELECT {id_col}, prof.lang, sum(n * logp) AS s, sum(n) AS matched, any_value(lu) AS lu "
+            "FROM dg JOIN prof USING (gram) GROUP BY 1, 2), "
+            f"sc AS (SELECT m.{id_col}, m.lang, s + (total - matched) * lu AS score FROM m "
+            f"JOIN total USING ({id_col})) "
+            f"SELECT {id_col}, lang AS pred_lang FROM (SELECT *, row_number() OVER (PARTITION BY {id_col} "
+            "ORDER BY score DESC, lang DESC) AS rk FROM sc) WHERE rk = 1")
+
+
+@register("lang_score", _lang_sql("SELECT doc_id, text FROM documents", "doc_id"))
 def lang_score(spark, sf):
     docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
     prof = cl.language_profiles(docs, "text", "lang")

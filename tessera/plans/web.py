@@ -233,3 +233,44 @@ def crawl_saved_pages(spark, sf):
     first = dedup.dedup_first(ok, "page_id", "content_hash", carry=True)
     kept = links.page_budget(first.withColumn("domain", ux.domain("url")), "domain", ["page_id"])
     return kept.select("page_id", "domain", "rank", tx.word_count("page_text").alias("direct_terms"))
+
+
+# Language confirmation (F3) inside the crawl cycle: trigram profiles are
+# trained on ``documents`` (which carry a language label) and the cleaned
+# page text must be detected as the target language.
+CRAWL_LANG = "en"
+
+
+def _crawl_lang_sql() -> str:
+    from tessera.plans.relational import _lang_sql
+    from tessera.plans.text import _script_sql
+    cond = _script_sql(CRAWL_CLASS).split(" WHERE ", 1)[1].replace("text", "t")
+    dom = f"replace({sql_url_part('url', 'authority')}, 'www.', '')"
+    base = (f"SELECT page_id, url, t FROM (SELECT page_id, url, {sql_page_text('html')} AS t FROM pages) "
+            f"WHERE trim(t) <> '' AND ({cond})")
+    lang = _lang_sql(f"SELECT page_id, t AS text FROM ({base})", "page_id")
+    return (f"WITH s AS ({base}), l AS ({lang}), "
+            f"e AS (SELECT s.*, md5(t) AS h FROM s JOIN l USING (page_id) WHERE l.pred_lang = '{CRAWL_LANG}'), "
+            "k AS (SELECT min(page_id) AS page_id FROM e GROUP BY h), "
+            f"b AS (SELECT page_id, {dom} AS domain, t, row_number() OVER (PARTITION BY {dom} "
+            "ORDER BY page_id) AS rank FROM e JOIN k USING (page_id)) "
+            f"SELECT page_id, domain, rank, {sql_word_count('t')} AS direct_terms FROM b "
+            f"WHERE rank <= {fixed.CRAWL_MAX_PAGES}")
+
+
+@register("crawl_cycle_lang", _crawl_lang_sql())
+def crawl_cycle_lang(spark, sf):
+    """The crawl cycle with the language confirmation step: non-blank,
+    script filter, detected language == target, first copy per hash,
+    50 pages per domain."""
+    from tessera.operators import classify as cl
+    t = links.page_texts(_pages(spark, sf), ["page_id", "url"])
+    ok = t.filter(tx.nonblank("page_text") & tx.script_ratio_ok("page_text", CRAWL_CLASS))
+    docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    pred = cl.language_scores(ok.select("page_id", F.col("page_text").alias("text")), "page_id", "text",
+                              cl.language_profiles(docs, "text", "lang"))
+    kept = (ok.join(pred.filter(F.col("pred_lang") == CRAWL_LANG), "page_id", "left_semi")
+            .withColumn("content_hash", tx.content_hash("page_text")))
+    first = dedup.dedup_first(kept, "page_id", "content_hash", carry=True)
+    budget = links.page_budget(first.withColumn("domain", ux.domain("url")), "domain", ["page_id"])
+    return budget.select("page_id", "domain", "rank", tx.word_count("page_text").alias("direct_terms"))
