@@ -76,8 +76,10 @@ def preprocess_text(c, phrases: list[str] | None = None) -> Column:
     what lets term matching become token n-gram equality.
     """
     s = F.lower(_col(c))
-    s = F.regexp_replace(s, TAG, " ")
-    s = F.regexp_replace(s, ENTITY, " ")
+    # Tags then entities, in one pass: each replacement inserts a space,
+    # which can never complete a new tag or entity, so the alternation
+    # equals the two sequential passes.
+    s = F.regexp_replace(s, TAG + "|" + ENTITY, " ")
     s = remove_boilerplate(s, phrases)
     s = F.regexp_replace(s, "(?iu)" + ANALYSIS_DROP_RUN, " ")
     s = F.regexp_replace(s, " +", " ")
