@@ -157,8 +157,10 @@ def category_totals(counts: DataFrame, taxonomy=None) -> DataFrame:
     spark = counts.sparkSession
     cats = (taxonomy_frame(spark, taxonomy).groupBy("category")
             .agg(F.min("cat_pos").alias("cat_pos")))
+    # The per-category aggregate has at most one row per category: it is the
+    # broadcast (build) side; the taxonomy side is preserved by the left join.
     sums = counts.groupBy("category").agg(F.sum("cnt").alias("cnt"))
-    return (F.broadcast(cats).join(sums, "category", "left")
+    return (cats.join(F.broadcast(sums), "category", "left")
             .select("category", "cat_pos", F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt")))
 
 
@@ -170,7 +172,7 @@ def term_totals(counts: DataFrame, taxonomy=None) -> DataFrame:
     spark = counts.sparkSession
     tax = taxonomy_frame(spark, taxonomy)
     per = counts.groupBy("category", "term").agg(F.sum("cnt").alias("cnt"))
-    return (F.broadcast(tax).join(per, ["category", "term"], "left")
+    return (tax.join(F.broadcast(per), ["category", "term"], "left")
             .groupBy("term").agg(F.sum(F.coalesce("cnt", F.lit(0))).cast("long").alias("cnt"),
                                  F.min(F.col("cat_pos") * 1000 + F.col("term_pos")).alias("pos")))
 
@@ -184,7 +186,8 @@ def totals_long(counts: DataFrame, taxonomy=None) -> DataFrame:
     spark = counts.sparkSession
     tax = taxonomy_frame(spark, taxonomy)
     per = counts.groupBy("category", "term").agg(F.sum("cnt").alias("cnt"))
-    grain = (F.broadcast(tax).join(per, ["category", "term"], "left")
+    # at most one row per taxonomy entry: a bounded broadcast
+    grain = (tax.join(F.broadcast(per), ["category", "term"], "left")
              .select("category", "term", F.coalesce("cnt", F.lit(0)).alias("cnt")))
     g = (grain.groupingSets([["category"], ["term"]], "category", "term")
          .agg(F.sum("cnt").cast("long").alias("count"), F.grouping_id().alias("gid")))
