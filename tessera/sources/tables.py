@@ -26,13 +26,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return spread(df, key if key in df.columns else None) if key else df
 
 
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition a scan that yields fewer splits than the cluster has
-    cores (one big row group); a scan of many files is left untouched, so at
-    scale this adds no shuffle."""
+    """Hash-repartition a small scan that yields fewer splits than the
+    cluster has cores (one big row group). Only inputs under 1 GB (Catalyst's
+    size estimate) are spread, so the shuffle is cheap at any scale; a large,
+    many-file input keeps its scan splits and gets no extra shuffle."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SPREAD_MAX_BYTES:
+        return df
     return df.repartition(target, key) if key else df.repartition(target)
 
 
