@@ -6,9 +6,8 @@ Java and RE2 share (lazy quantifiers, ``\\z``; no look-around, no
 back-references), so the SQL oracle runs the very same texts.
 
 Semantics: the container is the first ``div`` whose class contains one of
-the fixed container classes (to its first ``</div>``: nested divs inside such
-a container are not balanced), else the first ``article``, else ``body``,
-else the whole document. A text block opens at ``<p>``/``<h1-3>`` and ends at
+the fixed container classes, up to its balancing ``</div>`` (nested divs are
+counted), else the first ``article``, else ``body``, else the whole document. A text block opens at ``<p>``/``<h1-3>`` and ends at
 the next block start or end tag (a new ``<p>`` implicitly closes an open one,
 as HTML parsers do); its text is its tags replaced by spaces and entities
 decoded.
@@ -27,10 +26,11 @@ CLOSE_MARK = "\ue001"
 
 SCRIPT_STYLE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 COMMENT = r"(?s)<!--.*?-->"
-DIV_CONTAINER = (r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*(?:"
-                 + "|".join(fixed.CONTAINER_CLASSES) + r")[^\"']*[\"'][^>]*>(.*?)(?:</div\s*>|\z)")
+DIV_MARK = "\ue002"
+DIV_TAG = r"(?i)(</?div\b)"
 DIV_OPEN = (r"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*(?:"
             + "|".join(fixed.CONTAINER_CLASSES) + r")[^\"']*[\"']")
+DIV_PREFIX = "(?is)^(.*?)" + DIV_OPEN[len("(?is)"):]
 ARTICLE = r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)"
 ARTICLE_OPEN = r"(?is)<article\b"
 BODY = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
@@ -63,12 +63,41 @@ def container_kind(html) -> Column:
 def main_container(html) -> Column:
     """Inner HTML of the main-content container (H1)."""
     h = _col(html)
-    return (F.when(h.rlike(DIV_OPEN), F.regexp_extract(h, DIV_CONTAINER, 1))
+    return (F.when(h.rlike(DIV_OPEN), balanced_div(h))
             .when(h.rlike(ARTICLE_OPEN), F.regexp_extract(h, ARTICLE, 1))
             .when(h.rlike(BODY_OPEN), F.regexp_extract(h, BODY, 1))
             .otherwise(h))
 
 
+def _div_step(st, seg):
+    """Fold step over div-tag segments: depth, segment index, closing index."""
+    d = st["depth"] + F.when(seg.rlike("^(?i)<div"), 1).when(seg.rlike("^(?i)</div"), -1).otherwise(0)
+    i = st["i"] + 1
+    end = F.when((st["end"] < 0) & (d == 0) & (i > 2), i).otherwise(st["end"])
+    return F.struct(d.alias("depth"), i.alias("i"), end.alias("end"))
+
+
+def balanced_div(html) -> Column:
+    """Inner HTML of the first container ``div``, nested divs balanced.
+
+    A marker goes before every ``<div``/``</div``, so splitting on it gives
+    segments that each start with one div tag (segment 1 is empty, segment 2
+    the container's own opening tag). A depth fold finds the index of the
+    segment whose tag closes the container; only integers are carried, so
+    the work is linear in the page. An unclosed container runs to the end.
+    """
+    h = _col(html)
+    start = F.length(F.regexp_extract(h, DIV_PREFIX, 1)) + 1
+    tail = h.substr(start, F.length(h))
+    segs = F.split(F.regexp_replace(tail, DIV_TAG, DIV_MARK + "$1"), DIV_MARK)
+    init = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
+    end = F.aggregate(segs, init, _div_step)["end"]
+    last = F.when(end > 0, end - 1).otherwise(F.size(segs))
+    first = F.regexp_replace(segs[1], "^[^>]*>", "")
+    rest = F.array_join(F.slice(segs, 3, F.greatest(last - 2, F.lit(0))), "")
+    return F.concat(first, rest)
+
+
 def unescape_basic(c) -> Column:
     """Decode quote entities; other entities become a space.
 

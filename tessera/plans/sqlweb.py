@@ -22,9 +22,24 @@ def sql_container_kind(h: str) -> str:
             f"WHEN regexp_matches({h}, {sql_str(hx.BODY_OPEN)}) THEN 'body' ELSE 'document' END")
 
 
+def sql_balanced_div(h: str) -> str:
+    start = f"length(regexp_extract({h}, {sql_str(hx.DIV_PREFIX)}, 1)) + 1"
+    tail = f"substring({h}, {start})"
+    segs = (f"string_split(regexp_replace({tail}, {sql_str(hx.DIV_TAG)}, {sql_str(hx.DIV_MARK + chr(92) + '1')}, 'g'), "
+            f"{sql_str(hx.DIV_MARK)})")
+    step = ("CASE WHEN regexp_matches(x, '^(?i)<div') THEN 1 "
+            "WHEN regexp_matches(x, '^(?i)</div') THEN -1 ELSE 0 END")
+    fold = (f"list_reduce({segs}, lambda st, x: struct_pack(dep := st.dep + {step}, idx := st.idx + 1, "
+            f"fin := CASE WHEN st.fin < 0 AND st.dep + {step} = 0 AND st.idx + 1 > 2 THEN st.idx + 1 "
+            "ELSE st.fin END), struct_pack(dep := 0, idx := 0, fin := -1)).fin")
+    last = f"(CASE WHEN {fold} > 0 THEN {fold} - 1 ELSE len({segs}) END)"
+    return (f"regexp_replace({segs}[2], '^[^>]*>', '') || "
+            f"array_to_string({segs}[3:{last}], '')")
+
+
 def sql_main_container(h: str) -> str:
     return (f"CASE WHEN regexp_matches({h}, {sql_str(hx.DIV_OPEN)}) "
-            f"THEN regexp_extract({h}, {sql_str(hx.DIV_CONTAINER)}, 1) "
+            f"THEN {sql_balanced_div(h)} "
             f"WHEN regexp_matches({h}, {sql_str(hx.ARTICLE_OPEN)}) "
             f"THEN regexp_extract({h}, {sql_str(hx.ARTICLE)}, 1) "
             f"WHEN regexp_matches({h}, {sql_str(hx.BODY_OPEN)}) "

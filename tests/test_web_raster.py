@@ -170,3 +170,54 @@ def test_page_files_scan(spark):
     assert c.url == "Unknown URL" and c.content == "no header at all "
     store = spark.createDataFrame([(3, "x.gr")], "cycle int, domain string")
     assert spark.range(1).select(ps.next_cycle(store)).first()[0] == 4
+
+
+def _parser_container(html):
+    """Brute force: the standard library's HTML parser, depth-counted."""
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.depth, self.start, self.end = 0, None, None
+
+        def handle_starttag(self, tag, attrs):
+            if tag != "div" or self.end is not None:
+                return
+            cls = dict(attrs).get("class") or ""
+            if self.start is None and re_container.search(cls):
+                self.start, self.depth = self.getpos(), 1
+                self.start_end = self.rawdata.index(">", self._offset()) + 1
+            elif self.start is not None:
+                self.depth += 1
+
+        def handle_endtag(self, tag):
+            if tag == "div" and self.start is not None and self.end is None:
+                self.depth -= 1
+                if self.depth == 0:
+                    self.end = self._offset()
+
+        def _offset(self):
+            line, col = self.getpos()
+            return sum(len(x) for x in self.rawdata.splitlines(True)[:line - 1]) + col
+
+    import re as _re
+    re_container = _re.compile("article-body|entry-content|post-content")
+    p = P()
+    p.feed(html)
+    p.close()
+    return html[p.start_end:p.end if p.end is not None else len(html)]
+
+
+def test_balanced_div_container(spark):
+    pages = [
+        '<body><div class="post-content"><p>a</p><div class="inner"><p>b</p></div><p>c</p></div><p>out</p></body>',
+        '<body><div id="x"><div class="entry-content main"><div><div>deep</div></div>tail</div></div>after</body>',
+        '<body><DIV class="article-body">unclosed <div>x</div> to the end',
+        '<body><div class="other">no</div><article><p>art</p></article></body>',
+    ]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i long, h string")
+    got = {r.i: r.c for r in df.select("i", hx.main_container("h").alias("c")).collect()}
+    for i, h in enumerate(pages[:3]):
+        assert got[i] == _parser_container(h), i
+    assert got[3] == "<p>art</p>"
