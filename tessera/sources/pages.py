@@ -27,16 +27,15 @@ def page_records(df: DataFrame, url: str = "url", date: str = "date", text: str
     return F.concat(F.lit("URL="), F.col(url), F.lit("\nDATE="), F.col(date), F.lit("\n"), F.col(text))
 
 
-def write_page_store(df: DataFrame, path: str, mode: str = "append",
-                     files_per_domain: int = 8) -> None:
+def write_page_store(df: DataFrame, path: str, mode: str = "append") -> None:
     """``(cycle, domain, url, date, text)`` -> partitioned record files.
 
-    Rows are hash-spread over (cycle, domain, salt): a domain folder gets at
-    most ``files_per_domain`` files instead of one per writing task, and a
-    domain holding a third of all pages is still written by that many tasks.
+    The ``rebalance`` hint clusters rows by (cycle, domain) and lets AQE
+    size the write tasks: small domains are coalesced (one file each, not one
+    per upstream task) and a domain holding a third of all pages is split
+    across several tasks instead of landing in one.
     """
-    salt = F.pmod(F.xxhash64("url"), F.lit(files_per_domain))
-    (df.repartition("cycle", "domain", salt)
+    (df.hint("rebalance", "cycle", "domain")
      .select("cycle", "domain", page_records(df).alias("value"))
      .write.mode(mode).partitionBy("cycle", "domain").option("lineSep", RECORD_SEP).text(path))
 
