@@ -85,32 +85,41 @@ RULE_SCHEMA = T.StructType([
 ])
 
 
-def apply_rules(urls: DataFrame, rules: DataFrame, id_col: str, url_col: str = "url",
+def apply_rules(urls: DataFrame, rules: DataFrame | None, url_col: str = "url",
+                default_rules: list[tuple[int, bool, str]] | None = None,
                 small_rules: bool = True) -> DataFrame:
     """Adds ``allowed``.
 
-    ``rules`` rows are ``(host, rule_pos, allow, prefix)``; host ``'*'`` lists
-    default rules for every host, checked after the host's own. The first
-    listed rule whose prefix starts the URL path wins; no match allows.
-
-    Host rules join on host equality plus the prefix test (an equi-join, so
-    it scales with the rule table); a rule table given as a literal list is
-    small by construction and broadcast, otherwise AQE decides from its
-    measured size. Default rules are always a short list and broadcast.
+    ``rules`` rows are ``(host, rule_pos, allow, prefix)``: each host's own
+    rules; ``default_rules`` ``(rule_pos, allow, prefix)`` apply to every
+    host after its own. The first listed rule whose prefix starts the URL
+    path (with query) wins; no match allows.
+
+    A host's rules are one small robots file, so they are grouped into a
+    sorted array per host; each URL picks up its host's array with an
+    equi-join on host (broadcast when the rule table is a literal list,
+    otherwise AQE decides from its size and splits a hot host's partition)
+    and finds the first matching prefix with array functions. No shuffle of
+    the URL table, no regrouping by URL.
     """
     path = ux.url_part(url_col, "path")
-    u = urls.select(id_col, ux.authority(url_col).alias("_host"),
-                    F.concat(F.when(path == "", F.lit("/")).otherwise(path),
-                             ux.url_part(url_col, "query")).alias("_path"))
-    own = rules.filter(F.col("host") != "*")
-    own = F.broadcast(own) if small_rules else own
-    dflt = F.broadcast(rules.filter(F.col("host") == "*"))
-    m_own = (u.join(own, (u["_host"] == own["host"]) & u["_path"].startswith(own["prefix"]))
-             .select(id_col, "allow", F.struct(F.lit(0).alias("lvl"), "rule_pos").alias("_o")))
-    ua = u.withColumn("_any", F.lit("*"))
-    m_dflt = (ua.join(dflt, (ua["_any"] == dflt["host"]) & ua["_path"].startswith(dflt["prefix"]))
-              .select(id_col, "allow", F.struct(F.lit(1).alias("lvl"), "rule_pos").alias("_o")))
-    first = (m_own.unionByName(m_dflt).groupBy(id_col)
-             .agg(F.min_by("allow", "_o").alias("_allow")))
-    return (urls.join(first, id_col, "left")
-            .withColumn("allowed", F.coalesce("_allow", F.lit(True))).drop("_allow"))
+    u = urls.withColumn("_host", ux.authority(url_col)).withColumn(
+        "_path", F.concat(F.when(path == "", F.lit("/")).otherwise(path), ux.url_part(url_col, "query")))
+    rule_t = "array<struct<rule_pos:int,allow:boolean,prefix:string>>"
+    if rules is not None:
+        per_host = rules.groupBy(F.col("host").alias("_host")).agg(
+            F.array_sort(F.collect_list(F.struct("rule_pos", "allow", "prefix"))).alias("_rules"))
+        per_host = F.broadcast(per_host) if small_rules else per_host
+        u = u.join(per_host, "_host", "left")
+    else:
+        u = u.withColumn("_rules", F.lit(None).cast(rule_t))
+    dflt = F.array(*[F.struct(F.lit(p).cast("int").alias("rule_pos"), F.lit(a).alias("allow"),
+                              F.lit(x).alias("prefix"))
+                     for p, a, x in sorted(default_rules or [])]).cast(rule_t)
+    own_hit = F.filter(F.coalesce("_rules", F.array().cast(rule_t)),
+                       lambda r: F.col("_path").startswith(r["prefix"]))
+    dflt_hit = F.filter(dflt, lambda r: F.col("_path").startswith(r["prefix"]))
+    allowed = F.coalesce(F.try_element_at(own_hit, F.lit(1))["allow"],
+                         F.try_element_at(dflt_hit, F.lit(1))["allow"],
+                         F.lit(True))
+    return u.withColumn("allowed", allowed).drop("_host", "_path", "_rules")

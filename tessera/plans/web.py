@@ -111,8 +111,8 @@ def _rules_sql() -> str:
 
 @register("url_rules_filter", _rules_sql())
 def url_rules_filter(spark, sf):
-    rules = spark.createDataFrame(DEFAULT_RULES, links.RULE_SCHEMA)
-    out = links.apply_rules(_pages(spark, sf, ("page_id", "url")), rules, "page_id")
+    dflt = [(pos, allow, prefix) for _, pos, allow, prefix in DEFAULT_RULES]
+    out = links.apply_rules(_pages(spark, sf, ("page_id", "url")), None, default_rules=dflt)
     return out.select("page_id", "allowed")
 
 

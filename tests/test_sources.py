@@ -63,7 +63,11 @@ def test_rules_match_robotparser(spark):
             "http://site.gr/tmpfile", "http://site.gr/public?q=/tmp", "http://other.gr/private/x"]
     df = spark.createDataFrame(list(enumerate(urls)), "id long, url string")
     rdf = spark.createDataFrame(rules, links.RULE_SCHEMA)
-    got = {r.id: r.allowed for r in links.apply_rules(df, rdf, "id").collect()}
+    got = {r.id: r.allowed for r in links.apply_rules(df, rdf).collect()}
+    # the same rules given as defaults for every host
+    dflt = [(p, a, x) for _, p, a, x in rules]
+    got_d = {r.id: r.allowed for r in links.apply_rules(df, None, default_rules=dflt).collect()}
+    assert got_d == {i: rp.can_fetch("AnyBot", u) for i, u in enumerate(urls)}
     want = {i: (rp.can_fetch("AnyBot", u) if "site.gr" in u else True) for i, u in enumerate(urls)}
     assert got == want
 
