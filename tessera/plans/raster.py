@@ -32,7 +32,7 @@ def masks(px):
 
 
 # ---- SQL building blocks -----------------------------------------------------
-_PX = ("px AS (SELECT image_id, pos // 8 AS y, pos % 8 AS x, "
+_PX = ("px AS (SELECT image_id, CAST(pos // 8 AS INTEGER) AS y, CAST(pos % 8 AS INTEGER) AS x, "
        "CAST(floor((CAST(e AS DOUBLE) + 1) * 127.5) AS INTEGER) AS v FROM "
        "(SELECT vec_id AS image_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS e "
        "FROM embeddings))")
@@ -121,7 +121,7 @@ def mask_sum_filter(spark, sf):
           "UNION ALL SELECT image_id, ty, tx, y0, least(x0 + 1, 7), (1 - (sy - y0)) * (sx - x0) FROM c "
           "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), x0, (sy - y0) * (1 - (sx - x0)) FROM c "
           "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), least(x0 + 1, 7), (sy - y0) * (sx - x0) FROM c) "
-          "SELECT w.image_id, w.ty AS y, w.tx AS x, sum(w.wt * px.v) AS v FROM w JOIN px "
+          "SELECT w.image_id, CAST(w.ty AS INTEGER) AS y, CAST(w.tx AS INTEGER) AS x, sum(w.wt * px.v) AS v FROM w JOIN px "
           "USING (image_id, y, x) GROUP BY w.image_id, w.ty, w.tx")
 def resample_bilinear(spark, sf):
     return rx.resample_bilinear(pixels(spark, sf), 4, 4)

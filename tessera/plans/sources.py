@@ -66,8 +66,8 @@ def page_store_daily_series(spark, sf):
 
 @register("event_log_csv",
           "SELECT epoch_us(ts) AS ts_us, CAST(round(value) AS BIGINT) AS direct_terms, "
-          "sum(CAST(round(value) AS BIGINT)) OVER (ORDER BY ts, CAST(round(value) AS BIGINT) "
-          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_terms FROM events")
+          "CAST(sum(CAST(round(value) AS BIGINT)) OVER (ORDER BY ts, CAST(round(value) AS BIGINT) "
+          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_terms FROM events")
 def event_log_csv(spark, sf):
     ev = read_table(spark, sf, "events", ["ts", "value"]).select(
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -37,7 +37,7 @@ def sql_preprocess(e: str) -> str:
 
 def sql_word_count(e: str) -> str:
     s = f"regexp_replace({e}, {sql_str(tx.WHITESPACE_RUN)}, ' ', 'g')"
-    return f"len(list_filter(string_split({s}, ' '), lambda x: x <> ''))"
+    return f"CAST(len(list_filter(string_split({s}, ' '), lambda x: x <> '')) AS INTEGER)"
 
 
 def sql_key_values(taxonomy=None) -> str:

@@ -124,7 +124,7 @@ def direct_terms(spark, sf):
 
 # --- F1 ----------------------------------------------------------------------
 def _script_sql(letter_class: str) -> str:
-    n = f"len(regexp_extract_all(substring(text, 1, {fixed.SCRIPT_SAMPLE_CHARS}), {sql_str(letter_class)}))"
+    n = f"CAST(len(regexp_extract_all(substring(text, 1, {fixed.SCRIPT_SAMPLE_CHARS}), {sql_str(letter_class)})) AS INTEGER)"
     total = f"length(substring(text, 1, {fixed.SCRIPT_SAMPLE_CHARS}))"
     return (f"SELECT doc_id, {n} AS letters FROM documents WHERE {n} >= {fixed.SCRIPT_MIN_COUNT} "
             f"OR ({total} > 0 AND {n} / {total} >= {fixed.SCRIPT_MIN_RATIO})")

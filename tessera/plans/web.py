@@ -46,7 +46,7 @@ def page_direct_terms(spark, sf):
 
 
 # --- H3 ----------------------------------------------------------------------
-_LINKS_SQL = (f"SELECT page_id, url, pos, href FROM (SELECT page_id, url, "
+_LINKS_SQL = (f"SELECT page_id, url, CAST(pos AS INTEGER) AS pos, href FROM (SELECT page_id, url, "
               f"unnest(range(len(l))) AS pos, unnest(l) AS href FROM "
               f"(SELECT page_id, url, {sql_hrefs('html')} AS l FROM pages)) "
               f"WHERE {sql_keep_href('href')}")
@@ -119,7 +119,7 @@ def url_rules_filter(spark, sf):
 # --- H10 ---------------------------------------------------------------------
 @register("top_n_per_host",
           f"SELECT page_id, host, rank FROM (SELECT page_id, {sql_url_part('url', 'authority')} AS host, "
-          f"row_number() OVER (PARTITION BY {sql_url_part('url', 'authority')} ORDER BY page_id) AS rank "
+          f"CAST(row_number() OVER (PARTITION BY {sql_url_part('url', 'authority')} ORDER BY page_id) AS INTEGER) AS rank "
           f"FROM pages) WHERE rank <= {fixed.CRAWL_MAX_PAGES}")
 def top_n_per_host(spark, sf):
     p = _pages(spark, sf, ("page_id", "url")).select("page_id", ux.authority("url").alias("host"))
@@ -216,8 +216,8 @@ def _crawl_sql() -> str:
     return (f"WITH s AS (SELECT page_id, url, t, md5(t) AS h FROM (SELECT page_id, url, "
             f"{sql_page_text('html')} AS t FROM pages) WHERE trim(t) <> '' AND ({cond})), "
             "k AS (SELECT min(page_id) AS page_id FROM s GROUP BY h), "
-            f"b AS (SELECT page_id, {dom} AS domain, t, row_number() OVER (PARTITION BY {dom} "
-            "ORDER BY page_id) AS rank FROM s JOIN k USING (page_id)) "
+            f"b AS (SELECT page_id, {dom} AS domain, t, CAST(row_number() OVER (PARTITION BY {dom} "
+            "ORDER BY page_id) AS INTEGER) AS rank FROM s JOIN k USING (page_id)) "
             f"SELECT page_id, domain, rank, {sql_word_count('t')} AS direct_terms FROM b "
             f"WHERE rank <= {fixed.CRAWL_MAX_PAGES}")
 
@@ -252,8 +252,8 @@ def _crawl_lang_sql() -> str:
     return (f"WITH s AS ({base}), l AS ({lang}), "
             f"e AS (SELECT s.*, md5(t) AS h FROM s JOIN l USING (page_id) WHERE l.pred_lang = '{CRAWL_LANG}'), "
             "k AS (SELECT min(page_id) AS page_id FROM e GROUP BY h), "
-            f"b AS (SELECT page_id, {dom} AS domain, t, row_number() OVER (PARTITION BY {dom} "
-            "ORDER BY page_id) AS rank FROM e JOIN k USING (page_id)) "
+            f"b AS (SELECT page_id, {dom} AS domain, t, CAST(row_number() OVER (PARTITION BY {dom} "
+            "ORDER BY page_id) AS INTEGER) AS rank FROM e JOIN k USING (page_id)) "
             f"SELECT page_id, domain, rank, {sql_word_count('t')} AS direct_terms FROM b "
             f"WHERE rank <= {fixed.CRAWL_MAX_PAGES}")
 
