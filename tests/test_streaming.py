@@ -38,3 +38,23 @@ def test_daily_windows_emit_when_closed(spark):
     got = {(str(r.day), r.cnt) for r in spark.read.parquet(out).collect()}
     # the last day is still open under a 1 hour watermark
     assert got == {("2024-01-01", 4), ("2024-01-02", 4)}
+
+
+def test_late_event_after_watermark_is_dropped(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    src, out = f"{root}/landing", f"{root}/out"
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    first = [(i, dt.datetime(2024, 1, 1 + i, 12), "view", 1.0) for i in range(4)]   # days 1-4
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{src}/cycle=1")
+    q, _ = jobs.daily_counts_stream(spark, src, out=out)
+    jobs.run_to_end(q)
+    # a late event for day 1 (closed long ago) and one for the open day 4
+    late = [(10, dt.datetime(2024, 1, 1, 13), "view", 1.0), (11, dt.datetime(2024, 1, 4, 13), "view", 1.0),
+            (12, dt.datetime(2024, 1, 6, 12), "view", 1.0)]
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{src}/cycle=2")
+    q, _ = jobs.daily_counts_stream(spark, src, out=out)
+    jobs.run_to_end(q)
+    got = {str(r.day): r.cnt for r in spark.read.parquet(out).collect()}
+    # day 1 keeps its first count (the late row is dropped); day 4 closes with 2
+    assert got == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 1, "2024-01-04": 2}
