@@ -87,7 +87,7 @@ RULE_SCHEMA = T.StructType([
 
 def apply_rules(urls: DataFrame, rules: DataFrame | None, url_col: str = "url",
                 default_rules: list[tuple[int, bool, str]] | None = None,
-                small_rules: bool = True) -> DataFrame:
+                small_rules: bool = False) -> DataFrame:
     """Adds ``allowed``.
 
     ``rules`` rows are ``(host, rule_pos, allow, prefix)``: each host's own
@@ -97,8 +97,9 @@ def apply_rules(urls: DataFrame, rules: DataFrame | None, url_col: str = "url",
 
     A host's rules are one small robots file, so they are grouped into a
     sorted array per host; each URL picks up its host's array with an
-    equi-join on host (broadcast when the rule table is a literal list,
-    otherwise AQE decides from its size and splits a hot host's partition)
+    equi-join on host (``small_rules=True`` broadcasts a rule table the
+    caller knows is small; otherwise AQE decides from its measured size and
+    splits a hot host's partition)
     and finds the first matching prefix with array functions. No shuffle of
     the URL table, no regrouping by URL.
     """
