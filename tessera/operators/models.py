@@ -49,7 +49,7 @@ def positive_probability(scored: DataFrame, out: str = "p") -> DataFrame:
 
 
 def cross_validate_mae(train: DataFrame, cols: list[str], estimator, fold_col: str = "fold",
-                       k: int = 5, spark: SparkSession | None = None) -> DataFrame:
+                       k: int = 5) -> DataFrame:
     """k-fold CV scored by MAE of hard predictions (M2, Q16).
 
     Folds are given as a column (stratified upstream), so each fold is a

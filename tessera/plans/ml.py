@@ -5,7 +5,6 @@ the original's 100 trees of depth 8."""
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
