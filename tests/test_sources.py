@@ -105,3 +105,12 @@ def test_timeseries_and_totals_csv(spark):
     csvio.write_totals_csv(tot, f"{root}/tot")
     got = csvio.read_totals_csv(spark, f"{root}/tot").collect()
     assert sorted((r.Type, r.Name, r.Count) for r in got) == [("Category", "A", 1), ("Term", "x", 0)]
+
+
+def test_read_seeds(spark):
+    from tessera.sources.pages import read_seeds
+    root = tempfile.mkdtemp(prefix="tessera-seeds-")
+    with open(f"{root}/seed.txt", "w", encoding="utf-8") as f:
+        f.write("# news sites\nhttps://a.gr/\n\n   https://b.gr/news  \n#https://c.gr/\n   \n")
+    assert sorted(r.url for r in read_seeds(spark, f"{root}/seed.txt").collect()) == \
+        ["https://a.gr/", "https://b.gr/news"]
