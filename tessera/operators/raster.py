@@ -5,8 +5,9 @@ are separable: one window pass along x (partitioned by image row) and one
 along y (partitioned by image column), i.e. two shuffles for every feature
 together; a window partition is one image row or column, bounded by the
 image's width or height. Borders are reflect-101 (``dcba|abcd|dcba`` without
-repeating the edge): the pass first unions mirrored copies of the pixels next
-to each edge, after which plain ``lag``/``lead`` see reflected neighbours.
+repeating the edge): in one pass each pixel near an edge also emits its
+mirrored position, after which plain ``lag``/``lead`` see reflected
+neighbours.
 """
 
 from __future__ import annotations
@@ -48,13 +49,21 @@ def quantise(c) -> Column:
 
 
 def _pad(px: DataFrame, axis: str, r: int) -> DataFrame:
-    """Union reflect-101 mirror rows within ``r`` of both edges along ``axis``."""
+    """Add reflect-101 mirror rows within ``r`` of both edges along ``axis``.
+
+    One pass: every pixel emits itself and, when it lies within ``r`` of an
+    edge, its mirror position(s) (``inline`` of candidate structs, empty
+    candidates dropped) - the input is read and computed once.
+    """
     size = "width" if axis == "x" else "height"
     a, n = F.col(axis), F.col(size)
-    left = px.filter((a >= 1) & (a <= r)).withColumn(axis, -a).withColumn("_pad", F.lit(True))
-    right = (px.filter((a >= n - 1 - r) & (a <= n - 2))
-             .withColumn(axis, 2 * (n - 1) - a).withColumn("_pad", F.lit(True)))
-    return px.withColumn("_pad", F.lit(False)).unionByName(left).unionByName(right)
+    cands = F.array(
+        F.struct(a.alias("_a"), F.lit(False).alias("_pad")),
+        F.struct(F.when((a >= 1) & (a <= r), -a).alias("_a"), F.lit(True).alias("_pad")),
+        F.struct(F.when((a >= n - 1 - r) & (a <= n - 2), 2 * (n - 1) - a).alias("_a"),
+                 F.lit(True).alias("_pad")))
+    out = px.select(*[c for c in px.columns if c != axis], F.inline(cands))
+    return out.filter(F.col("_a").isNotNull()).withColumnRenamed("_a", axis)
 
 
 def convolve_pass(px: DataFrame, axis: str, kernels: dict[str, tuple[str, list[float]]]) -> DataFrame:
