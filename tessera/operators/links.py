@@ -57,7 +57,7 @@ def extract_links(pages: DataFrame) -> DataFrame:
 
 def resolve_links(links: DataFrame) -> DataFrame:
     """Adds ``dst``: absolute URL, fragment dropped (H4)."""
-    return links.withColumn("dst", ux.drop_fragment(ux.resolve("url", "href")))
+    return computed_once(links.withColumn("dst", ux.drop_fragment(ux.resolve("url", "href"))))
 
 
 def internal_links(resolved: DataFrame) -> DataFrame:
