@@ -14,18 +14,7 @@ from tessera import fixed
 from tessera.functions import html as hx
 from tessera.functions import text as tx
 from tessera.functions import urls as ux
-
-
-def computed_once(df: DataFrame) -> DataFrame:
-    """Pin ``df``'s computed columns so that later filters cannot copy them.
-
-    Catalyst pushes a filter below a projection by substituting each column
-    with its defining expression, so a filter on extracted page text would
-    re-run the whole HTML/regex chain per reference. Emitting the row through
-    a one-element ``inline`` makes the columns generator output, which no
-    rule copies through: each is computed once per row.
-    """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
+from tessera.operators.frames import computed_once
 
 
 def with_stripped_html(pages: DataFrame, keep: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera import fixed
 from tessera.functions import text as tx
 from tessera.operators import dedup, series, terms
+from tessera.operators.frames import computed_once
 from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import (sql_boilerplate, sql_clean, sql_preprocess, sql_taxonomy_values,
                                    sql_term_counts, sql_word_count)
@@ -132,9 +133,13 @@ def _script_sql(letter_class: str) -> str:
 
 def _script_query(letter_class):
     def q(spark, sf):
-        d = _docs(spark, sf)
-        return (d.filter(tx.script_ratio_ok("text", letter_class))
-                .select("doc_id", tx.script_count("text", letter_class).alias("letters")))
+        n = fixed.SCRIPT_SAMPLE_CHARS
+        d = computed_once(_docs(spark, sf).select(
+            "doc_id", tx.script_count("text", letter_class).alias("letters"),
+            F.length(F.substring("text", 1, n)).alias("total")))
+        ok = (F.col("letters") >= fixed.SCRIPT_MIN_COUNT) | (
+            (F.col("total") > 0) & (F.col("letters") / F.col("total") >= fixed.SCRIPT_MIN_RATIO))
+        return d.filter(ok).select("doc_id", "letters")
     return q
 
 
