@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins and splits skewed shuffle
 # partitions at run time; the session time zone is pinned so that dates and
@@ -49,12 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that setting is read from
-    the session and never overridden. Only when it is unset (local tests) a
-    scratch folder is created and registered.
+    the session and never overridden. Only when it is unset on a local master
+    (tests) a scratch folder is created and registered; executors of a
+    cluster could not read such a folder, so there it is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -65,12 +70,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
-    return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    if not _written:
+        atexit.register(remove_written, spark)
+    _written.append(path)
+    return path
+
+
+_written: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the folders handed out by ``scratch_path`` so far.
+
+    Runs by itself when the driver ends; call it earlier when no DataFrame
+    that still has to be read comes from those folders.
+    """
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    if jvm is None or jsc is None:
+        return
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
+
+    Cuts the lineage: a lost executor costs the tasks that were running, never
+    the steps before, and every later reader scans the table instead of
+    computing it again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "default_parallelism",
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "stored", "remove_written",
+           "default_parallelism",
            "DEFAULT_CONF"]
