@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, repetition, secrets
+from tessera.llm import mixing, packing, repetition, secrets, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,19 @@ def _read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op1_best_fit_packing(spark, sf_dir):
+    """Every piece of every document and its place in sequences of 4096 tokens."""
+    return packing.packed(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity score of every whole document by the clause grammar."""
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words each document gives to the weighted mix of all documents."""
