@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, packing, repetition, secrets, toxicity
+from tessera.llm import mixing, near_dedup, packing, repetition, secrets, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,12 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
 
 
+@query
+def op6_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document."""
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words each document gives to the weighted mix of all documents."""
