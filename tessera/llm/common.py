@@ -51,17 +51,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
 
 
 def map_texts(df: DataFrame, fn: Callable[[dict], dict | None], schema: str,
-              column: str = "text", limit: int = 4 << 20) -> DataFrame:
+              column: str = "text", limit: int = 4 << 20, arrow: bool = False) -> DataFrame:
     """Apply ``fn`` to slices of ``df`` in Arrow batches.
 
-    ``fn`` gets a dict of Python lists (``column`` and the rest) and returns a
-    dict of arrays with the fields of ``schema``, any number of rows.
+    ``fn`` gets a dict of Python lists (``column`` and the rest), or with
+    ``arrow`` the record batch itself, and returns a dict of arrays with the
+    fields of ``schema``, any number of rows.
     """
     target = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches):
         for part in slices(batches, column, limit):
-            out = fn(part.to_pydict())
+            out = fn(part if arrow else part.to_pydict())
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 

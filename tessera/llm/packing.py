@@ -19,11 +19,13 @@ doc_id is packed like any other; extra columns of any name are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,7 @@ from tessera.session import stored
 CAPACITY, END_TOKEN = 4096, 1
 #: Pieces of a shard: the packer's memory and time follow it.
 SHARD_PIECES = 32_768
-#: Words kept per Python worker; the cache starts again when it is full.
+#: Words, and parts of words, kept per Python worker; a full cache starts again.
 CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -46,62 +48,120 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Table:
+    """Growing list of id sequences, gathered by number in numpy."""
+
+    def __init__(self):
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool, self.n, self.used = np.zeros(1 << 18, np.uint32), 0, 0
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        while self.n + len(size) > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.start[self.n:self.n + len(size)] = self.used + np.cumsum(size) - size
+        self.size[self.n:self.n + len(size)] = size
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.n, self.used = self.n + len(size), self.used + len(ids)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the sequences end to end, and the n+1 boundaries."""
+        size = self.size[numbers]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(self.start[numbers] - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def _bounds(n: list) -> np.ndarray:
+    return np.cumsum(np.fromiter(map(len, n), np.int64, len(n)))
+
+
 class WordIds:
-    """ids of texts through a cache of words; ``path`` names a tokenizer that
-    drops ASCII white space and never joins across it."""
+    """ids of texts through caches of words and of the parts words split into.
+
+    ``path`` names a tokenizer that lower-cases, drops ASCII white space and
+    never joins across it. Latin-1 words are split here by the tokenizer's own
+    rule (contractions, letters, single digits, the rest), so that a part is
+    encoded once for all the words it stands in; other words, and those that
+    hold a special token, go to the tokenizer whole.
+    """
+
+    PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+    PLAIN = re.compile(r"[\x00-\x84\x86-\x9f\xa1-\xff]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.part: dict[str, int] = {}
+        self.parts = Table()
         self.reset()
 
     def reset(self):
-        self.word: dict[bytes, int] = {}
-        self.start, self.size, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _add(self, words: list[bytes]):
+        """Forget the words, and the parts once there are as many of them."""
+        self.word: dict[str, int] = {}
+        self.words = Table()
+        if len(self.part) > CACHE_WORDS:
+            self.part, self.parts = {}, Table()
+
+    def _encode(self, texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch(texts_, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum())), size
+
+    def _add_parts(self, new: list[str]) -> None:
+        for at in range(0, len(new), 4096):
+            some = new[at:at + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            last = np.flatnonzero(self.closes[ids])
+            if len(last) == len(some) and (not len(last) or last[-1] == len(ids) - 1):
+                self.parts.add(ids, np.diff(last, prepend=-1))
+            else:
+                self.parts.add(*self._encode(some))
+        self.part.update(zip(new, range(len(self.part), len(self.part) + len(new))))
+
+    def _add(self, words: list[str]) -> bool:
         if len(self.word) + len(words) > CACHE_WORDS:
             return False
+        plain, other, split = [], [], []
+        for w in words:
+            if (w.isascii() or self.PLAIN.fullmatch(w)) and "<|" not in w:
+                plain.append(w)
+                split.append(self.PART.findall(w.lower()))
+            else:
+                other.append(w)
+        flat = [p for ps in split for p in ps]
+        self._add_parts(list(set(flat).difference(self.part)))
+        ids, ends = self.parts.gather(np.fromiter(map(self.part.__getitem__, flat), np.int64, len(flat)))
+        self.words.add(ids, np.diff(ends[np.concatenate([[0], _bounds(split)])]))
+        self.words.add(*self._encode(other))
         at = len(self.word)
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        need = self.used + int(size.sum())
-        while at + len(words) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        while need > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.size[at:at + len(words)] = size
-        self.start[at:at + len(words)] = self.used + np.cumsum(size) - size
-        self.pool[self.used:need] = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
-        self.used = need
-        self.word.update(zip(words, range(at, at + len(words))))
+        self.word.update(zip(plain + other, range(at, at + len(words))))
         return True
 
-    def encode(self, docs: list[str], end_token: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end, each document closed by ``end_token``, and the n+1 boundaries."""
-        split = [d.encode().split() for d in docs]
-        flat = [w for ws in split for w in ws]
-        new = list(set(flat).difference(self.word))
+    def encode(self, docs: pa.Array, end_token: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, each document closed by ``end_token``, and the n+1
+        boundaries. Words are cut and numbered in Arrow; Python sees each
+        distinct word of the slice once."""
+        split = pc.ascii_split_whitespace(docs)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.word]
         if new and not self._add(new):
             self.reset()
-            every = list(set(flat))
-            if len(every) > CACHE_WORDS:  # one slice alone holds more words
-                found = [self.tokenizer.encode(d, add_special_tokens=False).ids + [end_token] for d in docs]
-                ends = np.concatenate([[0], np.cumsum(list(map(len, found)))]).astype(np.int64)
-                return np.fromiter((i for ids in found for i in ids), np.uint32, int(ends[-1])), ends
-            self._add(every)
-        word = np.fromiter(map(self.word.__getitem__, flat), np.int64, len(flat))
-        n_words = np.fromiter(map(len, split), np.int64, len(split))
-        size = self.size[word]
-        ends = np.zeros(len(docs) + 1, np.int64)
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ends[1:] = upto[np.cumsum(n_words)]
-        total = int(upto[-1])
-        ids = self.pool[np.repeat(self.start[word] - upto[:-1], size) + np.arange(total)]
-        ids = np.insert(ids, ends[1:], end_token)
-        return ids, ends + np.arange(len(ends))
+            if not self._add(distinct):  # one slice alone holds more words than the cache
+                ids, size = self._encode(docs.to_pylist())
+                ends = np.concatenate([[0], np.cumsum(size)])
+                return np.insert(ids, ends[1:], end_token), ends + np.arange(len(ends))
+        number = np.fromiter(map(self.word.__getitem__, distinct), np.int64, len(distinct))
+        ids, at = self.words.gather(number[coded.indices.to_numpy()])
+        offsets = split.offsets.to_numpy()
+        ends = at[offsets - offsets[0]]
+        return np.insert(ids, ends[1:], end_token), ends + np.arange(len(ends))
 
 
 @cache
@@ -114,8 +174,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """One row per piece of every document, with its ids when asked for."""
     path = tokenizer or default_tokenizer()
 
-    def cut(rows: dict) -> dict:
-        ids, ends = _word_ids(path).encode(rows["text"], end_token)
+    def cut(rows: pa.RecordBatch) -> dict:
+        ids, ends = _word_ids(path).encode(rows.column("text"), end_token)
         ids = ids.astype("<u4")
         size = np.diff(ends)
         n = -(-size // capacity)
@@ -125,11 +185,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         length = np.minimum(capacity, size[doc] - start)
         at = ends[doc] + start
         raw = [ids[a:a + k].tobytes() for a, k in zip(at, length)]
-        out = {"doc_id": [rows["doc_id"][i] for i in doc], "piece": piece.astype(np.int32), "start": start,
+        out = {"doc_id": rows.column("doc_id").take(pa.array(doc)), "piece": piece.astype(np.int32), "start": start,
                "length": length, "ids_crc32": [zlib.crc32(r) for r in raw]}
         return out | ({"ids": raw} if with_ids else {})
 
-    return map_texts(texts(docs), cut, PIECES + (", ids binary" if with_ids else ""))
+    return map_texts(texts(docs), cut, PIECES + (", ids binary" if with_ids else ""), limit=8 << 20, arrow=True)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
