@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, near_dedup, packing, repetition, secrets, suffix_dedup, toxicity
+from tessera.llm import mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,13 @@ def op7_mixing(spark, sf_dir):
     return mixing.taken(_read(spark, sf_dir, "documents"))
 
 
+@query
+def op8_quality_classifier(spark, sf_dir):
+    """Quality score of every whole document by the line field."""
+    docs = _read(spark, sf_dir, "documents")
+    return quality_crf.score(docs, quality_crf.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 @query
 def op9_secret_scan(spark, sf_dir):
     """Secret spans of every whole document."""
