@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
+from tessera.llm import fingerprints, mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,12 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
 
 
+@query
+def op3_document_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprints.fingerprints(_read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_suffix_array_dedup(spark, sf_dir):
     """Bytes of every document left when repeats of 100 bytes or more go."""
