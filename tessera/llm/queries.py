@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
+from tessera.llm import fingerprints, html_model, mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op3_document_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(_read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html_model.extract(_read(spark, sf_dir, "pages"))
+
+
 @query
 def op5_suffix_array_dedup(spark, sf_dir):
     """Bytes of every document left when repeats of 100 bytes or more go."""
