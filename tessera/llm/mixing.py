@@ -148,14 +148,14 @@ def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             .agg(F.sum("taken").alias("taken")).drop("start"))
 
 
-def repeat_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` as the mix takes them, for the stages after it: each row once
-    for every time half its words or more are taken; rows not taken go."""
-    times = taken(docs, block_words).select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"),
-        F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_times"))
-    times = times.groupBy("_doc", "_source").agg(F.max("_times").alias("_times"))
+    for every time that half its words or more are taken. Only the document in
+    which a source's target falls is taken in part, so a source's words differ
+    from its target by half a document at most. Rows without words are not
+    taken. Rows that share doc_id and source share the larger number."""
+    times = taken(docs, block_words).groupBy(F.col("doc_id").alias("_doc"), F.col("source").alias("_source")).agg(
+        F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1)))).cast("int").alias("_times")).where("_times > 0")
     out = docs.join(times, docs["doc_id"].cast("long").eqNullSafe(times["_doc"])
                     & docs["source"].cast("string").eqNullSafe(times["_source"]))
-    return out.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))) \
-        .where("_times > 0").select([docs[c] for c in docs.columns])
+    return out.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*(docs[c] for c in docs.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tessera.llm import fingerprints, html_model, mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
 
 QUERIES: dict = {}
@@ -77,3 +78,13 @@ def op9_secret_scan(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     """Base counts, repetition coverage and verdict of every whole document."""
     return repetition.repetition_rules(_read(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
