@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,3 +85,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` as a zstandard frame in ``packed``, for the
+    shuffles that whole texts have to go through."""
+    others = [f for f in rows.schema if f.name != "text"]
+    names = [f.name for f in others]
+
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=1)
+        for part in slices(batches, "text", 4 << 20):
+            packed = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in part.column(len(names)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], pa.array(packed, pa.binary())], names=[*names, "packed"])
+
+    return rows.select(*names, "text").mapInArrow(run, T.StructType([*others, T.StructField("packed", T.BinaryType())]))
+
+
+def unpacked(packed: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""

@@ -9,12 +9,15 @@ high, and throws out candidates that are far from the threshold. What is left
 is confirmed on the full shingle sets.
 
 A band's bucket may hold any number of classes, so its pairs are never listed.
-In the first round every member is held against the bucket's smallest; links
-found so far are contracted to components. Then only buckets that still span
-several components go on, with pivots from outside the bucket's largest
-component, four times as many in each round, each held against the members of
-other components. A bucket is done when its members not yet used as pivots lie
-in one component: every link that could join two components has been tried.
+First every member is held against the bucket's smallest, and the links found
+are contracted to components. Only buckets that still span several components
+go on, and there only members outside the bucket's largest component are held
+against members of other components. These comparisons stay inside the join:
+a pair leaves it if the sketches allow it and so does an exact bound. Call a
+shingle rare if at most RARE members of open buckets have it. Members that share
+a rare shingle are listed from it, few for each. Two others share only shingles
+that are not rare; with k and l of those they share min(k, l) at most. Copies
+with many edits of their own fail that bound against their whole family.
 
 Defined results: a null or empty text has no shingles and is linked with
 nothing; rows that share a doc_id are judged each by its own text; a row with a
@@ -29,10 +32,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts, mix64, slices, texts
+from tessera.llm.common import map_texts, mix64, packed_texts, slices, texts, unpacked
 from tessera.llm.graph import components
 from tessera.session import stored
 
@@ -43,6 +46,8 @@ SKETCH_WORDS = 4
 #: Pairs go on if their sketches look at least this similar. At similarity 0.8
 #: the estimate falls so low, nearly six standard deviations, about 3 times in 1e9.
 SKETCH_SIMILARITY = 0.45
+#: Most members that have a rare shingle; every pair of them is a candidate.
+RARE = 8
 #: Members held against one pivot in one stretch of a task.
 PIVOT_STRETCH = 256
 
@@ -57,10 +62,11 @@ def sketch_limit(similarity: float = SKETCH_SIMILARITY) -> int:
     return math.ceil(bits / 2 * (1 - (1 - 2 / bits) ** (2 * samples * (1 - similarity))))
 
 
-def shingle_hashes(text: str, n: int = SHINGLE) -> np.ndarray:
+def shingle_hashes(text: bytes | str, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles. Bytes are
     lower-cased and split, which touch ASCII letters and white space only."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text
+    words = raw.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
@@ -104,7 +110,7 @@ def _signatures(rows: dict) -> dict:
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _confirm(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (u, v) among ``pairs`` (u the pivot): similarity on the full sets.
 
     Members come to their pivot in stretches, so a pivot with any number of
@@ -113,38 +119,55 @@ def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     sized = pairs.join(pairs.groupBy("u").agg(F.count("*").alias("n")), "u") \
         .withColumn("part", F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / PIVOT_STRETCH)))
-    wanted = sized.select("u", "part", F.col("v").alias("doc_id"), F.lit(1).alias("member")) \
-        .unionByName(sized.select("u", "part").distinct().select("u", "part", F.col("u").alias("doc_id"), F.lit(0).alias("member")))
-    rows = (wanted.join(texts(docs), "doc_id").repartition("u", "part").sortWithinPartitions("u", "part", "member", "doc_id"))
+    wanted = sized.select("u", "part", F.col("v").alias("node"), F.lit(1).alias("member")) \
+        .unionByName(sized.select("u", "part").distinct().select("u", "part", F.col("u").alias("node"), F.lit(0).alias("member")))
+    rows = wanted.join(held, "node").repartition("u", "part").sortWithinPartitions("u", "part", "member", "node")
 
     def run(batches):
-        pivot, held = None, []
-        for part in slices(batches, "text", 4 << 20):
+        pivot, own = None, []
+        for part in slices(batches, "packed", 1 << 20):
             u_, v_ = [], []
-            for u, p, doc, member, text in zip(*(part.column(k).to_pylist() for k in ("u", "part", "doc_id", "member", "text"))):
+            for u, p, node, member, packed in zip(*(part.column(k).to_pylist() for k in ("u", "part", "node", "member", "packed"))):
                 if (u, p) != pivot:
-                    pivot, held = (u, p), []
-                s = shingle_hashes(text)
+                    pivot, own = (u, p), []
+                s = shingle_hashes(unpacked(packed))
                 if not member:
-                    held.append(s)
+                    own.append(s)
                     continue
-                for own in held:
-                    both = len(np.intersect1d(own, s, assume_unique=True))
-                    if 100 * both >= PERCENT * (len(own) + len(s) - both) and both:
+                for x in own:
+                    both = len(np.intersect1d(x, s, assume_unique=True))
+                    if both and 100 * both >= PERCENT * (len(x) + len(s) - both):
                         u_.append(u)
-                        v_.append(doc)
+                        v_.append(node)
                         break
             yield pa.RecordBatch.from_pydict({"u": pa.array(u_, pa.int64()), "v": pa.array(v_, pa.int64())})
 
-    return rows.select("u", "part", "doc_id", "member", "text").mapInArrow(run, "u long, v long")
+    return rows.select("u", "part", "node", "member", "packed").mapInArrow(run, "u long, v long")
 
 
-def _sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose sketches differ in few enough bits."""
-    a = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"))
-    b = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"))
-    differ = sum((F.bit_count(F.col("su")[k].bitwiseXOR(F.col("sv")[k])) for k in range(SKETCH_WORDS)), F.lit(0))
-    return pairs.join(b, "v").join(a, "u").where(differ <= sketch_limit()).select("u", "v").distinct()
+def _differ(a: str, b: str):
+    """Population count of the XOR of two sketch columns."""
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+
+
+def _possible(shared, n, m):
+    """Whether sets of n and m shingles that share at most ``shared`` can be linked."""
+    return 100 * shared >= PERCENT * (n + m - shared)
+
+
+def _rare_shingles(held: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(shingle, node, n): the rare shingles among the nodes, each with the n
+    nodes that have it. A node with several texts has the shingles of all."""
+    def run(rows: dict) -> dict:
+        sets = [shingle_hashes(unpacked(t)) for t in rows["packed"]]
+        n = np.fromiter(map(len, sets), np.int64, len(sets))
+        flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+        return {"node": np.repeat(np.array(rows["node"], np.int64), n), "shingle": flat.view(np.int64)}
+
+    every = map_texts(held.join(nodes, "node").select("node", "packed"), run, "node long, shingle long",
+                      column="packed", limit=1 << 20)
+    rare = every.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
+    return every.join(rare, "shingle")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -152,42 +175,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stored(map_texts(texts(docs), _signatures, SIGNATURE), "signatures")
     # one row per set: bands and sketch are functions of the set
     classes = stored(rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    sketches = classes.select("node", "sketch")
+        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch")), "classes")
     member = classes.select("node", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
     bucket = stored(member.join(shared.where("pivot < last").select("key", "pivot"), "key").distinct(), "buckets")
-    tried = stored(_sketched(bucket.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(),
-                             sketches), "pairs")
-    links = stored(_confirm(docs, tried), "confirmed")
+    nodes = bucket.select("node").distinct()
+    held = stored(packed_texts(texts(docs)).withColumnRenamed("doc_id", "node").join(nodes, "node").distinct(), "candidate-texts")
+    info = classes.select("node", "n", "sketch")
+
+    a, b = (info.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "uv")
+    star = bucket.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+    near = (_differ("su", "sv") <= sketch_limit()) & _possible(F.least("nu", "nv"), F.col("nu"), F.col("nv"))
+    tried = stored(star.join(b, "v").join(a, "u").where(near).select("u", "v").distinct(), "pairs")
+    links = stored(_confirm(held, tried), "confirmed")
     group = stored(components(links), "groups")
 
-    used = bucket.select("key", F.col("pivot").alias("node")).distinct()
-    pivots = 1
-    while True:
-        left = bucket.select("key", "node").join(used, ["key", "node"], "left_anti")
-        left = left.join(group, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        size = left.groupBy("key", "component").agg(F.count("*").alias("n"))
-        main = size.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-        left = stored(left.join(main.where("parts > 1"), "key"), "open")
-        if left.isEmpty():
-            break
-        outside = left.where("component != main")
-        order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        chosen = outside.withColumn("order", order).where(F.col("order") <= pivots)
-        chosen = chosen.select("key", F.col("node").alias("u"), F.col("component").alias("cu"))
-        pairs = (chosen.join(left.select("key", F.col("node").alias("v"), F.col("component").alias("cv")), "key")
-                 .where("cu != cv").select("u", "v").distinct())
-        known = tried.select("u", "v").unionByName(tried.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        fresh = stored(_sketched(pairs.join(known, ["u", "v"], "left_anti"), sketches), "pairs")
-        if not fresh.isEmpty():
-            found = stored(_confirm(docs, fresh), "confirmed")
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                group = stored(components(links), "groups")
-            tried = tried.unionByName(fresh)
-        used = stored(used.unionByName(chosen.select("key", F.col("u").alias("node"))), "used")
-        pivots *= 4
+    left = bucket.select("key", "node").join(group, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
+    size = left.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = size.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    left = stored(left.join(main.where("parts > 1").select("key", "main"), "key"), "open")
+    rare = stored(_rare_shingles(held, left.select("node").distinct()), "rare")
+    # the bound needs the shingles of one text
+    one_text = held.groupBy("node").agg(F.count("*").alias("texts")).where("texts = 1").select("node")
+    own = rare.groupBy("node").agg(F.count("*").alias("own")).join(one_text, "node")
+    full = left.join(info, "node").join(own, "node", "left").withColumn("k", F.col("n") - F.coalesce("own", F.lit(0)))
+    a, b = (full.select("key", "main", *(F.col(c).alias(f"{c}{k}") for c in ("node", "component", "n", "k", "sketch"))) for k in "uv")
+    outside = a.where("componentu != main").drop("main")
+    both = F.least("ku", "kv")
+    pairs = outside.join(b, (outside["key"] == b["key"]) & (F.col("componentu") != F.col("componentv"))
+                         & ((F.col("componentv") == F.col("main")) | (F.col("nodeu") < F.col("nodev")))
+                         & _possible(both, F.col("nu"), F.col("nv")) & (_differ("sketchu", "sketchv") <= sketch_limit()))
+    pairs = pairs.select(F.col("nodev").alias("u"), F.col("nodeu").alias("v")).distinct()
+    who = rare.where("n > 1").groupBy("shingle").agg(F.array_sort(F.collect_set("node")).alias("who"))
+    by_rare = F.flatten(F.transform("who", lambda x: F.transform(F.filter("who", lambda y: y > x), lambda y: F.struct(x.alias("u"), y.alias("v")))))
+    part = left.groupBy("node").agg(F.min("component").alias("component"))
+    by_rare = who.select(F.explode(by_rare).alias("p")).select("p.u", "p.v").distinct()
+    c, d = (info.join(part, "node").select(*(F.col(x).alias(x + k) for x in ("node", "n", "sketch", "component"))) for k in "uv")
+    by_rare = by_rare.join(d, F.col("v") == F.col("nodev")).join(c, F.col("u") == F.col("nodeu")).where(
+        (F.col("componentu") != F.col("componentv")) & _possible(F.least("nu", "nv"), F.col("nu"), F.col("nv"))
+        & (_differ("sketchu", "sketchv") <= sketch_limit())).select("u", "v")
+    pairs = pairs.unionByName(by_rare).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    known = tried.unionByName(tried.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    fresh = stored(pairs.join(known, ["u", "v"], "left_anti"), "pairs")
+    found = stored(_confirm(held, fresh), "confirmed")
+    if not found.isEmpty():
+        group = stored(components(links.unionByName(found)), "groups")
 
     label = classes.select("set_a", "set_b", "node").join(group, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component"))

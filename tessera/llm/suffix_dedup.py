@@ -38,11 +38,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, slices
+from tessera.llm.common import mix64, packed_texts, slices, unpacked
 from tessera.session import stored
 
 WINDOW, GRAM = 100, 32
@@ -446,28 +445,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64("text").bitwiseAND(0x7FFF).alias("digest"), "text")
 
 
-def _compressed(rows: DataFrame) -> DataFrame:
-    """The texts as zstandard frames, for the shuffles they go through."""
-
-    def run(batches):
-        packer = zstandard.ZstdCompressor(level=1)
-        for part in slices(batches, "text", 4 << 20):
-            packed = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in part.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(packed, pa.binary())],
-                                             names=["doc_id", "doc", "digest", "packed"])
-
-    return rows.mapInArrow(run, "doc_id long, doc long, digest long, packed binary")
-
-
-def _unpack(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
-
-
 def _cut_spans(batches):
     for part in slices(batches, "packed", 2 << 20):
         out = [[] for _ in range(6)]
         for doc, packed, wanted in zip(*(part.column(k).to_pylist() for k in ("doc", "packed", "wanted"))):
-            raw = _unpack(packed)
+            raw = unpacked(packed)
             for w in wanted:
                 start = w["pos"] & ((1 << START_BITS) - 1)
                 for c, x in zip(out, (w["a"], doc, w["pos"], w["n"], w["off"], raw[start:start + w["n"] + WINDOW - 1])):
@@ -490,7 +472,7 @@ def _kept(batches):
     for part in slices(batches, "packed", 2 << 20):
         out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
         for packed, ranges in zip(part.column("packed").to_pylist(), part.column("ranges").to_pylist()):
-            raw = _unpack(packed)
+            raw = unpacked(packed)
             gone = _union(ranges)
             rest, at = [], 0
             for s, e in gone:
@@ -529,7 +511,7 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     per_doc = opened.groupBy("doc", F.shiftright("pos", START_BITS).alias("digest")).agg(
         F.collect_list(F.struct("a", "pos", "n", "off")).alias("wanted"))
     many = opened.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
-    texts_ = _compressed(rows).select("doc", "digest", "packed")
+    texts_ = packed_texts(rows).select("doc", "digest", "packed")
     spans = (texts_.join(per_doc, ["doc", "digest"]).select("doc", "packed", "wanted")
              .mapInArrow(_cut_spans, "a long, doc long, pos long, n int, off int, span binary"))
     spans = spans.join(many, "a").withColumn("part", F.pmod(F.xxhash64("doc", "pos"), F.col("parts")))
@@ -549,6 +531,6 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining
     bytes) of every row of ``docs``."""
-    rows = _compressed(_keyed(docs)).join(removed_ranges(docs), ["doc", "digest"], "left")
+    rows = packed_texts(_keyed(docs)).join(removed_ranges(docs), ["doc", "digest"], "left")
     return rows.select("doc_id", "packed", "ranges").mapInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
