@@ -156,6 +156,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     taken. Rows that share doc_id and source share the larger number."""
     times = taken(docs, block_words).groupBy(F.col("doc_id").alias("_doc"), F.col("source").alias("_source")).agg(
         F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1)))).cast("int").alias("_times")).where("_times > 0")
-    out = docs.join(times, docs["doc_id"].cast("long").eqNullSafe(times["_doc"])
-                    & docs["source"].cast("string").eqNullSafe(times["_source"]))
-    return out.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*(docs[c] for c in docs.columns))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].cast("long").alias("doc"),
+                       docs["source"].cast("string").alias("source"))
+    out = rows.join(times, F.col("doc").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source")))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*")

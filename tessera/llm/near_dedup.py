@@ -71,10 +71,10 @@ def shingle_hashes(text: bytes | str, n: int = SHINGLE) -> np.ndarray:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(h) < n:
-        whole = np.uint64(len(h))
-        for x in h:
-            whole = mix64(np.array([whole * np.uint64(31) + x], np.uint64))[0]
-        return np.array([whole], np.uint64)
+        whole = np.array([len(h)], np.uint64)
+        for k in range(len(h)):
+            whole = mix64(whole * np.uint64(31) + h[k:k + 1])
+        return whole
     key = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
         key = mix64(key + h[k:len(h) - n + 1 + k] + np.uint64(k + 1))
@@ -235,4 +235,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one of the
     smallest doc_id, with all its rows. Rows without an id stay."""
     gone = near_duplicates(docs).groupBy(F.col("doc_id").alias("_gone")).agg(F.bool_or("kept").alias("kept")).where("not kept")
-    return docs.join(gone.select("_gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
