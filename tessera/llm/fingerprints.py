@@ -215,7 +215,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     by row and holds two documents. Ranges meet in a small table of their first
     and last rows, two per task.
     """
-    ordered = texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_last(), "text") \
+    # bounds are sampled from the key, so the key is the id alone; equal ids share a range
+    ordered = texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_last()) \
         .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
     rows = stored(ordered.mapInArrow(_in_order, PAIRED), "ranges")
     edges = rows.where("edge is not null").select("doc_id", "edge", "fingerprint", "text")
