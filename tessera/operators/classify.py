@@ -1,20 +1,22 @@
-"""Model-as-aggregate classifiers over long feature tables.
+"""Model-as-aggregate classifiers.
 
-Each model is a small table derived by aggregation (class x dimension
-statistics, language x trigram profiles); scoring joins every point's
-features to it and reduces per (point, class). A model table's size is fixed
-by classes x dimensions, not by the number of points, which is what makes its
-broadcast safe; the point side is never paired with other points.
+Each model is a small table derived by aggregation: class x dimension
+statistics, or trigram x language log probabilities. The class models reach
+the scoring rows as one array per class through a scalar subquery, so scoring
+is an expression over the row's own vector: no join, no shuffle, no row per
+point, dimension and class. The number of classes is checked.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import fixed
+from tessera.session import stored
 
 
 def long_vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str | None = None) -> DataFrame:
@@ -24,36 +26,61 @@ def long_vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str | None
         "x", F.col("x").cast("double"))
 
 
-def gaussian_nb(train: DataFrame, score: DataFrame, id_col: str, label_col: str,
+#: Most classes (or languages) a model may have; labels are categories, so more
+#: of them means that the label column is not one.
+MAX_CLASSES = 1000
+
+
+def _class_model(stats: DataFrame, label_col: str, *fields: str):
+    """Scalar subquery: array of (label, [per dimension struct of ``fields``], n)."""
+    per_class = stats.groupBy(label_col).agg(
+        F.array_sort(F.collect_list(F.struct("d", *fields))).alias("dims"), F.max("n").alias("n"))
+    row = per_class.agg(F.collect_list(F.struct(F.col(label_col).alias("label"), "dims", "n")).alias("m"))
+    return row.select(F.when(F.size("m") <= MAX_CLASSES, F.col("m")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes")))).scalar()
+
+
+def _sum(arr) -> Column:
+    return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
+
+
+def gaussian_nb(train: DataFrame, score: DataFrame, id_col: str, vec_col: str, label_col: str,
                 var_smoothing: float = 1e-9) -> DataFrame:
     """Gaussian naive Bayes: per-class mean/variance per dimension; predicted
     class maximises log prior + sum of log densities (E9).
 
-    ``train``/``score`` are long tables (id, [label,] d, x). Variance is the
-    population variance plus ``var_smoothing`` times the largest variance.
+    Variance is the population variance plus ``var_smoothing`` times the
+    largest variance; of equal scores the smallest label wins.
     """
-    stats = train.groupBy(label_col, "d").agg(F.avg("x").alias("mu"), F.var_pop("x").alias("var"))
+    stats = long_vectors(train, id_col, vec_col, label_col).groupBy(label_col, "d").agg(
+        F.avg("x").alias("mu"), F.var_pop("x").alias("var"), F.count(F.lit(1)).alias("n"))
     eps = stats.select(F.max("var") * var_smoothing).scalar()  # scalar subquery
-    stats = stats.withColumn("var", F.col("var") + eps)
-    prior = train.select(id_col, label_col).distinct().groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("n"))
-    prior = prior.withColumn("log_prior", F.log(F.col("n") / prior.select(F.sum("n")).scalar()))
-    ll = (score.join(F.broadcast(stats), "d")
-          .groupBy(id_col, label_col)
-          .agg(F.sum(-0.5 * F.log(2 * math.pi * F.col("var"))
-                     - (F.col("x") - F.col("mu")) * (F.col("x") - F.col("mu")) / (2 * F.col("var"))).alias("ll")))
-    post = ll.join(F.broadcast(prior.select(label_col, "log_prior")), label_col) \
-        .withColumn("score", F.col("ll") + F.col("log_prior"))
-    return post.groupBy(id_col).agg(
-        F.max_by(label_col, F.struct("score", F.col(label_col) * -1)).alias("pred"))
-
-
-def min_distance(train: DataFrame, score: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    model = _class_model(stats.withColumn("var", F.col("var") + eps), label_col, "mu", "var")
+    total = train.select(F.count(F.lit(1))).scalar()
+    rows = score.select(id_col, vec_col, model.alias("_model"), total.alias("_total"))
+
+    def log_density(x, m):
+        gap = x.cast("double") - m["mu"]
+        return -0.5 * F.log(2 * math.pi * m["var"]) - gap * gap / (2 * m["var"])
+
+    best = F.array_max(F.transform("_model", lambda m: F.struct(
+        (_sum(F.zip_with(F.col(vec_col), m["dims"], log_density)) + F.log(m["n"] / F.col("_total"))).alias("score"),
+        (m["label"] * -1).alias("order"), m["label"].alias("label"))))
+    return rows.select(id_col, best["label"].alias("pred"))
+
+
+def min_distance(train: DataFrame, score: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """Nearest class centroid by squared Euclidean distance."""
-    cent = train.groupBy(label_col, "d").agg(F.avg("x").alias("c"))
-    dist = (score.join(F.broadcast(cent), "d").groupBy(id_col, label_col)
-            .agg(F.sum((F.col("x") - F.col("c")) * (F.col("x") - F.col("c"))).alias("dist")))
-    return dist.groupBy(id_col).agg(F.min_by(label_col, F.struct("dist", label_col)).alias("pred"))
+    stats = long_vectors(train, id_col, vec_col, label_col).groupBy(label_col, "d").agg(
+        F.avg("x").alias("c"), F.count(F.lit(1)).alias("n"))
+    model = _class_model(stats, label_col, "c")
+
+    def square(x, m):
+        return (x.cast("double") - m["c"]) * (x.cast("double") - m["c"])
+
+    best = F.array_min(F.transform("_model", lambda m: F.struct(
+        _sum(F.zip_with(F.col(vec_col), m["dims"], square)).alias("dist"), m["label"].alias("label"))))
+    return score.select(id_col, vec_col, model.alias("_model")).select(id_col, best["label"].alias("pred"))
 
 
 def lang_sample(text, sample_chars: int = fixed.LANG_SAMPLE_CHARS) -> Column:
@@ -70,34 +97,56 @@ def trigrams(sample_col: str) -> Column:
     return F.regexp_extract_all(F.col(sample_col), F.lit("(?s)(?=(.{3}))"), 1)
 
 
-def language_profiles(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, gram, logp) with add-one smoothing over the joint vocabulary."""
-    smp = docs.select(lang_col, lang_sample(text_col).alias("_s"))
-    g = smp.select(lang_col, F.explode(trigrams("_s")).alias("gram"))
-    counts = g.groupBy(lang_col, "gram").agg(F.count(F.lit(1)).alias("c"))
-    tot = counts.groupBy(lang_col).agg(F.sum("c").alias("t"))
-    vocab = counts.select("gram").distinct().select(F.count(F.lit(1))).scalar()
-    return (counts.join(F.broadcast(tot), lang_col).withColumn("v", vocab)
-            .select(lang_col, "gram", F.log((F.col("c") + 1) / (F.col("t") + F.col("v"))).alias("logp"),
-                    F.log(1 / (F.col("t") + F.col("v"))).alias("log_unseen")))
+@dataclass
+class LanguageProfiles:
+    """``table`` (gram, logp): one log probability per language, in the order
+    of ``langs``; ``unseen`` is each language's floor for grams it never had."""
+    langs: list[str]
+    unseen: list[float]
+    table: DataFrame
+
 
+def language_profiles(docs: DataFrame, text_col: str, lang_col: str) -> LanguageProfiles:
+    """Trigram profiles with add-one smoothing over the joint vocabulary, from
+    the whole texts in one pass.
 
-def language_scores(docs: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
-                    lang_col: str = "lang") -> DataFrame:
+    The counts are pre-aggregated per (language, gram), gathered to one row per
+    gram - at most one entry per language - and written once; totals and
+    vocabulary are read from that table.
+    """
+    low = docs.select(lang_col, F.lower(text_col).alias("_s"))
+    counts = (low.select(F.col(lang_col).alias("lang"), F.explode(trigrams("_s")).alias("gram"))
+              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
+    table = stored(counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("c")), "grams")
+    total = table.select(F.explode("c").alias("lang", "c")).groupBy("lang").agg(F.sum("c").alias("t"))
+    rows = sorted(total.limit(MAX_CLASSES + 1).collect())
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} languages")
+    size = [r["t"] + table.count() for r in rows] if rows else []
+    logp = F.array(*(F.log((F.coalesce(F.try_element_at("c", F.lit(r["lang"])), F.lit(0)) + 1) / F.lit(float(n)))
+                     for r, n in zip(rows, size)))
+    return LanguageProfiles([r["lang"] for r in rows], [math.log(1 / n) for n in size],
+                            table.select("gram", logp.alias("logp")))
+
+
+def language_scores(docs: DataFrame, id_col: str, text_col: str, profiles: LanguageProfiles) -> DataFrame:
     """Best-scoring language per document (F3, re-aimed language detection).
 
-    Scores sum ``count x log p`` over the document's trigrams; trigrams a
-    language has never seen score its smoothing floor. The profile join is on
-    the trigram; AQE broadcasts the profile when it is small and splits a
-    hot trigram's partition otherwise.
+    Sums log p over the trigrams of the document's leading sample, for all
+    languages at once: one join on the gram (AQE broadcasts the profile when
+    its measured size allows and splits a hot gram's partition otherwise) and
+    one aggregate per document. Of equal scores the last language name wins.
     """
     smp = docs.select(id_col, lang_sample(text_col).alias("_s"))
     grams = smp.select(id_col, F.explode(trigrams("_s")).alias("gram"))
-    dg = grams.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
-    total = dg.groupBy(id_col).agg(F.sum("n").alias("total"))
-    m = (dg.join(profiles, "gram").groupBy(id_col, lang_col)
-         .agg(F.sum(F.col("n") * F.col("logp")).alias("s"), F.sum("n").alias("matched"),
-              F.first("log_unseen").alias("log_unseen")))
-    sc = m.join(total, id_col).withColumn(
-        "score", F.col("s") + (F.col("total") - F.col("matched")) * F.col("log_unseen"))
-    return sc.groupBy(id_col).agg(F.max_by(lang_col, F.struct("score", lang_col)).alias("pred_lang"))
+    if not profiles.langs:  # nothing to tell apart
+        return grams.where("false").select(id_col, F.lit("").alias("pred_lang"))
+    floor = F.array(*map(F.lit, profiles.unseen))
+    p = grams.join(profiles.table, "gram", "left").withColumn("logp", F.coalesce("logp", floor))
+    sums = [F.sum(F.col("logp")[k]).alias(f"s{k}") for k in range(len(profiles.langs))]
+    best = F.array_max(F.array(*(F.struct(F.col(f"s{k}").alias("s"), F.lit(lang).alias("lang"))
+                                 for k, lang in enumerate(profiles.langs))))
+    # a document none of whose grams any language had cannot be told
+    known = F.max(F.col("gram_known").cast("int"))
+    p = p.withColumn("gram_known", F.col("logp") != floor)
+    return p.groupBy(id_col).agg(*sums, known.alias("k")).where("k = 1").select(id_col, best["lang"].alias("pred_lang"))

@@ -184,22 +184,23 @@ def pixel_sample(px: DataFrame, fraction: float = fixed.SAMPLE_FRACTION,
             .drop("_h", "_rank", "_n"))
 
 
-def three_way_split(ids: DataFrame, id_col: str, sizes=fixed.SPLIT_SIZES,
-                    fallback=fixed.SPLIT_FALLBACK, seed: int = fixed.SPLIT_SEED) -> DataFrame:
+def three_way_split(ids: DataFrame, id_col: str, sizes: tuple[int, int, int] | None = None,
+                    fractions=fixed.SPLIT_FALLBACK, seed: int = fixed.SPLIT_SEED) -> DataFrame:
     """``split`` in train/val/test by seeded hash rank.
 
-    With at least sum(sizes) ids the first sizes go to train, val, test and
-    the rest to ``unused``; otherwise int(0.7n)/int(0.15n)/rest. The total is
-    a scalar subquery, not a join.
+    Proportional over all ids: int(0.7n) / int(0.15n) / the rest. With
+    ``sizes`` (the original's 564/121/121), that many ids go to train, val and
+    test and any others to ``unused``; fewer ids than their sum are an error.
+    The total is a scalar subquery, not a join.
     """
     n = ids.select(F.count(F.lit(1))).scalar()
-    tr, va, te = sizes
-    need = tr + va + te
     ranked = rank_within(ids.withColumn("_h", hash_key(seed, id_col)), ["_h", id_col], "_rank")
     r = F.col("_rank")
-    exact = (F.when(r <= tr, "train").when(r <= tr + va, "val")
-             .when(r <= need, "test").otherwise("unused"))
-    tl = F.floor(n * fallback[0])
-    vl = F.floor(n * fallback[1])
-    prop = F.when(r <= tl, "train").when(r <= tl + vl, "val").otherwise("test")
-    return ranked.withColumn("split", F.when(n >= need, exact).otherwise(prop)).drop("_h", "_rank")
+    if sizes is not None:
+        tr, va, te = sizes
+        split = (F.when(n < tr + va + te, F.raise_error(F.lit(f"fewer than {tr + va + te} ids")))
+                 .when(r <= tr, "train").when(r <= tr + va, "val").when(r <= tr + va + te, "test").otherwise("unused"))
+    else:
+        tl, vl = F.floor(n * fractions[0]), F.floor(n * fractions[1])
+        split = F.when(r <= tl, "train").when(r <= tl + vl, "val").otherwise("test")
+    return ranked.withColumn("split", split).drop("_h", "_rank")

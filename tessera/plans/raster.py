@@ -138,24 +138,33 @@ def pixel_sample(spark, sf):
 
 
 # ---- P8 --------------------------------------------------------------------------
-def _split_sql() -> str:
-    tr, va, te = fixed.SPLIT_SIZES
-    need = tr + va + te
-    f0, f1 = fixed.SPLIT_FALLBACK
+def _split_sql(case: str) -> str:
     return ("WITH ids AS (SELECT DISTINCT vec_id AS image_id FROM embeddings), "
             "r AS (SELECT image_id, row_number() OVER (ORDER BY "
             f"md5(concat_ws(':', '{fixed.SPLIT_SEED}', image_id::VARCHAR)), image_id) AS rk, "
-            "count(*) OVER () AS n FROM ids) "
-            f"SELECT image_id, CASE WHEN n >= {need} THEN (CASE WHEN rk <= {tr} THEN 'train' "
-            f"WHEN rk <= {tr + va} THEN 'val' WHEN rk <= {need} THEN 'test' ELSE 'unused' END) "
-            f"ELSE (CASE WHEN rk <= floor(n * {f0}) THEN 'train' "
-            f"WHEN rk <= floor(n * {f0}) + floor(n * {f1}) THEN 'val' ELSE 'test' END) END AS split FROM r")
+            f"count(*) OVER () AS n FROM ids) SELECT image_id, CASE {case} END AS split FROM r")
 
 
-@register("three_way_split", _split_sql())
+_F0, _F1 = fixed.SPLIT_FALLBACK
+#: The original's fixed sizes, a quarter of them so that the small tables have rows to spare.
+FIXED_SIZES = tuple(k // 4 for k in fixed.SPLIT_SIZES)
+
+
+def _image_ids(spark, sf):
+    return read_table(spark, sf, "embeddings", ["vec_id"]).select(F.col("vec_id").alias("image_id")).distinct()
+
+
+@register("three_way_split", _split_sql(
+    f"WHEN rk <= floor(n * {_F0}) THEN 'train' WHEN rk <= floor(n * {_F0}) + floor(n * {_F1}) THEN 'val' ELSE 'test'"))
 def three_way_split(spark, sf):
-    ids = read_table(spark, sf, "embeddings", ["vec_id"]).select(F.col("vec_id").alias("image_id")).distinct()
-    return rx.three_way_split(ids, "image_id").select("image_id", "split")
+    return rx.three_way_split(_image_ids(spark, sf), "image_id").select("image_id", "split")
+
+
+@register("three_way_split_fixed", _split_sql(
+    f"WHEN rk <= {FIXED_SIZES[0]} THEN 'train' WHEN rk <= {sum(FIXED_SIZES[:2])} THEN 'val' "
+    f"WHEN rk <= {sum(FIXED_SIZES)} THEN 'test' ELSE 'unused'"))
+def three_way_split_fixed(spark, sf):
+    return rx.three_way_split(_image_ids(spark, sf), "image_id", sizes=FIXED_SIZES).select("image_id", "split")
 
 
 # ---- J6, M4, F8 --------------------------------------------------------------------

@@ -86,9 +86,8 @@ _LONG = ("lv AS (SELECT vec_id, label, unnest(range(len(embedding))) AS d, "
          "CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)")
 
 
-def _long(spark, sf):
-    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
-    return cl.long_vectors(emb, "vec_id", "embedding", "label")
+def _vectors(spark, sf):
+    return read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
 
 
 @register("gaussian_nb",
@@ -102,8 +101,8 @@ def _long(spark, sf):
           "SELECT vec_id, label AS pred FROM (SELECT *, row_number() OVER (PARTITION BY vec_id "
           "ORDER BY s DESC, label) AS rk FROM sc) WHERE rk = 1")
 def gaussian_nb(spark, sf):
-    lv = _long(spark, sf)
-    return cl.gaussian_nb(lv, lv.drop("label"), "vec_id", "label")
+    emb = _vectors(spark, sf)
+    return cl.gaussian_nb(emb, emb, "vec_id", "embedding", "label")
 
 
 @register("min_distance",
@@ -113,8 +112,8 @@ def gaussian_nb(spark, sf):
           "SELECT vec_id, label AS pred FROM (SELECT *, row_number() OVER (PARTITION BY vec_id "
           "ORDER BY dist, label) AS rk FROM dist) WHERE rk = 1")
 def min_distance(spark, sf):
-    lv = _long(spark, sf)
-    return cl.min_distance(lv, lv.drop("label"), "vec_id", "label")
+    emb = _vectors(spark, sf)
+    return cl.min_distance(emb, emb, "vec_id", "embedding", "label")
 
 
 # --- F3: language scoring ----------------------------------------------------------
@@ -124,7 +123,7 @@ def _lang_sql(score_sql: str, id_col: str) -> str:
     n = fixed.LANG_SAMPLE_CHARS
     grams = ("unnest(CASE WHEN length(s) >= 3 THEN "
              "list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3)) ELSE [] END)")
-    return (f"WITH ts AS (SELECT lang, lower(substring(text, 1, {n})) AS s FROM documents), "
+    return (f"WITH ts AS (SELECT lang, lower(text) AS s FROM documents), "
             f"tg AS (SELECT lang, {grams} AS gram FROM ts), "
             "cnt AS (SELECT lang, gram, count(*) AS c FROM tg GROUP BY 1, 2), "
             "tot AS (SELECT lang, sum(c) AS t FROM cnt GROUP BY 1), "

@@ -4,6 +4,8 @@ returns the sink read as a batch DataFrame, which must equal the batch SQL."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from tessera.operators.series import running_sum
@@ -27,11 +29,11 @@ def stream_ingest(spark, sf):
 
 
 @register("stream_dedup",
-          f"SELECT DISTINCT md5({sql_clean('text')}) AS content_hash FROM documents")
+          f"SELECT min(doc_id) AS doc_id, md5({sql_clean('text')}) AS content_hash FROM documents GROUP BY 2")
 def stream_dedup(spark, sf):
     q, out = jobs.dedup_stream(spark, _p(sf, "documents"))
     jobs.run_to_end(q)
-    return spark.read.parquet(out).select("content_hash")
+    return spark.read.parquet(out).select("doc_id", "content_hash")
 
 
 @register("stream_daily_counts",
@@ -39,8 +41,10 @@ def stream_dedup(spark, sf):
           "WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR "
           "GROUP BY 1, 2")
 def stream_daily_counts(spark, sf):
-    q, out = jobs.daily_counts_stream(spark, _p(sf, "events"))
+    q, out = jobs.daily_counts_stream(spark, _p(sf, "events"), watermark="1 hour")
     jobs.run_to_end(q)
+    if late := jobs.dropped_rows(q):
+        warnings.warn(f"{late} events came later than the watermark allows and are not counted", stacklevel=2)
     return spark.read.parquet(out).select("day", "event_type", "cnt")
 
 

@@ -26,24 +26,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return spread(df, key if key in df.columns else None) if key else df
 
 
-SPREAD_MAX_BYTES = 1 << 30
+#: Session setting: partitions over which scans of text tables are dealt. Unset
+#: (a large input has splits enough) a scan keeps its own splits.
+SPREAD_CONF = "spark.tessera.scan.partitions"
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition a small scan that yields fewer splits than the
-    cluster has cores (one big row group). Only inputs under 1 GB (Catalyst's
-    size estimate) are spread, so the shuffle is cheap at any scale; a large,
-    many-file input keeps its scan splits and gets no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    """Hash-repartition a scan when the session asks for it: a small file is one
+    split, and row-by-row text work would then run in one task."""
+    n = df.sparkSession.conf.get(SPREAD_CONF, None)
+    if not n:
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > SPREAD_MAX_BYTES:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every driver table as a temp view (for ``spark.sql``)."""
-    for t in TABLES:
-        read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return df.repartition(int(n), key) if key else df.repartition(int(n))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions import text as tx
-from tessera.operators import links
+from tessera.operators import dedup, links
 from tessera.session import scratch_path
 
 
@@ -53,27 +53,42 @@ def ingest_pages(spark: SparkSession, pages_path: str, out: str | None = None,
 
 
 def dedup_stream(spark: SparkSession, docs_path: str, out: str | None = None,
-                 event_time: str = "2024-01-01 00:00:00", watermark: str = "1 day",
                  trigger: dict | None = None) -> tuple[StreamingQuery, str]:
     """R2: cross-cycle duplicate suppression on the cleaned-content hash.
 
-    ``dropDuplicatesWithinWatermark`` keeps the first arrival of each hash and
-    holds state only for the watermark span, so state stays bounded in an
-    endless stream. Documents carry no time, so one ingest time stands in.
+    A page seen once stays suppressed for good, as in the original, so the
+    memory of hashes is the sink itself, a table that grows with the distinct
+    pages: each micro-batch keeps its smallest id per hash and anti joins the
+    hashes stored before. Nothing is held in executor state. A batch writes its
+    own folder and overwrites it on replay, and reads only folders of earlier
+    batches, so a retry after a failure gives the same rows.
     """
     src = read_stream(spark, docs_path).select(
-        "doc_id", tx.content_hash(tx.clean_text("text")).alias("content_hash"),
-        F.to_timestamp(F.lit(event_time)).alias("ingest_ts"))
-    kept = (src.withWatermark("ingest_ts", watermark)
-            .dropDuplicatesWithinWatermark(["content_hash"]))
+        "doc_id", tx.content_hash(tx.clean_text("text")).alias("content_hash"))
     out = out or scratch_path(spark, "stream-dedup")
-    return _start(kept, out, out + "-ckpt", trigger=trigger), out
+    schema = "content_hash string, doc_id long, ingest_ts timestamp, epoch long"
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        first = dedup.dedup_first(batch, "doc_id", "content_hash")
+        if epoch:
+            seen = spark.read.schema(schema).parquet(out).where(F.col("epoch") < epoch)
+            first = dedup.exclude_seen(first, seen, "content_hash")
+        first.withColumn("ingest_ts", F.current_timestamp()).select("content_hash", "doc_id", "ingest_ts") \
+            .write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = (src.writeStream.foreachBatch(sink).option("checkpointLocation", out + "-ckpt")
+         .trigger(**(trigger or {"availableNow": True})).start())
+    return q, out
 
 
 def daily_counts_stream(spark: SparkSession, events_path: str, out: str | None = None,
                         watermark: str = "1 hour", trigger: dict | None = None):
     """Per-day, per-type counts as tumbling event-time windows, emitted in
-    append mode once the watermark closes a day."""
+    append mode once the watermark closes a day.
+
+    The last day stays open until a later event closes it. Rows for a closed
+    day are left out and counted (``dropped_rows``); how late a row may come is
+    ``watermark``."""
     ev = read_stream(spark, events_path).select(
         F.col("ts").cast("timestamp").alias("ts"), "event_type")
     agg = (ev.withWatermark("ts", watermark)
@@ -102,10 +117,19 @@ def cumulative_stream(spark: SparkSession, events_path: str, out: str | None = N
     return q, out
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an availableNow query to drain its input."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow query to drain its input, without limit unless
+    one is given. A query that fails, or is still active after the limit, is an
+    error: its sink holds part of the result."""
+    done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+    if timeout_s is not None and not done:
         q.stop()
+        raise TimeoutError(f"stream {q.id} had input left after {timeout_s} s; its sink is incomplete")
     if q.exception():
         raise RuntimeError(str(q.exception()))
+
+
+def dropped_rows(q: StreamingQuery) -> int:
+    """Rows that came after the watermark and were left out, over the batches
+    whose progress the query still holds."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in q.recentProgress for op in p.stateOperators)

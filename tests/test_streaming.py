@@ -58,3 +58,31 @@ def test_late_event_after_watermark_is_dropped(spark):
     got = {str(r.day): r.cnt for r in spark.read.parquet(out).collect()}
     # day 1 keeps its first count (the late row is dropped); day 4 closes with 2
     assert got == {"2024-01-01": 1, "2024-01-02": 1, "2024-01-03": 1, "2024-01-04": 2}
+
+
+def test_a_limit_that_is_reached_is_an_error(spark):
+    """A drained query returns; one with input left after the limit raises."""
+    import pytest
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    src = f"{root}/landing"
+    _land(spark, src, [(k, f"page {k}") for k in range(50)], "cycle=1")
+    q, _ = jobs.dedup_stream(spark, src, out=f"{root}/a")
+    jobs.run_to_end(q, timeout_s=300)
+    endless, _ = jobs.dedup_stream(spark, src, out=f"{root}/b", trigger={"processingTime": "1 hour"})
+    with pytest.raises(TimeoutError):
+        jobs.run_to_end(endless, timeout_s=2)
+    assert not endless.isActive
+
+
+def test_late_rows_are_counted(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    src, schema = f"{root}/landing", "event_id long, ts timestamp_ntz, event_type string, value double"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 5), "view", 1.0)], schema).coalesce(1).write.parquet(f"{src}/cycle=1")
+    q, _ = jobs.daily_counts_stream(spark, src, out=f"{root}/out")
+    jobs.run_to_end(q)
+    assert jobs.dropped_rows(q) == 0
+    spark.createDataFrame([(2, dt.datetime(2024, 1, 1), "view", 1.0)], schema).coalesce(1).write.parquet(f"{src}/cycle=2")
+    q, _ = jobs.daily_counts_stream(spark, src, out=f"{root}/out")
+    jobs.run_to_end(q)
+    assert jobs.dropped_rows(q) == 1
