@@ -200,13 +200,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # the bound needs the shingles of one text
     one_text = held.groupBy("node").agg(F.count("*").alias("texts")).where("texts = 1").select("node")
     own = rare.groupBy("node").agg(F.count("*").alias("own")).join(one_text, "node")
-    full = left.join(info, "node").join(own, "node", "left").withColumn("k", F.col("n") - F.coalesce("own", F.lit(0)))
-    a, b = (full.select("key", "main", *(F.col(c).alias(f"{c}{k}") for c in ("node", "component", "n", "k", "sketch"))) for k in "uv")
+    # a pair leaves the join in the first bucket that it shares only; a node is in BANDS buckets at most
+    keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    full = left.join(info, "node").join(keys, "node").join(own, "node", "left").withColumn("k", F.col("n") - F.coalesce("own", F.lit(0)))
+    a, b = (full.select("key", "main", *(F.col(c).alias(f"{c}{k}") for c in ("node", "component", "n", "k", "sketch", "keys"))) for k in "uv")
     outside = a.where("componentu != main").drop("main")
     both = F.least("ku", "kv")
     pairs = outside.join(b, (outside["key"] == b["key"]) & (F.col("componentu") != F.col("componentv"))
                          & ((F.col("componentv") == F.col("main")) | (F.col("nodeu") < F.col("nodev")))
-                         & _possible(both, F.col("nu"), F.col("nv")) & (_differ("sketchu", "sketchv") <= sketch_limit()))
+                         & _possible(both, F.col("nu"), F.col("nv")) & (_differ("sketchu", "sketchv") <= sketch_limit())
+                         & (F.array_min(F.array_intersect("keysu", "keysv")) == outside["key"]))
     pairs = pairs.select(F.col("nodev").alias("u"), F.col("nodeu").alias("v")).distinct()
     who = rare.where("n > 1").groupBy("shingle").agg(F.array_sort(F.collect_set("node")).alias("who"))
     by_rare = F.flatten(F.transform("who", lambda x: F.transform(F.filter("who", lambda y: y > x), lambda y: F.struct(x.alias("u"), y.alias("v")))))

@@ -38,7 +38,7 @@ CAPACITY, END_TOKEN = 4096, 1
 #: Pieces of a shard: the packer's memory and time follow it.
 SHARD_PIECES = 32_768
 #: Words, and parts of words, kept per Python worker; a full cache starts again.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -49,6 +49,9 @@ TARGETS = "you your yours yourself u ur he she they them his her their du dich d
 NEGATIONS = "not no never neither nor isn aren wasn don doesn didn nicht kein keine nie pas jamais aucun nunca ni ningún".split()
 REPORTS = "said says say told tells called calls claimed claims wrote writes quoted reported sagte sagt schrieb nannte dit disait écrit appelé dijo dice llamó escribió".split()
 
+#: Tokens whose classes a task remembers.
+MEMO_TOKENS = 200_000
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:,\n()\"“”«»|]")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -320,11 +323,10 @@ def hash_word(word: str) -> int:
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    bound = 500_000
     memo: dict = {}
 
     def scored(rows: dict) -> dict:
-        if len(memo) > bound:
+        if len(memo) > MEMO_TOKENS:
             memo.clear()
         s = [model.score(model.features(t, memo)) for t in rows["text"]]
         return {"doc_id": rows["doc_id"], "score": s, "predicted": [int(x >= threshold) for x in s]}
@@ -339,7 +341,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
 
     @F.pandas_udf("boolean")
     def clean(col):
-        if len(memo) > 500_000:
+        if len(memo) > MEMO_TOKENS:
             memo.clear()
         return col.map(lambda t: model.score(model.features(t or "", memo)) < threshold)
 
