@@ -64,8 +64,13 @@ def _remove_dots(path: Column, relative: bool) -> Column:
 
 
 def resolve(base, href) -> Column:
-    """Absolute URL of ``href`` relative to ``base`` (fragment kept)."""
-    b, h = _col(base), _col(href)
+    """Absolute URL of ``href`` relative to ``base`` (fragment kept).
+
+    Blanks and control characters around a reference, and tabs and line breaks
+    inside it, are no part of it.
+    """
+    b = _col(base)
+    h = F.regexp_replace(F.regexp_replace(_col(href), r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\r\n]", "")
     b_scheme, b_auth = url_part(b, "scheme"), url_part(b, "authority")
     b_path, b_query = url_part(b, "path"), url_part(b, "query")
     h_path, h_query, h_frag = url_part(h, "path"), url_part(h, "query"), url_part(h, "fragment")
@@ -83,7 +88,7 @@ def resolve(base, href) -> Column:
 
 
 def is_web(u) -> Column:
-    return url_part(u, "scheme").isin("http", "https")
+    return F.lower(url_part(u, "scheme")).isin("http", "https")
 
 
 def article_like(u) -> Column:

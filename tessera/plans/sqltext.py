@@ -1,7 +1,7 @@
 """DuckDB spellings of the text functions, used by the oracle SQL.
 
-The regex texts are the very constants the Spark functions use, so the two
-engines run the same patterns through different regex engines (Java, RE2).
+The fixed character classes and phrases are shared with the Spark functions;
+the white-space class is spelled out here, code point by code point.
 """
 
 from __future__ import annotations
@@ -12,8 +12,12 @@ from tessera.operators.terms import taxonomy_rows, term_keys
 from tessera.plans.registry import sql_str
 
 
+#: Every code point that Python calls white space.
+WHITESPACE_RUN = "[" + "".join(f"\\x{{{cp:x}}}" for cp in range(0x3100) if chr(cp).isspace()) + "]+"
+
+
 def sql_clean(e: str) -> str:
-    s = f"regexp_replace({e}, {sql_str(tx.WHITESPACE_RUN)}, ' ', 'g')"
+    s = f"regexp_replace({e}, {sql_str(WHITESPACE_RUN)}, ' ', 'g')"
     s = f"regexp_replace({s}, {sql_str(tx.CRAWL_DROP)}, ' ', 'g')"
     s = f"regexp_replace({s}, {sql_str(tx.PUNCT_RUN)}, ' ', 'g')"
     return f"trim({s})"
@@ -36,7 +40,7 @@ def sql_preprocess(e: str) -> str:
 
 
 def sql_word_count(e: str) -> str:
-    s = f"regexp_replace({e}, {sql_str(tx.WHITESPACE_RUN)}, ' ', 'g')"
+    s = f"regexp_replace({e}, {sql_str(WHITESPACE_RUN)}, ' ', 'g')"
     return f"CAST(len(list_filter(string_split({s}, ' '), lambda x: x <> '')) AS INTEGER)"
 
 

@@ -12,7 +12,7 @@ from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import sql_word_count
 from tessera.plans.sqlweb import (sql_article_like, sql_container_kind, sql_drop_fragment,
                                   sql_hrefs, sql_keep_href, sql_main_container, sql_page_text,
-                                  sql_resolve, sql_strip_scripts, sql_url_part)
+                                  sql_resolve, sql_strip_scripts, sql_trimmed, sql_url_part)
 from tessera.sources.tables import read_table
 
 
@@ -58,8 +58,8 @@ def link_extract(spark, sf):
 
 
 # --- H4 ----------------------------------------------------------------------
-_RESOLVED_SQL = (f"SELECT page_id, url, pos, {sql_drop_fragment(sql_resolve('url', 'href'))} AS dst "
-                 f"FROM ({_LINKS_SQL})")
+_RESOLVED_SQL = (f"SELECT page_id, url, pos, {sql_drop_fragment(sql_resolve('url', 'h'))} AS dst "
+                 f"FROM (SELECT page_id, url, pos, {sql_trimmed('href')} AS h FROM ({_LINKS_SQL}))")
 
 
 @register("link_resolve", f"SELECT page_id, pos, dst FROM ({_RESOLVED_SQL})")
@@ -70,7 +70,7 @@ def link_resolve(spark, sf):
 # --- H5 ----------------------------------------------------------------------
 @register("link_internal",
           f"SELECT page_id, pos, dst FROM ({_RESOLVED_SQL}) "
-          f"WHERE {sql_url_part('dst', 'scheme')} IN ('http', 'https') "
+          f"WHERE lower({sql_url_part('dst', 'scheme')}) IN ('http', 'https') "
           f"AND {sql_url_part('dst', 'authority')} = {sql_url_part('url', 'authority')}")
 def link_internal(spark, sf):
     r = links.resolve_links(links.extract_links(_pages(spark, sf)))

@@ -50,7 +50,7 @@ def test_block_text_implicit_close(spark):
     kind = df.select(hx.container_kind(hx.strip_scripts("html"))).first()[0]
     text = df.select(hx.page_text("html")).first()[0]
     assert kind == "div"
-    assert text.split("\n") == ["Title", " one  two ", "three \"q\"   four"]
+    assert text.split("\n") == ["Title", " one  two ", "three \"q\" & four"]
 
 
 def _np_blur(img, taps):
