@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import fixed
+from tessera.operators.classify import MAX_CLASSES
+from tessera.session import stored
 
 FEATURES = ["pixel", "dog", "sobel", "var"]
 
@@ -43,6 +45,28 @@ def fit_pipeline(train: DataFrame, cols: list[str], estimator) -> "Pipeline":
     return Pipeline(stages=[assemble(cols), estimator]).fit(train)
 
 
+#: Bounds of the boosted model's training sample: images, and share of their pixels.
+TRAIN_IMAGES, TRAIN_FRACTION = 50, fixed.SAMPLE_FRACTION
+
+
+def training_sample(train: DataFrame, images: int = TRAIN_IMAGES, fraction: float = TRAIN_FRACTION,
+                    label: str = "label") -> DataFrame:
+    """``fraction`` of the pixels of ``images`` training images (O5; Q17), the
+    images taken by seeded hash. A sample of one class cannot train or test a
+    classifier and is an error. The sample is written once."""
+    from tessera.operators import raster
+    first = train.select("image_id").distinct().orderBy(raster.hash_key(fixed.SPLIT_SEED, "image_id"), "image_id").limit(images)
+    out = stored(raster.pixel_sample(train.join(first, "image_id", "left_semi"), fraction), "training-sample")
+    return require_classes(out, label)
+
+
+def require_classes(df: DataFrame, label: str) -> DataFrame:
+    """``df`` itself, or an error if its rows hold fewer than two labels."""
+    if df.select(label).distinct().limit(2).count() < 2:
+        raise ValueError(f"one class only in {label!r}")
+    return df
+
+
 def positive_probability(scored: DataFrame, out: str = "p") -> DataFrame:
     """Probability of class 1 as a double column (M3)."""
     return scored.withColumn(out, vector_to_array("probability")[1])
@@ -61,7 +85,9 @@ def cross_validate_mae(train: DataFrame, cols: list[str], estimator, fold_col: s
                         estimatorParamMaps=ParamGridBuilder().build(),
                         evaluator=RegressionEvaluator(labelCol=estimator.getLabelCol(),
                                                       predictionCol="prediction", metricName="mae"),
-                        foldCol=fold_col, numFolds=k, collectSubModels=True, parallelism=2)
+                        foldCol=fold_col, numFolds=k, collectSubModels=True, parallelism=k)
+    for f in range(k):
+        require_classes(train.filter(F.col(fold_col) == f), estimator.getLabelCol())
     model = cv.fit(train)
     parts = []
     for f, sub in enumerate(model.subModels):
@@ -83,7 +109,7 @@ def feature_ranking(spark: SparkSession, model, names: list[str]) -> DataFrame:
     return df.orderBy(F.desc("importance"), "feature")
 
 
-def block_means(px: DataFrame, sizes=(2, 4)) -> DataFrame:
+def block_means(px: DataFrame, sizes=(2, 4, 8)) -> DataFrame:
     """Multi-scale neighbourhood means by integer block shrink (P6 shrink),
     joined back to the pixels: context features for M6."""
     out = px
@@ -135,6 +161,8 @@ def lasso(df: DataFrame, cols: list[str], label: str, reg: float = 0.1) -> DataF
 # ---- spectral unmixing (E6, E7) -----------------------------------------------
 def endmembers(long: DataFrame, label: str) -> np.ndarray:
     """Class centroids as a (classes x dims) matrix: model-sized, collected."""
+    if long.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
     rows = long.groupBy(label, "d").agg(F.avg("x").alias("c")).collect()
     labels = sorted({r[label] for r in rows})
     dims = max(r["d"] for r in rows) + 1
@@ -163,7 +191,8 @@ def unmix(df: DataFrame, id_col: str, vec_col: str, ends: np.ndarray,
 
     Unconstrained: least squares with the shared pseudo-inverse (E6).
     Constrained: a fixed number of projected-gradient steps onto the simplex
-    (non-negative, sum to one) (E7). Runs per Arrow batch in ``mapInPandas``:
+    (non-negative, sum to one) (E7); ``last_step`` is the largest change that
+    the last one made. Runs per Arrow batch in ``mapInPandas``:
     a small matrix product per batch, partitioned and scheduled by Spark.
     """
     e = ends.T                                     # dims x classes
@@ -176,17 +205,61 @@ def unmix(df: DataFrame, id_col: str, vec_col: str, ends: np.ndarray,
         for pdf in batches:
             x = np.stack(pdf[vec_col].to_numpy()).astype(float) if len(pdf) else np.zeros((0, e_.shape[0]))
             a = x @ pinv_.T
-            if constrained:
+            move = np.zeros(len(a))
+            if constrained and len(a):
                 a = _project_simplex(a)
                 for _ in range(steps):
                     grad = (a @ e_.T - x) @ e_
-                    a = _project_simplex(a - grad / lip_)
+                    before, a = a, _project_simplex(a - grad / lip_)
+                move = np.abs(a - before).max(axis=1)
             resid = np.sqrt(((x - a @ e_.T) ** 2).sum(axis=1)) if len(pdf) else np.zeros(0)
             yield pd.DataFrame({id_col: pdf[id_col].to_numpy(),
-                                "abundance": list(a), "residual": resid})
+                                "abundance": list(a), "residual": resid, "last_step": move})
 
     schema = T.StructType([T.StructField(id_col, T.LongType()),
                            T.StructField("abundance", T.ArrayType(T.DoubleType())),
-                           T.StructField("residual", T.DoubleType())])
+                           T.StructField("residual", T.DoubleType()), T.StructField("last_step", T.DoubleType())])
     return df.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col)).mapInPandas(run, schema)
 
+
+# ---- conditions that define a fitted model ----------------------------------------
+OPTIMALITY = ("intercept", "zero coefficients", "nonzero coefficients")
+
+
+def lasso_optimality(df: DataFrame, cols: list[str], label: str, reg: float, fitted: DataFrame) -> DataFrame:
+    """(condition, holds): the optimality conditions of L1 least squares with
+    standardised columns, for the coefficients in ``fitted``.
+
+    With r the residual and s a column's deviation: mean(r) = 0; where a
+    coefficient is zero |cov(x, r)| / s <= reg, else cov(x, r) / s = reg * sign.
+    """
+    coef = {r["feature"]: r["coefficient"] for r in fitted.collect()}
+    r = F.col(label) - F.lit(coef["intercept"])
+    for c in cols:
+        r = r - F.lit(coef[c]) * F.col(c)
+    row = df.select(*cols, label, r.alias("_r")).agg(
+        F.avg("_r").alias("mean"), F.stddev(label).alias("sy"), *(F.covar_pop(c, "_r").alias(f"cov_{c}") for c in cols),
+        *(F.stddev(c).alias(f"sd_{c}") for c in cols)).first()
+    close = 1e-4 * row["sy"]
+    slope = {c: row[f"cov_{c}"] / row[f"sd_{c}"] for c in cols}
+    holds = (abs(row["mean"]) < close, all(abs(slope[c]) <= reg + close for c in cols if coef[c] == 0),
+             all(abs(slope[c] - reg * np.sign(coef[c])) < close for c in cols if coef[c] != 0))
+    return df.sparkSession.createDataFrame([(n, bool(h)) for n, h in zip(OPTIMALITY, holds)], "condition string, holds boolean")
+
+
+def residual_products(ends: np.ndarray, vec_col: str = "embedding"):
+    """Largest |residual . endmember| of an unmixed row, as a column."""
+    dims = range(ends.shape[1])
+    mix = [sum((F.col("abundance")[k] * F.lit(float(ends[k, d])) for k in range(len(ends))), F.lit(0.0)) for d in dims]
+    gap = F.array(*(F.col(vec_col)[d].cast("double") - mix[d] for d in dims))
+    products = [F.abs(F.aggregate(F.zip_with(gap, F.array(*map(F.lit, ends[k].tolist())), lambda a, b: a * b),
+                                  F.lit(0.0), lambda s, x: s + x)) for k in range(len(ends))]
+    return F.greatest(*products)
+
+
+def nearest_mean(df: DataFrame, id_col: str, vec_col: str, cluster: str) -> DataFrame:
+    """(id, nearest): whether a row's cluster is one whose mean is nearest to it."""
+    from tessera.operators.classify import min_distance
+    rows = df.select(id_col, vec_col, cluster)
+    best = min_distance(rows, rows, id_col, vec_col, cluster)
+    return rows.join(best, id_col).select(id_col, (F.col(cluster) == F.col("pred")).alias("nearest"))
