@@ -38,7 +38,7 @@ CAPACITY, END_TOKEN = 4096, 1
 #: Pieces of a shard: the packer's memory and time follow it.
 SHARD_PIECES = 32_768
 #: Words, and parts of words, kept per Python worker; a full cache starts again.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -72,6 +72,26 @@ class Table:
         return self.pool[np.repeat(self.start[numbers] - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
+class Numbers:
+    """Distinct strings, kept in an Arrow array, and their numbers. A tenth of
+    the memory of a dict; the hash table lives for one call."""
+
+    def __init__(self):
+        self.values = pa.array([], pa.string())
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def find(self, some: pa.Array) -> np.ndarray:
+        """Number of each string, -1 where it is new."""
+        return pc.index_in(some, value_set=self.values).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, new: pa.Array) -> np.ndarray:
+        at = len(self.values)
+        self.values = pa.concat_arrays([self.values, new])
+        return np.arange(at, at + len(new))
+
+
 def _bounds(n: list) -> np.ndarray:
     return np.cumsum(np.fromiter(map(len, n), np.int64, len(n)))
 
@@ -97,67 +117,75 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.part: dict[str, int] = {}
-        self.parts = Table()
+        self.part, self.parts = Numbers(), Table()
         self.reset()
 
     def reset(self):
         """Forget the words, and the parts once there are as many of them."""
-        self.word: dict[str, int] = {}
-        self.words = Table()
+        self.word, self.words = Numbers(), Table()
         if len(self.part) > CACHE_WORDS:
-            self.part, self.parts = {}, Table()
+            self.part, self.parts = Numbers(), Table()
 
     def _encode(self, texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch(texts_, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum())), size
 
-    def _add_parts(self, new: list[str]) -> None:
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
+    def _part_numbers(self, distinct: pa.Array) -> np.ndarray:
+        number = self.part.find(distinct)
+        new = np.flatnonzero(number < 0)
+        words = distinct.take(pa.array(new))
+        texts_ = words.to_pylist()
+        for at in range(0, len(texts_), 4096):
+            some = texts_[at:at + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
             last = np.flatnonzero(self.closes[ids])
             if len(last) == len(some) and (not len(last) or last[-1] == len(ids) - 1):
                 self.parts.add(ids, np.diff(last, prepend=-1))
             else:
                 self.parts.add(*self._encode(some))
-        self.part.update(zip(new, range(len(self.part), len(self.part) + len(new))))
-
-    def _add(self, words: list[str]) -> bool:
-        if len(self.word) + len(words) > CACHE_WORDS:
-            return False
-        plain, other, split = [], [], []
-        for w in words:
+        number[new] = self.part.add(words)
+        return number
+
+    def _add(self, new: pa.Array) -> np.ndarray | None:
+        """Numbers of new words; None if the cache is too full for them."""
+        if len(self.word) + len(new) > CACHE_WORDS:
+            return None
+        plain, other, split, whole = [], [], [], []
+        for k, w in enumerate(new.to_pylist()):
             if (w.isascii() or self.PLAIN.fullmatch(w)) and "<|" not in w:
-                plain.append(w)
+                plain.append(k)
                 split.append(self.PART.findall(w.lower()))
             else:
-                other.append(w)
-        flat = [p for ps in split for p in ps]
-        self._add_parts(list(set(flat).difference(self.part)))
-        ids, ends = self.parts.gather(np.fromiter(map(self.part.__getitem__, flat), np.int64, len(flat)))
+                other.append(k)
+                whole.append(w)
+        coded = pa.array([p for ps in split for p in ps], pa.string()).dictionary_encode()
+        ids, ends = self.parts.gather(self._part_numbers(coded.dictionary)[coded.indices.to_numpy()])
         self.words.add(ids, np.diff(ends[np.concatenate([[0], _bounds(split)])]))
-        self.words.add(*self._encode(other))
-        at = len(self.word)
-        self.word.update(zip(plain + other, range(at, at + len(words))))
-        return True
+        self.words.add(*self._encode(whole))
+        order = np.array(plain + other, np.int64)
+        number = np.empty(len(order), np.int64)
+        number[order] = self.word.add(new.take(pa.array(order)))
+        return number
 
     def encode(self, docs: pa.Array, end_token: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, each document closed by ``end_token``, and the n+1
         boundaries. Words are cut and numbered in Arrow; Python sees each
-        distinct word of the slice once."""
+        distinct word of the slice once, and only when it is new."""
         split = pc.ascii_split_whitespace(docs)
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.word]
-        if new and not self._add(new):
-            self.reset()
-            if not self._add(distinct):  # one slice alone holds more words than the cache
+        number = self.word.find(coded.dictionary)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            added = self._add(coded.dictionary.take(pa.array(new)))
+            if added is None:
+                self.reset()
+                new, added = np.arange(len(number)), self._add(coded.dictionary)
+            if added is None:  # one slice alone holds more words than the cache
                 ids, size = self._encode(docs.to_pylist())
                 ends = np.concatenate([[0], np.cumsum(size)])
                 return np.insert(ids, ends[1:], end_token), ends + np.arange(len(ends))
-        number = np.fromiter(map(self.word.__getitem__, distinct), np.int64, len(distinct))
+            number[new] = added
         ids, at = self.words.gather(number[coded.indices.to_numpy()])
         offsets = split.offsets.to_numpy()
         ends = at[offsets - offsets[0]]
