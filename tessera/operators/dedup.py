@@ -14,7 +14,8 @@ def dedup_first(df: DataFrame, id_col: str, hash_col: str, carry: bool = False)
     per map task before it moves; the survivors then semi-join back on the
     unique id, which cannot be skewed. With ``carry=True`` the whole row
     rides in a partial ``min_by`` aggregate instead - one shuffle, and an
-    expensive upstream (text extraction) is not evaluated twice.
+    expensive upstream (text extraction) is not evaluated twice. That is for
+    narrow rows: take what is needed of a text, such as its word count, before.
     """
     if carry:
         others = [c for c in df.columns if c != hash_col]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import fixed
+from tessera.session import checkpoint_dir
 
 
 def bfs_depth(edges: DataFrame, seeds: DataFrame,
@@ -21,6 +22,8 @@ def bfs_depth(edges: DataFrame, seeds: DataFrame,
     checkpoint folder, so lineage stays one round deep and a lost executor
     recomputes at most one round.
     """
+    if checkpoint:
+        checkpoint_dir(edges.sparkSession)
     frontier = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0))
     visited = frontier
     e = edges.select("src", "dst")

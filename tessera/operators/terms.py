@@ -130,8 +130,9 @@ def tokens_of(clean: Column) -> Column:
 
 
 def term_matches(df: DataFrame, text_col: str, keep: list[str],
-                 taxonomy=None, preprocessed: bool = False) -> DataFrame:
-    """One row per (kept columns, category, term) occurrence."""
+                 taxonomy=None, preprocessed: bool = False, keep_empty: bool = False) -> DataFrame:
+    """One row per (kept columns, category, term) occurrence; with
+    ``keep_empty`` a text without any gives one row of null category and term."""
     from tessera.functions.text import preprocess_text
 
     clean = F.col(text_col) if preprocessed else preprocess_text(text_col)
@@ -139,9 +140,10 @@ def term_matches(df: DataFrame, text_col: str, keep: list[str],
     # Tokens are computed once as a column; the lambdas below then index an
     # attribute rather than re-running the cleaning regexes per position.
     toks = df.select(*keep, tokens_of(clean).alias("_tok"))
-    hits = toks.select(*keep, F.explode(match_keys(F.col("_tok"), taxonomy)).alias("key"))
+    explode = F.explode_outer if keep_empty else F.explode
+    hits = toks.select(*keep, explode(match_keys(F.col("_tok"), taxonomy)).alias("key"))
     # The key table is a fixed, tiny list: a proven-small broadcast side.
-    return (hits.join(F.broadcast(key_frame(spark, taxonomy)), "key")
+    return (hits.join(F.broadcast(key_frame(spark, taxonomy)), "key", "left" if keep_empty else "inner")
             .select(*keep, "category", "term"))
 
 

@@ -3,6 +3,8 @@ aggregate-model queries (E5, E9, E11, F3)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tessera import fixed
@@ -11,9 +13,12 @@ from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
 
-def _views(spark, sf, *names):
-    for n in names:
-        read_table(spark, sf, n).createOrReplaceTempView(n)
+def _sql(spark, sf, query, *tables):
+    """``query`` over the tables, passed as DataFrames: no session-wide view is
+    made or replaced."""
+    for t in tables:
+        query = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", query)
+    return spark.sql(query, **{t: read_table(spark, sf, t) for t in tables})
 
 
 # Money columns are summed as exact decimals in both engines, then turned
@@ -45,26 +50,22 @@ _SET_OPS = ("SELECT 'both' AS kind, k FROM (SELECT s_nationkey AS k FROM supplie
 
 @register("sql_select_project", _SELECT_PROJECT)
 def sql_select_project(spark, sf):
-    _views(spark, sf, "orders")
-    return spark.sql(_SELECT_PROJECT)
+    return _sql(spark, sf, _SELECT_PROJECT, "orders")
 
 
 @register("sql_join_group", _JOIN_GROUP)
 def sql_join_group(spark, sf):
-    _views(spark, sf, "lineitem", "orders", "customer", "nation")
-    return spark.sql(_JOIN_GROUP)
+    return _sql(spark, sf, _JOIN_GROUP, "lineitem", "orders", "customer", "nation")
 
 
 @register("sql_topk", _TOPK)
 def sql_topk(spark, sf):
-    _views(spark, sf, "orders", "customer")
-    return spark.sql(_TOPK)
+    return _sql(spark, sf, _TOPK, "orders", "customer")
 
 
 @register("sql_set_ops", _SET_OPS)
 def sql_set_ops(spark, sf):
-    _views(spark, sf, "supplier", "customer", "nation")
-    return spark.sql(_SET_OPS)
+    return _sql(spark, sf, _SET_OPS, "supplier", "customer", "nation")
 
 
 # --- E5: one-predictor least squares ------------------------------------------

@@ -28,7 +28,7 @@ def _store(spark, sf):
                     F.lit(CRAWL_DATE).alias("date"), F.col("page_text").alias("text"))
     path = scratch_path(spark, "page-store")
     ps.write_page_store(rows, path)
-    return ps.scan_page_store(spark, path)
+    return path
 
 
 _PAGES_SQL = (f"SELECT 1 AS cycle, replace({sql_url_part('url', 'authority')}, 'www.', '') AS domain, "
@@ -40,10 +40,10 @@ _PAGES_SQL = (f"SELECT 1 AS cycle, replace({sql_url_part('url', 'authority')}, '
           f"SELECT cycle, domain, url, date, {sql_preprocess('t')} AS content, 2 AS next_cycle "
           f"FROM ({_PAGES_SQL})")
 def page_store_roundtrip(spark, sf):
-    store = _store(spark, sf)
-    return store.select("cycle", "domain", "url", "date",
-                        tx.preprocess_text("content").alias("content"),
-                        ps.next_cycle(store).alias("next_cycle"))
+    path = _store(spark, sf)
+    return ps.scan_page_store(spark, path).select(
+        "cycle", "domain", "url", "date", tx.preprocess_text("content").alias("content"),
+        F.lit(ps.next_cycle(spark, path)).alias("next_cycle"))
 
 
 def _daily_sql() -> str:
@@ -58,10 +58,9 @@ def _daily_sql() -> str:
 @register("page_store_daily_series", _daily_sql())
 def page_store_daily_series(spark, sf):
     """A2 as the analysis runs it: page store -> term counts -> date x category."""
-    store = _store(spark, sf).withColumn("content", tx.preprocess_text("content"))
-    hits = terms.term_matches(store, "content", ["date"], preprocessed=True).select("date", "category")
-    present = store.select("date", F.lit(None).cast("string").alias("category"))
-    return series.zero_filled_pivot(hits.unionByName(present), "date", "category", CATEGORIES)
+    store = ps.scan_page_store(spark, _store(spark, sf)).withColumn("content", tx.preprocess_text("content"))
+    hits = terms.term_matches(store, "content", ["date"], preprocessed=True, keep_empty=True)
+    return series.zero_filled_pivot(hits.select("date", "category"), "date", "category", CATEGORIES)
 
 
 @register("event_log_csv",

@@ -13,6 +13,7 @@ from tessera.plans.sqltext import sql_word_count
 from tessera.plans.sqlweb import (sql_article_like, sql_container_kind, sql_drop_fragment,
                                   sql_hrefs, sql_keep_href, sql_main_container, sql_page_text,
                                   sql_resolve, sql_strip_scripts, sql_trimmed, sql_url_part)
+from tessera.session import stored
 from tessera.sources.tables import read_table
 
 
@@ -227,12 +228,20 @@ def crawl_saved_pages(spark, sf):
     """One crawl cycle over landed pages: main text, non-blank, script
     filter, first copy of each content hash, 50 pages per domain in id
     order, word-count metric."""
-    t = links.page_texts(_pages(spark, sf), ["page_id", "url"])
-    ok = (t.filter(tx.nonblank("page_text") & tx.script_ratio_ok("page_text", CRAWL_CLASS))
-          .withColumn("content_hash", tx.content_hash("page_text")))
+    ok = _readable(spark, sf).drop("text")
     first = dedup.dedup_first(ok, "page_id", "content_hash", carry=True)
-    kept = links.page_budget(first.withColumn("domain", ux.domain("url")), "domain", ["page_id"])
-    return kept.select("page_id", "domain", "rank", tx.word_count("page_text").alias("direct_terms"))
+    kept = links.page_budget(first, "domain", ["page_id"])
+    return kept.select("page_id", "domain", "rank", "direct_terms")
+
+
+def _readable(spark, sf):
+    """Pages with text that pass the script filter: narrow columns, and the
+    leading sample of the text for language detection."""
+    t = links.page_texts(_pages(spark, sf), ["page_id", "url"])
+    t = t.filter(tx.nonblank("page_text") & tx.script_ratio_ok("page_text", CRAWL_CLASS))
+    return t.select("page_id", ux.domain("url").alias("domain"), tx.word_count("page_text").alias("direct_terms"),
+                    tx.content_hash("page_text").alias("content_hash"),
+                    F.substring("page_text", 1, fixed.LANG_SAMPLE_CHARS).alias("text"))
 
 
 # Language confirmation (F3) inside the crawl cycle: trigram profiles are
@@ -264,13 +273,10 @@ def crawl_cycle_lang(spark, sf):
     script filter, detected language == target, first copy per hash,
     50 pages per domain."""
     from tessera.operators import classify as cl
-    t = links.page_texts(_pages(spark, sf), ["page_id", "url"])
-    ok = t.filter(tx.nonblank("page_text") & tx.script_ratio_ok("page_text", CRAWL_CLASS))
+    ok = stored(_readable(spark, sf), "readable")
     docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
-    pred = cl.language_scores(ok.select("page_id", F.col("page_text").alias("text")), "page_id", "text",
-                              cl.language_profiles(docs, "text", "lang"))
-    kept = (ok.join(pred.filter(F.col("pred_lang") == CRAWL_LANG), "page_id", "left_semi")
-            .withColumn("content_hash", tx.content_hash("page_text")))
+    pred = cl.language_scores(ok.select("page_id", "text"), "page_id", "text", cl.language_profiles(docs, "text", "lang"))
+    kept = ok.drop("text").join(pred.filter(F.col("pred_lang") == CRAWL_LANG), "page_id", "left_semi")
     first = dedup.dedup_first(kept, "page_id", "content_hash", carry=True)
-    budget = links.page_budget(first.withColumn("domain", ux.domain("url")), "domain", ["page_id"])
-    return budget.select("page_id", "domain", "rank", tx.word_count("page_text").alias("direct_terms"))
+    budget = links.page_budget(first, "domain", ["page_id"])
+    return budget.select("page_id", "domain", "rank", "direct_terms")

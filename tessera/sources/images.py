@@ -12,8 +12,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.raster import explode_raster
-
 
 @F.pandas_udf("array<int>")
 def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
@@ -32,19 +30,26 @@ def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
 
 
 def scan_images(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename, image_id, y, x, v, height, width)`` for every image."""
-    img = (spark.read.format("image").option("dropInvalid", True).load(path)
-           .select(F.element_at(F.split("image.origin", "/"), -1).alias("filename"),
+    """``(filename, image_id, y, x, v, height, width)`` for every image.
+
+    ``filename`` is the path below ``path`` and ``image_id`` a hash of it, so
+    equal names in two folders are two images. Each file is read and decoded
+    once; the name goes along with its pixels.
+    """
+    root = path.rstrip("/").split("://")[-1]
+    below = F.expr("substring(origin, instr(origin, root) + length(root) + 1)")
+    img = (spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
+           .select(F.col("image.origin").alias("origin"), F.lit(root).alias("root"),
                    F.col("image.height").alias("height"), F.col("image.width").alias("width"),
-                   grey_values("image.data", "image.nChannels").alias("vals")))
-    img = img.withColumn("image_id", F.xxhash64("filename"))
-    px = explode_raster(img, "image_id", "vals", F.col("height"), F.col("width"))
-    names = img.select("image_id", "filename")
-    return px.join(names, "image_id").select("filename", "image_id", "y", "x", "v", "height", "width")
+                   grey_values("image.data", "image.nChannels").alias("vals"))
+           .withColumn("filename", below))
+    px = img.select("filename", "height", "width", F.posexplode("vals").alias("pos", "v"))
+    return px.select("filename", F.xxhash64("filename").alias("image_id"), (F.col("pos") / F.col("width")).cast("int").alias("y"),
+                     (F.col("pos") % F.col("width")).cast("int").alias("x"), "v", "height", "width")
 
 
 def pair_with_masks(images: DataFrame, masks: DataFrame) -> DataFrame:
-    """Image pixels with their mask value, for images that have a mask file
-    (inner join on filename and position; J1, F10)."""
+    """Image pixels with their mask value, for images that have a mask file of
+    the same relative path (inner join on path and position; J1, F10)."""
     m = masks.select("filename", "y", "x", F.col("v").alias("mask"))
     return images.join(m, ["filename", "y", "x"])

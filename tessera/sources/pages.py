@@ -64,9 +64,11 @@ def scan_page_store(spark: SparkSession, path: str) -> DataFrame:
     """
     # Explicit types: a domain such as "123" must stay a string.
     raw = (spark.read.schema("value string, cycle int, domain string")
-           .option("lineSep", RECORD_SEP).text(path))
-    out = _parse(raw, "value", [F.col("cycle"), F.col("domain")])
-    return out.withColumnRenamed("_date", "date").select("cycle", "domain", "url", "date", "content")
+           .option("lineSep", RECORD_SEP).text(path)
+           .select("value", "cycle", "domain", F.col("_metadata.file_modification_time").alias("mtime")))
+    out = _parse(raw, "value", [F.col("cycle"), F.col("domain"), F.col("mtime")])
+    date = F.coalesce(F.col("_date"), F.date_format("mtime", "yyyy-MM-dd"))
+    return out.select("cycle", "domain", "url", date.alias("date"), "content")
 
 
 def scan_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -85,9 +87,13 @@ def scan_page_files(spark: SparkSession, path: str) -> DataFrame:
     return out.select("cycle", "domain", "file", "url", date.alias("date"), "content")
 
 
-def next_cycle(store: DataFrame) -> Column:
-    """Max existing cycle + 1, or 1 for an empty store (as a scalar)."""
-    return store.select(F.coalesce(F.max("cycle"), F.lit(0)) + 1).scalar()
+def next_cycle(spark: SparkSession, path: str) -> int:
+    """Largest cycle of the store + 1, or 1 for an empty or missing store.
+    Read from the names of the partition folders, not from the pages."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    return max([int(n.split("=")[1]) for n in names if n.startswith("cycle=")], default=0) + 1
 
 
 def cycle_folder(cycle) -> Column:

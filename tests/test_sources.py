@@ -45,6 +45,14 @@ def test_image_scan_and_mask_filter(spark):
     assert [r.filename for r in kept] == ["a.png"]
     paired = pair_with_masks(imgs, masks)
     assert paired.count() == 24
+    # equal names in two folders are two images, each with its own mask
+    for d in ("img", "lbl"):
+        os.makedirs(f"{root}/{d}/more")
+        _png(f"{root}/{d}/more/a.png", [[7, 8, 9, 10]] * 3)
+    imgs = scan_images(spark, f"{root}/img")
+    assert imgs.select("image_id").distinct().count() == 3
+    assert {r.filename for r in imgs.select("filename").distinct().collect()} == {"a.png", "b.png", "more/a.png"}
+    assert pair_with_masks(imgs, scan_images(spark, f"{root}/lbl")).count() == 36
 
 
 ROBOTS = """User-agent: *

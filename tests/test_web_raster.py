@@ -168,8 +168,14 @@ def test_page_files_scan(spark):
     assert b.url == "http://site.gr/b" and len(b.date) == 10 and b.content == "body without date "
     c = rows[(2, "other.gr", "page_1.txt")]
     assert c.url == "Unknown URL" and c.content == "no header at all "
-    store = spark.createDataFrame([(3, "x.gr")], "cycle int, domain string")
-    assert spark.range(1).select(ps.next_cycle(store)).first()[0] == 4
+    # the record store: numbered by its folders, and dated by its file where a page has no date
+    store = os.path.join(root, "store")
+    assert ps.next_cycle(spark, store) == 1
+    rows = [(c, "x.gr", f"http://x.gr/{c}", d, "text") for c, d in ((1, "2025-01-01"), (3, None))]
+    ps.write_page_store(spark.createDataFrame(rows, "cycle int, domain string, url string, date string, text string"), store)
+    assert ps.next_cycle(spark, store) == 4
+    dates = {r.cycle: r.date for r in ps.scan_page_store(spark, store).collect()}
+    assert dates[1] == "2025-01-01" and len(dates[3]) == 10
 
 
 def _parser_container(html):
