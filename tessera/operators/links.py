@@ -113,3 +113,54 @@ def apply_rules(urls: DataFrame, rules: DataFrame | None, url_col: str = "url",
                          F.try_element_at(dflt_hit, F.lit(1))["allow"],
                          F.lit(True))
     return u.withColumn("allowed", allowed).drop("_host", "_path", "_rules")
+
+
+def rules_for_agent(rules: DataFrame, agent: str) -> DataFrame:
+    """The rules (host, agent, rule_pos, allow, prefix) that bind ``agent``: a
+    host's group for a name that is part of the agent's, else its ``*`` group."""
+    name = agent.split("/")[0].lower()
+    own = (F.col("agent") != "*") & F.lit(name).contains(F.lower("agent"))
+    marked = rules.withColumn("_own", F.coalesce(own, F.lit(False)))
+    has = marked.groupBy("host").agg(F.bool_or("_own").alias("_has"))
+    return (marked.join(has, "host").filter((F.col("_own") & F.col("_has")) | (~F.col("_has") & (F.col("agent") == "*")))
+            .select("host", "rule_pos", "allow", "prefix"))
+
+
+def crawl_cycle(pages: DataFrame, rules: DataFrame, agent: str, seen: DataFrame | None = None,
+                letter_class: str = fixed.GREEK_LETTER_CLASS, per_domain: int = fixed.CRAWL_MAX_PAGES,
+                max_depth: int = fixed.CRAWL_MAX_DEPTH, harvest_links: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One crawl cycle over landed pages (page_id, url, html, depth): the pages
+    to save and the links to fetch next.
+
+    In the original's order: pages too deep or forbidden by robots rules go;
+    text that is blank or in another script goes; content seen in earlier cycles
+    (``seen``: content_hash) or on an earlier page in (depth, page_id) order
+    goes; of the rest each domain saves its first ``per_domain``. Links are the
+    internal ones that look like articles, are allowed, and were not landed,
+    each at its smallest depth. The original takes links of blank pages but not
+    of pages in another script; ``harvest_links`` takes them of all pages.
+
+    Whole texts stay where they are read: what moves is narrow.
+    """
+    bound = rules_for_agent(rules, agent)
+    near = apply_rules(pages.filter(F.col("depth") <= max_depth), bound).filter("allowed").drop("allowed")
+    read = page_texts(near, ["page_id", "url", "depth"]).select(
+        "page_id", "url", "depth", ux.domain("url").alias("domain"), tx.nonblank("page_text").alias("filled"),
+        tx.script_ratio_ok("page_text", letter_class).alias("script"), tx.word_count("page_text").alias("direct_terms"),
+        tx.content_hash("page_text").alias("content_hash"))
+    new = read.filter("filled and script")
+    if seen is not None:
+        new = new.join(seen.select("content_hash").distinct(), "content_hash", "left_anti")
+    row = F.struct("page_id", "url", "domain", "depth", "direct_terms")
+    first = new.groupBy("content_hash").agg(F.min_by(row, F.struct("depth", "page_id")).alias("r")).select("r.*", "content_hash")
+    saved = page_budget(first, "domain", ["depth", "page_id"], per_domain)
+
+    source = near
+    if not harvest_links:
+        source = near.join(read.filter("script or not filled").select("page_id"), "page_id", "left_semi")
+    depth = source.select("page_id", (F.col("depth") + 1).alias("depth"))
+    found = internal_links(resolve_links(extract_links(source))).filter(ux.article_like("dst")).join(depth, "page_id")
+    found = found.filter(F.col("depth") <= max_depth).groupBy("dst").agg(F.min("depth").alias("depth"))
+    found = apply_rules(found, bound, "dst").filter("allowed").select(F.col("dst").alias("url"), "depth")
+    frontier = found.join(pages.select("url").distinct(), "url", "left_anti")
+    return saved, frontier

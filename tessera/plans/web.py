@@ -280,3 +280,58 @@ def crawl_cycle_lang(spark, sf):
     first = dedup.dedup_first(kept, "page_id", "content_hash", carry=True)
     budget = links.page_budget(first, "domain", ["page_id"])
     return budget.select("page_id", "domain", "rank", "direct_terms")
+
+
+# --- the whole cycle: rules by agent, seen content, order by depth, links ----------
+AGENT = "TesseraCrawler/1.0"
+CYCLE_BUDGET = 2
+#: (agent, rule_pos, allow, prefix) of hosts that begin with "m.", and of all others.
+MOBILE_RULES = [("tesseracrawler", 0, True, "/en/1"), ("tesseracrawler", 1, False, "/en/"), ("*", 2, False, "/")]
+OTHER_RULES = [("*", 0, False, "/de/"), ("another", 1, False, "/")]
+
+
+def _cycle_sql() -> str:
+    from tessera.plans.text import _script_sql
+    cond = _script_sql(CRAWL_CLASS).split(" WHERE ", 1)[1].replace("text", "t")
+    path = f"(CASE WHEN {sql_url_part('url', 'path')} = '' THEN '/' ELSE {sql_url_part('url', 'path')} END || {sql_url_part('url', 'query')})"
+    allowed = ("CASE WHEN starts_with(host, 'm.') THEN starts_with(path, '/en/1') OR NOT starts_with(path, '/en/') "
+               "ELSE NOT starts_with(path, '/de/') END")
+    base = (f"SELECT *, CASE WHEN page_id = min(page_id) OVER (PARTITION BY host) THEN 0 ELSE 1 END AS depth FROM "
+            f"(SELECT page_id, url, html, {sql_url_part('url', 'authority')} AS host, {path} AS path FROM pages)")
+    links_ = (f"SELECT {sql_drop_fragment(sql_resolve('url', 'h'))} AS url, depth + 1 AS depth, host FROM (SELECT url, depth, host, "
+              f"{sql_trimmed('href')} AS h FROM (SELECT url, depth, host, unnest({sql_hrefs('html')}) AS href FROM near) WHERE {sql_keep_href('href')})")
+    return (f"WITH base AS ({base}), near AS (SELECT * FROM base WHERE {allowed}), "
+            f"s AS (SELECT page_id, url, depth, replace(host, 'www.', '') AS domain, {sql_page_text('html')} AS t FROM near), "
+            f"n AS (SELECT *, md5(t) AS h FROM s WHERE trim(t) <> '' AND ({cond}) AND md5(t) NOT IN "
+            f"(SELECT md5({sql_page_text('html')}) FROM pages WHERE starts_with(url, 'https:'))), "
+            "f AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY h ORDER BY depth, page_id) = 1), "
+            "saved AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY depth, page_id) AS rank FROM f), "
+            f"found AS (SELECT url, depth, host, {path} AS path, {sql_url_part('url', 'scheme')} AS scheme, {sql_url_part('url', 'authority')} AS auth FROM ({links_})), "
+            f"front AS (SELECT url, min(depth) AS depth FROM found WHERE auth = host AND lower(scheme) IN ('http', 'https') AND {sql_article_like('url')} "
+            f"AND {allowed} AND url NOT IN (SELECT url FROM pages) GROUP BY url) "
+            f"SELECT 'saved' AS kind, page_id, url, CAST(depth AS INTEGER) AS depth, CAST(rank AS INTEGER) AS rank, {sql_word_count('t')} AS direct_terms "
+            f"FROM saved WHERE rank <= {CYCLE_BUDGET} "
+            "UNION ALL SELECT 'queued', NULL, url, CAST(depth AS INTEGER), NULL, NULL FROM front")
+
+
+@register("crawl_cycle_full", _cycle_sql())
+def crawl_cycle_full(spark, sf):
+    """A crawl cycle as the original runs it, after a cycle over the https pages:
+    the first page of a host is its seed, the others were found from it."""
+    from pyspark.sql import Window
+    pages = _pages(spark, sf).withColumn("host", ux.authority("url"))
+    first = F.min("page_id").over(Window.partitionBy("host"))
+    pages = pages.withColumn("depth", F.when(F.col("page_id") == first, 0).otherwise(1))
+    hosts = pages.select("host").distinct()
+
+    def of(rules):
+        return F.array(*(F.struct(F.lit(a).alias("agent"), F.lit(p).alias("rule_pos"), F.lit(w).alias("allow"), F.lit(x).alias("prefix"))
+                         for a, p, w, x in rules))
+
+    rules = hosts.select("host", F.inline(F.when(F.col("host").startswith("m."), of(MOBILE_RULES)).otherwise(of(OTHER_RULES))))
+    earlier = links.page_texts(_pages(spark, sf).filter(F.col("url").startswith("https:")), ["page_id"])
+    seen = earlier.select(tx.content_hash("page_text").alias("content_hash"))
+    saved, frontier = links.crawl_cycle(pages.drop("host"), rules, AGENT, seen, CRAWL_CLASS, CYCLE_BUDGET)
+    queued = frontier.select(F.lit("queued").alias("kind"), F.lit(None).cast("long").alias("page_id"), "url", "depth",
+                             F.lit(None).cast("int").alias("rank"), F.lit(None).cast("int").alias("direct_terms"))
+    return saved.select(F.lit("saved").alias("kind"), "page_id", "url", "depth", "rank", "direct_terms").unionByName(queued)
