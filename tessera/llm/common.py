@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,21 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+@cache
+def _trim():
+    """The C library's call that gives freed memory back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Give back what a task has freed: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows holding about ``limit`` bytes of
     ``column`` (one row at least), so that working memory follows the limit
@@ -49,6 +66,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    release_memory()
 
 
 def map_texts(df: DataFrame, fn: Callable[[dict], dict | None], schema: str,

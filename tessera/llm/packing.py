@@ -38,7 +38,7 @@ CAPACITY, END_TOKEN = 4096, 1
 #: Pieces of a shard: the packer's memory and time follow it.
 SHARD_PIECES = 32_768
 #: Words, and parts of words, kept per Python worker; a full cache starts again.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -69,7 +69,9 @@ class Table:
         """ids of the sequences end to end, and the n+1 boundaries."""
         size = self.size[numbers]
         ends = np.concatenate([[0], np.cumsum(size)])
-        return self.pool[np.repeat(self.start[numbers] - ends[:-1], size) + np.arange(ends[-1])], ends
+        at = np.repeat((self.start[numbers] - ends[:-1]).astype(np.int32), size)  # pool and slice are far below 2**31
+        at += np.arange(len(at), dtype=np.int32)
+        return self.pool[at], ends
 
 
 class Numbers:
@@ -217,7 +219,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                "length": length, "ids_crc32": [zlib.crc32(r) for r in raw]}
         return out | ({"ids": raw} if with_ids else {})
 
-    return map_texts(texts(docs), cut, PIECES + (", ids binary" if with_ids else ""), limit=8 << 20, arrow=True)
+    return map_texts(texts(docs), cut, PIECES + (", ids binary" if with_ids else ""), limit=4 << 20, arrow=True)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
