@@ -54,7 +54,8 @@ COMBINE_ROWS = 2_000_000
 #: Anchors with about this many rows, at most HOT_KEYS of them, are dealt over
 #: tasks by class; one document in SAMPLE is read to find them.
 HOT_ROWS, HOT_KEYS, SAMPLE = 1_000_000, 4096, 64
-#: Spans of one anchor that are compared in one task.
+#: Spans of one anchor that are compared in one task; their bytes, dealt by
+#: hash, also stay below BLOCK: three quarters of it on average.
 GROUP_ROWS = 100_000
 LAST = (1 << 63) - 1
 #: A position is the start in the text below a digest of the text.
@@ -69,8 +70,8 @@ _BASE = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
 @cache
-def _powers(which: int, inverse: bool) -> np.ndarray:
-    out = np.full(BLOCK + 1, pow(_BASE[which], -1 if inverse else 1, 1 << 64), np.uint64)
+def _powers(which: int, inverse: bool, size: int) -> np.ndarray:
+    out = np.full(size + 1, pow(_BASE[which], -1 if inverse else 1, 1 << 64), np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out, out=out)
 
@@ -79,9 +80,12 @@ class PrefixHash:
     """Polynomial hash of any stretch of a byte array from two prefix values."""
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        self.inverse = _powers(which, True)
+        size = BLOCK
+        while size < len(data):  # the table follows the data, whatever a caller joins
+            size *= 2
+        self.inverse = _powers(which, True, size)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _powers(which, False)[:len(data)], out=self.prefix[1:])
+        np.cumsum(_BYTE[data] * _powers(which, False, size)[:len(data)], out=self.prefix[1:])
 
     def __call__(self, start, end):
         return (self.prefix[end] - self.prefix[start]) * self.inverse[start]
@@ -417,15 +421,27 @@ def _resolve(batches):
             del c[:cut]
         return out
 
+    def runs(rows):
+        """Complete groups in runs of at most BLOCK bytes, one group at least."""
+        ends = np.cumsum(np.fromiter(map(len, rows[-1]), np.int64, len(rows[-1])))
+        a, part = (np.array(c, np.int64) for c in rows[:2])
+        stops = np.append(np.flatnonzero((a[1:] != a[:-1]) | (part[1:] != part[:-1])) + 1, len(a))
+        at = 0
+        while at < len(a):
+            base = ends[at - 1] if at else 0
+            fits = stops[(stops > at) & (ends[stops - 1] - base <= BLOCK)]
+            to = int(fits[-1] if len(fits) else stops[stops > at][0])
+            yield [c[at:to] for c in rows]
+            at = to
+
     for batch in batches:
         for c, k in zip(held, names):
             c.extend(batch.column(batch.schema.get_field_index(k)).to_pylist())
         if len(held[0]) >= 20_000:
-            rows = whole(False)
-            if rows[0]:
+            for rows in runs(whole(False)):
                 yield from work(rows)
-    if held[0]:
-        yield from work(whole(True))
+    for rows in runs(whole(True)):
+        yield from work(rows)
 
 
 def _found(kind, doc, pos, n, x=None, y=None):
@@ -510,7 +526,8 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     opened = marks.where(F.col("kind") == OPEN)
     per_doc = opened.groupBy("doc", F.shiftright("pos", START_BITS).alias("digest")).agg(
         F.collect_list(F.struct("a", "pos", "n", "off")).alias("wanted"))
-    many = opened.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
+    many = opened.groupBy("a").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(
+        F.sum(F.col("n") + WINDOW - 1) / (BLOCK * 3 // 4))).alias("parts"))
     texts_ = packed_texts(rows).select("doc", "digest", "packed")
     spans = (texts_.join(per_doc, ["doc", "digest"]).select("doc", "packed", "wanted")
              .mapInArrow(_cut_spans, "a long, doc long, pos long, n int, off int, span binary"))

@@ -100,3 +100,28 @@ def test_text_longer_than_a_segment(spark):
     got = [r[:4] for r in result(spark.createDataFrame(rows, "doc_id long, text string"))]
     n = len(half)
     assert got == [(1, 2 * n + 1, n, 1), (2, n - 4, n - 5, 1)]
+
+
+def test_group_of_more_bytes_than_a_block(spark, monkeypatch):
+    """Distinct spans around one phrase, more of them than the hash tables cover."""
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choices("abcdefghijkl", k=n))
+    phrase = letters(80)
+    rows = [(i, letters(60) + phrase + letters(60)) for i in range(300)]
+    rows += [(300 + i, rows[7 * i][1][:150] + letters(40)) for i in range(30)]
+    monkeypatch.setattr(sd, "BLOCK", 1 << 12)
+    sd._powers.cache_clear()
+    group, n, off = np.zeros(len(rows), np.int64), np.full(len(rows), sd.GRAMS), np.full(len(rows), 60)
+    raw = [t[:168].encode() for _, t in rows]
+    seen, want = set(), np.zeros((len(rows), sd.GRAMS), np.int8)
+    for r, x in enumerate(raw):
+        for o in range(sd.GRAMS):
+            if o <= 60:
+                s = x[60 - o:60 - o + W]
+                want[r, o] = 1 if s in seen else 2
+                seen.add(s)
+    got = sd.repeats(group, group, np.arange(len(rows)), n, off, raw)
+    assert len(b"".join(raw)) > 10 * sd.BLOCK and (got == want).all()
+    # the bytes decide the parts: the same rows as a job, dealt over many tasks
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+    sd._powers.cache_clear()
