@@ -26,7 +26,7 @@ Then each document gets its repeated ranges and loses their union.
 
 Defined results: a null or empty text, or one under 100 bytes, loses nothing;
 rows with a null doc_id come after all others; rows that share a doc_id but not
-the text come in the order of a text hash; wholly equal rows stand at one
+the text come in the order of a 64-bit text hash; wholly equal rows stand at one
 place, so neither is earlier than the other; an empty table gives no rows;
 extra columns of any name are not read.
 """
@@ -58,11 +58,9 @@ HOT_ROWS, HOT_KEYS, SAMPLE = 1_000_000, 4096, 64
 #: hash, also stay below BLOCK: three quarters of it on average.
 GROUP_ROWS = 100_000
 LAST = (1 << 63) - 1
-#: A position is the start in the text below a digest of the text.
-START_BITS = 46
 
 REMOVED, CANDIDATE, OPEN, FIRST = 1, 0, 2, 3
-ANCHORS = "kind tinyint, a long, h long, doc long, pos long, n int, off int"
+ANCHORS = "kind tinyint, a long, h long, doc long, digest long, pos long, n int, off int"
 
 _rng = np.random.default_rng(41)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,11 +121,10 @@ def spans_of(data: np.ndarray, ends: np.ndarray):
 
 
 def _units(doc, digest, text):
-    """(doc, position of the first byte, bytes) in overlapping segments."""
+    """(doc, digest, position of the first byte, bytes) in overlapping segments."""
     raw = text.encode("utf-8", "surrogatepass")
-    base = digest << START_BITS
     for at in range(0, max(1, len(raw) - WINDOW + 1), SEGMENT):
-        yield doc, base + at, raw[at:at + SEGMENT + WINDOW - 1]
+        yield doc, digest, at, raw[at:at + SEGMENT + WINDOW - 1]
 
 
 def _blocks(batches):
@@ -136,49 +133,48 @@ def _blocks(batches):
     for part in slices(batches, "text", SEGMENT):
         for row in zip(*(part.column(k).to_pylist() for k in ("doc", "digest", "text"))):
             for unit in _units(*row):
-                if size + len(unit[2]) > BLOCK - 1:
+                if size + len(unit[-1]) > BLOCK - 1:
                     yield held
                     held, size = [], 0
                 held.append(unit)
-                size += len(unit[2])
+                size += len(unit[-1])
     if held:
         yield held
 
 
 def _occurrences(block):
     ends = np.zeros(len(block) + 1, np.int64)
-    np.cumsum([len(raw) for _, _, raw in block], out=ends[1:])
-    data = np.frombuffer(b"".join(raw for _, _, raw in block), np.uint8)
+    np.cumsum([len(raw) for *_, raw in block], out=ends[1:])
+    data = np.frombuffer(b"".join(raw for *_, raw in block), np.uint8)
     a, h, text, start, n, off = spans_of(data, ends)
-    doc = np.array([d for d, _, _ in block], np.int64)[text]
-    pos = np.array([p for _, p, _ in block], np.int64)[text] + start
-    return [a.view(np.int64), h.view(np.int64), doc, pos, n.astype(np.int32), off.astype(np.int32)]
+    doc, digest, pos = (np.array(c, np.int64)[text] for c in list(zip(*block))[:3])
+    return [a.view(np.int64), h.view(np.int64), doc, digest, pos + start, n.astype(np.int32), off.astype(np.int32)]
 
 
-def _batch(kind, a, h, doc, pos, n, off):
+def _batch(kind, a, h, doc, digest, pos, n, off):
     size = len(doc)
-    col = [np.full(size, kind, np.int8), a, h, doc, pos, n, off]
-    names = ["kind", "a", "h", "doc", "pos", "n", "off"]
-    kinds = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    col = [np.full(size, kind, np.int8), a, h, doc, digest, pos, n, off]
+    names = ["kind", "a", "h", "doc", "digest", "pos", "n", "off"]
+    kinds = [pa.int8(), *[pa.int64()] * 5, pa.int32(), pa.int32()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(col, kinds)], names=names)
 
 
-def _removed(doc, pos, size):
+def _removed(doc, digest, pos, size):
     """Rows of repeated ranges; the hash columns only deal them out evenly."""
-    spread = mix64(doc.view(np.uint64) ^ mix64(pos.view(np.uint64))).view(np.int64)
-    return _batch(REMOVED, spread, spread, doc, pos, size.astype(np.int32), np.zeros(len(doc), np.int32))
+    spread = mix64((doc ^ digest).view(np.uint64) ^ mix64(pos.view(np.uint64))).view(np.int64)
+    return _batch(REMOVED, spread, spread, doc, digest, pos, size.astype(np.int32), np.zeros(len(doc), np.int32))
 
 
 def _merge_classes(rows):
     """First occurrence of each class among ``rows``, and the repeats."""
-    a, h, doc, pos, n, off = rows
-    order = np.lexsort((pos, doc, h, a))
-    a, h, doc, pos, n, off = (c[order] for c in rows)
+    a, h, doc, digest, pos, n, off = rows
+    order = np.lexsort((pos, digest, doc, h, a))
+    a, h, doc, digest, pos, n, off = (c[order] for c in rows)
     same = np.zeros(len(a), bool)
     same[1:] = (a[1:] == a[:-1]) & (h[1:] == h[:-1])
     first = np.maximum.accumulate(np.where(same, 0, np.arange(len(a))))
-    again = same & ((doc != doc[first]) | (pos != pos[first]))
-    return [c[~same] for c in (a, h, doc, pos, n, off)], (doc[again], pos[again], n[again] + WINDOW - 1)
+    again = same & ((doc != doc[first]) | (digest != digest[first]) | (pos != pos[first]))
+    return [c[~same] for c in (a, h, doc, digest, pos, n, off)], (doc[again], digest[again], pos[again], n[again] + WINDOW - 1)
 
 
 def _pass_a(batches):
@@ -207,7 +203,7 @@ def _pass_b(hot: np.ndarray):
     first of each class if its anchor has other classes."""
 
     def run(batches):
-        names = ("a", "h", "doc", "pos", "n", "off")
+        names = ("a", "h", "doc", "digest", "pos", "n", "off")
         last = head = None          # first row of the running class; a class not yet decided
         for batch in batches:
             if batch.num_rows == 0:
@@ -221,13 +217,13 @@ def _pass_b(hot: np.ndarray):
                 continue
             if last is not None:
                 rows = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(last, rows)]
-            a, h, doc, pos, n, off = rows
+            a, h, doc, digest, pos, n, off = rows
             new = np.ones(len(a), bool)
             new[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
             first = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
-            again = ~new & ((doc != doc[first]) | (pos != pos[first]))
+            again = ~new & ((doc != doc[first]) | (digest != digest[first]) | (pos != pos[first]))
             if again.any():
-                yield _removed(doc[again], pos[again], n[again] + WINDOW - 1)
+                yield _removed(doc[again], digest[again], pos[again], n[again] + WINDOW - 1)
             # heads of the classes that begin here; the first row repeats the running class
             begin = np.flatnonzero(new)
             if last is not None:
@@ -382,13 +378,16 @@ def repeats(group, doc, place, n, off, raw):
 def _resolve(batches):
     """Over spans sorted by group: ranges that repeat, and for anchors dealt
     over several tasks the strings that are first here."""
-    names = ("a", "part", "parts", "doc", "pos", "n", "off", "span")
+    names = ("a", "part", "parts", "doc", "digest", "pos", "n", "off", "span")
     held: list[list] = [[] for _ in names]
 
     def work(rows):
-        a, part, parts, doc, pos, n, off = (np.array(c, np.int64) for c in rows[:-1])
-        order = np.lexsort((pos + off, doc, part, a))
-        a, part, parts, doc, pos, n, off = (c[order] for c in (a, part, parts, doc, pos, n, off))
+        a, part, parts, doc, digest, pos, n, off = cols = [np.array(c, np.int64) for c in rows[:-1]]
+        order = np.lexsort((pos + off, digest, doc, part, a))
+        # wholly equal rows send the same spans: one of each place stays
+        place = np.array([c[order] for c in (a, part, doc, digest, pos)])
+        order = order[np.concatenate([[True], (place[:, 1:] != place[:, :-1]).any(axis=0)])]
+        a, part, parts, doc, digest, pos, n, off = (c[order] for c in cols)
         raw = [rows[-1][i] for i in order]
         group = np.cumsum(np.concatenate([[0], (a[1:] != a[:-1]) | (part[1:] != part[:-1])]))
         what = repeats(group, doc, pos + off, n, off, raw)
@@ -401,14 +400,14 @@ def _resolve(batches):
         if len(row):
             # a start index k stands for offset GRAMS - 1 - k
             start = pos[row] + off[row] - (GRAMS - 1 - begin)
-            yield _found(REMOVED, doc[row], start, end - begin + WINDOW - 1)
+            yield _found(REMOVED, doc[row], digest[row], start, end - begin + WINDOW - 1)
         row, o = np.nonzero((what == 2) & (parts > 1)[:, None])
         if len(row):
             data = np.frombuffer(b"".join(raw), np.uint8)
             size = np.fromiter(map(len, raw), np.int64, len(raw))
             at = (np.cumsum(size) - size)[row] + off[row] - o
             x, y = (mix64(PrefixHash(data, k)(at, at + WINDOW)).view(np.int64) for k in (0, 1))
-            yield _found(FIRST, doc[row], pos[row] + off[row] - o, np.full(len(row), WINDOW), x, y)
+            yield _found(FIRST, doc[row], digest[row], pos[row] + off[row] - o, np.full(len(row), WINDOW), x, y)
 
     def whole(last):
         """Rows of complete groups; the last group may go on."""
@@ -444,11 +443,11 @@ def _resolve(batches):
         yield from work(rows)
 
 
-def _found(kind, doc, pos, n, x=None, y=None):
+def _found(kind, doc, digest, pos, n, x=None, y=None):
     zero = np.zeros(len(doc), np.int64)
-    cols = [np.full(len(doc), kind, np.int8), doc, pos, n.astype(np.int64), zero if x is None else x, zero if y is None else y]
-    types = [pa.int8(), *[pa.int64()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["kind", "doc", "pos", "n", "x", "y"])
+    cols = [np.full(len(doc), kind, np.int8), doc, digest, pos, n.astype(np.int64), zero if x is None else x, zero if y is None else y]
+    types = [pa.int8(), *[pa.int64()] * 6]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["kind", "doc", "digest", "pos", "n", "x", "y"])
 
 
 # ---- the job ---------------------------------------------------------------
@@ -458,20 +457,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     return rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"),
-                       F.xxhash64("text").bitwiseAND(0x7FFF).alias("digest"), "text")
+                       F.xxhash64("text").alias("digest"), "text")
 
 
 def _cut_spans(batches):
+    last = None
     for part in slices(batches, "packed", 2 << 20):
-        out = [[] for _ in range(6)]
-        for doc, packed, wanted in zip(*(part.column(k).to_pylist() for k in ("doc", "packed", "wanted"))):
+        out = [[] for _ in range(7)]
+        for doc, digest, packed, wanted in zip(*(part.column(k).to_pylist() for k in ("doc", "digest", "packed", "wanted"))):
+            if (doc, digest) == last:
+                continue  # a repeated row; those that do not follow each other are found in _resolve
+            last = (doc, digest)
             raw = unpacked(packed)
             for w in wanted:
-                start = w["pos"] & ((1 << START_BITS) - 1)
-                for c, x in zip(out, (w["a"], doc, w["pos"], w["n"], w["off"], raw[start:start + w["n"] + WINDOW - 1])):
+                start = w["pos"]
+                for c, x in zip(out, (w["a"], doc, digest, start, w["n"], w["off"], raw[start:start + w["n"] + WINDOW - 1])):
                     c.append(x)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["a", "doc", "pos", "n", "off", "span"])
+        kinds = [*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["a", "doc", "digest", "pos", "n", "off", "span"])
 
 
 def _union(ranges) -> list[tuple[int, int]]:
@@ -521,28 +524,27 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     deal = F.col("a")
     if hot:
         deal = F.when(F.col("a").isin(hot), F.xxhash64("a", "h")).otherwise(F.col("a"))
-    marks = stored(found.repartition(deal).sortWithinPartitions("a", "h", "doc", "pos")
+    marks = stored(found.repartition(deal).sortWithinPartitions("a", "h", "doc", "digest", "pos")
                    .mapInArrow(_pass_b(np.array(hot, np.int64)), ANCHORS), "anchors")
     opened = marks.where(F.col("kind") == OPEN)
-    per_doc = opened.groupBy("doc", F.shiftright("pos", START_BITS).alias("digest")).agg(
+    per_doc = opened.groupBy("doc", "digest").agg(
         F.collect_list(F.struct("a", "pos", "n", "off")).alias("wanted"))
     many = opened.groupBy("a").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(
         F.sum(F.col("n") + WINDOW - 1) / (BLOCK * 3 // 4))).alias("parts"))
     texts_ = packed_texts(rows).select("doc", "digest", "packed")
-    spans = (texts_.join(per_doc, ["doc", "digest"]).select("doc", "packed", "wanted")
-             .mapInArrow(_cut_spans, "a long, doc long, pos long, n int, off int, span binary"))
-    spans = spans.join(many, "a").withColumn("part", F.pmod(F.xxhash64("doc", "pos"), F.col("parts")))
+    spans = (texts_.join(per_doc, ["doc", "digest"]).select("doc", "digest", "packed", "wanted")
+             .mapInArrow(_cut_spans, "a long, doc long, digest long, pos long, n int, off int, span binary"))
+    spans = spans.join(many, "a").withColumn("part", F.pmod(F.xxhash64("doc", "digest", "pos"), F.col("parts")))
     seen = stored(spans.repartition("a", "part").sortWithinPartitions("a", "part")
-                  .select("a", "part", "parts", "doc", "pos", "n", "off", "span")
-                  .mapInArrow(_resolve, "kind tinyint, doc long, pos long, n long, x long, y long"), "strings")
+                  .select("a", "part", "parts", "doc", "digest", "pos", "n", "off", "span")
+                  .mapInArrow(_resolve, "kind tinyint, doc long, digest long, pos long, n long, x long, y long"), "strings")
     first = seen.where(F.col("kind") == FIRST)
-    low = first.groupBy("x", "y").agg(F.min(F.struct("doc", "pos")).alias("low"))
-    later = first.join(low, ["x", "y"]).where(F.struct("doc", "pos") > F.col("low"))
-    every = (marks.where(F.col("kind") == REMOVED).select("doc", "pos", F.col("n").cast("long").alias("n"))
-             .unionByName(seen.where(F.col("kind") == REMOVED).select("doc", "pos", "n"))
-             .unionByName(later.select("doc", "pos", "n")))
-    return every.groupBy("doc", F.shiftright("pos", START_BITS).alias("digest")).agg(F.collect_list(F.struct(
-        F.col("pos").bitwiseAND((1 << START_BITS) - 1).alias("s"), "n")).alias("ranges"))
+    low = first.groupBy("x", "y").agg(F.min(F.struct("doc", "digest", "pos")).alias("low"))
+    later = first.join(low, ["x", "y"]).where(F.struct("doc", "digest", "pos") > F.col("low"))
+    every = (marks.where(F.col("kind") == REMOVED).select("doc", "digest", "pos", F.col("n").cast("long").alias("n"))
+             .unionByName(seen.where(F.col("kind") == REMOVED).select("doc", "digest", "pos", "n"))
+             .unionByName(later.select("doc", "digest", "pos", "n")))
+    return every.groupBy("doc", "digest").agg(F.collect_list(F.struct(F.col("pos").alias("s"), "n")).alias("ranges"))
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

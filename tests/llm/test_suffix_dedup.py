@@ -125,3 +125,25 @@ def test_group_of_more_bytes_than_a_block(spark, monkeypatch):
     # the bytes decide the parts: the same rows as a job, dealt over many tasks
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
     sd._powers.cache_clear()
+
+
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id, many of them with equal low hash bits."""
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijkl", k=n))
+    shared = [letters(150) for _ in range(40)]
+    texts = [letters(rng.randrange(60)) + rng.choice(shared)[:rng.randrange(90, 150)] + letters(120) for _ in range(900)]
+    df = spark.createDataFrame([(rng.choice([None, 5]), t) for t in texts], "doc_id long, text string").repartition(4)
+    rows = sorted(((r.doc_id is None, r.h, r.text) for r in df.selectExpr("*", "xxhash64(text) h").collect()))
+    assert len({(none, h & 0x7FFF) for none, h, _ in rows}) < len(rows)
+    want = brute([(k, t) for k, (_, _, t) in enumerate(rows)])
+    got = [tuple(r)[1:] for r in sd.dedup_substrings(df).drop("kept").collect()]
+    assert sorted(got) == sorted(r[1:] for r in want)
+
+
+def test_repeated_rows_with_open_spans(spark):
+    """Wholly equal rows do not repeat each other, also beside a near copy."""
+    p = "".join(random.Random(3).choices("abcdefghij", k=300))
+    rows = [(1, p), (1, p), (1, p), (2, p[:160] + "!" + p[160:])]
+    got = [r[:3] for r in result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))]
+    assert got == [(1, 300, 0)] * 3 + [(2, 301, 300)]
