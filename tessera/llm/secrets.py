@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import keyword
+import math
+import random
 import re
+from collections import Counter
 from functools import cache
 
 import zstandard
@@ -38,10 +41,17 @@ SENSITIVE = re.compile(r"passw|passphrase|secret|token|api.?key|private.?key|acc
                        r"bearer|authorization|client.?id|signature|\bpwd\b|\bauth\b", re.IGNORECASE | re.ASCII)
 SENSITIVE_PARTS = ("passw", "passphrase", "secret", "token", "key", "credential", "bearer", "authorization",
                    "client", "signature", "pwd", "auth")
-REACH, CONTEXT, MIN_NOVEL, MIN_DIGITS = 64, 512, 16, 2
-#: Least marginal bytes per character. A random key is stored whole (1.0);
-#: identifiers built from words of the dictionary or the context stay below 0.7.
-NOVELTY = 0.75
+REACH, CONTEXT, MIN_NOVEL = 64, 512, 16
+#: Least marginal bytes per character of a string with FEW_DIGITS digits or
+#: more. A short random key is stored whole (1.0); identifiers built from words
+#: of the dictionary or the context stay below 0.7.
+NOVELTY, FEW_DIGITS = 0.75, 2
+#: A long random string costs what its alphabet needs (0.5 in upper-case hex).
+#: Strings below NOVELTY, or with fewer digits, are held against their own
+#: characters in another order, which have the same alphabet and no words left:
+#: random ones cost 0.97 of that or more. Strings of fewer bits a character
+#: (rulers, runs) are no keys in any usual alphabet; random digits have 3.2.
+OWN_ORDER, LEAST_BITS = 0.9, 2.75
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_NOVEL)
 
 #: Identifiers that code around credentials uses; with Python's keywords they
@@ -69,6 +79,24 @@ def marginal_bytes(candidate: str, around: str) -> int:
     return len(packer.compress(probe + candidate.encode())) - len(packer.compress(probe))
 
 
+def bits_a_character(word: str) -> float:
+    """Entropy of the characters by themselves."""
+    counts = Counter(word).values()
+    return sum(n * math.log2(len(word) / n) for n in counts) / len(word)
+
+
+def is_novel(word: str, around: str) -> bool:
+    """Whether neither the dictionary nor the text around explains the string."""
+    cost = marginal_bytes(word, around)
+    if cost >= NOVELTY * len(word) and sum(map(str.isdigit, word)) >= FEW_DIGITS:
+        return True
+    if bits_a_character(word) < LEAST_BITS:
+        return False
+    shuffled = list(word)
+    random.Random(len(word)).shuffle(shuffled)
+    return cost >= OWN_ORDER * marginal_bytes("".join(shuffled), around)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, code points, end exclusive."""
     spans, low = [], text.lower()
@@ -86,22 +114,22 @@ def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     low = text.lower()
     if not any(part in low for part in SENSITIVE_PARTS):
         return []
-    found = []
+    found, tried = [], set()
     for name in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, name.end(), min(len(text), name.end() + REACH)):
-            end = m.end()
-            if end == name.end() + REACH:  # the string goes on past the reach
-                end = CANDIDATE.match(text, m.start()).end()
-            start = m.start()
-            if start == name.end():
+        # so far that a string starting anywhere inside the reach shows its least length
+        stop = min(len(text), name.end() + REACH + MIN_NOVEL - 1)
+        for m in CANDIDATE.finditer(text, name.end(), stop):
+            start, end = m.span()
+            if start == name.end() or start in tried:
                 continue  # the rest of an identifier, as in tokenization
-            word = text[start:end]
-            if any(s < end and start < e for s, _, e in known) or sum(map(str.isdigit, word)) < MIN_DIGITS:
+            tried.add(start)
+            if end == stop:  # the string goes on
+                end = CANDIDATE.match(text, start).end()
+            if any(s < end and start < e for s, _, e in known):
                 continue
-            around = text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]
-            if marginal_bytes(word, around) >= NOVELTY * len(word):
+            if is_novel(text[start:end], text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]):
                 found.append((start, 3, end))
-    return sorted(set(found))
+    return sorted(found)
 
 
 def _joined(spans) -> str:

@@ -95,3 +95,22 @@ def test_edge_rows(spark):
     text = {(r.doc_id, r.text if r.text is None or len(r.text) < 99 else r.text[-9:]): r.n_chars for r in out.collect()}
     assert text == {(1, None): 5, (2, ""): 0, (3, "[SECRET]"): 8, (None, "x[SECRET]"): 300008, (4, "[SECRET] [SECRET]"): 17}
     assert sc.scan(df.limit(0)).count() == 0 and sc.redact(df.limit(0)).count() == 0
+
+
+def test_novelty_of_any_alphabet():
+    """Random strings of few digits, of small alphabets at any length, and at the end of the reach."""
+    rng = random.Random(21)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = lambda text: [(text[s:e], sc.KINDS[kind]) for s, kind, e in sc.all_spans(text)[1]]
+    for abc in (upper, upper.lower(), upper + "234567", "0123456789ABCDEF", "0123456789", upper + upper.lower() + "0123456789+/"):
+        for n in (16, 17, 20, 33, 64, 120, 300, 1000):
+            for _ in range(12):
+                k = "".join(rng.choices(abc, k=n))
+                kind = "hex" if abc.isdigit() and n >= 32 else "novel"  # long digits are a base span
+                assert found(f"Authorization: Bearer {k}\n") == [(k, kind)], (n, k)
+    k = "".join(rng.choices(upper + "0123456789", k=24))
+    for gap in range(1, sc.REACH):
+        assert found("credential" + " " * gap + k) == [(k, "novel")], gap
+    assert found("credential" + " " * sc.REACH + k) == []
+    for text in ("bearer " + "-" * 40, "bearer " + "=" * 16, "bearer " + "x" * 300, "token default_connection_string_config"):
+        assert found(text) == [], text
