@@ -24,6 +24,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import cache
 from itertools import accumulate
 from operator import getitem, itemgetter
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import map_texts, mix64, slices, texts
+from tessera.llm.graph import components
 from tessera.session import stored
 
 #: Steps before the bits repeat; classes of characters; samples.
@@ -239,11 +241,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return inner.unionByName(ends)
 
 
+def _differing(a: str, b: str):
+    """Samples whose symbols differ, of two columns of packed symbols."""
+    def nibbles(x):
+        both = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return F.bit_count(both.bitwiseOR(F.shiftrightunsigned(both, 2)).bitwiseAND(0x1111111111111111))
+    return sum((nibbles(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SAMPLES * SYMBOL_BITS // 64)), F.lit(0))
+
+
 def near_pairs(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
-    """(doc_id, other_id, likeness) of documents whose fingerprints are alike:
-    each document against the smallest of every band it shares, verified on the
-    whole fingerprints. Documents with equal fingerprints are one class, and
-    every member is paired with the smallest. Rows without an id are left out."""
+    """(doc_id, other_id, likeness) of documents whose fingerprints are alike,
+    so that any two alike documents that share a band are linked, by a pair or
+    by a chain of pairs; all are verified on the whole fingerprints.
+
+    Each document is held against the smallest of every band it shares, and the
+    pairs found are contracted to components. In bands that still span several
+    components, members outside the largest are held against members of the
+    others; a pair leaves that join only if enough symbols agree, but the
+    evaluations grow with the product of the two counts. Documents with equal
+    fingerprints are one class, and every member is paired with the smallest.
+    Rows without an id are left out."""
     def prints(rows: dict) -> dict:
         return {"doc_id": rows["doc_id"], "fingerprint": [fingerprint(t) for t in rows["text"]]}
 
@@ -252,7 +269,8 @@ def near_pairs(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
     starts = F.array(*(F.lit(13 + k) for k in range(0, SAMPLES, BAND)))
     band = classes.select("doc_id", F.posexplode(F.transform(starts, lambda s: F.col("fingerprint").substr(s, F.lit(BAND)))).alias("band", "key"))
     low = band.groupBy("band", "key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    pairs = band.join(low, ["band", "key"]).where("doc_id > low").select("low", "doc_id").distinct()
+    bucket = stored(band.join(low.drop("high"), ["band", "key"]).distinct(), "buckets")
+    pairs = bucket.where("doc_id > low").select("low", "doc_id").distinct()
     a = classes.select(F.col("doc_id").alias("low"), F.col("fingerprint").alias("x"))
     b = classes.select("doc_id", F.col("fingerprint").alias("y"))
 
@@ -261,7 +279,32 @@ def near_pairs(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
         keep = [k for k, v in enumerate(near) if v >= alike]
         return {"doc_id": [rows["low"][k] for k in keep], "other_id": [rows["doc_id"][k] for k in keep], "likeness": [near[k] for k in keep]}
 
-    found = map_texts(pairs.join(a, "low").join(b, "doc_id"), verified, "doc_id long, other_id long, likeness double", column="x")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return map_texts(pairs.join(a, "low").join(b, "doc_id"), verified, "doc_id long, other_id long, likeness double", column="x")
+
+    found = stored(confirmed(pairs), "confirmed")
+    group = stored(components(found.select(F.col("doc_id").alias("u"), F.col("other_id").alias("v"))), "groups")
+
+    left = bucket.select("band", "key", F.col("doc_id").alias("node")).join(group, "node", "left").select(
+        "band", "key", "node", F.coalesce("component", "node").alias("component"))
+    size = left.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    main = size.groupBy("band", "key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    left = left.join(main.where("parts > 1").drop("parts"), ["band", "key"])
+
+    def packed(rows: dict) -> dict:
+        return {"node": rows["node"], "symbols": [np.frombuffer(bytes.fromhex(x[12:]), ">i8").tolist() for x in rows["fingerprint"]]}
+
+    symbols = map_texts(classes.select(F.col("doc_id").alias("node"), "fingerprint").join(left.select("node").distinct(), "node"),
+                        packed, "node long, symbols array<long>", column="fingerprint")
+    full = stored(left.join(symbols, "node"), "open")
+    u, v = (full.select("band", "key", "main", *(F.col(c).alias(c + k) for c in ("node", "component", "symbols"))) for k in "uv")
+    chance = 2.0 ** -SYMBOL_BITS
+    most = SAMPLES - math.ceil(SAMPLES * (alike * (1 - chance) + chance) - 1e-6)
+    fresh = u.where("componentu != main").drop("main").join(v, ["band", "key"]).where(
+        (F.col("componentu") != F.col("componentv")) & ((F.col("componentv") == F.col("main")) | (F.col("nodeu") < F.col("nodev")))
+        & (_differing("symbolsu", "symbolsv") <= most))
+    fresh = fresh.select(F.least("nodeu", "nodev").alias("low"), F.greatest("nodeu", "nodev").alias("doc_id")).distinct()
+    again = confirmed(fresh.join(pairs, ["low", "doc_id"], "left_anti"))
     equal = rows.join(classes.withColumnRenamed("doc_id", "low"), "fingerprint").where("doc_id > low").select(
         F.col("low").alias("doc_id"), F.col("doc_id").alias("other_id"), F.lit(1.0).alias("likeness")).distinct()
-    return found.unionByName(equal)
+    return found.unionByName(again).unionByName(equal)

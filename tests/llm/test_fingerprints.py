@@ -100,3 +100,29 @@ def test_near_pairs(spark):
     rows = [(k, t) for k, t in enumerate(base)] + [(100 + k, t[:700] + "!" + t[700:]) for k, t in enumerate(base[:8])] + [(200, base[0])]
     got = {(r.doc_id, r.other_id) for r in fp.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(k, 100 + k) for k in range(8)} | {(0, 200)}
+
+
+def test_near_pairs_of_a_family(spark):
+    """Texts of one template, most of them unlike: near copies inside it are
+    linked though the smallest of their bands is a third text."""
+    rng = random.Random(18)
+    letters = lambda n: "".join(rng.choices("abcdefgh ijkl", k=n))
+    template = [letters(160) for _ in range(12)]
+    base = [" ".join(p if rng.random() < 0.86 else letters(160) for p in template) for _ in range(150)]
+    rows = list(enumerate(base)) + [(200 + k, t[:900] + "!" + t[900:]) for k, t in enumerate(base)]
+    prints = {i: fp.fingerprint(t) for i, t in rows}
+    cut = lambda f: {(k, f[12 + k:12 + k + fp.BAND]) for k in range(0, fp.SAMPLES, fp.BAND)}
+    near = {(i, j) for i in prints for j in prints if i < j and fp.likeness(prints[i], prints[j]) >= fp.ALIKE
+            and cut(prints[i]) & cut(prints[j])}
+    got = [(r.doc_id, r.other_id, r.likeness) for r in fp.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    pairs = {(i, j) for i, j, _ in got}
+    assert pairs <= near and len(pairs) == len(got)
+    assert all(v == fp.likeness(prints[i], prints[j]) for i, j, v in got)
+    name, moved = {i: i for i in prints}, True
+    while moved:
+        moved = False
+        for i, j in pairs:
+            if name[i] != name[j]:
+                name[i] = name[j] = min(name[i], name[j])
+                moved = True
+    assert all(name[i] == name[j] for i, j in near)
