@@ -6,8 +6,8 @@ Each stage takes (spark, docs, sf_dir) and works on every row its predecessor
 kept. ``run`` writes each stage's result as Parquet in the shared checkpoint
 folder and rereads it, so a lost executor never costs more than one stage. All
 stages but the last return the columns of ``documents``. Empty tables pass
-through; a row with null text is clean, alone, without secrets, of size 0 in
-the mix and one end token in the sequences.
+through; a row with null text is clean, alone, without secrets and of size 0 in
+the mix, which takes no row without words, so none reaches the sequences.
 """
 
 from __future__ import annotations

@@ -39,11 +39,13 @@ RANGE_BITS = 12
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, shuffle key) of every row, stored."""
+    """(doc_id, source, size, shuffle key, row number) of every row, stored;
+    the number tells repeated rows apart and decides nothing else."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.expr(f"regexp_count(cast(text as string), '{WORD_SQL}')"), F.lit(0)).cast("long").alias("size"))
-    return stored(rows.withColumn("key", F.xxhash64(F.lit(7), "doc_id", "source", "size")), "mix-sizes")
+    return stored(rows.withColumn("key", F.xxhash64(F.lit(7), "doc_id", "source", "size"))
+                  .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE, max_repeats=MAX_REPEATS) -> DataFrame:
@@ -85,7 +87,7 @@ def placed(sizes: DataFrame, source: DataFrame) -> DataFrame:
     sums = rows.groupBy("source_no", "range").agg(F.sum("size").alias("n"))
     base = sums.select("source_no", "range", F.coalesce(F.sum("n").over(
         Window.partitionBy("source_no").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source_no", "range").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("source_no", "range").orderBy("key", "doc_id", "size", "row")
     return (rows.join(base, ["source_no", "range"])
             .withColumn("start", F.col("base") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
                         - F.col("size"))
@@ -137,15 +139,15 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     parts = parts.join(slots, ["source_no", "rank"], "left")
     lo = F.greatest(F.col("rank") * block_words, "at")
     hi = F.least((F.col("rank") + 1) * block_words, end)
-    return parts.select("doc_id", "source", "size", "source_size", "target", "start", "slot", "rank",
+    return parts.select("doc_id", "source", "size", "source_size", "target", "start", "row", "slot", "rank",
                         (lo - F.col("at")).alias("word_from"), (hi - F.col("at")).alias("word_to"),
                         F.when(F.col("slot").isNotNull(), hi - lo).otherwise(0).cast("long").alias("taken"))
 
 
 def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: its source's figures and the words the mix takes."""
-    return (mix(docs, block_words).groupBy("doc_id", "source", "size", "source_size", "target", "start")
-            .agg(F.sum("taken").alias("taken")).drop("start"))
+    return (mix(docs, block_words).groupBy("doc_id", "source", "size", "source_size", "target", "row")
+            .agg(F.sum("taken").alias("taken")).drop("row"))
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -101,3 +101,11 @@ def test_mixed_documents(spark):
     assert out.columns == df.columns
     want = {r.doc_id: round(r.taken / max(r["size"], 1)) for r in mx.taken(df).collect()}
     assert {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()} == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_rows_without_words(spark):
+    """One result for each row, also where rows share id, source and place."""
+    rows = [(1, None, "a"), (1, None, "a"), (1, "", "a"), (None, " ", "a"), (None, None, "a"), (2, "b c", "a"), (2, "b c", "a")]
+    got = mx.taken(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((str(r.doc_id), r["size"]) for r in got) == [("1", 0)] * 3 + [("2", 2)] * 2 + [("None", 0)] * 2
+    assert all(r.taken == 0 for r in got if not r["size"])
