@@ -5,7 +5,11 @@ Two layouts:
 * ``records`` (the Spark-native store): ``write.partitionBy("cycle",
   "domain").text`` with one record per page, records separated by U+001E, so
   a task writes many pages per file and the store scales to billions of
-  pages. Each record is ``URL=<url>\\nDATE=<yyyy-MM-dd>\\n<text>``.
+  pages. Each record is ``URL=<url>\\nDATE=<yyyy-MM-dd>\\n<text>``; both head
+  lines are always there, so no line of a text is ever taken for one. U+001E
+  and U+001F inside a field, and line breaks inside a head line, are written
+  as two characters that begin with U+001F. Nothing of a page is lost: a null
+  date leaves its line blank, a null text is empty, a null URL is marked.
 * ``files`` (one text file per page, ``cycle_NNN/<domain>/page_N.txt``):
   read whole-file; cycle and domain come from the path.
 
@@ -21,10 +25,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_SEP = "\u001e"
+_ESCAPE = "\u001f"
+#: Stands for itself last, so that undoing the others never makes a new pair.
+_ESCAPES = [(RECORD_SEP, "r"), ("\n", "n"), (_ESCAPE, "u")]
+_NO_URL = _ESCAPE + "0"
+
+
+def _escaped(c: Column, head: bool) -> Column:
+    c = F.replace(c, F.lit(_ESCAPE), F.lit(_ESCAPE + "u"))
+    c = F.replace(c, F.lit(RECORD_SEP), F.lit(_ESCAPE + "r"))
+    return F.replace(c, F.lit("\n"), F.lit(_ESCAPE + "n")) if head else c
+
+
+def _unescaped(c: Column) -> Column:
+    for plain, code in _ESCAPES:
+        c = F.replace(c, F.lit(_ESCAPE + code), F.lit(plain))
+    return c
 
 
 def page_records(df: DataFrame, url: str = "url", date: str = "date", text: str = "text") -> Column:
-    return F.concat(F.lit("URL="), F.col(url), F.lit("\nDATE="), F.col(date), F.lit("\n"), F.col(text))
+    return F.concat(F.lit("URL="), F.coalesce(_escaped(F.col(url), True), F.lit(_NO_URL)),
+                    F.lit("\nDATE="), F.coalesce(_escaped(F.col(date).cast("string"), True), F.lit("")),
+                    F.lit("\n"), F.coalesce(_escaped(F.col(text), False), F.lit("")))
 
 
 def write_page_store(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -67,8 +89,9 @@ def scan_page_store(spark: SparkSession, path: str) -> DataFrame:
            .option("lineSep", RECORD_SEP).text(path)
            .select("value", "cycle", "domain", F.col("_metadata.file_modification_time").alias("mtime")))
     out = _parse(raw, "value", [F.col("cycle"), F.col("domain"), F.col("mtime")])
-    date = F.coalesce(F.col("_date"), F.date_format("mtime", "yyyy-MM-dd"))
-    return out.select("cycle", "domain", "url", date.alias("date"), "content")
+    date = F.coalesce(_unescaped(F.col("_date")), F.date_format("mtime", "yyyy-MM-dd"))
+    url = F.when(F.col("url") == _NO_URL, F.lit("Unknown URL")).otherwise(_unescaped(F.col("url")))
+    return out.select("cycle", "domain", url.alias("url"), date.alias("date"), _unescaped(F.col("content")).alias("content"))
 
 
 def scan_page_files(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@ library, stencils vs numpy, BFS vs a Python BFS, page-file scan, metrics at
 the zero-division edges, blend threshold strictness."""
 
 import os
+import random
 import tempfile
 from collections import deque
 from urllib.parse import urljoin, urlparse
@@ -178,6 +179,25 @@ def test_page_files_scan(spark):
     assert dates[1] == "2025-01-01" and len(dates[3]) == 10
 
 
+def test_page_store_loses_no_page(spark):
+    """Round trip of odd pages: nulls, separators, line breaks, text that looks like a head line."""
+    root = os.path.join(tempfile.mkdtemp(prefix="tessera-pages-"), "store")
+    rng = random.Random(5)
+    odd = ["\u001e", "\u001f", "\u001fr", "\u001fu", "\u001f0", "\n", "\r", " ", "URL=", "DATE=", "a", "β", "\\", "\\n", ""]
+    texts = [None, "", "\u001e", "DATE=2020-01-01", "URL=x\nDATE=y\nz"] + \
+        ["".join(rng.choices(odd, k=rng.randint(0, 12))) for _ in range(300)]
+    urls = [None, "", "\u001f0", "http://a/\u001e\nb"]
+    dates = [None, "2025-01-01", "2024-12-31"]
+    rows = [(1, "x.gr", urls[i % 4] if i % 3 else f"http://x.gr/{i}", dates[i % len(dates)], t) for i, t in enumerate(texts)]
+    ps.write_page_store(spark.createDataFrame(rows, "cycle int, domain string, url string, date string, text string"), root)
+    got = ps.scan_page_store(spark, root).collect()
+    today = {r.date for r in got} - set(dates)
+    assert len(got) == len(rows) and len(today) == 1 and len(today.pop()) == 10
+    want = sorted(("Unknown URL" if u is None else u, d or "", " ".join(x.strip(" ") for x in (t or "").split("\n")))
+                  for _, _, u, d, t in rows)
+    assert sorted((r.url, r.date if r.date in dates else "", r.content) for r in got) == want
+
+
 def _parser_container(html):
     """Brute force: the standard library's HTML parser, depth-counted."""
     from html.parser import HTMLParser
