@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import fingerprints, html_model, mixing, near_dedup, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
+from tessera.llm import fingerprints, html_model, merkle, mixing, near_dedup, oracles, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,15 @@ def op10_quality_rules(spark, sf_dir):
     return repetition.repetition_rules(_read(spark, sf_dir, "documents"))
 
 
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, subroot, root and folded proof of every document."""
+    return merkle.manifest(_read(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = oracles.MERKLE
+
+
 @query
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents."""
