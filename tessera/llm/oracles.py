@@ -69,3 +69,42 @@ SELECT l.doc_id, l.leaf, s.node AS subroot, w.node AS root, sha256(e.sib) AS pro
 FROM leaves l JOIN subroots s ON s.source = l.grp JOIN upper_part_end e ON e.id = l.id
 JOIN whole w ON w.n = 1
 """
+
+
+def _product_codes(rounds: int = 6, entries: int = 16) -> str:
+    """CTEs of Lloyd's rounds over parts of integer vectors, one after the other."""
+    distance = "list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    ctes = [
+        """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v,
+         row_number() OVER (ORDER BY vec_id) - 1 AS nth
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """parts AS MATERIALIZED (
+  SELECT vec_id, label, nth, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS v FROM kept, range(8) t(p))""",
+        f"book0 AS MATERIALIZED (SELECT p, nth AS e, v FROM parts WHERE nth < {entries})"]
+    for r in range(rounds + 1):
+        ctes.append(f"""near{r} AS MATERIALIZED (
+  SELECT x.vec_id, x.p, min({distance} * {entries} + c.e) AS far_and_entry
+  FROM parts x JOIN book{r} c USING (p) GROUP BY x.vec_id, x.p)""")
+        if r < rounds:
+            ctes.append(f"""sums{r} AS (
+  SELECT p, e, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT x.p, a.far_and_entry % {entries} AS e, unnest(x.v) AS x, unnest(range(len(x.v))) AS i
+        FROM parts x JOIN near{r} a USING (vec_id, p)) GROUP BY p, e, i),
+means{r} AS (
+  SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums{r} GROUP BY p, e),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN means{r} m USING (p, e))""")
+    return "WITH " + ",\n".join(ctes) + f""",
+coded AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', far_and_entry % {entries}), '' ORDER BY p) AS code,
+         sum(far_and_entry // {entries})::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded c JOIN kept k USING (vec_id)
+"""
+
+
+VECTOR_CODES = _product_codes()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import fingerprints, html_model, merkle, mixing, near_dedup, oracles, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity
+from tessera.llm import fingerprints, html_model, merkle, mixing, near_dedup, oracles, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity, vector_codes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,15 @@ def op10_quality_rules(spark, sf_dir):
     return repetition.repetition_rules(_read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    """Product code and error of every vector."""
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_vector_codes"] = oracles.VECTOR_CODES
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     """Leaf, subroot, root and folded proof of every document."""
