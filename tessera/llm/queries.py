@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import fingerprints, html_model, merkle, mixing, near_dedup, oracles, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity, vector_codes
+from tessera.llm import decontaminate, fingerprints, html_model, merkle, mixing, near_dedup, oracles, packing, quality_crf, repetition, secrets, suffix_dedup, toxicity, vector_codes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,15 @@ def op11_vector_codes(spark, sf_dir):
 ORACLES["op11_vector_codes"] = oracles.VECTOR_CODES
 
 
+@query
+def op12_decontamination(spark, sf_dir):
+    """Words of every document inside windows of benchmark items."""
+    return decontaminate.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_decontamination"] = oracles.DECONTAMINATE
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     """Leaf, subroot, root and folded proof of every document."""
