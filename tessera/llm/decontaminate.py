@@ -266,8 +266,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shi
     shapes = stored(prefix.select("token", "off", "size").distinct(), "leak-shapes")
     cands = found.where("token is not null").join(shapes, "token")
     cands = cands.withColumn("start", F.col("at") - F.col("off")).where("start >= 0 and start + size <= n_words")
-    cands = cands.select("row", "start", "size", F.array_join(F.slice(
-        F.split("around", " "), (F.col("start") - F.col("first") + 1).cast("int"), F.col("size")), " ").alias("words"))
+    # not below 1: the optimizer may evaluate this before the filter above
+    lead = F.greatest(F.lit(1), (F.col("start") - F.col("first") + 1).cast("int"))
+    cands = cands.select("row", "start", "size", F.array_join(F.slice(F.split("around", " "), lead, F.col("size")), " ").alias("words"))
     occ = cands.join(unique.select("words", "win"), "words").select("row", "start", "size", "win")
     return found.where("token is null").select("row", "doc_id", "n_words"), stored(occ, "leak-occurrences"), items
 

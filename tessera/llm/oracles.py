@@ -117,14 +117,14 @@ DECONTAMINATE = f"""
 WITH item_words AS (SELECT item_id::VARCHAR AS item_id, {_LEAK_WORDS} AS w FROM benchmark),
 sized AS (SELECT item_id, w, least(len(w), 10) AS n FROM item_words WHERE len(w) > 0),
 windows AS MATERIALIZED (
-  SELECT DISTINCT item_id, n, array_to_string(w[at + 1 : at + n], ' ') AS words
-  FROM (SELECT item_id, w, n, unnest(range(len(w) - n + 1)) AS at FROM sized)),
+  SELECT DISTINCT item_id, n, array_to_string(w[off + 1 : off + n], ' ') AS words
+  FROM (SELECT item_id, w, n, unnest(range(len(w) - n + 1)) AS off FROM sized)),
 doc_words AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, {_LEAK_WORDS} AS w FROM documents),
 places AS (
-  SELECT id, n, at, array_to_string(w[at + 1 : at + n], ' ') AS words
-  FROM (SELECT id, w, n, unnest(range(len(w) - n + 1)) AS at FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
-found AS MATERIALIZED (SELECT p.id, p.at, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.words = p.words),
-hits AS (SELECT id, count(DISTINCT at + k) AS n_hit FROM found, range(10) t(k) WHERE k < n GROUP BY id),
+  SELECT id, n, off, array_to_string(w[off + 1 : off + n], ' ') AS words
+  FROM (SELECT id, w, n, unnest(range(len(w) - n + 1)) AS off FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS MATERIALIZED (SELECT p.id, p.off, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.words = p.words),
+hits AS (SELECT id, count(DISTINCT off + k) AS n_hit FROM found, range(10) t(k) WHERE k < n GROUP BY id),
 items AS (SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
           FROM (SELECT DISTINCT id, item_id FROM found) GROUP BY id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
