@@ -158,7 +158,7 @@ def lasso(df: DataFrame, cols: list[str], label: str, reg: float = 0.1) -> DataF
     return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
 
-# ---- spectral unmixing (E6, E7) -----------------------------------------------
+# ---- spectral unmixing (E6; E7 and E8 in unmixing) -----------------------------------------------
 def endmembers(long: DataFrame, label: str) -> np.ndarray:
     """Class centroids as a (classes x dims) matrix: model-sized, collected."""
     if long.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
@@ -173,52 +173,20 @@ def endmembers(long: DataFrame, label: str) -> np.ndarray:
     return m
 
 
-def _project_simplex(a: np.ndarray) -> np.ndarray:
-    """Row-wise Euclidean projection onto {a >= 0, sum a = 1}."""
-    n, k = a.shape
-    u = -np.sort(-a, axis=1)
-    css = np.cumsum(u, axis=1) - 1
-    idx = np.arange(1, k + 1)
-    cond = u - css / idx > 0
-    rho = k - np.argmax(cond[:, ::-1], axis=1)
-    theta = css[np.arange(n), rho - 1] / rho
-    return np.maximum(a - theta[:, None], 0)
-
-
-def unmix(df: DataFrame, id_col: str, vec_col: str, ends: np.ndarray,
-          constrained: bool = False, steps: int = 200) -> DataFrame:
-    """Abundances per pixel against fixed endmembers.
-
-    Unconstrained: least squares with the shared pseudo-inverse (E6).
-    Constrained: a fixed number of projected-gradient steps onto the simplex
-    (non-negative, sum to one) (E7); ``last_step`` is the largest change that
-    the last one made. Runs per Arrow batch in ``mapInPandas``:
-    a small matrix product per batch, partitioned and scheduled by Spark.
-    """
-    e = ends.T                                     # dims x classes
-    pinv = np.linalg.pinv(e)
-    lip = float(np.linalg.norm(e, 2) ** 2) or 1.0
-    bc = df.sparkSession.sparkContext.broadcast((e, pinv, lip))
+def unmix(df: DataFrame, id_col: str, vec_col: str, ends: np.ndarray) -> DataFrame:
+    """Least-squares abundances per pixel with the shared pseudo-inverse.
+    One small matrix product per Arrow batch; ``unmixing`` has E7 and E8."""
+    pinv = np.linalg.pinv(ends.T)
 
     def run(batches):
-        e_, pinv_, lip_ = bc.value
         for pdf in batches:
-            x = np.stack(pdf[vec_col].to_numpy()).astype(float) if len(pdf) else np.zeros((0, e_.shape[0]))
-            a = x @ pinv_.T
-            move = np.zeros(len(a))
-            if constrained and len(a):
-                a = _project_simplex(a)
-                for _ in range(steps):
-                    grad = (a @ e_.T - x) @ e_
-                    before, a = a, _project_simplex(a - grad / lip_)
-                move = np.abs(a - before).max(axis=1)
-            resid = np.sqrt(((x - a @ e_.T) ** 2).sum(axis=1)) if len(pdf) else np.zeros(0)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(),
-                                "abundance": list(a), "residual": resid, "last_step": move})
-
-    schema = T.StructType([T.StructField(id_col, T.LongType()),
-                           T.StructField("abundance", T.ArrayType(T.DoubleType())),
-                           T.StructField("residual", T.DoubleType()), T.StructField("last_step", T.DoubleType())])
+            x = np.stack(pdf[vec_col].to_numpy()).astype(float) if len(pdf) else np.zeros((0, ends.shape[1]))
+            a = x @ pinv.T
+            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "abundance": list(a),
+                                "residual": np.sqrt(((x - a @ ends) ** 2).sum(axis=1))})
+
+    schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("abundance", T.ArrayType(T.DoubleType())),
+                           T.StructField("residual", T.DoubleType())])
     return df.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col)).mapInPandas(run, schema)
 
 
@@ -247,14 +215,23 @@ def lasso_optimality(df: DataFrame, cols: list[str], label: str, reg: float, fit
     return df.sparkSession.createDataFrame([(n, bool(h)) for n, h in zip(OPTIMALITY, holds)], "condition string, holds boolean")
 
 
+def end_products(ends: np.ndarray, vec_col: str):
+    """The product of a vector column with every endmember, as an array column."""
+    return F.array(*(F.aggregate(F.zip_with(F.col(vec_col), F.array(*map(F.lit, e.tolist())), lambda a, b: a.cast("double") * b),
+                                 F.lit(0.0), lambda s, x: s + x) for e in ends))
+
+
+def signed_products(ends: np.ndarray, vec_col: str = "embedding"):
+    """residual . endmember of an unmixed row, for every endmember: an array column."""
+    gram = (ends @ ends.T).tolist()
+    mixed = F.array(*(F.aggregate(F.zip_with("abundance", F.array(*map(F.lit, row)), lambda a, b: a * b),
+                                  F.lit(0.0), lambda s, x: s + x) for row in gram))
+    return F.zip_with(end_products(ends, vec_col), mixed, lambda a, b: a - b)
+
+
 def residual_products(ends: np.ndarray, vec_col: str = "embedding"):
     """Largest |residual . endmember| of an unmixed row, as a column."""
-    dims = range(ends.shape[1])
-    mix = [sum((F.col("abundance")[k] * F.lit(float(ends[k, d])) for k in range(len(ends))), F.lit(0.0)) for d in dims]
-    gap = F.array(*(F.col(vec_col)[d].cast("double") - mix[d] for d in dims))
-    products = [F.abs(F.aggregate(F.zip_with(gap, F.array(*map(F.lit, ends[k].tolist())), lambda a, b: a * b),
-                                  F.lit(0.0), lambda s, x: s + x)) for k in range(len(ends))]
-    return F.greatest(*products)
+    return F.array_max(F.transform(signed_products(ends, vec_col), F.abs))
 
 
 def nearest_mean(df: DataFrame, id_col: str, vec_col: str, cluster: str) -> DataFrame:

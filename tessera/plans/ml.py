@@ -18,6 +18,7 @@ from tessera.operators import classify as cl
 from tessera.operators import metrics as mx
 from tessera.operators import models as md
 from tessera.operators import raster as rx
+from tessera.operators import unmixing as um
 from tessera.plans.raster import pixels
 from tessera.plans.registry import register
 from tessera.session import stored
@@ -159,21 +160,32 @@ def ols_model(spark, sf):
     return md.lasso(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", reg=0.0)
 
 
-# --- E6, E7 -------------------------------------------------------------------
-def _unmix(spark, sf, constrained):
+# --- E6, E7, E8 per pixel -------------------------------------------------------
+#: Penalties of the sparse mixtures, as shares of the one that leaves nothing.
+SHARES = [0.9, 0.5, 0.2, 0.05]
+
+
+def _pixels_and_ends(spark, sf):
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
-    ends = md.endmembers(cl.long_vectors(emb, "vec_id", "embedding", "label"), "label")
-    return md.unmix(emb, "vec_id", "embedding", ends, constrained=constrained)
+    return emb, md.endmembers(cl.long_vectors(emb, "vec_id", "embedding", "label"), "label")
 
 
 @register("unmix_ls")
 def unmix_ls(spark, sf):
-    return _unmix(spark, sf, False)
+    emb, ends = _pixels_and_ends(spark, sf)
+    return md.unmix(emb, "vec_id", "embedding", ends)
 
 
 @register("unmix_constrained")
 def unmix_constrained(spark, sf):
-    return _unmix(spark, sf, True)
+    emb, ends = _pixels_and_ends(spark, sf)
+    return um.unmix_simplex(emb, "vec_id", "embedding", ends)
+
+
+@register("unmix_sparse")
+def unmix_sparse(spark, sf):
+    emb, ends = _pixels_and_ends(spark, sf)
+    return um.unmix_sparse(emb, "vec_id", "embedding", ends, SHARES)
 
 
 # --- checks of fitted models ----------------------------------------------------
@@ -204,19 +216,34 @@ _UNMIXED = ("SELECT vec_id, {} FROM embeddings")
 @register("unmix_ls_check", _UNMIXED.format("TRUE AS orthogonal"))
 def unmix_ls_check(spark, sf):
     """The residual of every vector is orthogonal to all endmembers."""
-    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
-    ends = md.endmembers(cl.long_vectors(emb, "vec_id", "embedding", "label"), "label")
+    emb, ends = _pixels_and_ends(spark, sf)
     out = md.unmix(emb, "vec_id", "embedding", ends).join(emb, "vec_id")
     return out.select("vec_id", (md.residual_products(ends) < 1e-6).alias("orthogonal"))
 
 
 @register("unmix_constrained_check", _UNMIXED.format("TRUE AS on_simplex, TRUE AS converged"))
 def unmix_constrained_check(spark, sf):
-    """Abundances are a mixture, and the last step moved them next to nothing."""
+    """Abundances are a mixture, and no mixture is better by more than the gap."""
     a = F.col("abundance")
-    return _unmix(spark, sf, True).select(
+    return unmix_constrained(spark, sf).select(
         "vec_id", ((F.abs(F.aggregate(a, F.lit(0.0), lambda s, x: s + x) - 1) < 1e-9) & (F.array_min(a) >= 0)).alias("on_simplex"),
-        (F.col("last_step") < 1e-3).alias("converged"))
+        (F.abs("gap") < 1e-8).alias("converged"))
+
+
+@register("unmix_sparse_check", "SELECT vec_id, share, TRUE AS optimal FROM embeddings, "
+          "(VALUES " + ", ".join(f"(CAST({s} AS DOUBLE))" for s in SHARES) + ") AS t(share)")
+def unmix_sparse_check(spark, sf):
+    """The optimality conditions of every row and penalty, judged outside the
+    solver by |ends . residual|: at most the penalty, equal to it where an
+    endmember is active."""
+    emb, ends = _pixels_and_ends(spark, sf)
+    out = um.unmix_sparse(emb, "vec_id", "embedding", ends, SHARES).join(emb, "vec_id")
+    signed = md.signed_products(ends)
+    top = F.array_max(F.transform(md.end_products(ends, "embedding"), F.abs))
+    out = out.select("vec_id", "share", "abundance", signed.alias("g"), (F.col("share") * top).alias("t"))
+    off = F.array_max(F.zip_with("g", "abundance", lambda g, a: F.when(a == 0, F.greatest(F.abs(g) - F.col("t"), F.lit(0.0)))
+                                 .otherwise(F.abs(g - F.col("t") * F.signum(a)))))
+    return out.select("vec_id", "share", (off < 1e-8).alias("optimal"))
 
 
 @register("kmeans_check", "SELECT vec_id, TRUE AS nearest FROM embeddings")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed
 from tessera.operators import classify as cl
+from tessera.operators import neighbors as nb
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -117,6 +118,44 @@ def min_distance(spark, sf):
     return cl.min_distance(emb, emb, "vec_id", "embedding", "label")
 
 
+# --- E10 on embeddings ------------------------------------------------------------
+NEIGHBORS = 5
+#: Searches take every 50th row as a query, against all rows.
+_QUERY = "vec_id % 50 = 0"
+_KNN = (f"WITH q AS (SELECT * FROM embeddings WHERE {_QUERY}), d AS (SELECT q.vec_id, p.vec_id AS neighbor, p.label, "
+        "sqrt(list_sum(list_transform(list_zip(q.embedding, p.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) "
+        "* (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE))))) AS distance FROM q JOIN embeddings p ON p.vec_id <> q.vec_id), "
+        f"k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank FROM d QUALIFY rank <= {NEIGHBORS}) ")
+
+
+def _knn(spark, sf):
+    emb = _vectors(spark, sf)
+    return nb.knn(emb, emb.where(_QUERY), NEIGHBORS)
+
+
+@register("knn_neighbors", _KNN + "SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbor, round(distance, 9) AS distance FROM k")
+def knn_neighbors(spark, sf):
+    """The nearest rows of every 50th row among all others."""
+    found, _ = _knn(spark, sf)
+    return found.select(F.col("query").alias("vec_id"), "rank", F.col("point").alias("neighbor"), F.round("distance", 9).alias("distance"))
+
+
+@register("knn_vote", _KNN + ", v AS (SELECT vec_id, label, count(*) AS n FROM k GROUP BY 1, 2) SELECT vec_id, label AS pred FROM v "
+          "QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, label) = 1")
+def knn_vote(spark, sf):
+    """The label that most of a row's nearest others have."""
+    found, _ = _knn(spark, sf)
+    return nb.knn_vote(found).select(F.col("query").alias("vec_id"), F.col("pred").cast("int").alias("pred"))
+
+
+@register("knn_visits", f"SELECT (SELECT count(*) FROM embeddings WHERE {_QUERY}) AS queries, count(*) AS points, "
+          "TRUE AS within_all_pairs FROM embeddings")
+def knn_visits(spark, sf):
+    """The size of the search: the pairs compared are at most all pairs."""
+    _, report = _knn(spark, sf)
+    return report.select("queries", "points", (F.col("compared") <= F.col("queries") * F.col("points")).alias("within_all_pairs"))
+
+
 # --- F3: language scoring ----------------------------------------------------------
 def _lang_sql(score_sql: str, id_col: str) -> str:
     """Trigram profiles from ``documents``; best language for each row of
