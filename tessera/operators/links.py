@@ -128,7 +128,7 @@ def rules_for_agent(rules: DataFrame, agent: str) -> DataFrame:
 
 def crawl_cycle(pages: DataFrame, rules: DataFrame, agent: str, seen: DataFrame | None = None,
                 letter_class: str = fixed.GREEK_LETTER_CLASS, per_domain: int = fixed.CRAWL_MAX_PAGES,
-                max_depth: int = fixed.CRAWL_MAX_DEPTH, harvest_links: bool = True) -> tuple[DataFrame, DataFrame]:
+                max_depth: int = fixed.CRAWL_MAX_DEPTH, harvest_links: bool = False) -> tuple[DataFrame, DataFrame]:
     """One crawl cycle over landed pages (page_id, url, html, depth): the pages
     to save and the links to fetch next.
 
@@ -137,8 +137,8 @@ def crawl_cycle(pages: DataFrame, rules: DataFrame, agent: str, seen: DataFrame
     (``seen``: content_hash) or on an earlier page in (depth, page_id) order
     goes; of the rest each domain saves its first ``per_domain``. Links are the
     internal ones that look like articles, are allowed, and were not landed,
-    each at its smallest depth. The original takes links of blank pages but not
-    of pages in another script; ``harvest_links`` takes them of all pages.
+    each at its smallest depth. As in the original, blank pages give links and
+    pages in another script give none; ``harvest_links`` takes them of all pages.
 
     Whole texts stay where they are read: what moves is narrow.
     """

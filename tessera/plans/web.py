@@ -299,12 +299,14 @@ def _cycle_sql() -> str:
     base = (f"SELECT *, CASE WHEN page_id = min(page_id) OVER (PARTITION BY host) THEN 0 ELSE 1 END AS depth FROM "
             f"(SELECT page_id, url, html, {sql_url_part('url', 'authority')} AS host, {path} AS path FROM pages)")
     links_ = (f"SELECT {sql_drop_fragment(sql_resolve('url', 'h'))} AS url, depth + 1 AS depth, host FROM (SELECT url, depth, host, "
-              f"{sql_trimmed('href')} AS h FROM (SELECT url, depth, host, unnest({sql_hrefs('html')}) AS href FROM near) WHERE {sql_keep_href('href')})")
+              f"{sql_trimmed('href')} AS h FROM (SELECT url, depth, host, unnest({sql_hrefs('html')}) AS href FROM giving) WHERE {sql_keep_href('href')})")
     return (f"WITH base AS ({base}), near AS (SELECT * FROM base WHERE {allowed}), "
             f"s AS (SELECT page_id, url, depth, replace(host, 'www.', '') AS domain, {sql_page_text('html')} AS t FROM near), "
             f"n AS (SELECT *, md5(t) AS h FROM s WHERE trim(t) <> '' AND ({cond}) AND md5(t) NOT IN "
             f"(SELECT md5({sql_page_text('html')}) FROM pages WHERE starts_with(url, 'https:'))), "
             "f AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY h ORDER BY depth, page_id) = 1), "
+            # pages in another script give no links, blank ones do
+            f"giving AS (SELECT near.* FROM near JOIN s USING (page_id) WHERE trim(t) = '' OR ({cond})), "
             "saved AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY depth, page_id) AS rank FROM f), "
             f"found AS (SELECT url, depth, host, {path} AS path, {sql_url_part('url', 'scheme')} AS scheme, {sql_url_part('url', 'authority')} AS auth FROM ({links_})), "
             f"front AS (SELECT url, min(depth) AS depth FROM found WHERE auth = host AND lower(scheme) IN ('http', 'https') AND {sql_article_like('url')} "
@@ -318,11 +320,11 @@ def _cycle_sql() -> str:
 def crawl_cycle_full(spark, sf):
     """A crawl cycle as the original runs it, after a cycle over the https pages:
     the first page of a host is its seed, the others were found from it."""
-    from pyspark.sql import Window
     pages = _pages(spark, sf).withColumn("host", ux.authority("url"))
-    first = F.min("page_id").over(Window.partitionBy("host"))
-    pages = pages.withColumn("depth", F.when(F.col("page_id") == first, 0).otherwise(1))
-    hosts = pages.select("host").distinct()
+    # the seeds from ids and hosts alone: one row per host meets the pages, which stay where they are
+    seeds = _pages(spark, sf, ("page_id", "url")).groupBy(ux.authority("url").alias("host")).agg(F.min("page_id").alias("page_id"))
+    pages = pages.join(seeds.select("page_id", F.lit(0).alias("depth")), "page_id", "left").withColumn("depth", F.coalesce("depth", F.lit(1)))
+    hosts = seeds.select("host")
 
     def of(rules):
         return F.array(*(F.struct(F.lit(a).alias("agent"), F.lit(p).alias("rule_pos"), F.lit(w).alias("allow"), F.lit(x).alias("prefix"))
