@@ -125,3 +125,31 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5) -> Data
 def fold_by_hash(df: DataFrame, id_col: str, k: int = 5, seed: int = fixed.SPLIT_SEED) -> DataFrame:
     """0-based ``fold`` from a seeded hash of the id: no shuffle at all."""
     return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(k)).cast("int"))
+
+
+def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
+    """(auc, positives, negatives, scores): the area under the ROC curve, exact
+    also where scores are equal: a pair of equal scores counts one half (E12).
+
+    Rows first become counts per distinct score; the negatives below a score are
+    a running sum over those, sliced by range (no single-task sort), and the sum
+    of positive x negative pairs is exact in decimals. Null without both labels.
+    """
+    from tessera.operators.series import running_sum
+    by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    run = running_sum(by, ["score"], "neg", "upto")
+    twice = F.col("pos").cast("decimal(19,0)") * (2 * F.col("upto") - F.col("neg")).cast("decimal(19,0)")
+    total = run.agg(F.sum(twice).alias("u"), F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+                    F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"), F.count(F.lit(1)).alias("scores"))
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    return total.select(F.when(pairs > 0, F.col("u").cast("double") / (2 * pairs)).alias("auc"), "positives", "negatives", "scores")
+
+
+def calibration(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
+    """(bin, n, mean_score, share, gap) of scores in [0, 1] by equal bins: how
+    far the mean score of a bin is from its share of positives (E12)."""
+    at = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    out = df.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"),
+                                          F.avg((F.col(label) == 1).cast("double")).alias("share"))
+    return out.withColumn("gap", F.abs(F.col("mean_score") - F.col("share")))

@@ -146,6 +146,38 @@ def model_compare(spark, sf):
         "boosted_trees": md.gbt()})
 
 
+# --- E12 ----------------------------------------------------------------------
+_SCORED = "SELECT quality, n_chars, n_chars / (n_chars + 800.0) AS p FROM documents JOIN labels USING (doc_id)"
+
+
+def _auc_sql(score: str) -> str:
+    return (f"SELECT '{score}' AS score, round((sum(rk) FILTER (WHERE quality = 1) - p * (p + 1) / 2) / (p * n), 9) AS auc, "
+            f"any_value(p) AS positives, any_value(n) AS negatives, any_value(k) AS scores FROM (SELECT quality, "
+            f"rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS rk, count(*) FILTER (WHERE quality = 1) OVER () AS p, "
+            f"count(*) FILTER (WHERE quality = 0) OVER () AS n, (SELECT count(DISTINCT {score}) FROM s) AS k FROM s) GROUP BY p, n")
+
+
+def _scored(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "n_chars"]).join(read_table(spark, sf, "labels", ["doc_id", "quality"]), "doc_id")
+    return d.select("quality", "n_chars", F.floor(F.col("n_chars") / 700).alias("coarse"), (F.col("n_chars") / (F.col("n_chars") + 800.0)).alias("p"))
+
+
+@register("auc_quality", f"WITH s AS (SELECT *, n_chars // 700 AS coarse FROM ({_SCORED})) {_auc_sql('n_chars')} UNION ALL {_auc_sql('coarse')}")
+def auc_quality(spark, sf):
+    """How well length ranks quality, by single characters and with many ties."""
+    rows = _scored(spark, sf)
+    out = [mx.roc_auc(rows, c, "quality").select(F.lit(c).alias("score"), F.round("auc", 9).alias("auc"), "positives", "negatives", "scores")
+           for c in ("n_chars", "coarse")]
+    return out[0].unionByName(out[1])
+
+
+@register("calibration_quality", "SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS n, round(avg(p), 9) AS mean_score, "
+          f"round(avg(quality), 9) AS share, round(abs(avg(p) - avg(quality)), 9) AS gap FROM ({_SCORED}) GROUP BY 1")
+def calibration_quality(spark, sf):
+    out = mx.calibration(_scored(spark, sf), "p", "quality")
+    return out.select("bin", "n", *(F.round(c, 9).alias(c) for c in ("mean_score", "share", "gap")))
+
+
 # --- E8 -----------------------------------------------------------------------
 @register("lasso")
 def lasso(spark, sf):

@@ -99,6 +99,18 @@ def pixel_features(spark, sf):
     return _features(spark, sf).select("image_id", "y", "x", "pixel", "dog", "sobel", "var")
 
 
+def _mod256(e: str) -> str:
+    return f"((({e}) % 256 + 256) % 256)"
+
+
+@register("pixel_features_wrap",
+          f"{_FEATS} SELECT f.image_id, f.y, f.x, {_mod256('round(blur3) - round(blur7)')} / 255.0 AS dog, "
+          f"{_mod256('round(msq.val) - round(blur3 * blur3)')} AS var FROM f JOIN msq USING (image_id, y, x)")
+def pixel_features_wrap(spark, sf):
+    """The features as 8-bit arithmetic leaves them: differences wrap around."""
+    return rx.pixel_features(pixels(spark, sf), wrap=True).select("image_id", "y", "x", "dog", "var")
+
+
 # ---- F6, J1 ----------------------------------------------------------------------
 @register("mask_sum_filter",
           f"WITH {_PX} SELECT image_id, count(*) AS pixels FROM px WHERE image_id IN "
@@ -111,22 +123,31 @@ def mask_sum_filter(spark, sf):
 
 
 # ---- P6 --------------------------------------------------------------------------
-@register("resample_bilinear",
-          f"WITH {_PX}, t AS (SELECT image_id, ty, tx FROM (SELECT DISTINCT image_id FROM px), "
-          "range(4) r1(ty), range(4) r2(tx)), "
-          "s AS (SELECT image_id, ty, tx, greatest((ty + 0.5) * 8 / 4 - 0.5, 0.0) AS sy, "
-          "greatest((tx + 0.5) * 8 / 4 - 0.5, 0.0) AS sx FROM t), "
-          "c AS (SELECT *, least(floor(sy)::INT, 7) AS y0, least(floor(sx)::INT, 7) AS x0 FROM s), "
-          "w AS (SELECT image_id, ty, tx, y0 AS y, x0 AS x, (1 - (sy - y0)) * (1 - (sx - x0)) AS wt FROM c "
-          "UNION ALL SELECT image_id, ty, tx, y0, least(x0 + 1, 7), (1 - (sy - y0)) * (sx - x0) FROM c "
-          "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), x0, (sy - y0) * (1 - (sx - x0)) FROM c "
-          "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), least(x0 + 1, 7), (sy - y0) * (sx - x0) FROM c) "
-          "SELECT w.image_id, CAST(w.ty AS INTEGER) AS y, CAST(w.tx AS INTEGER) AS x, sum(w.wt * px.v) AS v FROM w JOIN px "
-          "USING (image_id, y, x) GROUP BY w.image_id, w.ty, w.tx")
+def _resize_sql(n: int) -> str:
+    return (f"WITH {_PX}, t AS (SELECT image_id, ty, tx FROM (SELECT DISTINCT image_id FROM px), "
+            f"range({n}) r1(ty), range({n}) r2(tx)), "
+            f"s AS (SELECT image_id, ty, tx, greatest((ty + 0.5) * 8 / {n} - 0.5, 0.0) AS sy, "
+            f"greatest((tx + 0.5) * 8 / {n} - 0.5, 0.0) AS sx FROM t), "
+            "c AS (SELECT *, least(floor(sy)::INT, 7) AS y0, least(floor(sx)::INT, 7) AS x0 FROM s), "
+            "w AS (SELECT image_id, ty, tx, y0 AS y, x0 AS x, (1 - (sy - y0)) * (1 - (sx - x0)) AS wt FROM c "
+            "UNION ALL SELECT image_id, ty, tx, y0, least(x0 + 1, 7), (1 - (sy - y0)) * (sx - x0) FROM c "
+            "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), x0, (sy - y0) * (1 - (sx - x0)) FROM c "
+            "UNION ALL SELECT image_id, ty, tx, least(y0 + 1, 7), least(x0 + 1, 7), (sy - y0) * (sx - x0) FROM c) "
+            "SELECT w.image_id, CAST(w.ty AS INTEGER) AS y, CAST(w.tx AS INTEGER) AS x, sum(w.wt * px.v) AS v FROM w JOIN px "
+            "USING (image_id, y, x) GROUP BY w.image_id, w.ty, w.tx")
+
+
+@register("resample_bilinear", _resize_sql(4))
 def resample_bilinear(spark, sf):
     return rx.resample_bilinear(pixels(spark, sf), 4, 4)
 
 
+@register("resample_enlarge", _resize_sql(13))
+def resample_enlarge(spark, sf):
+    """Back to a larger size, as a probability map returns to its slice's."""
+    return rx.resample_bilinear(pixels(spark, sf), 13, 13)
+
+
 # ---- P7 --------------------------------------------------------------------------
 @register("pixel_sample",
           f"WITH {_PX}, r AS (SELECT image_id, y, x, row_number() OVER (PARTITION BY image_id ORDER BY "

@@ -11,8 +11,8 @@ from tessera.operators import links, series, terms
 from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import sql_preprocess, sql_term_counts
 from tessera.plans.sqlweb import sql_page_text, sql_url_part
-from tessera.plans.text import CATEGORIES, _TOTALS_SQL, doc_term_counts
-from tessera.session import scratch_path
+from tessera.plans.text import CATEGORIES, EVENT_TYPES, _TOTALS_SQL, doc_term_counts
+from tessera.session import scratch_path, stored
 from tessera.sources import csvio
 from tessera.sources import pages as ps
 from tessera.sources.tables import read_table
@@ -46,6 +46,26 @@ def page_store_roundtrip(spark, sf):
         F.lit(ps.next_cycle(spark, path)).alias("next_cycle"))
 
 
+@register("page_store_replay",
+          f"SELECT cycle, domain, count(*) AS pages, TRUE AS intact FROM (SELECT * FROM ({_PAGES_SQL}) "
+          f"UNION ALL SELECT 2, domain, url, date, t FROM ({_PAGES_SQL}) WHERE starts_with(url, 'https:')) GROUP BY ALL")
+def page_store_replay(spark, sf):
+    """Two cycles of the store: the first replayed over a wider attempt that went
+    before it, the second committed once; a third was never committed."""
+    p = read_table(spark, sf, "pages", ["page_id", "url", "html"])
+    t = links.page_texts(p, ["page_id", "url"]).filter(tx.nonblank("page_text"))
+    rows = stored(t.select(ux.domain("url").alias("domain"), "url", F.lit(CRAWL_DATE).alias("date"), F.col("page_text").alias("text")), "pages-read")
+    path = scratch_path(spark, "page-store-cycles")
+    ps.commit_cycle(rows.unionByName(rows.withColumn("domain", F.concat(F.lit("x."), "domain"))), path, 1)
+    ps.commit_cycle(rows, path, 1)
+    ps.commit_cycle(rows.where(F.col("url").startswith("https:")), path, 2)
+    ps.write_page_store(rows.select(F.lit(3).alias("cycle"), "*"), path)
+    pages = ps.scan_committed(spark, path).groupBy("cycle", "domain").agg(F.count(F.lit(1)).alias("pages"))
+    broken = [ps.damaged_domains(spark, path, c).select(F.lit(c).alias("cycle"), "domain", F.lit(True).alias("bad")) for c in (1, 2)]
+    return pages.join(broken[0].unionByName(broken[1]), ["cycle", "domain"], "left").select(
+        "cycle", "domain", "pages", F.col("bad").isNull().alias("intact"))
+
+
 def _daily_sql() -> str:
     tc = sql_term_counts(f"(SELECT url AS k, t FROM ({_PAGES_SQL}))", "k", "t")
     cols = ", ".join(
@@ -84,3 +104,15 @@ def totals_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "totals-csv")
     csvio.write_totals_csv(terms.totals_long(doc_term_counts(spark, sf)), path)
     return csvio.read_totals_csv(spark, path)
+
+
+@register("series_csv_roundtrip",
+          "SELECT \"Date\", c AS category, n FROM (SELECT CAST(ts AS DATE) AS \"Date\", "
+          + ", ".join(f"count(*) FILTER (WHERE event_type = {sql_str(t)}) AS {t}" for t in EVENT_TYPES)
+          + " FROM events GROUP BY 1) UNPIVOT (n FOR c IN (" + ", ".join(EVENT_TYPES) + "))")
+def series_csv_roundtrip(spark, sf):
+    """The wide daily series through its CSV file, read back one row per cell."""
+    ev = read_table(spark, sf, "events", ["ts", "event_type"]).select(F.to_date("ts").alias("date"), "event_type")
+    path = scratch_path(spark, "series-csv")
+    csvio.write_timeseries_csv(series.zero_filled_pivot(ev, "date", "event_type", EVENT_TYPES), path)
+    return csvio.read_timeseries_csv(spark, path, EVENT_TYPES).unpivot("Date", EVENT_TYPES, "category", "n")

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tessera import fixed
 from tessera.functions import text as tx
-from tessera.operators import dedup, series, terms
+from tessera.operators import dedup, index, series, terms
 from tessera.operators.frames import computed_once
 from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import (sql_boilerplate, sql_clean, sql_preprocess, sql_taxonomy_values,
                                    sql_term_counts, sql_word_count)
+from tessera.session import stored
 from tessera.sources.tables import read_table
 
 # Event types of the driver's ``events`` table: the fixed pivot columns.
@@ -220,6 +221,44 @@ def word_count(spark, sf):
     return words.filter(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+_WORDS_SQL = (f"SELECT doc_id, list_filter(string_split({sql_preprocess('text')}, ' '), lambda x: x <> '') AS w FROM documents")
+INDEX_SPAN = 100
+
+
+def _positions(spark, sf):
+    words = F.filter(F.split(tx.preprocess_text("text"), " "), lambda w: w != "")
+    return index.word_positions(_docs(spark, sf), "doc_id", words)
+
+
+@register("inverted_index", f"""
+WITH p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM ({_WORDS_SQL})),
+d AS (SELECT word, doc_id, string_agg(pos, ',' ORDER BY pos) AS places, count(*) AS n FROM p GROUP BY word, doc_id)
+SELECT word, doc_id // {INDEX_SPAN} AS part, count(*) AS docs, sum(n)::BIGINT AS occurrences,
+       md5(string_agg(doc_id || ':' || places, ';' ORDER BY doc_id)) AS postings_md5 FROM d GROUP BY 1, 2""")
+def inverted_index(spark, sf):
+    """Posting lists with positions, common words' lists in parts; lists as digests."""
+    lists = index.inverted_index(_positions(spark, sf), "doc_id", INDEX_SPAN)
+    text = F.array_join(F.transform("postings", lambda p: F.concat(p["doc_id"].cast("string"), F.lit(":"), F.array_join(
+        F.transform(p["positions"], lambda x: x.cast("string")), ","))), ";")
+    return lists.select("word", "part", "docs", "occurrences", F.md5(text).alias("postings_md5"))
+
+
+PHRASES = [["the", "and"], ["de", "la"], ["the", "the"], ["es", "de", "la"]]
+
+
+@register("phrase_search", " UNION ALL ".join(
+    f"SELECT {sql_str(' '.join(ph))} AS phrase, doc_id, i AS pos FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM ({_WORDS_SQL})) "
+    f"WHERE w[i + 1 : i + {len(ph)}] = [{', '.join(map(sql_str, ph))}]" for ph in PHRASES))
+def phrase_search(spark, sf):
+    """Every place of a few phrases, found in the index."""
+    lists = stored(index.inverted_index(_positions(spark, sf), "doc_id", INDEX_SPAN), "index")
+    found = [index.phrase_search(lists, "doc_id", ph).select(F.lit(" ".join(ph)).alias("phrase"), "doc_id", "pos") for ph in PHRASES]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # --- DM7: the expanded keyword list as extra taxonomy rows -------------------
 FULL_TAXONOMY = {**fixed.TAXONOMY, **fixed.EXPANDED_TAXONOMY}
 

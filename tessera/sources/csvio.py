@@ -31,6 +31,13 @@ def write_timeseries_csv(pivot: DataFrame, path: str, key: str = "date") -> None
      .write.mode("overwrite").option("header", True).csv(path))
 
 
+def read_timeseries_csv(spark: SparkSession, path: str, categories: list[str]) -> DataFrame:
+    """S4 over S8: the wide series again, one count column per category, in the
+    order they were written."""
+    columns = ", ".join(["Date date", *(f"`{c}` long" for c in categories)])
+    return spark.read.option("header", True).option("enforceSchema", False).schema(columns).csv(path)
+
+
 def write_totals_csv(totals: DataFrame, path: str) -> None:
     """Long ``Type,Name,Count`` rows."""
     (totals.select(F.col("type").alias("Type"), F.col("name").alias("Name"),

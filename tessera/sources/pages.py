@@ -62,6 +62,59 @@ def write_page_store(df: DataFrame, path: str, mode: str = "append") -> None:
      .write.mode(mode).partitionBy("cycle", "domain").option("lineSep", RECORD_SEP).text(path))
 
 
+def commit_cycle(df: DataFrame, path: str, cycle: int) -> None:
+    """S6 for one cycle ``(domain, url, date, text)``, all or nothing.
+
+    The pages replace the cycle's folder, whatever an earlier attempt left there;
+    then a manifest (domain, pages, digest) is written next to the data, and its
+    presence is the commit. Until then, and while a replay is under way, readers of
+    ``scan_committed`` don't see the cycle; a replayed cycle gives the same store.
+    """
+    spark, folder = df.sparkSession, f"{path}/{MANIFEST}/cycle={int(cycle)}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    (df.hint("rebalance", "domain").select("domain", page_records(df).alias("value"))
+     .write.mode("overwrite").partitionBy("domain").option("lineSep", RECORD_SEP).text(f"{path}/cycle={int(cycle)}"))
+    manifest(spark, path, cycle).write.mode("overwrite").parquet(folder)
+
+
+#: Hidden from scans of the store by its first character.
+MANIFEST = "_manifest"
+
+
+def manifest(spark: SparkSession, path: str, cycle: int) -> DataFrame:
+    """(domain, pages, digest) of a cycle as it lies in the store; the digest is
+    an order-free sum of the records' hashes."""
+    raw = (spark.read.schema("value string, domain string").option("lineSep", RECORD_SEP).text(f"{path}/cycle={int(cycle)}")
+           .select("domain", F.xxhash64("value").cast("decimal(38,0)").alias("h")))
+    return raw.groupBy("domain").agg(F.count(F.lit(1)).alias("pages"), F.sum("h").alias("digest"))
+
+
+def committed_cycles(spark: SparkSession, path: str) -> list[int]:
+    """Cycles whose manifest was finished."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    for f in fs.listStatus(hadoop) if fs.exists(hadoop) else []:
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")
+        if f.getPath().getName().startswith("cycle=") and fs.exists(marker):
+            done.append(int(f.getPath().getName().split("=")[1]))
+    return sorted(done)
+
+
+def scan_committed(spark: SparkSession, path: str) -> DataFrame:
+    """``scan_page_store`` without cycles that were not committed."""
+    return scan_page_store(spark, path).where(F.col("cycle").isin(committed_cycles(spark, path)))
+
+
+def damaged_domains(spark: SparkSession, path: str, cycle: int) -> DataFrame:
+    """(domain) of a committed cycle whose pages are not those of its manifest."""
+    noted = spark.read.schema("domain string, pages long, digest decimal(38,0)").parquet(f"{path}/{MANIFEST}/cycle={int(cycle)}")
+    there = manifest(spark, path, cycle).select("domain", F.col("pages").alias("n"), F.col("digest").cast("decimal(38,0)").alias("d"))
+    both = noted.join(there, "domain", "full")
+    return both.where(~(F.col("pages").eqNullSafe(F.col("n")) & F.col("digest").eqNullSafe(F.col("d")))).select("domain")
+
+
 def _parse(raw: DataFrame, body: str, extra: list[Column]) -> DataFrame:
     lines = F.split(F.col(body), "\n")
     first = F.trim(lines[0])

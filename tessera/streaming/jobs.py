@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions import text as tx
 from tessera.operators import dedup, links
-from tessera.session import scratch_path
+from tessera.session import scratch_path, stored
 
 
 def read_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
@@ -59,28 +59,41 @@ def dedup_stream(spark: SparkSession, docs_path: str, out: str | None = None,
     A page seen once stays suppressed for good, as in the original, so the
     memory of hashes is the sink itself, a table that grows with the distinct
     pages: each micro-batch keeps its smallest id per hash and anti joins the
-    hashes stored before. Nothing is held in executor state. A batch writes its
-    own folder and overwrites it on replay, and reads only folders of earlier
-    batches, so a retry after a failure gives the same rows.
+    hashes stored before. The table is laid out by the hash's first digits, and
+    a batch reads only the folders of the digits it has itself, by partition
+    pruning: what a small batch reads does not grow with what others brought.
+    Nothing is held in executor state. A batch writes its own folder and
+    overwrites it on replay, and reads only folders of earlier batches, so a
+    retry after a failure gives the same rows.
     """
     src = read_stream(spark, docs_path).select(
         "doc_id", tx.content_hash(tx.clean_text("text")).alias("content_hash"))
     out = out or scratch_path(spark, "stream-dedup")
-    schema = "content_hash string, doc_id long, ingest_ts timestamp, epoch long"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        first = dedup.dedup_first(batch, "doc_id", "content_hash")
+        first = dedup.dedup_first(batch, "doc_id", "content_hash").withColumn("bucket", F.substring("content_hash", 1, HASH_DIGITS))
+        first = stored(first, "stream-batch")
         if epoch:
-            seen = spark.read.schema(schema).parquet(out).where(F.col("epoch") < epoch)
-            first = dedup.exclude_seen(first, seen, "content_hash")
-        first.withColumn("ingest_ts", F.current_timestamp()).select("content_hash", "doc_id", "ingest_ts") \
-            .write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+            own = [r.bucket for r in first.select("bucket").distinct().collect()]      # at most 16 ** HASH_DIGITS
+            first = dedup.exclude_seen(first, seen_hashes(spark, out, own, epoch), "content_hash")
+        first.withColumn("ingest_ts", F.current_timestamp()).select("content_hash", "doc_id", "ingest_ts", "bucket") \
+            .hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/epoch={epoch}")
 
     q = (src.writeStream.foreachBatch(sink).option("checkpointLocation", out + "-ckpt")
          .trigger(**(trigger or {"availableNow": True})).start())
     return q, out
 
 
+#: Hex digits of a hash that name its folder in the store.
+HASH_DIGITS = 2
+
+
+def seen_hashes(spark: SparkSession, store: str, buckets: list[str], before: int) -> DataFrame:
+    """Hashes of earlier batches in the given folders of the store."""
+    schema = "content_hash string, doc_id long, ingest_ts timestamp, epoch long, bucket string"
+    return spark.read.schema(schema).parquet(store).where((F.col("epoch") < before) & F.col("bucket").isin(buckets))
+
+
 def daily_counts_stream(spark: SparkSession, events_path: str, out: str | None = None,
                         watermark: str = "1 hour", trigger: dict | None = None):
     """Per-day, per-type counts as tumbling event-time windows, emitted in
