@@ -19,7 +19,7 @@ from tessera.operators import metrics as mx
 from tessera.operators import models as md
 from tessera.operators import raster as rx
 from tessera.operators import unmixing as um
-from tessera.plans.raster import pixels
+from tessera.plans.raster import SPLIT_SQL, _FEATS, pixels
 from tessera.plans.registry import register
 from tessera.session import stored
 from tessera.sources.tables import read_table
@@ -93,7 +93,7 @@ def hybrid_report(spark, sf):
 @register("kmeans_embeddings")
 def kmeans_embeddings(spark, sf):
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    return md.kmeans(emb, "embedding", 10).select("vec_id", "cluster")
+    return md.kmeans(emb, "embedding", 10, max_iter=200).select("vec_id", "cluster")
 
 
 # --- E2, E3, E4 on documents x labels ------------------------------------------------
@@ -282,4 +282,70 @@ def unmix_sparse_check(spark, sf):
 def kmeans_check(spark, sf):
     """Every vector's cluster is the one whose members' mean is nearest."""
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    return md.nearest_mean(md.kmeans(emb, "embedding", 10, max_iter=200), "vec_id", "embedding", "cluster")
+    return md.nearest_mean(kmeans_embeddings(spark, sf).join(emb, "vec_id"), "vec_id", "embedding", "cluster")
+
+
+# Trained classifiers: what SQL knows of their rows, and that they learned something.
+_SEGMENTED = (f"{_FEATS}, lab AS (SELECT image_id, (blur7 >= (SELECT avg(blur7) FROM f))::INT AS label FROM f), "
+              f"t AS (SELECT lab.* FROM lab JOIN ({SPLIT_SQL}) USING (image_id) WHERE split = 'test') ")
+
+
+def _counted(model: str) -> str:
+    return (f"SELECT '{model}' AS model, 'rows' AS condition, count(*) AS n FROM t UNION ALL "
+            f"SELECT '{model}', 'positives', sum(label)::BIGINT FROM t UNION ALL "
+            f"SELECT '{model}', 'bounded', 1 UNION ALL SELECT '{model}', 'better than a constant', 1")
+
+
+def _judged(model: str, scored: DataFrame, p: str) -> DataFrame:
+    """Rows, positives, bounds, and whether the score ranks better than a constant,
+    whose area under the curve is 0.5."""
+    auc = mx.roc_auc(scored, p, "label").select((F.col("auc") > 0.5).cast("long").alias("n"))
+    counts = scored.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("label").cast("long")).alias("positives"),
+                        F.coalesce(F.bool_and(F.col(p).between(0, 1)), F.lit(False)).cast("long").alias("bounded"))
+    out = counts.unpivot([], ["rows", "positives", "bounded"], "condition", "n")
+    out = out.unionByName(auc.select(F.lit("better than a constant").alias("condition"), "n"))
+    return out.select(F.lit(model).alias("model"), "condition", "n")
+
+
+@register("segmentation_checks", _SEGMENTED + " UNION ALL ".join(_counted(m) for m in ("texture", "context", "blend"))
+          + " UNION ALL SELECT * FROM (VALUES ('ranking', 'features', 4), ('ranking', 'shares of one', 1))")
+def segmentation_checks(spark, sf):
+    """The texture and context models and their blend on the held-out images, and
+    the ranking of the texture model's features."""
+    table = _pixel_table(spark, sf)
+    model = _gbt_model(table)
+    test = table.filter(F.col("split") == "test")
+    texture = md.positive_probability(model.transform(test), "p_texture").select("image_id", "y", "x", "label", "p_texture")
+    scored = stored(texture.join(_context(table), ["image_id", "y", "x"]).withColumn("blend", mx.blend("p_context", "p_texture")), "scored")
+    out = _judged("texture", scored, "p_texture")
+    for name, p in (("context", "p_context"), ("blend", "blend")):
+        out = out.unionByName(_judged(name, scored, p))
+    rank = md.feature_ranking(spark, model, md.FEATURES).agg(
+        F.count_distinct("feature").alias("features"),
+        ((F.abs(F.sum("importance") - 1) < 1e-9) & (F.min("importance") >= 0)).cast("long").alias("shares of one"))
+    return out.unionByName(rank.unpivot([], ["features", "shares of one"], "condition", "n").select(
+        F.lit("ranking").alias("model"), "condition", "n"))
+
+
+_QUALITY = ("logistic_regression", "random_forest", "boosted_trees")
+
+
+@register("quality_checks", " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{c}' AS condition, TRUE AS holds" for m in _QUALITY
+    for c in ("all held-out rows", "labels as given", "bounded")))
+def quality_checks(spark, sf):
+    """The three quality classifiers on the held-out fold, which at the smallest
+    scale holds two negatives: how well they rank is tested at a larger one."""
+    _, test = _doc_split(spark, sf)
+    labels = read_table(spark, sf, "labels", ["doc_id", "quality"])
+    n = test.count()
+    out = None
+    for name, query in zip(_QUALITY, (logreg_quality, rf_quality, gbt_quality)):
+        scored = stored(query(spark, sf), "scored")
+        right = scored.join(labels, "doc_id").agg(F.count(F.lit(1)).alias("k"), F.bool_and(F.col("label") == F.col("quality")).alias("same"))
+        flags = scored.agg(F.count_distinct("doc_id").alias("ids"), F.bool_and(F.col("p").between(0, 1)).alias("bounded")) \
+            .join(right).select(
+                ((F.col("ids") == n) & (F.col("k") == n)).alias("all held-out rows"), F.col("same").alias("labels as given"), "bounded")
+        part = flags.unpivot([], flags.columns, "condition", "holds").select(F.lit(name).alias("model"), "condition", "holds")
+        out = part if out is None else out.unionByName(part)
+    return out

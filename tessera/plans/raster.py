@@ -175,8 +175,11 @@ def _image_ids(spark, sf):
     return read_table(spark, sf, "embeddings", ["vec_id"]).select(F.col("vec_id").alias("image_id")).distinct()
 
 
-@register("three_way_split", _split_sql(
-    f"WHEN rk <= floor(n * {_F0}) THEN 'train' WHEN rk <= floor(n * {_F0}) + floor(n * {_F1}) THEN 'val' ELSE 'test'"))
+SPLIT_SQL = _split_sql(
+    f"WHEN rk <= floor(n * {_F0}) THEN 'train' WHEN rk <= floor(n * {_F0}) + floor(n * {_F1}) THEN 'val' ELSE 'test'")
+
+
+@register("three_way_split", SPLIT_SQL)
 def three_way_split(spark, sf):
     return rx.three_way_split(_image_ids(spark, sf), "image_id").select("image_id", "split")
 

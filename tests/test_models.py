@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import models as md
 from tessera.plans import ml
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 
 def test_hybrid_report_beats_the_constant_answers(spark):
@@ -41,3 +41,10 @@ def test_checks_can_fail(spark):
         fitted = spark.createDataFrame(rows, "feature string, coefficient double")
         got = [r.holds for r in md.lasso_optimality(df, ["a", "b"], "y", 0.0, fitted).collect()]
         assert got[0] == want[0] and got[2] == want[2]
+
+
+def test_quality_models_rank_better_than_a_constant(spark):
+    from tessera.operators import metrics as mx
+    for query in (ml.logreg_quality, ml.rf_quality):
+        r = mx.roc_auc(query(spark, SF01), "p", "label").first()
+        assert r.auc > 0.5 + 1.64 * ((r.positives + r.negatives + 1) / (12 * r.positives * r.negatives)) ** 0.5
