@@ -41,7 +41,7 @@ SENSITIVE = re.compile(r"passw|passphrase|secret|token|api.?key|private.?key|acc
                        r"bearer|authorization|client.?id|signature|\bpwd\b|\bauth\b", re.IGNORECASE | re.ASCII)
 SENSITIVE_PARTS = ("passw", "passphrase", "secret", "token", "key", "credential", "bearer", "authorization",
                    "client", "signature", "pwd", "auth")
-REACH, CONTEXT, MIN_NOVEL = 64, 512, 16
+REACH, CONTEXT, MIN_NOVEL = 64, 512, 16  # defaults: ``reach`` and ``context`` are parameters of scan and redact
 #: Least marginal bytes per character of a string with FEW_DIGITS digits or
 #: more. A short random key is stored whole (1.0); identifiers built from words
 #: of the dictionary or the context stay below 0.7.
@@ -52,7 +52,10 @@ NOVELTY, FEW_DIGITS = 0.75, 2
 #: random ones cost 0.97 of that or more. Strings of fewer bits a character
 #: (rulers, runs) are no keys in any usual alphabet; random digits have 3.2.
 OWN_ORDER, LEAST_BITS = 0.9, 2.75
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_NOVEL)
+#: A candidate ends in padding at most: an equals sign inside parts a name from its value.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_NOVEL)
+#: What may glue a key to its name without an equals sign or a blank.
+GLUE = "+/_-"
 
 #: Identifiers that code around credentials uses; with Python's keywords they
 #: prime the compressor, so that names made of them cost next to nothing.
@@ -108,26 +111,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def novel_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def novel_spans(text: str, known: list[tuple[int, int, int]], reach: int = REACH, context: int = CONTEXT) -> list[tuple[int, int, int]]:
     """Candidates in sensitive context that no base span touches and that the
-    primed compressor cannot explain."""
+    primed compressor cannot explain: strings that begin at most ``reach``
+    characters behind a name, judged beside ``context`` characters on each side."""
     low = text.lower()
     if not any(part in low for part in SENSITIVE_PARTS):
         return []
     found, tried = [], set()
     for name in SENSITIVE.finditer(text):
         # so far that a string starting anywhere inside the reach shows its least length
-        stop = min(len(text), name.end() + REACH + MIN_NOVEL - 1)
+        stop = min(len(text), name.end() + reach + MIN_NOVEL - 1)
         for m in CANDIDATE.finditer(text, name.end(), stop):
             start, end = m.span()
-            if start == name.end() or start in tried:
-                continue  # the rest of an identifier, as in tokenization
-            tried.add(start)
             if end == stop:  # the string goes on
                 end = CANDIDATE.match(text, start).end()
+            if start == name.end():
+                # the rest of an identifier, as in tokenization, unless it is parted and has digits
+                start = end - len(text[start:end].lstrip(GLUE))
+                if start == name.end() or end - start < MIN_NOVEL or sum(map(str.isdigit, text[start:end])) < FEW_DIGITS:
+                    continue
+            if start in tried:
+                continue
+            tried.add(start)
             if any(s < end and start < e for s, _, e in known):
                 continue
-            if is_novel(text[start:end], text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]):
+            if is_novel(text[start:end], text[max(0, start - context):start] + text[end:end + context]):
                 found.append((start, 3, end))
     return sorted(found)
 
@@ -136,15 +145,15 @@ def _joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def all_spans(text: str) -> tuple[list, list]:
+def all_spans(text: str, reach: int = REACH, context: int = CONTEXT) -> tuple[list, list]:
     base = sorted(base_spans(text))
-    return base, sorted(base + novel_spans(text, base))
+    return base, sorted(base + novel_spans(text, base, reach, context))
 
 
-def _scan(rows: dict) -> dict:
+def _scan(rows: dict, reach: int, context: int) -> dict:
     out = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans")}
     for text in rows["text"]:
-        base, spans = all_spans(text)
+        base, spans = all_spans(text, reach, context)
         for kind, name in enumerate(("n_assign", "n_access", "n_hex", "n_novel")):
             out[name].append(sum(k == kind for _, k, _ in spans))
         out["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
@@ -152,17 +161,17 @@ def _scan(rows: dict) -> dict:
     return {"doc_id": rows["doc_id"], **out}
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, reach: int = REACH, context: int = CONTEXT) -> DataFrame:
     """One row per document: counts per kind, digest of the base spans, all spans."""
-    return map_texts(texts(docs), _scan, "doc_id long, n_assign long, n_access long, n_hex long, "
+    return map_texts(texts(docs), lambda rows: _scan(rows, reach, context), "doc_id long, n_assign long, n_access long, n_hex long, "
                                          "base_sha256 string, spans string, n_novel long")
 
 
-def mask(text: str | None, mark: str) -> str | None:
+def mask(text: str | None, mark: str, reach: int = REACH, context: int = CONTEXT) -> str | None:
     """The text with every span (overlaps joined) replaced by ``mark``."""
     if not text:
         return text
-    _, spans = all_spans(text)
+    _, spans = all_spans(text, reach, context)
     parts, at = [], 0
     for s, _, e in spans:
         if e <= at:
@@ -173,13 +182,13 @@ def mask(text: str | None, mark: str) -> str | None:
     return "".join([*parts, text[at:]])
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH, context: int = CONTEXT) -> DataFrame:
     """``docs`` with its secrets replaced; all columns and rows stay, null
     texts stay null. ``n_chars``, where it exists, follows the new text."""
 
     @F.pandas_udf("string")
     def masked(col):
-        return col.map(lambda t: mask(t, mark))
+        return col.map(lambda t: mask(t, mark, reach, context))
 
     out = docs.withColumn("text", masked(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

@@ -114,3 +114,25 @@ def test_novelty_of_any_alphabet():
     assert found("credential" + " " * sc.REACH + k) == []
     for text in ("bearer " + "-" * 40, "bearer " + "=" * 16, "bearer " + "x" * 300, "token default_connection_string_config"):
         assert found(text) == [], text
+
+
+def test_every_separator_between_name_and_key():
+    rng = random.Random(11)
+    abc = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = lambda text, **kw: [text[s:e] for s, kind, e in sc.all_spans(text, **kw)[1] if kind == 3]
+    names = ("private_key", "credential", "bearer", "authorization", "signature", "passphrase", "access_key", "pwd", "client_id", "auth",
+             "aws_secret_access_key", "access_key_id", "Secret-Access-Key-For-The-Service")
+    for name in names:
+        for sep in ("=", " = ", ":", ": ", '="', "='", "=>", " -> ", "\t", "|", ",", "=="):
+            for _ in range(3):
+                k = "".join(rng.choices(abc, k=32))
+                assert found(f"x {name}{sep}{k} y") == [k], (name, sep, k)
+    for sep in "-/+_":
+        for name in ("token", "bearer", "credential"):
+            k = "".join(rng.choices(abc, k=30)) + "42"
+            assert found(f"x {name}{sep}{k} y") == [k], (name, sep)
+    k = "".join(rng.choices(abc, k=30)) + "=="
+    assert found(f"credential={k}&x") == [k]                      # padding belongs to the key
+    assert found("the token-based-default-connection-config of it") == []
+    far = f"credential {'. ' * 100}{k}"
+    assert found(far) == [] and found(far, reach=400) == [k]
