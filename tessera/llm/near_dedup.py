@@ -19,9 +19,13 @@ a rare shingle are listed from it, few for each. Two others share only shingles
 that are not rare; with k and l of those they share min(k, l) at most. Copies
 with many edits of their own fail that bound against their whole family.
 
+Classes are numbered by themselves and known by one text each, found by doc_id
+and text hash, so a doc_id with several texts is as many members as it has sets.
+
 Defined results: a null or empty text has no shingles and is linked with
-nothing; rows that share a doc_id are judged each by its own text; a row with a
-null doc_id is linked with nothing and kept; an empty table gives no rows;
+nothing; rows that share a doc_id are judged each by its own text, and a
+component bears the smallest doc_id of its rows; a row with a null doc_id is
+linked with nothing and kept; an empty table gives no rows;
 extra columns of any name are not read.
 """
 
@@ -104,10 +108,10 @@ def _signatures(rows: dict) -> dict:
         bands, sketch = _signature(s) if len(s) else (None, None)
         out["bands"].append(bands)
         out["sketch"].append(sketch)
-    return {"doc_id": rows["doc_id"], **out}
+    return {"doc_id": rows["doc_id"], "text_hash": rows["text_hash"], **out}
 
 
-SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+SIGNATURE = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 
 def _confirm(held: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -157,7 +161,7 @@ def _possible(shared, n, m):
 
 def _rare_shingles(held: DataFrame, nodes: DataFrame) -> DataFrame:
     """(shingle, node, n): the rare shingles among the nodes, each with the n
-    nodes that have it. A node with several texts has the shingles of all."""
+    nodes that have it."""
     def run(rows: dict) -> dict:
         sets = [shingle_hashes(unpacked(t)) for t in rows["packed"]]
         n = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -170,18 +174,23 @@ def _rare_shingles(held: DataFrame, nodes: DataFrame) -> DataFrame:
     return every.join(rare, "shingle")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    rows = stored(map_texts(texts(docs), _signatures, SIGNATURE), "signatures")
+def _hashed(docs: DataFrame) -> DataFrame:
+    return texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept of every row of ``docs``."""
+    rows = stored(map_texts(_hashed(docs), _signatures, SIGNATURE), "signatures")
     # one row per set: bands and sketch are functions of the set
     classes = stored(rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "classes")
+        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()), "classes")
     member = classes.select("node", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
     bucket = stored(member.join(shared.where("pivot < last").select("key", "pivot"), "key").distinct(), "buckets")
-    nodes = bucket.select("node").distinct()
-    held = stored(packed_texts(texts(docs)).withColumnRenamed("doc_id", "node").join(nodes, "node").distinct(), "candidate-texts")
+    nodes = bucket.select("node").distinct().join(classes.select("node", "rep.doc_id", "rep.text_hash"), "node")
+    held = packed_texts(_hashed(docs)).join(nodes, ["doc_id", "text_hash"]).select("node", "packed").distinct()
+    held = stored(held, "candidate-texts")
     info = classes.select("node", "n", "sketch")
 
     a, b = (info.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "uv")
@@ -197,9 +206,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     main = size.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
     left = stored(left.join(main.where("parts > 1").select("key", "main"), "key"), "open")
     rare = stored(_rare_shingles(held, left.select("node").distinct()), "rare")
-    # the bound needs the shingles of one text
-    one_text = held.groupBy("node").agg(F.count("*").alias("texts")).where("texts = 1").select("node")
-    own = rare.groupBy("node").agg(F.count("*").alias("own")).join(one_text, "node")
+    own = rare.groupBy("node").agg(F.count("*").alias("own"))
     # a pair leaves the join in the first bucket that it shares only; a node is in BANDS buckets at most
     keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
     full = left.join(info, "node").join(keys, "node").join(own, "node", "left").withColumn("k", F.col("n") - F.coalesce("own", F.lit(0)))
@@ -226,16 +233,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not found.isEmpty():
         group = stored(components(links.unionByName(found)), "groups")
 
-    label = classes.select("set_a", "set_b", "node").join(group, "node", "left").select(
-        "set_a", "set_b", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(label, ["set_a", "set_b"], "left").select(
-        "doc_id", "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    label = classes.select("set_a", "set_b", "node", "rep.doc_id").join(group, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    label = label.join(least, "component").select("set_a", "set_b", "component_id")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(label, ["set_a", "set_b"], "left").select(
+        "doc_id", "text_hash", "n_shingles",
+        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    return labelled(docs).drop("text_hash")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one of the
-    smallest doc_id, with all its rows. Rows without an id stay."""
-    gone = near_duplicates(docs).groupBy(F.col("doc_id").alias("_gone")).agg(F.bool_or("kept").alias("kept")).where("not kept")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    smallest doc_id, with all its rows in the group. Rows that share a doc_id
+    stay or go each by its own text; rows without an id stay."""
+    gone = labelled(docs).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["_gone"]) & (F.xxhash64(text) == gone["_hash"]), "left_anti")

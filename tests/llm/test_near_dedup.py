@@ -117,3 +117,66 @@ def test_components(spark, seed):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     linked = {x for u, v in links for x in (u, v) if u != v}
     assert got == {x: label[x] for x in linked}
+
+
+def brute_rows(rows):
+    """[(doc_id, n_shingles, component)] of rows whose ids may repeat: all pairs of rows."""
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, s in enumerate(sets):
+        for b in range(a):
+            if s and sets[b] and 100 * len(s & sets[b]) >= 80 * len(s | sets[b]):
+                parent[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted((i, len(s), least[find(k)] if s else i) for k, ((i, _), s) in enumerate(zip(rows, sets)))
+
+
+def test_repeated_ids_lose_no_text(spark):
+    """A doc_id with unrelated texts joins no groups, and no text goes without a kept near copy."""
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(900)]
+    a, b = (" ".join(rng.choices(words, k=60)) for _ in "ab")
+    rows = [(3, a), (5, a + " more"), (5, b), (9, b)]
+    assert brute_rows(rows) == [(3, 57, 3), (5, 57, 5), (5, 58, 3), (9, 57, 5)]
+    bases = [rng.choices(words, k=80) for _ in range(12)]
+    for _ in range(150):
+        own = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 2, 5])):
+            own[rng.randrange(80)] = rng.choice(words)
+        rows.append((rng.randrange(100, 150), " ".join(own)))
+    rows += [(rng.randrange(100, 150), None), (120, "")]
+    df = spark.createDataFrame([(*r, "h") for r in rows], "doc_id long, text string, text_hash string")
+    got = nd.near_duplicates(df).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_rows(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    left = nd.one_of_each(df)
+    assert left.columns == df.columns
+    left = [(r.doc_id, r.text) for r in left.collect()]
+    groups = _groups(rows)
+    least = [min(i for i, t in rows if t in g) for g in groups]
+    stay = [(i, t) for i, t in rows if all(t not in g or i == low for g, low in zip(groups, least))]
+    assert sorted(left, key=str) == sorted(stay, key=str)
+    assert all(any(t in g for _, t in left) for g in groups)
+
+
+def _groups(rows):
+    todo, groups = [t for t in {t for _, t in rows if t}], []
+    while todo:
+        group, edge = set(), [todo[0]]
+        while edge:
+            t = edge.pop()
+            if t in group:
+                continue
+            group.add(t)
+            s = shingles(t)
+            edge += [u for u in todo if u not in group and 100 * len(s & shingles(u)) >= 80 * len(s | shingles(u))]
+        groups.append(group)
+        todo = [t for t in todo if t not in group]
+    return groups
