@@ -290,7 +290,8 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``cut`` (a written table of pieces) with sequence_id and offset."""
     shards = max(1, -(-cut.count() // shard_pieces))
-    keyed = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(shards)))
+    # the row's place in the table deals equal pieces over all shards
+    keyed = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length", F.monotonically_increasing_id()), F.lit(shards)))
     schema = T.StructType([*cut.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     target = to_arrow_schema(schema)
 

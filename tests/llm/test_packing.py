@@ -99,3 +99,14 @@ def test_the_exchange_takes_the_tightest_pair():
     # 60 + 30 leaves 10; exchanging 30 for 22 + 18 closes the bin
     bins, _ = pk.best_two_fit(np.array([60, 30, 22, 18]), 100)
     assert bins[0] == bins[2] == bins[3] != bins[1]
+
+
+def test_equal_pieces_spread_over_all_shards(spark):
+    """Identical rows (null ids, empty texts) are not one group."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(None, "") for _ in range(2000)], "doc_id long, text string").repartition(4)
+    cut = pk.stored(pk.pieces(df), "equal-pieces")
+    out = pk.pack(cut, shard_pieces=100)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32).alias("shard")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 200 and sum(sizes) == 2000
