@@ -94,8 +94,9 @@ def placed(sizes: DataFrame, source: DataFrame) -> DataFrame:
             .drop("range", "base", "key"))
 
 
-def schedule(source: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(source_no, rank, slot): one row per slot that the mix needs.
+def schedule(source: DataFrame, block_words: int = BLOCK_WORDS, step: int = STEP) -> DataFrame:
+    """(source_no, rank, slot): one row per slot that the mix needs. ``step`` (odd)
+    over ``PERIOD`` is how far the point moves from slot to slot.
 
     A source whose turns come more often than its target needs passes them; one
     that is short by a turn or two gets the missing ones after the others.
@@ -106,7 +107,7 @@ def schedule(source: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     cells = need.where("to > from").withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("from") * CELLS), F.least(F.floor(F.col("to") * CELLS), F.lit(CELLS - 1)))))
     slots = spark.range(n).select(F.col("id").alias("slot"),
-                                  ((F.col("id") % PERIOD * STEP) % PERIOD / PERIOD).alias("point"))
+                                  ((F.col("id") % PERIOD * step) % PERIOD / PERIOD).alias("point"))
     slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS)).join(cells, "cell")
     slots = slots.where("point >= from and point < to").withColumn("stretch", F.floor(F.col("slot") / STRETCH))
     counts = slots.groupBy("source_no", "stretch").agg(F.count("*").alias("n"))
@@ -123,7 +124,7 @@ def schedule(source: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return ranked.unionByName(late)
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, step: int = STEP) -> DataFrame:
     """The mix: one row per document stretch in a slot (slot, rank, words from
     and to inside the document's words, ``words`` taken), and one with null slot
     for a row that the mix takes nothing from."""
@@ -135,7 +136,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     end = F.least(F.col("at") + F.col("size"), F.col("words"))
     parts = parts.withColumn("rank", F.explode_outer(F.when(end > F.col("at"), F.sequence(
         F.floor(F.col("at") / block_words), F.floor((end - 1) / block_words)))))
-    slots = schedule(source, block_words)
+    slots = schedule(source, block_words, step)
     parts = parts.join(slots, ["source_no", "rank"], "left")
     lo = F.greatest(F.col("rank") * block_words, "at")
     hi = F.least((F.col("rank") + 1) * block_words, end)
@@ -144,10 +145,14 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                         F.when(F.col("slot").isNotNull(), hi - lo).otherwise(0).cast("long").alias("taken"))
 
 
-def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: its source's figures and the words the mix takes."""
-    return (mix(docs, block_words).groupBy("doc_id", "source", "size", "source_size", "target", "row")
-            .agg(F.sum("taken").alias("taken")).drop("row"))
+def taken(docs: DataFrame, block_words: int = BLOCK_WORDS, step: int = STEP) -> DataFrame:
+    """One row per document: its source's figures, the words the mix takes, and
+    where in the mix they stand: how many slots hold some, the first of them and
+    a digest of all. ``step`` turns the schedule (see ``schedule``)."""
+    return (mix(docs, block_words, step).groupBy("doc_id", "source", "size", "source_size", "target", "row")
+            .agg(F.sum("taken").alias("taken"), F.count("slot").alias("n_slots"), F.min("slot").alias("first_slot"),
+                 F.coalesce(F.sum(F.xxhash64("slot", "word_from", "word_to").bitwiseAND((1 << 40) - 1)), F.lit(0)).alias("slot_digest"))
+            .drop("row"))
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -109,3 +109,16 @@ def test_repeated_rows_without_words(spark):
     got = mx.taken(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert sorted((str(r.doc_id), r["size"]) for r in got) == [("1", 0)] * 3 + [("2", 2)] * 2 + [("None", 0)] * 2
     assert all(r.taken == 0 for r in got if not r["size"])
+
+
+def test_the_schedule_places_the_words(spark):
+    """How much is taken follows the targets; where it stands follows the points."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(k, "w " * rng.randrange(1, 200), f"s{k % 4}") for k in range(120)], "doc_id long, text string, source string")
+    golden, plain = ({r.doc_id: r for r in mx.taken(df, 32, step).collect()} for step in (mx.STEP, 1))
+    assert {k: r.taken for k, r in golden.items()} == {k: r.taken for k, r in plain.items()}
+    assert sum(golden[k].first_slot != plain[k].first_slot for k in golden if golden[k].taken) > 60
+    assert sum(golden[k].slot_digest != plain[k].slot_digest for k in golden) > 60
+    parts = mx.mix(df, 32).where("slot is not null").collect()
+    assert {k: r.n_slots for k, r in golden.items() if r.n_slots} == {
+        k: sum(p.doc_id == k for p in parts) for k in {p.doc_id for p in parts}}
