@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, map_texts, mix64, texts
+from tessera.llm.common import held_out, map_texts, one_text_each, mix64, texts
 from tessera.llm.toxicity import row_weights, sample
 
 THRESHOLD = 0.7
@@ -226,7 +226,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, of: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, good: int = GOOD, bad: int = BAD, train_lines: int = TRAIN_LINES) -> Model:
     """The field and its curve from labelled, not held out documents of ``docs``."""
     # bounded by good + bad rows of two numbers
-    train = texts(docs).join(F.broadcast(sample(labels, "quality", good, bad)), "doc_id")
+    train = one_text_each(texts(docs).join(F.broadcast(sample(labels, "quality", good, bad)), "doc_id"))
     train = train.where(F.regexp_count("text", F.lit("\n")) < train_lines)
 
     def measured(rows: dict) -> dict:

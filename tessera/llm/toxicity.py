@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, map_texts, texts
+from tessera.llm.common import held_out, map_texts, one_text_each, texts
 
 THRESHOLD = 0.3
 #: Bounds of the training sample, rows of each label.
@@ -278,7 +278,7 @@ def _narrower(entry: str, other: str) -> bool:
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> Model:
     """Lexicon and layer from the labelled, not held out documents of ``docs``."""
     # bounded by positives + negatives rows of two numbers
-    train = texts(docs).join(F.broadcast(sample(labels, "toxic", positives, negatives)), "doc_id")
+    train = one_text_each(texts(docs).join(F.broadcast(sample(labels, "toxic", positives, negatives)), "doc_id"))
     n = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     model = Model({}, {}, PRIOR)

@@ -51,5 +51,5 @@ def test_empty_table_and_extra_columns(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = list(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "secrets", "source_mix", "packing"]

@@ -77,3 +77,13 @@ def test_edge_rows(spark):
         assert len(got) == 7 and got[0] == ("1", bias, 0) and got[1] == ("2", bias, 0) and got[4] == got[5]
         assert [g[2] for g in got] == [0, 0, 0, 1, 0, 0, 1]
     assert tx.score(df.limit(0), model).count() == 0
+
+
+def test_one_training_row_per_id(spark):
+    """The bound on sampled ids is a bound on rows: repeated ids add none."""
+    from tessera.llm.common import one_text_each
+
+    rows = [(1, 0, "b"), (1, 0, "a"), (1, 0, "a"), (2, 1, None), (2, 1, "x")] + [(3, 1, f"t{k}") for k in range(500)]
+    got = one_text_each(spark.createDataFrame(rows, "doc_id long, label int, text string").repartition(5)).collect()
+    assert sorted((r.doc_id, r.label) for r in got) == [(1, 0), (2, 1), (3, 1)]
+    assert {r.doc_id: r.text for r in got}[1] in ("a", "b")
