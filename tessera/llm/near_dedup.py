@@ -185,16 +185,19 @@ def labelled(docs: DataFrame) -> DataFrame:
     classes = stored(rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    member = classes.select("node", F.explode("bands").alias("key"))
-    shared = member.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    bucket = stored(member.join(shared.where("pivot < last").select("key", "pivot"), "key").distinct(), "buckets")
+    # the pivot is the member of the smallest doc_id: the same one in all buckets of a
+    # family, and the text that the others were made from where copies come later
+    member = classes.select("node", "rep.doc_id", F.explode("bands").alias("key"))
+    shared = member.groupBy("key").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = shared.where("low < high").select("key", F.col("first.node").alias("pivot"))
+    bucket = stored(member.drop("doc_id").join(shared, "key").distinct(), "buckets")
     nodes = bucket.select("node").distinct().join(classes.select("node", "rep.doc_id", "rep.text_hash"), "node")
     held = packed_texts(_hashed(docs)).join(nodes, ["doc_id", "text_hash"]).select("node", "packed").distinct()
     held = stored(held, "candidate-texts")
     info = classes.select("node", "n", "sketch")
 
     a, b = (info.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "uv")
-    star = bucket.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+    star = bucket.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     near = (_differ("su", "sv") <= sketch_limit()) & _possible(F.least("nu", "nv"), F.col("nu"), F.col("nv"))
     tried = stored(star.join(b, "v").join(a, "u").where(near).select("u", "v").distinct(), "pairs")
     links = stored(_confirm(held, tried), "confirmed")
