@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.functions import urls as ux
 from tessera.operators import links, series, terms
+from tessera.operators import raster as rx
+from tessera.plans.raster import MASK_LEVEL, SIDE
 from tessera.plans.registry import register, sql_str
 from tessera.plans.sqltext import sql_preprocess, sql_term_counts
 from tessera.plans.sqlweb import sql_page_text, sql_url_part
 from tessera.plans.text import CATEGORIES, EVENT_TYPES, _TOTALS_SQL, doc_term_counts
-from tessera.session import scratch_path, stored
+from tessera.session import default_parallelism, scratch_path, stored
 from tessera.sources import csvio
+from tessera.sources import images as im
 from tessera.sources import pages as ps
 from tessera.sources.tables import read_table
 
@@ -116,3 +119,36 @@ def series_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "series-csv")
     csvio.write_timeseries_csv(series.zero_filled_pivot(ev, "date", "event_type", EVENT_TYPES), path)
     return csvio.read_timeseries_csv(spark, path, EVENT_TYPES).unpivot("Date", EVENT_TYPES, "category", "n")
+
+
+#: An image file is cut off where its first grey value is below the one level, a
+#: mask file where its last is above the other; images of label NO_MASK have none.
+DARK_FIRST, BRIGHT_LAST, NO_MASK = 110, 145, 3
+_GREY = "list_transform(embedding, lambda e: CAST(floor((CAST(e AS DOUBLE) + 1) * 127.5) AS BIGINT))"
+
+
+@register("image_folder_pairs",
+          "SELECT concat('scan/', vec_id, '.png') AS filename, len(g) AS pixels, list_sum(g) AS grey_sum, list_sum(m) AS mask_sum "
+          f"FROM (SELECT vec_id, label, g, list_transform(g, lambda v: CASE WHEN v >= {MASK_LEVEL} THEN v ELSE 0 END) AS m "
+          f"FROM (SELECT vec_id, label, {_GREY} AS g FROM embeddings)) "
+          f"WHERE g[1] >= {DARK_FIRST} AND g[{SIDE * SIDE}] <= {BRIGHT_LAST} AND label IS DISTINCT FROM {NO_MASK} AND list_sum(m) > 100")
+def image_folder_pairs(spark, sf):
+    """Image and mask folders, some files cut off and some masks missing, read
+    through the image source: images with a readable mask that shows ink."""
+    grey = F.transform("embedding", lambda e: F.floor((e.cast("double") + 1) * 127.5).cast("int"))
+    rows = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    ims = rows.repartition(default_parallelism(spark), "vec_id").select(            # a file per row: writing is the work
+        F.concat(F.lit("scan/"), F.col("vec_id"), F.lit(".png")).alias("filename"), "label", grey.alias("g"))
+
+    def file_of(values, broken):
+        png = im.png_bytes(values, F.lit(SIDE), F.lit(SIDE))
+        return F.when(broken, F.substring(png, 1, 20)).otherwise(png).alias("content")
+
+    img, lbl = scratch_path(spark, "image-folder"), scratch_path(spark, "mask-folder")
+    im.write_images(ims.select("filename", file_of("g", F.element_at("g", 1) < DARK_FIRST)), img)
+    mask = F.transform("g", lambda v: F.when(v >= MASK_LEVEL, v).otherwise(0))
+    im.write_images(ims.where(~F.col("label").eqNullSafe(NO_MASK))
+                    .select("filename", file_of(mask, F.element_at("g", -1) > BRIGHT_LAST)), lbl)
+    images, masks = im.scan_images(spark, img, named=True), im.scan_images(spark, lbl, named=True)
+    pairs = im.pair_with_masks(rx.mask_sum_filter(images, masks), masks)
+    return pairs.groupBy("filename").agg(F.count(F.lit(1)).alias("pixels"), F.sum("v").alias("grey_sum"), F.sum("mask").alias("mask_sum"))

@@ -1,4 +1,4 @@
-"""Image directory scan into the pixel table (S5, J1, F10, DM13/DM14).
+"""Image directory scan into the pixel table, and its sink (S5, J1, F10, DM13/DM14).
 
 Spark's image source decodes each file (unreadable files dropped with
 ``dropInvalid``) into ``(origin, height, width, nChannels, mode, data)``;
@@ -7,6 +7,10 @@ the bytes become grey values per Arrow batch, then one row per pixel.
 
 from __future__ import annotations
 
+import re
+import struct
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,20 +33,59 @@ def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def scan_images(spark: SparkSession, path: str) -> DataFrame:
+@F.pandas_udf("binary")
+def png_bytes(values: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+    """Grey PNG file of row-major values 0..255; null without values, or where
+    their number is not height times width."""
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    def one(v, h, w):
+        if v is None or pd.isna(h) or pd.isna(w) or not h * w or len(v) != h * w:
+            return None
+        rows = np.zeros((int(h), int(w) + 1), np.uint8)          # every row begins with its filter, 0
+        rows[:, 1:] = np.asarray(v, np.uint8).reshape(int(h), int(w))
+        return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">2I5B", int(w), int(h), 8, 0, 0, 0, 0))
+                + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b""))
+    return pd.Series([one(*r) for r in zip(values, height, width)])
+
+
+def write_images(images: DataFrame, path: str) -> None:
+    """One file per row of ``(filename, content)`` in a folder that carries its
+    name, for ``scan_images(..., named=True)``.
+
+    Spark's own sink writes the files, so a task that is lost leaves none behind
+    and any shared file system will do. Every file ends with one line break
+    behind the content, which image readers pass over. Rows without a name or
+    content are not written. Names must be unique: equal ones may share a file,
+    of which readers see the first image.
+    """
+    (images.where(F.col("filename").isNotNull() & F.col("content").isNotNull())
+     .select("filename", F.col("content").cast("string").alias("value"))
+     .write.mode("overwrite").partitionBy("filename").text(path))
+
+
+def scan_images(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
     """``(filename, image_id, y, x, v, height, width)`` for every image.
 
-    ``filename`` is the path below ``path`` and ``image_id`` a hash of it, so
-    equal names in two folders are two images. Each file is read and decoded
-    once; the name goes along with its pixels.
+    ``filename`` is the path below ``path`` (``named``: the name that the file's
+    folder carries, as ``write_images`` lays them out) and ``image_id`` a hash of
+    it, so equal names in two folders are two images. Each file is read and
+    decoded once; the name goes along with its pixels.
     """
-    root = path.rstrip("/").split("://")[-1]
-    below = F.expr("substring(origin, instr(origin, root) + length(root) + 1)")
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "", path.rstrip("/"))
+
+    def unescaped(c):
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+    origin = unescaped(F.col("image.origin"))          # the source gives paths as URIs
+    if named:                                          # folders escape some characters of their own
+        name = unescaped(F.regexp_extract(origin, "filename=([^/]*)/[^/]*$", 1))
+    else:
+        name = F.substring(origin, F.instr(origin, root) + len(root) + 1, F.length(origin))
     img = (spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
-           .select(F.col("image.origin").alias("origin"), F.lit(root).alias("root"),
-                   F.col("image.height").alias("height"), F.col("image.width").alias("width"),
-                   grey_values("image.data", "image.nChannels").alias("vals"))
-           .withColumn("filename", below))
+           .select(name.alias("filename"), F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                   grey_values("image.data", "image.nChannels").alias("vals")))
     px = img.select("filename", "height", "width", F.posexplode("vals").alias("pos", "v"))
     return px.select("filename", F.xxhash64("filename").alias("image_id"), (F.col("pos") / F.col("width")).cast("int").alias("y"),
                      (F.col("pos") % F.col("width")).cast("int").alias("x"), "v", "height", "width")

@@ -55,6 +55,34 @@ def test_image_scan_and_mask_filter(spark):
     assert pair_with_masks(imgs, scan_images(spark, f"{root}/lbl")).count() == 36
 
 
+def test_image_folder_round_trip(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    from tessera.sources import images as im
+    sizes = {"a/b 007+%41.png": (3, 5), "é=1:x?.png": (1, 1), "007": (40, 33), "cut.png": (4, 4), "empty": (2, 2)}
+    rows = [(n, h, w, [(i * 37 + h) % 256 for i in range(h * w)]) for n, (h, w) in sizes.items()]
+    rows += [(None, 1, 1, [5]), ("null", 1, 1, None), ("short", 2, 2, [1, 2, 3]), ("none", 0, 0, [])]
+    df = spark.createDataFrame(rows, "filename string, height int, width int, g array<int>")
+    png = im.png_bytes("g", "height", "width")
+    files = df.withColumn("content", F.when(F.col("filename") == "cut.png", F.substring(png, 1, 30))
+                          .when(F.col("filename") == "empty", F.lit(b"")).otherwise(png))
+    path = scratch_path(spark, "image-files")
+    im.write_images(files, path)
+    got = im.scan_images(spark, path, named=True).collect()
+    want = {(n, i // w, i % w): (v, h, w) for n, h, w, g in rows[:3] for i, v in enumerate(g)}
+    assert len(got) == len(want) and {(r.filename, r.y, r.x): (r.v, r.height, r.width) for r in got} == want
+    assert len({r.image_id for r in got}) == 3
+    # plain folders: blanks and escapes in the path and in names
+    root = tempfile.mkdtemp(prefix="tessera-img-")
+    for d in ("my img", "lbl"):
+        os.makedirs(f"{root}/{d}/a%41 b")
+        _png(f"{root}/{d}/a%41 b/c+d.png", [[200, 1], [2, 3]])
+    one, two = im.scan_images(spark, f"file:{root}/my img"), im.scan_images(spark, f"{root}/lbl/")
+    assert [(r.filename, r.v, r.mask) for r in im.pair_with_masks(one, two).orderBy("y", "x").collect()] == [
+        ("a%41 b/c+d.png", v, v) for v in (200, 1, 2, 3)]
+
+
 ROBOTS = """User-agent: *
 Disallow: /private/
 Allow: /private/open
