@@ -10,8 +10,11 @@ The model is trained on labelled pages that ``labelled_pages`` lays out: the
 usual parts of pages under many tags and names, in random order and nesting,
 with labels known by construction.
 
+An article may stand directly in the body: the root, which is the body too, has
+a label of its own, and each of its stretches of bare text is a leaf.
+
 Defined results: a null or empty page has empty text; text outside any element
-belongs to the page's root; unclosed elements end with the page; unknown tags
+is a leaf of the page's root; unclosed elements end with the page; unknown tags
 are plain containers; repeated rows are read one by one; an empty table gives
 no rows; extra columns of any name are not read.
 """
@@ -55,7 +58,10 @@ TAG_GROUPS = {t: g for g, ts in enumerate((
     "html body", "article", "main", "section", "div center", "p", "h1 h2", "h3 h4 h5 h6", "ul ol dl menu", "li dt dd",
     "table tbody thead tfoot tr", "td th caption", "pre", "blockquote", "figure figcaption", "nav", "header", "footer",
     "aside", "form fieldset legend label input", "address details summary dialog")) for t in ts.split()}
-N_TAGS = max(TAG_GROUPS.values()) + 3          # one for inline nodes, one for the rest
+N_TAGS = max(TAG_GROUPS.values()) + 4          # one for bare text, one for inline nodes, one for the rest
+
+#: Unnamed blocks that, directly in the body, are a kind of their own beside bare text.
+LOOSE = frozenset(TAG_GROUPS[t] for t in ("p", "h1", "h3", "pre", "blockquote"))
 
 #: Words of class, id and role attributes, by what they usually name.
 NAME_GROUPS = {w: g for g, ws in enumerate((
@@ -74,8 +80,8 @@ N_NAMES = max(NAME_GROUPS.values()) + 1
 NAME_WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
-KINDS = ("container", "paragraph", "heading", "list item", "named", "inline")
-N_FEATURES = 1 + N_TAGS + N_NAMES + 9
+KINDS = ("container", "paragraph", "heading", "list item", "named", "inline", "loose")
+N_FEATURES = 1 + N_TAGS + N_NAMES + 11
 
 
 class Page:
@@ -122,14 +128,21 @@ def parse(text: str, memo: dict | None = None) -> Page:
     at = links = 0
     unseen = 0                                         # open elements without text
     fresh = True                                       # a block boundary since the last run
+    leaf = 0                                           # the root's open stretch of bare text
 
     def run(raw: str) -> None:
-        nonlocal fresh
+        nonlocal fresh, leaf
         if not raw or unseen:
             return
         s = entities.unescape(raw) if "&" in raw else raw
         solid = len("".join(s.split()))
         node = stack[-1][1]
+        if node == 0:
+            if fresh:
+                leaf = page.add(0, N_TAGS - 3, (), 6, None) if solid else 0
+            elif solid and not leaf:
+                leaf = page.add(0, N_TAGS - 3, (), 6, None)
+            node = leaf
         page.runs.append((node, s, fresh))
         if solid:
             page.chars[node] += solid
@@ -194,9 +207,12 @@ def parse(text: str, memo: dict | None = None) -> Page:
         names, label = memo.get(raw) or memo.setdefault(raw, attributes(raw)) if raw and "=" in raw or "hidden" in raw else ((), None)
         inline = tag in INLINE
         node = stack[-1][1]
-        if not inline and tag not in UNSEEN or names or label is not None:
+        if tag in ("html", "body"):                    # the root itself, whatever stands before
+            if label is not None:
+                page.label[0] = label
+        elif not inline and tag not in UNSEEN or names or label is not None:
             group = TAG_GROUPS.get(tag, N_TAGS - 1 if not inline else N_TAGS - 2)
-            kind = (5 if inline else 4 if names else 1 if tag == "p" else 2 if tag[0] == "h" and tag[1:].isdigit() else
+            kind = (5 if inline else 4 if names else 6 if node == 0 and TAG_GROUPS.get(tag) in LOOSE else 1 if tag == "p" else 2 if tag[0] == "h" and tag[1:].isdigit() else
                     3 if tag in ("li", "dt", "dd", "td", "th") else 0)
             node = page.add(node, group, names, kind, label)
         if raw.endswith("/") and tag in ("svg", "math"):
@@ -241,11 +257,14 @@ def arrays(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     if at:
         x[tuple(np.array(at).T)] = 1
     none = chars == 0
+    names = x[:, 1 + N_TAGS:1 + N_TAGS + N_NAMES]
+    noisy = names[:, 1:NAME_GROUPS["hidden"]].any(axis=1)          # names that mislead on what holds most of the page
+    article = np.isin(tag, [TAG_GROUPS["article"], TAG_GROUPS["main"]])
     density = np.where(none, 0, linked / np.maximum(chars, 1))
     x[:, 1 + N_TAGS + N_NAMES:] = np.column_stack([
         np.log1p(chars) / 8, density, np.where(none, 0, density > 0.6), np.minimum(marks / np.maximum(chars, 1) * 40, 2),
         np.log1p(chars / np.maximum(blocks, 1)) / 6, chars / whole, np.log1p(own) / 8, none,
-        (chars[up] - chars) / whole])
+        (chars[up] - chars) / whole, noisy * chars / whole, noisy & article])
     return x, parent, depth, kind
 
 
@@ -331,9 +350,15 @@ def labelled_pages(n: int, seed: int = 1) -> list[str]:
         items = "".join(f"<{wrap}><a href='/{words(1, 2)}'>{words(1, 4)}</a></{wrap}>" for _ in range(rng.randrange(lo, hi)))
         return f"<ul>{items}</ul>" if wrap == "li" else items
 
+    def misleading(label):
+        group = pick([g for g in range(N_NAMES - 1) if g > 0]) if label else 0       # "hidden" never misleads
+        return pick([w for w, g in NAME_GROUPS.items() if g == group])
+
     def named(tags, names, body, label):
         tag = pick(tags.split())
         name = pick(names.split()) if names else ""
+        if some() < 0.15:
+            name += pick("- ") + misleading(label)
         if name and some() < 0.5:
             name = pick(("", "site-", "page-", "main-", "c-", "block ")) + name
         at = f' {pick(("class", "id", "class"))}="{name}"' if name else ""
@@ -372,6 +397,10 @@ def labelled_pages(n: int, seed: int = 1) -> list[str]:
                 parts[-1] = f"<div>{parts[-1]}</div>"
         return "".join(parts)
 
+    def plain():
+        lines = [inline(sentences(1, pick((2, 5, 9)))) for _ in range(pick((1, 1, 2, 4, 7)))]
+        return (f"<h1>{words(2, 9)}</h1>" if some() < 0.3 else "") + pick(("<br>", "<br><br>", "\n")).join(lines)
+
     def advert():
         return named("div aside section span", "ad ads advert advertisement sponsored promo ad-box banner", pick((
             words(2, 9), sentences(1, 2), f"<a href=x>{words(2, 8)}</a>", f"<p>{sentences(1, 2)}</p>")), 0)
@@ -418,7 +447,8 @@ def labelled_pages(n: int, seed: int = 1) -> list[str]:
         if some() < 0.1:
             body += form()
         kind = some()
-        main = (f"<article data-label='1'>{body}</article>" if kind < 0.4 else f"<main data-label='1'>{body}</main>" if kind < 0.55 else
+        odd = f' class="{pick(("", "top-", "c-"))}{misleading(1)}-{words(1, 2)}"' if some() < 0.3 else ""
+        main = (f"<article{odd} data-label='1'>{body}</article>" if kind < 0.4 else f"<main{odd} data-label='1'>{body}</main>" if kind < 0.55 else
                 named("div section", "content post entry-content article-body story main text", body, 1) if kind < 0.85 else
                 f"<div data-label='1'>{body}</div>")
         if some() < 0.2:
@@ -427,14 +457,20 @@ def labelled_pages(n: int, seed: int = 1) -> list[str]:
         after = [f() for f, p in ((side, 0.5), (advert, 0.3), (comments, 0.3), (share, 0.15), (form, 0.15), (notice, 0.2), (foot, 0.8)) if some() < p]
         if some() < 0.15:
             rng.shuffle(before)
-        page = f"<html><head><title>{words(1, 6)}</title></head><body>" + "".join([*before, main, *after])
+        bare = some()                                  # an article without a wrapper, as blocks or as plain text
+        if bare < 0.25:
+            main = content() if bare < 0.15 else plain()
+            if some() < 0.4:
+                before, after = [], []
+        page = pick((f"<html><head><title>{words(1, 6)}</title></head>", "")) if bare < 0.25 else f"<html><head><title>{words(1, 6)}</title></head>"
+        page += f"<body data-label='{int(bare < 0.25)}'>" + "".join([*before, main, *after])
         pages.append(page + ("</body></html>" if some() < 0.9 else ""))
     return pages
 
 
 @cache
-def default_model(pages: int = 500, seed: int = 1) -> Model:
-    return fit([parse(p) for p in labelled_pages(pages, seed)])
+def default_model(pages: int = 900, seed: int = 1, steps: int = 400) -> Model:
+    return fit([parse(p) for p in labelled_pages(pages, seed)], steps)
 
 
 # ---- extraction ------------------------------------------------------------

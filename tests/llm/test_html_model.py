@@ -84,6 +84,27 @@ def test_parts_that_are_not_content():
         assert extracted(page) == text
 
 
+def test_articles_without_a_wrapper():
+    body = "The council met on Monday, and it decided about the bridge. " * 4
+    text = body.strip()
+    for page, want in (
+            (f"<html><body><h1>Bridge news</h1><p>{body}</p><p>{body}</p></body></html>", f"Bridge news {text} {text}"),
+            (f"<p>{body}</p>", text), (f"<p>{body}<p>{body}", f"{text} {text}"), (body, text),
+            (f"<html><body>{body}<br>{body}</body></html>", f"{text} {text}"), ("Short text.", "Short text."),
+            (f"<body>Before <b>bold</b> {body}<div class=ad>Buy now</div>{body}", f"Before bold {text} {text}"),
+            (f"<html><body><nav><ul><li><a href=x>Home</a></ul></nav><h1>Bridge</h1><p>{body}</p><p>{body}</p>"
+             "<div class=ad>Buy now</div><footer>&copy; Site</footer></body></html>", f"Bridge {text} {text}")):
+        assert extracted(page) == want
+
+
+def test_misleading_names():
+    body = "<p>" + "The council met on Monday, and it decided about the bridge. " * 4 + "</p>"
+    text = ("The council met on Monday, and it decided about the bridge. " * 4).strip()
+    for main in ("<article class='comment-analysis'>{}</article>", "<div class='page-body top-story'>{}</div>"):
+        for page in (main, "<html><body><nav><a href=x>Home</a></nav>" + main + "<footer>&copy; Site</footer></body></html>"):
+            assert extracted(page.format(body)) == text
+
+
 def test_edge_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "x", "<p>no id</p>"), (3, "y", "<div>" * 3000 + "deep"),
             (4, "z", "<article><p>" + "word " * 200000 + "</p></article>"), (4, "z", "<article><p>" + "word " * 200000 + "</p></article>")]
