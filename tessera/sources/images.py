@@ -15,9 +15,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
     """Row-major grey values from decoded bytes (BGR -> grey with the usual
     fixed-point weights 0.114 B + 0.587 G + 0.299 R, rounded)."""
@@ -33,7 +34,7 @@ def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def png_bytes(values: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """Grey PNG file of row-major values 0..255; null without values, or where
     their number is not height times width."""
