@@ -28,6 +28,9 @@ GAUSS7 = [1 / 32, 7 / 64, 7 / 32, 9 / 32, 7 / 32, 7 / 64, 1 / 32]
 SMOOTH3 = [1.0, 2.0, 1.0]
 DIFF3 = [-1.0, 0.0, 1.0]
 
+#: Leading hex digits of a pixel's hash that the sampling counts by.
+SAMPLE_DIGITS = 3
+
 PIXEL_COLS = ["image_id", "y", "x", "v", "height", "width"]
 
 
@@ -171,17 +174,25 @@ def pixel_sample(px: DataFrame, fraction: float = fixed.SAMPLE_FRACTION,
                  seed: int = fixed.SPLIT_SEED) -> DataFrame:
     """floor(fraction * n) pixels per image, lowest seeded hash first.
 
-    Deterministic (the original draws unseeded, with replacement). Ranks come
-    from a range-sliced running count, so one image holding a third of all
-    pixels is still ranked by many tasks; the per-image size is a partial
-    aggregate joined back on the image id.
+    Deterministic (the original draws unseeded, with replacement). A count per
+    image and leading hash digits (a partial aggregate, at most 16**SAMPLE_DIGITS
+    rows an image) tells at which digits an image's share ends. Pixels before
+    them stay and pixels behind them go where they are read; only those on the
+    digits themselves, about one in 16**SAMPLE_DIGITS, are ranked, in range
+    slices, so neither a hot image nor the whole table is ever sorted.
     """
-    keyed = px.withColumn("_h", hash_key(seed, "image_id", "y", "x"))
-    ranked = rank_within(keyed, ["_h", "y", "x"], "_rank", partition_cols=["image_id"])
-    n = ranked.groupBy("image_id").agg(F.max("_rank").alias("_n"))
-    return (ranked.join(n, "image_id")
-            .filter(F.col("_rank") <= F.floor(F.col("_n") * fraction))
-            .drop("_h", "_rank", "_n"))
+    keyed = px.withColumn("_h", hash_key(seed, "image_id", "y", "x")).withColumn("_d", F.substring("_h", 1, SAMPLE_DIGITS))
+    counts = keyed.groupBy("image_id", "_d").agg(F.count("*").alias("_n"))
+    image = Window.partitionBy("image_id")
+    upto = F.sum("_n").over(image.orderBy("_d"))
+    cuts = (counts.select("image_id", F.col("_d").alias("_cut"), "_n", upto.alias("_upto"),
+                          F.floor(F.sum("_n").over(image) * fraction).alias("_want"))
+            .filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
+            .select("image_id", "_cut", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_left")))
+    near = keyed.join(cuts, "image_id").filter(F.col("_d") <= F.col("_cut"))
+    inside = near.filter(F.col("_d") < F.col("_cut"))
+    edge = rank_within(near.filter(F.col("_d") == F.col("_cut")), ["_h", "y", "x"], "_rank", partition_cols=["image_id"])
+    return inside.select(*px.columns).unionByName(edge.filter(F.col("_rank") <= F.col("_left")).select(*px.columns))
 
 
 def three_way_split(ids: DataFrame, id_col: str, sizes: tuple[int, int, int] | None = None,

@@ -247,3 +247,26 @@ def test_balanced_div_container(spark):
     for i, h in enumerate(pages[:3]):
         assert got[i] == _parser_container(h), i
     assert got[3] == "<p>art</p>"
+
+
+def test_pixel_sample_against_a_sort(spark):
+    """One image with most pixels, images whose share is nothing, one or everything."""
+    from hashlib import md5
+    from math import floor
+
+    from tessera import fixed
+    from tessera.operators import raster
+
+    sizes = {1: (90, 70), 2: (1, 1), 3: (3, 7), 4: (40, 5), None: (2, 2)}
+    rows = [(i, y, x, y * x, h, w) for i, (h, w) in sizes.items() for y in range(h) for x in range(w)]
+    px = spark.createDataFrame(rows, "image_id long, y int, x int, v int, height int, width int").repartition(7)
+    key = lambda r: (md5(f"{fixed.SPLIT_SEED}:{r[0]}:{r[1]}:{r[2]}".encode()).hexdigest(), r[1], r[2])
+    for fraction in (0.0, 0.05, 0.5, 1.0):
+        got = raster.pixel_sample(px, fraction)
+        assert got.columns == px.columns
+        want = []
+        for i in (1, 2, 3, 4):
+            own = sorted((r for r in rows if r[0] == i), key=key)
+            want += own[:floor(len(own) * fraction)]
+        assert sorted(map(tuple, got.collect())) == sorted(want), fraction
+    assert raster.pixel_sample(px.limit(0)).count() == 0
