@@ -6,8 +6,12 @@ weigh what they match, the target transducer remembers an addressed person,
 the negation transducer turns matches a few tokens after a negation, and the
 reported-speech transducer marks what follows a verb of saying. Their product
 runs over each clause once; a clause counts by the pattern it ends in, so
-"you are an idiot" and "she said he is no idiot" weigh differently. A logistic
-layer over the pattern weights gives the score.
+"you are an idiot" and "she said he is no idiot" weigh differently. A second
+product reads phrases of several words: a threat chain (speaker, future, verb
+of harm, victim or the victim's own), an ill wish (person, modal, verb of
+dying) and an insult behind an intensifier, each asserted, negated or reported
+by the same two transducers. A logistic layer over the pattern weights gives
+the score; only asserted matches make a clause count as such.
 
 The insult lexicon (words and word beginnings) and the layer are learned from
 labelled rows that are not held out, at most ``POSITIVES`` and ``NEGATIVES`` of
@@ -49,6 +53,16 @@ TARGETS = "you your yours yourself u ur he she they them his her their du dich d
 NEGATIONS = "not no never neither nor isn aren wasn don doesn didn nicht kein keine nie pas jamais aucun nunca ni ningún".split()
 REPORTS = "said says say told tells called calls claimed claims wrote writes quoted reported sagte sagt schrieb nannte dit disait écrit appelé dijo dice llamó escribió".split()
 
+# Words of the phrases; some are of a class above in the clause patterns.
+SELF = "i we ich wir je nous yo nosotros".split()
+FUTURE = "will ll gonna going shall werde werden vais allons voy vamos".split()
+HARM = "burn hurt beat smash crush destroy break cut punch slap gut poison drown schlagen verbrennen brûler frapper quemar golpear".split()
+DOOM = "die perish rot suffer burn sterben verrecken crever mourir morir".split()
+MODAL = "should must deserve deserves hope wish ought sollst solltest sollt verdienst devrais devriez mérites espère deberías mereces espero".split()
+POSSESSIVE = "your his their her dein deine deinen ta ton tes votre vos tu tus su".split()
+OWNED = "house home family face head throat neck legs arms car kids children wife husband mother haus familie gesicht maison famille visage casa familia cara".split()
+INTENSE = "fucking bloody damn damned stupid absolute complete total utter such worthless verdammter verdammte dummer dumme sale gros pauvre maldito maldita puto".split()
+
 #: Tokens whose classes a task remembers.
 MEMO_TOKENS = 200_000
 
@@ -56,12 +70,21 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:,\n()\"“”«»|]")
 LETTERS = re.compile(r"[^\W\d_]+")
 NEGATION_REACH = 3
+#: Classes that only the phrases know; a word may be in several.
+SPEAKER, TO_COME, HARMS, DIES, WISHES, OWNERS, GOODS, STRONG = (1 << k for k in range(8))
+#: Words that may stand between two steps of a threat chain.
+CHAIN_REACH = 4
+#: Weight of a phrase that has none from the lexicon.
+PHRASE_WEIGHT = 2.0
 
 #: Patterns a clause can end in, and modifiers; one feature each, and two more.
 PATTERNS, MODIFIERS = ("insult", "insult+target", "threat+target"), ("asserted", "negated", "reported")
-N_FEATURES = len(PATTERNS) * len(MODIFIERS) + 2
-#: Prior mean of the layer: bias, then pattern x modifier, largest clause, share of matched clauses.
-PRIOR = np.array([-3.5, 2.0, 0.5, 0.7, 3.0, 0.7, 1.0, 3.0, 0.7, 1.0, 1.0, 0.5])
+PHRASES = ("threat chain", "ill wish", "intensified insult")
+N_FEATURES = (len(PATTERNS) + len(PHRASES)) * len(MODIFIERS) + 2
+#: Prior mean of the layer: bias, then pattern x modifier, phrase x modifier,
+#: largest asserted clause, share of clauses that assert something.
+PRIOR = np.array([-3.5, 2.0, 0.5, 0.7, 3.0, 0.7, 1.0, 3.0, 0.7, 1.0,
+                  3.0, 0.3, 0.7, 3.0, 0.3, 0.7, 1.0, 0.0, 0.0, 1.0, 0.5])
 
 
 # Each transducer: (state, class) -> (state, output). Outputs name what the
@@ -107,6 +130,65 @@ def composed() -> tuple[list[list[tuple[int, str, str]]], list[bool]]:
     return arcs, [bool(s[1]) for s in number]
 
 
+# Phrase transducers: (state, class, phrase classes) -> (state, whether the phrase ends here).
+def _chain(state, cls, of):
+    """Speaker, future, verb of harm, then the victim or what is the victim's."""
+    step, left = state
+    if step == 3 and (cls == TARGET and not of & OWNERS):
+        return (0, 0), True
+    if step == 4 and of & GOODS:
+        return (0, 0), True
+    if step == 3 and of & OWNERS:
+        return (4, CHAIN_REACH), False
+    if step == 2 and (cls == THREAT or of & HARMS):
+        return (3, CHAIN_REACH), False
+    if step == 1 and of & TO_COME:
+        return (2, CHAIN_REACH), False
+    if of & SPEAKER:
+        return (1, CHAIN_REACH), False
+    return ((step, left - 1) if left else (0, 0)), False
+
+
+def _wish(state, cls, of):
+    """A person and a modal verb, in either order, then a verb of dying."""
+    if state == 3 and of & DIES:
+        return 0, True
+    return state | (cls == TARGET) | 2 * bool(of & WISHES), False
+
+
+def _intensified(state, cls, of):
+    """An insult right behind an intensifier."""
+    return int(bool(of & STRONG)), bool(state and cls == INSULT)
+
+
+PHRASE_TRANSDUCERS = (_chain, _wish, _intensified)
+
+
+class PhraseProduct:
+    """Product of the phrase, negation and report transducers, its arcs made
+    when first taken: state and word classes to (next state, phrases that end
+    here, modifier)."""
+
+    def __init__(self):
+        self.start = ((0, 0), 0, 0, 0, 0)
+        self.arcs: dict = {}
+
+    def step(self, state, cls, of):
+        arc = self.arcs.get((state, cls, of))
+        if arc is None:
+            *phrases, negation, report = state
+            steps = [t(s, cls, of) for t, s in zip(PHRASE_TRANSDUCERS, phrases)]
+            to = (*(s for s, _ in steps), _negation(negation, cls)[0], _report(report, cls)[0])
+            how = "negated" if negation else "reported" if report else "asserted"
+            arc = self.arcs[state, cls, of] = to, [k for k, (_, ends) in enumerate(steps) if ends], how
+        return arc
+
+
+@cache
+def phrase_product() -> PhraseProduct:
+    return PhraseProduct()
+
+
 def clauses(text: str):
     """Lists of word tokens between punctuation marks and line ends."""
     clause = []
@@ -120,6 +202,19 @@ def clauses(text: str):
         yield clause
 
 
+#: Marks tokens that hold an insult or threat.
+MATCHES = 1 << 8
+
+
+def can_match(held) -> bool:
+    """Whether tokens that hold these classes can match any pattern or phrase."""
+    got = 0
+    for h in held:
+        got |= h
+    return bool(got & MATCHES or got & (DIES | WISHES) == DIES | WISHES
+                or got & (SPEAKER | TO_COME | HARMS) == SPEAKER | TO_COME | HARMS)
+
+
 @dataclass
 class Model:
     words: dict[str, float]
@@ -130,6 +225,11 @@ class Model:
         self.fixed = {w: (INSULT, 2.0) for w in INSULTS} | {w: (THREAT, 2.0) for w in THREATS} | \
             {w: (TARGET, 0.0) for w in TARGETS} | {w: (NEGATION, 0.0) for w in NEGATIONS} | \
             {w: (REPORT, 0.0) for w in REPORTS}
+        self.phrase: dict[str, int] = {}
+        for cls, words in ((SPEAKER, SELF), (TO_COME, FUTURE), (HARMS, HARM), (DIES, DOOM), (WISHES, MODAL),
+                           (OWNERS, POSSESSIVE), (GOODS, OWNED), (STRONG, INTENSE)):
+            for w in words:
+                self.phrase[w] = self.phrase.get(w, 0) | cls
 
     def classify(self, word: str) -> tuple[int, float]:
         weight = self.words.get(word)
@@ -137,38 +237,47 @@ class Model:
             weight = max((self.prefixes.get(word[:k], 0.0) for k in PREFIXES if len(word) >= k), default=0.0)
         return (INSULT, weight) if weight else self.fixed.get(word, (OTHER, 0.0))
 
+    def holds(self, words: list[str]) -> int:
+        """Phrase classes among the words, and MATCHES if one is an insult or threat."""
+        got = 0
+        for w in words:
+            got |= self.phrase.get(w, 0) | MATCHES * (self.classify(w)[0] in (INSULT, THREAT))
+        return got
+
     def features(self, text: str, match: dict) -> np.ndarray | None:
         """Pattern weights of a text; None when nothing in it can match.
-        ``match`` remembers which blank-separated tokens hold an insult or threat."""
+        ``match`` remembers what blank-separated tokens hold."""
         low = text.lower()
-        tokens = low.split()
-        for t in set(tokens).difference(match):
-            match[t] = any(self.classify(w)[0] in (INSULT, THREAT) for w in LETTERS.findall(t))
-        if not any(map(match.__getitem__, tokens)):
+        tokens = set(low.split())
+        for t in tokens.difference(match):
+            match[t] = self.holds(LETTERS.findall(t))
+        if not can_match(map(match.__getitem__, tokens)):
             return None
         arcs, has_target = composed()
-        sums = np.zeros(len(PATTERNS) * len(MODIFIERS))
+        product = phrase_product()
+        sums = np.zeros((len(PATTERNS) + len(PHRASES)) * len(MODIFIERS))
         largest = matched = total = 0.0
         for clause in clauses(low):
             total += 1
-            state, got = 0, {}
+            state, at, got, phrases = 0, product.start, {}, []
             for word in clause:
                 cls, weight = self.classify(word)
                 state, what, how = arcs[state][cls]
                 if what:
                     got[what, how] = got.get((what, how), 0.0) + weight
-            weight = 0.0
+                at, ends, how = product.step(at, cls, self.phrase.get(word, 0))
+                phrases += [(len(PATTERNS) + k, how, weight or PHRASE_WEIGHT) for k in ends]
             for (what, how), w in got.items():
-                if what == "threat":
-                    if not has_target[state]:
-                        continue
-                    pattern = 2
-                else:
-                    pattern = 1 if has_target[state] else 0
+                if what == "insult":
+                    phrases.append((int(has_target[state]), how, w))
+                elif has_target[state]:
+                    phrases.append((2, how, w))
+            asserted = 0.0
+            for pattern, how, w in phrases:
                 sums[pattern * len(MODIFIERS) + MODIFIERS.index(how)] += w
-                weight += w
-            matched += weight > 0
-            largest = max(largest, weight)
+                asserted += w * (how == "asserted")
+            matched += asserted > 0
+            largest = max(largest, asserted)
         return np.concatenate([np.log1p(sums), [math.log1p(largest), matched / max(total, 1.0)]])
 
     def score(self, x: np.ndarray | None) -> float:

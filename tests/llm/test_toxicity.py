@@ -87,3 +87,91 @@ def test_one_training_row_per_id(spark):
     got = one_text_each(spark.createDataFrame(rows, "doc_id long, label int, text string").repartition(5)).collect()
     assert sorted((r.doc_id, r.label) for r in got) == [(1, 0), (2, 1), (3, 1)]
     assert {r.doc_id: r.text for r in got}[1] in ("a", "b")
+
+
+PHRASES = [
+    ("I am going to burn your house down", "threat chain", "asserted"),
+    ("we will hurt you", "threat chain", "asserted"),
+    ("I will never hurt you", "threat chain", "negated"),
+    ("he says I will break your legs", "threat chain", "reported"),
+    ("je vais brûler ta maison", "threat chain", "asserted"),
+    ("we will cut your costs", None, None),            # no victim: costs are not a body or a home
+    ("the fire will burn your house", None, None),      # no speaker
+    ("I will burn. your house", None, None),            # the full stop ends the clause
+    ("you people should all die", "ill wish", "asserted"),
+    ("I hope you rot", "ill wish", "asserted"),
+    ("you should not die", "ill wish", "negated"),
+    ("we hope the flowers die", None, None),
+    ("what a stupid idiot", "intensified insult", "asserted"),
+    ("stupid, idiot", None, None),
+]
+
+
+@pytest.mark.parametrize("text, phrase, how", PHRASES)
+def test_phrases_of_several_words(text, phrase, how):
+    x = PLAIN.features(text, {})
+    at = len(tx.PATTERNS) * len(tx.MODIFIERS)
+    names = [(p, m) for p in tx.PHRASES for m in tx.MODIFIERS]
+    got = [] if x is None else [n for n, v in zip(names, x[at:]) if v]
+    assert got == ([(phrase, how)] if phrase else [])
+    if phrase in ("threat chain", "ill wish"):
+        assert (PLAIN.score(x) >= tx.THRESHOLD) == (how == "asserted")
+
+
+def _alter(monkeypatch):
+    """The grammar without its negation and report transducers."""
+    tx.composed.cache_clear()
+    tx.phrase_product.cache_clear()
+    monkeypatch.setattr(tx, "_negation", plain := lambda state, cls: (0, ""))
+    monkeypatch.setattr(tx, "TRANSDUCERS", (tx._insult, tx._target, plain, plain))
+    monkeypatch.setattr(tx, "_report", plain)
+
+
+def test_negation_and_report_decide(spark, monkeypatch):
+    """The fitted grammar parts what asserts from what denies or reports, on
+    words of its own lexicon; without the two transducers it can't."""
+    heads = ["idiot", "moron", "imbecile", "scum", "vermin", "asshole"]
+    toxic = ["you are such a {} today", "he is a real {} and everybody knows", "you {} listen"]
+    clean = ["you are not a {} today", "she said he is a {} and everybody laughed", "he is no {} at all"]
+    rows, labels = [], []
+    for k in range(1200):
+        form = (toxic if k % 2 else clean)[k // 2 % 3]
+        rows.append((k, f"number {k * 7919 % 997} of the day. " + form.format(heads[k // 6 % 6])))
+        labels.append((k, k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels_ = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def accuracy(model):
+        got = [(model.score(model.features(t, {})) >= tx.THRESHOLD) == bool(y)
+               for (i, t), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 4 == 2]
+        assert len(got) > 200
+        return np.mean(got)
+
+    whole = accuracy(tx.fit(docs, labels_))
+    _alter(monkeypatch)
+    try:
+        # driver-side fit of the same lexicon and layer, so that the altered grammar is what is measured
+        base = tx.Model({}, {}, tx.PRIOR)
+        train = [(t, y) for (i, t), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 4 != 2]
+        x = np.array([base.features(t, {}) for t, _ in train])
+        base.layer = tx.fit_layer(x, np.array([y for _, y in train], float), np.ones(len(train)))
+        without = accuracy(base)
+    finally:
+        monkeypatch.undo()
+        tx.composed.cache_clear()
+        tx.phrase_product.cache_clear()
+    assert whole > 0.97 and without < 0.85, (whole, without)
+
+
+def test_fitted_on_documents(spark):
+    """On the tables' labels, too, denying and reporting change the prediction."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    model = tx.fit(docs, labels)
+    s = lambda t: model.score(model.features(t, {}))
+    assert s("He is an idiot.") >= tx.THRESHOLD and s("You idiot!") >= tx.THRESHOLD
+    assert s("He is not an idiot.") < tx.THRESHOLD
+    assert s("She said he is an idiot.") < s("He is an idiot.")
+    for t in ("I am going to burn your house down", "you people should all die"):
+        assert s(t) >= tx.THRESHOLD, t
+    for t in ("We will cut your costs", "I will never hurt you", "The fire will burn the house"):
+        assert s(t) < tx.THRESHOLD, t
