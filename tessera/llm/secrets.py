@@ -2,9 +2,11 @@
 
 The patterns give the base spans. Beyond them, strings that stand near a
 sensitive name are candidates; each is compressed together with the text
-around it, by a compressor primed with that text and a dictionary of code
-words. The bytes it adds, per character, say how much of it neither the
-dictionary nor the context explains; random keys stay near their full size.
+around it, by a compressor primed with that text, a dictionary of code words
+and those words of a public tokenizer's vocabulary that the candidate is
+spelled with (the others could not shorten it). The bytes it adds, per
+character, say how much of it neither the dictionaries nor the context
+explains; random keys stay near their full size.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned
 one by one; an empty table gives no rows; extra columns are passed through by
@@ -14,6 +16,7 @@ one by one; an empty table gives no rows; extra columns are passed through by
 from __future__ import annotations
 
 import hashlib
+import json
 import keyword
 import math
 import random
@@ -41,13 +44,15 @@ SENSITIVE = re.compile(r"passw|passphrase|secret|token|api.?key|private.?key|acc
                        r"bearer|authorization|client.?id|signature|\bpwd\b|\bauth\b", re.IGNORECASE | re.ASCII)
 SENSITIVE_PARTS = ("passw", "passphrase", "secret", "token", "key", "credential", "bearer", "authorization",
                    "client", "signature", "pwd", "auth")
+#: Letters of the vocabulary words that may explain a part of a candidate.
+MIN_PART, MAX_PART = 4, 24
 REACH, CONTEXT, MIN_NOVEL = 64, 512, 16  # defaults: ``reach`` and ``context`` are parameters of scan and redact
 #: Least marginal bytes per character of a string with FEW_DIGITS digits or
 #: more. A short random key is stored whole (1.0); identifiers built from words
 #: of the dictionary or the context stay below 0.7.
 NOVELTY, FEW_DIGITS = 0.75, 2
 #: A long random string costs what its alphabet needs (0.5 in upper-case hex).
-#: Strings below NOVELTY, or with fewer digits, are held against their own
+#: Strings below NOVELTY, with fewer digits or with words in them, are held against their own
 #: characters in another order, which have the same alphabet and no words left:
 #: random ones cost 0.97 of that or more. Strings of fewer bits a character
 #: (rulers, runs) are no keys in any usual alphabet; random digits have 3.2.
@@ -72,9 +77,42 @@ def _dictionary() -> bytes:
                      "ABCDEFGHIJKLMNOPQRSTUVWXYZ 00000000 xxxxxxxx"]).encode()
 
 
-def marginal_bytes(candidate: str, around: str) -> int:
-    """Compressed bytes that the candidate adds beside the text around it."""
-    prime = _dictionary() + b"\n" + around.encode("utf-8", "surrogatepass")
+def vocabulary_path() -> str:
+    """The default vocabulary: a public tokenizer's file where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@cache
+def _vocabulary(path: str) -> frozenset[str]:
+    with open(path, encoding="utf-8") as f:
+        words = json.load(f)["model"]["vocab"]
+    words = (w.removesuffix("</w>") for w in words)
+    return frozenset(w for w in words if MIN_PART <= len(w) <= MAX_PART and w.isascii() and w.isalpha())
+
+
+#: Runs of letters in one of the three ways in which words are written.
+WRITTEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def spelled_with(candidate: str, path: str | None = None) -> list[str]:
+    """Vocabulary words that the candidate's letter runs are spelled with, as
+    they are written there, the longest at each place, left to right."""
+    words, out = _vocabulary(path or vocabulary_path()), []
+    for run in WRITTEN.finditer(candidate):
+        low, at = run[0].lower(), 0
+        while at < len(low):
+            to = next((k for k in range(min(len(low), at + MAX_PART), at + MIN_PART - 1, -1) if low[at:k] in words), None)
+            if to:
+                out.append(run[0][at:to])
+            at = to or at + 1
+    return out
+
+
+def marginal_bytes(candidate: str, around: str, words: list[str] | tuple[str, ...] = ()) -> int:
+    """Compressed bytes that the candidate adds beside the text around it and these words."""
+    prime = b"\n".join([_dictionary(), " ".join(words).encode(), around.encode("utf-8", "surrogatepass")])
     packer = zstandard.ZstdCompressor(level=19, write_content_size=False, write_checksum=False,
                                       dict_data=zstandard.ZstdCompressionDict(
                                           prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
@@ -88,10 +126,11 @@ def bits_a_character(word: str) -> float:
     return sum(n * math.log2(len(word) / n) for n in counts) / len(word)
 
 
-def is_novel(word: str, around: str) -> bool:
-    """Whether neither the dictionary nor the text around explains the string."""
-    cost = marginal_bytes(word, around)
-    if cost >= NOVELTY * len(word) and sum(map(str.isdigit, word)) >= FEW_DIGITS:
+def is_novel(word: str, around: str, vocabulary: str | None = None) -> bool:
+    """Whether neither the dictionaries nor the text around explains the string."""
+    parts = spelled_with(word, vocabulary)
+    cost = marginal_bytes(word, around, parts)
+    if not parts and cost >= NOVELTY * len(word) and sum(map(str.isdigit, word)) >= FEW_DIGITS:
         return True
     if bits_a_character(word) < LEAST_BITS:
         return False
@@ -111,7 +150,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def novel_spans(text: str, known: list[tuple[int, int, int]], reach: int = REACH, context: int = CONTEXT) -> list[tuple[int, int, int]]:
+def novel_spans(text: str, known: list[tuple[int, int, int]], reach: int = REACH, context: int = CONTEXT,
+                vocabulary: str | None = None) -> list[tuple[int, int, int]]:
     """Candidates in sensitive context that no base span touches and that the
     primed compressor cannot explain: strings that begin at most ``reach``
     characters behind a name, judged beside ``context`` characters on each side."""
@@ -136,7 +176,7 @@ def novel_spans(text: str, known: list[tuple[int, int, int]], reach: int = REACH
             tried.add(start)
             if any(s < end and start < e for s, _, e in known):
                 continue
-            if is_novel(text[start:end], text[max(0, start - context):start] + text[end:end + context]):
+            if is_novel(text[start:end], text[max(0, start - context):start] + text[end:end + context], vocabulary):
                 found.append((start, 3, end))
     return sorted(found)
 
@@ -145,15 +185,15 @@ def _joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def all_spans(text: str, reach: int = REACH, context: int = CONTEXT) -> tuple[list, list]:
+def all_spans(text: str, reach: int = REACH, context: int = CONTEXT, vocabulary: str | None = None) -> tuple[list, list]:
     base = sorted(base_spans(text))
-    return base, sorted(base + novel_spans(text, base, reach, context))
+    return base, sorted(base + novel_spans(text, base, reach, context, vocabulary))
 
 
-def _scan(rows: dict, reach: int, context: int) -> dict:
+def _scan(rows: dict, *how) -> dict:
     out = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans")}
     for text in rows["text"]:
-        base, spans = all_spans(text, reach, context)
+        base, spans = all_spans(text, *how)
         for kind, name in enumerate(("n_assign", "n_access", "n_hex", "n_novel")):
             out[name].append(sum(k == kind for _, k, _ in spans))
         out["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
@@ -161,17 +201,19 @@ def _scan(rows: dict, reach: int, context: int) -> dict:
     return {"doc_id": rows["doc_id"], **out}
 
 
-def scan(docs: DataFrame, reach: int = REACH, context: int = CONTEXT) -> DataFrame:
-    """One row per document: counts per kind, digest of the base spans, all spans."""
-    return map_texts(texts(docs), lambda rows: _scan(rows, reach, context), "doc_id long, n_assign long, n_access long, n_hex long, "
+def scan(docs: DataFrame, reach: int = REACH, context: int = CONTEXT, vocabulary: str | None = None) -> DataFrame:
+    """One row per document: counts per kind, digest of the base spans, all spans.
+    ``vocabulary`` is the tokenizer file whose words explain candidates, a path
+    that every executor can read (by default the public one of the box)."""
+    return map_texts(texts(docs), lambda rows: _scan(rows, reach, context, vocabulary), "doc_id long, n_assign long, n_access long, n_hex long, "
                                          "base_sha256 string, spans string, n_novel long")
 
 
-def mask(text: str | None, mark: str, reach: int = REACH, context: int = CONTEXT) -> str | None:
-    """The text with every span (overlaps joined) replaced by ``mark``."""
+def mask(text: str | None, mark: str, *how) -> str | None:
+    """The text with every span (overlaps joined) replaced by ``mark``; ``how`` as in all_spans."""
     if not text:
         return text
-    _, spans = all_spans(text, reach, context)
+    _, spans = all_spans(text, *how)
     parts, at = [], 0
     for s, _, e in spans:
         if e <= at:
@@ -182,13 +224,14 @@ def mask(text: str | None, mark: str, reach: int = REACH, context: int = CONTEXT
     return "".join([*parts, text[at:]])
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH, context: int = CONTEXT) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH, context: int = CONTEXT,
+           vocabulary: str | None = None) -> DataFrame:
     """``docs`` with its secrets replaced; all columns and rows stay, null
     texts stay null. ``n_chars``, where it exists, follows the new text."""
 
     @F.pandas_udf("string")
     def masked(col):
-        return col.map(lambda t: mask(t, mark, reach, context))
+        return col.map(lambda t: mask(t, mark, reach, context, vocabulary))
 
     out = docs.withColumn("text", masked(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

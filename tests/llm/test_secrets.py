@@ -136,3 +136,39 @@ def test_every_separator_between_name_and_key():
     assert found("the token-based-default-connection-config of it") == []
     far = f"credential {'. ' * 100}{k}"
     assert found(far) == [] and found(far, reach=400) == [k]
+
+
+def test_precision_and_recall_on_planted_strings():
+    """Long words and identifiers near a sensitive name are none, random keys are."""
+    rng = random.Random(5)
+    found = lambda text: [text[s:e] for s, kind, e in sc.all_spans(text)[1] if kind == 3]
+    plain = ("internationalization telecommunications responsibilities chocolatechipcookies docs/reference/authentication/overview "
+             "well-known-configuration two-factor-authentication self-service-registration InternationalOrganization "
+             "AUTHENTICATION_REQUIRED_NOW getUserAccountPreferences release_notes_2024_11 customer-support/opening-hours").split()
+    for word in plain:
+        for text in (f"the token {word} is described here", f"authorization: {word}\n", f"credential='{word}'"):
+            assert found(text) == [], text
+    words = sorted(w for w in sc._vocabulary(sc.vocabulary_path()) if len(w) >= 6)
+    reported = 0
+    for _ in range(600):
+        word = rng.choice("-_/").join(rng.sample(words, 3))
+        if rng.random() < 0.3:
+            word = "".join(w.title() for w in rng.sample(words, 3))
+        reported += found(f"the bearer {word} of it") != []
+    assert reported <= 6, reported
+    missed = 0
+    for abc in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEF",
+                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        for n in (16, 24, 32, 64, 200):
+            for _ in range(40):
+                k = "".join(rng.choices(abc, k=n - 1)) + rng.choice(abc.strip("+/"))
+                missed += found(f"Authorization: Bearer {k}\n") != [k]
+    assert missed <= 4, missed
+
+
+def test_words_of_a_candidate(tmp_path):
+    own = tmp_path / "words.json"
+    own.write_text('{"model": {"vocab": {"alpha</w>": 0, "alphabet": 1, "soup</w>": 2, "ab": 3, "naïve": 4}}}')
+    assert sc.spelled_with("AlphabetSoup_alphaALPHA-alphabetsoupab", str(own)) == [
+        "Alphabet", "Soup", "alpha", "ALPHA", "alphabet", "soup"]
+    assert sc.spelled_with("aLpHa4242naïve", str(own)) == [] == sc.spelled_with("", str(own))
