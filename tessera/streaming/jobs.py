@@ -20,10 +20,10 @@ from tessera.session import scratch_path, stored
 
 
 def read_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
-    """File-source stream over ``path``: a folder, or one file in a folder
-    (streamed as that folder filtered to the file's name)."""
+    """File-source stream over ``path``: a folder of files, whatever its name, or
+    one file in a folder (streamed as that folder filtered to the file's name)."""
     import os
-    folder, name = (path, None) if not path.endswith(".parquet") else os.path.split(path)
+    folder, name = (path, None) if not path.endswith(".parquet") or is_folder(spark, path) else os.path.split(path)
     r = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if name:
         r = r.option("pathGlobFilter", name)
@@ -32,6 +32,13 @@ def read_stream(spark: SparkSession, path: str, schema=None, max_files: int | No
     return r.parquet(folder)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder; tables of several files are folders named like files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def _start(df: DataFrame, out: str, ckpt: str, mode: str = "append", trigger: dict | None = None,
            fmt: str = "parquet") -> StreamingQuery:
     w = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", ckpt)

@@ -86,3 +86,18 @@ def test_late_rows_are_counted(spark):
     q, _ = jobs.daily_counts_stream(spark, src, out=f"{root}/out")
     jobs.run_to_end(q)
     assert jobs.dropped_rows(q) == 1
+
+
+def test_tables_of_several_files(spark):
+    """A table is a folder named like a file when it has more than one file."""
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    spark.createDataFrame([(k, f"page {k % 7}") for k in range(40)], "doc_id long, text string").repartition(3).write.parquet(f"{root}/documents.parquet")
+    q, out = jobs.dedup_stream(spark, f"{root}/documents.parquet", out=f"{root}/out")
+    jobs.run_to_end(q)
+    assert sorted(r.doc_id for r in spark.read.parquet(out).collect()) == list(range(7))
+    html = "<html><body><article><p>words of page {}</p></article></body></html>"
+    spark.createDataFrame([(k, f"http://a.b/{k}", html.format(k)) for k in range(9)], "page_id long, url string, html string") \
+        .repartition(3).write.parquet(f"{root}/pages.parquet")
+    q, out = jobs.ingest_pages(spark, f"{root}/pages.parquet", out=f"{root}/ingested")
+    jobs.run_to_end(q)
+    assert sorted(r.page_id for r in spark.read.parquet(out).collect()) == list(range(9))
