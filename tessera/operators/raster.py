@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed
 from tessera.operators.series import rank_within
+from tessera.session import default_parallelism
 
 # FIXED VALUES: separable Gaussian taps for 3x3 and 7x7 kernels with sigma
 # derived from the size (the standard small-kernel tables), and the 3-tap
@@ -134,36 +135,45 @@ def mask_sum_filter(images: DataFrame, masks: DataFrame,
     return images.join(inked, "image_id", "left_semi")
 
 
+#: Weighted source pixels that one task of a resampling sums.
+RESAMPLE_ROWS = 4_000_000
+
+
+def _reached(axis: str, size: str, out_n: int) -> Column:
+    """Targets (t, w) along one axis that take source position ``axis``, with its
+    weight: a range of positions around it, of which those whose two taps are
+    elsewhere drop out. A tap of weight 0 is still a tap."""
+    a, n = F.col(axis), F.col(size)
+    step = n / F.lit(out_n)
+    low = F.when(a < 1, F.lit(0)).otherwise(F.greatest(F.floor((a - 0.5) / step - 0.5) - 1, F.lit(0)))
+    high = F.when(a >= n - 1, F.lit(out_n - 1)).otherwise(F.least(F.ceil((a + 1.5) / step - 0.5) + 1, F.lit(out_n - 1)))
+
+    def weighed(t):
+        at = F.greatest((t + 0.5) * n / F.lit(out_n) - 0.5, F.lit(0.0))
+        first = F.least(F.floor(at).cast("int"), n - 1)
+        part, second = at - first, F.least(first + 1, n - 1)
+        own = F.when(first == a, 1 - part).otherwise(F.lit(0.0)) + F.when(second == a, part).otherwise(F.lit(0.0))
+        return F.struct(t.alias("t"), F.when((first == a) | (second == a), own).alias("w"))
+    return F.when((a >= 0) & (a < n), F.filter(F.transform(F.sequence(low.cast("int"), high.cast("int")), weighed), lambda r: r["w"].isNotNull()))
+
+
 def resample_bilinear(px: DataFrame, out_h: int, out_w: int) -> DataFrame:
     """Bilinear resize with half-pixel centres and edge clamping.
 
-    The target grid is generated per image (``sequence``), each target emits
-    its four source taps with weights, and an equi-join on (image, y, x)
-    fetches the source values; ``sum(weight * v)`` reduces per target.
+    Every pixel goes to the target rows that take it, with its weight, and there
+    to the targets of that row; ``sum(weight * v)`` reduces per target. No join
+    is needed, so nothing depends on how large Spark thinks the pixels are, and
+    the one shuffle has as many parts as the weighted pixels need at
+    RESAMPLE_ROWS each: a task's memory does not grow with the table. The smallest
+    part is a target row of an image.
     """
-    dims = px.select("image_id", "height", "width").distinct()
-    tgt = dims.select("image_id", "height", "width",
-                      F.explode(F.sequence(F.lit(0), F.lit(out_h - 1))).alias("ty"))
-    tgt = tgt.select("*", F.explode(F.sequence(F.lit(0), F.lit(out_w - 1))).alias("tx"))
-    sy = F.greatest((F.col("ty") + 0.5) * F.col("height") / out_h - 0.5, F.lit(0.0))
-    sx = F.greatest((F.col("tx") + 0.5) * F.col("width") / out_w - 0.5, F.lit(0.0))
-    tgt = tgt.select("image_id", "ty", "tx", "height", "width", sy.alias("sy"), sx.alias("sx"))
-    y0, x0 = F.floor("sy").cast("int"), F.floor("sx").cast("int")
-    tgt = tgt.select("image_id", "ty", "tx", "height", "width", "sy", "sx",
-                     F.least(y0, F.col("height") - 1).alias("y0"), F.least(x0, F.col("width") - 1).alias("x0"))
-    fy, fx = F.col("sy") - F.col("y0"), F.col("sx") - F.col("x0")
-    y1 = F.least(F.col("y0") + 1, F.col("height") - 1)
-    x1 = F.least(F.col("x0") + 1, F.col("width") - 1)
-    taps = F.array(
-        F.struct(F.col("y0").alias("y"), F.col("x0").alias("x"), ((1 - fy) * (1 - fx)).alias("wt")),
-        F.struct(F.col("y0").alias("y"), x1.alias("x"), ((1 - fy) * fx).alias("wt")),
-        F.struct(y1.alias("y"), F.col("x0").alias("x"), (fy * (1 - fx)).alias("wt")),
-        F.struct(y1.alias("y"), x1.alias("x"), (fy * fx).alias("wt")))
-    t = tgt.select("image_id", "ty", "tx", F.explode(taps).alias("t")).select(
-        "image_id", "ty", "tx", F.col("t.y").alias("y"), F.col("t.x").alias("x"), F.col("t.wt").alias("wt"))
-    return (t.join(px.select("image_id", "y", "x", "v"), ["image_id", "y", "x"])
-            .groupBy("image_id", F.col("ty").alias("y"), F.col("tx").alias("x"))
-            .agg(F.sum(F.col("wt") * F.col("v")).alias("v")))
+    px = px.where(F.col("image_id").isNotNull())
+    many = px.agg(F.sum(F.try_divide(F.lit(4.0 * out_h * out_w), F.col("height") * F.col("width")))).first()[0] or 0
+    n = max(default_parallelism(px.sparkSession), int(many // RESAMPLE_ROWS) + 1)
+    rows = px.select("image_id", "x", "v", "width", F.inline(_reached("y", "height", out_h))).withColumnsRenamed({"t": "ty", "w": "wy"})
+    taps = rows.repartition(n, "image_id", "ty").select("image_id", "ty", "wy", "v", F.inline(_reached("x", "width", out_w)))
+    return (taps.groupBy("image_id", F.col("ty").alias("y"), F.col("t").alias("x"))
+            .agg(F.sum(F.col("wy") * F.col("w") * F.col("v")).alias("v")))
 
 
 def hash_key(seed: int, *cols: str) -> Column:

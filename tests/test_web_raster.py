@@ -270,3 +270,45 @@ def test_pixel_sample_against_a_sort(spark):
             want += own[:floor(len(own) * fraction)]
         assert sorted(map(tuple, got.collect())) == sorted(want), fraction
     assert raster.pixel_sample(px.limit(0)).count() == 0
+
+
+def _resized(img, out_h, out_w):
+    """Bilinear targets from the taps that are there, per definition."""
+    px, h, w = img
+    out = {}
+    for ty in range(out_h):
+        for tx_ in range(out_w):
+            sy, sx = (max((t + 0.5) * n / m - 0.5, 0.0) for t, n, m in ((ty, h, out_h), (tx_, w, out_w)))
+            y0, x0 = min(int(sy), h - 1), min(int(sx), w - 1)
+            y1, x1, fy, fx = min(y0 + 1, h - 1), min(x0 + 1, w - 1), sy - y0, sx - x0
+            taps = [(y0, x0, (1 - fy) * (1 - fx)), (y0, x1, (1 - fy) * fx), (y1, x0, fy * (1 - fx)), (y1, x1, fy * fx)]
+            there = [(px[y, x], k) for y, x, k in taps if (y, x) in px]
+            if there:
+                known = [v * k for v, k in there if v is not None]
+                out[ty, tx_] = sum(known) if known else None
+    return out
+
+
+def test_resampling_needs_no_join_and_bounds_its_tasks(spark, monkeypatch):
+    import random
+    rng = random.Random(3)
+    images = {}
+    for k, (h, w) in enumerate([(1, 1), (1, 7), (8, 8), (5, 3), (20, 2), (13, 13)]):
+        images[k] = ({(y, x): rng.randrange(256) for y in range(h) for x in range(w)}, h, w)
+    px, _, _ = images[2]
+    del px[0, 0], px[3, 3], px[3, 4], px[4, 3], px[4, 4], px[2, 2]
+    px[7, 7] = px[7, 6] = px[6, 7] = px[6, 6] = None
+    rows = [(k, y, x, v, h, w) for k, (p, h, w) in images.items() for (y, x), v in p.items()] + [(None, 0, 0, 5, 1, 1)]
+    df = spark.createDataFrame(rows, "image_id long, y int, x int, v int, height int, width int")
+    for out_h, out_w in ((4, 4), (13, 13), (1, 1), (3, 9), (40, 17)):
+        got = {(r.image_id, r.y, r.x): r.v for r in raster.resample_bilinear(df, out_h, out_w).collect()}
+        want = {(k, *at): v for k, img in images.items() for at, v in _resized(img, out_h, out_w).items()}
+        assert got.keys() == want.keys()
+        assert all(got[i] is None if v is None else abs(got[i] - v) < 1e-9 for i, v in want.items())
+    twice = raster.resample_bilinear(df.where("image_id = 3").unionAll(df.where("image_id = 3")), 4, 4)
+    assert {(r.y, r.x): round(r.v / 2, 9) for r in twice.collect()} == {at: round(v, 9) for at, v in _resized(images[3], 4, 4).items()}
+    # no side is ever broadcast, and parts follow the weighted pixels
+    monkeypatch.setattr(raster, "RESAMPLE_ROWS", 100)
+    out = raster.resample_bilinear(df, 13, 13)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.rdd.getNumPartitions() >= 40
