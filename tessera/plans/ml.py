@@ -115,35 +115,39 @@ def _doc_split(spark, sf):
     return f.filter(F.col("fold") != 0), f.filter(F.col("fold") == 0)
 
 
+def _quality_scores(train, test, estimator) -> DataFrame:
+    m = md.fit_pipeline(train, DOC_FEATURES, estimator)
+    return md.positive_probability(m.transform(test)).select("doc_id", "label", "prediction", "p")
+
+
+def _logreg():
+    return LogisticRegression(labelCol="label", maxIter=50)
+
+
+def _forest():
+    return RandomForestClassifier(labelCol="label", numTrees=20, maxDepth=6, seed=42)
+
+
 @register("logreg_quality")
 def logreg_quality(spark, sf):
-    train, test = _doc_split(spark, sf)
-    m = md.fit_pipeline(train, DOC_FEATURES, LogisticRegression(labelCol="label", maxIter=50))
-    return md.positive_probability(m.transform(test)).select("doc_id", "label", "prediction", "p")
+    return _quality_scores(*_doc_split(spark, sf), _logreg())
 
 
 @register("rf_quality")
 def rf_quality(spark, sf):
-    train, test = _doc_split(spark, sf)
-    m = md.fit_pipeline(train, DOC_FEATURES, RandomForestClassifier(
-        labelCol="label", numTrees=20, maxDepth=6, seed=42))
-    return md.positive_probability(m.transform(test)).select("doc_id", "label", "prediction", "p")
+    return _quality_scores(*_doc_split(spark, sf), _forest())
 
 
 @register("gbt_quality")
 def gbt_quality(spark, sf):
-    train, test = _doc_split(spark, sf)
-    m = md.fit_pipeline(train, DOC_FEATURES, md.gbt())
-    return md.positive_probability(m.transform(test)).select("doc_id", "label", "prediction", "p")
+    return _quality_scores(*_doc_split(spark, sf), md.gbt())
 
 
 @register("model_compare")
 def model_compare(spark, sf):
     train, test = _doc_split(spark, sf)
     return md.compare_models(train, test, DOC_FEATURES, "label", {
-        "logistic_regression": LogisticRegression(labelCol="label", maxIter=50),
-        "random_forest": RandomForestClassifier(labelCol="label", numTrees=20, maxDepth=6, seed=42),
-        "boosted_trees": md.gbt()})
+        "logistic_regression": _logreg(), "random_forest": _forest(), "boosted_trees": md.gbt()})
 
 
 # --- E12 ----------------------------------------------------------------------
@@ -336,12 +340,12 @@ _QUALITY = ("logistic_regression", "random_forest", "boosted_trees")
 def quality_checks(spark, sf):
     """The three quality classifiers on the held-out fold, which at the smallest
     scale holds two negatives: how well they rank is tested at a larger one."""
-    _, test = _doc_split(spark, sf)
+    train, test = _doc_split(spark, sf)         # texts are read once for all three
     labels = read_table(spark, sf, "labels", ["doc_id", "quality"])
     n = test.count()
     out = None
-    for name, query in zip(_QUALITY, (logreg_quality, rf_quality, gbt_quality)):
-        scored = stored(query(spark, sf), "scored")
+    for name, estimator in zip(_QUALITY, (_logreg(), _forest(), md.gbt())):
+        scored = stored(_quality_scores(train, test, estimator), "scored")
         right = scored.join(labels, "doc_id").agg(F.count(F.lit(1)).alias("k"), F.bool_and(F.col("label") == F.col("quality")).alias("same"))
         flags = scored.agg(F.count_distinct("doc_id").alias("ids"), F.bool_and(F.col("p").between(0, 1)).alias("bounded")) \
             .join(right).select(
