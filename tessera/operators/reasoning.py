@@ -3,8 +3,9 @@
 Rules are chains: ``head(x, y) :- p(x, y)`` or ``head(x, z) :- p(x, y), q(y, z)``.
 Evaluation is semi-naive: a round joins only the facts that were new or got a
 shorter witness in the round before, on either side of a rule, with all facts.
-The known facts and the new ones are written tables, so a round's joins read
-two tables and a lost executor costs tasks of one round. A fact's witness is the
+Facts whose predicate no rule derives never change: they are written once, and
+rounds only read them. The derived facts and a round's new ones are written
+tables, so a lost executor costs tasks of one round. A fact's witness is the
 path of nodes of its shortest proof, of equal ones the smallest; a longer one is
 dropped before the shuffle that compares it (partial aggregation). Joins are on
 the shared node, which Spark can split where a node is a hub.
@@ -12,6 +13,7 @@ the shared node, which Spark can split where a node is a hub.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -34,34 +36,53 @@ def _best(facts: DataFrame) -> DataFrame:
             .select(*FACT, F.col("w.length").alias("length"), F.col("w.path").alias("path")))
 
 
-def _apply(rule: Rule, left: DataFrame, right: DataFrame) -> DataFrame:
+def _apply(rule: Rule, left: DataFrame, right: DataFrame | None) -> DataFrame:
+    """What a rule makes of facts; the proofs of given ones are not moved."""
+    carried = [(c, k) for c, k in (("length", "m"), ("path", "p")) if c in left.columns]
     a = left.where(F.col("predicate") == rule.first).select(
-        F.col("subject").alias("x"), F.col("object").alias("y"), F.col("length").alias("m"), F.col("path").alias("p"))
+        F.col("subject").alias("x"), F.col("object").alias("y"), *(F.col(c).alias(k) for c, k in carried))
+    m, p = (F.col("m"), F.col("p")) if carried else (F.lit(1), F.array("x", "y"))
     if rule.then is None:
         return a.select(F.col("x").alias("subject"), F.lit(rule.head).alias("predicate"), F.col("y").alias("object"),
-                        F.col("m").alias("length"), F.col("p").alias("path"))
+                        m.alias("length"), p.alias("path"))
+    carried = [(c, k) for c, k in (("length", "n"), ("path", "q")) if c in right.columns]
     b = right.where(F.col("predicate") == rule.then).select(
-        F.col("subject").alias("y"), F.col("object").alias("z"), F.col("length").alias("n"), F.col("path").alias("q"))
+        F.col("subject").alias("y"), F.col("object").alias("z"), *(F.col(c).alias(k) for c, k in carried))
+    n, rest = (F.col("n"), F.expr("slice(q, 2, size(q) - 1)")) if carried else (F.lit(1), F.array("z"))
     return a.join(b, "y").select(F.col("x").alias("subject"), F.lit(rule.head).alias("predicate"), F.col("z").alias("object"),
-                                 (F.col("m") + F.col("n")).alias("length"), F.concat("p", F.expr("slice(q, 2, size(q) - 1)")).alias("path"))
+                                 (m + n).alias("length"), F.concat(p, rest).alias("path"))
 
 
 def infer(facts: DataFrame, rules: list[Rule]) -> DataFrame:
     """(subject, predicate, object, length, path) of all given facts (length 1)
     and all that follow from them by ``rules``."""
-    known = stored(facts.select(*FACT).distinct().select(
-        *FACT, F.lit(1).alias("length"), F.array("subject", "object").alias("path")), "facts")
-    delta = known
+    heads = {rule.head for rule in rules}
+    derived = F.coalesce(F.col("predicate").isin(*heads), F.lit(False))
+    rows = stored(facts.select(*FACT).distinct(), "facts-given")
+
+    def proved(df):
+        return df.select(*FACT, F.lit(1).alias("length"), F.array("subject", "object").alias("path"))
+
+    given, known, delta = rows.where(~derived), proved(rows.where(derived)), None
+
+    def having(predicate):
+        return known if predicate in heads else given
+
     while True:
-        new = None
+        made = []
         for rule in rules:
-            made = _apply(rule, delta, known)
-            if rule.then is not None:
-                made = made.unionByName(_apply(rule, known, delta))
-            new = made if new is None else new.unionByName(made)
+            if delta is None:                        # the first round: all facts are new
+                made.append(_apply(rule, having(rule.first), having(rule.then) if rule.then is not None else None))
+                continue
+            if rule.first in heads:
+                made.append(_apply(rule, delta, having(rule.then) if rule.then is not None else None))
+            if rule.then in heads:
+                made.append(_apply(rule, having(rule.first), delta))
+        if not made:
+            return proved(given).unionByName(known)
         had = known.select(*FACT, F.struct("length", "path").alias("had"))
         better = F.col("had").isNull() | (F.struct("length", "path") < F.col("had"))
-        delta = stored(_best(new).join(had, FACT, "left").where(better).drop("had"), "delta")
+        delta = stored(_best(reduce(DataFrame.unionByName, made)).join(had, FACT, "left").where(better).drop("had"), "delta")
         if delta.isEmpty():
-            return known
+            return proved(given).unionByName(known)
         known = stored(_best(known.unionByName(delta)), "facts")

@@ -136,3 +136,22 @@ def test_rules(spark):
            infer(spark.createDataFrame(facts + facts[:3], "subject string, predicate string, object string"), rules).collect()}
     assert got == _saturate(set(facts), rules)
     assert max(n for n, _ in got.values()) > 3
+
+
+def test_facts_that_no_rule_derives_are_written_once(spark, monkeypatch):
+    from tessera.operators import reasoning
+    written = []
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append((name, out.where("predicate = 'tag'").count()))
+        return out
+
+    stored = reasoning.stored
+    monkeypatch.setattr(reasoning, "stored", counted)
+    facts = [(f"n{k}", "to", f"n{k + 1}") for k in range(5)] + [(f"n{k}", "tag", "t") for k in range(6)] + [("n5", "far", "n0"), ("z", None, "z")]
+    rules = [Rule("far", "to"), Rule("far", "far", "far"), Rule("sees", "far", "tag")]
+    got = {(r.subject, r.predicate, r.object): (r.length, tuple(r.path)) for r in
+           reasoning.infer(spark.createDataFrame(facts + facts, "subject string, predicate string, object string"), rules).collect()}
+    assert got == _saturate(set(facts), rules)
+    assert [n for _, n in written] == [6] + [0] * (len(written) - 1) and len(written) > 4
