@@ -41,16 +41,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, packed_texts, slices, unpacked
+from tessera.llm.common import mix64, packed_texts, release_memory, slices, unpacked
 from tessera.session import stored
 
 WINDOW, GRAM = 100, 32
 #: Grams in a string, and so the most strings an anchor occurrence can own.
 GRAMS = WINDOW - GRAM + 1
-#: Window starts handled in one go; longer texts are cut, overlapping.
-SEGMENT, BLOCK = 1 << 20, 1 << 22
-#: Rows a task holds back to merge equal classes before the shuffle.
-COMBINE_ROWS = 2_000_000
+#: Window starts handled in one go; longer texts are cut, overlapping. A block
+#: takes about 100 bytes of working memory a byte, in every Python worker.
+SEGMENT, BLOCK = 1 << 19, 1 << 20
+#: Rows a task holds back to merge equal classes before the shuffle, at about
+#: 200 bytes a row while they are merged.
+COMBINE_ROWS = 400_000
 #: Anchors with about this many rows, at most HOT_KEYS of them, are dealt over
 #: tasks by class; one document in SAMPLE is read to find them.
 HOT_ROWS, HOT_KEYS, SAMPLE = 1_000_000, 4096, 64
@@ -196,6 +198,8 @@ def _pass_a(batches):
             held, size = [], 0
     if held:
         yield from flush()
+    held = []
+    release_memory()
 
 
 def _pass_b(hot: np.ndarray):
@@ -246,6 +250,7 @@ def _pass_b(hot: np.ndarray):
             last = [c[first[-1]] for c in rows]
         if head is not None and (head[-1] or np.isin(head[0], hot)):
             yield _batch(OPEN, *(np.array([x]) for x in head[:-1]))
+        release_memory()
 
     return run
 
@@ -441,6 +446,7 @@ def _resolve(batches):
                 yield from work(rows)
     for rows in runs(whole(True)):
         yield from work(rows)
+    release_memory()
 
 
 def _found(kind, doc, digest, pos, n, x=None, y=None):

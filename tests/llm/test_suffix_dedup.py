@@ -147,3 +147,21 @@ def test_repeated_rows_with_open_spans(spark):
     rows = [(1, p), (1, p), (1, p), (2, p[:160] + "!" + p[160:])]
     got = [r[:3] for r in result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))]
     assert got == [(1, 300, 0)] * 3 + [(2, 301, 300)]
+
+
+def test_memory_of_a_task():
+    """What finds and merges the anchors of 24 MB of text takes a bounded share of
+    an executor; three Python workers stand beside its heap."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 200_000, dtype=np.uint8).tobytes().decode() for _ in range(120)]
+    batches = [pa.RecordBatch.from_pydict({"doc": pa.array([k]), "digest": pa.array([0]), "text": pa.array([t])}) for k, t in enumerate(texts)]
+    sd._powers.cache_clear()
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in sd._pass_a(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 24_000_000 // sd.GRAMS and peak < 220 << 20
