@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
+from tessera.session import default_parallelism, scratch_path
+
+#: Images of one folder that a job lists, writes or reads: what the driver holds
+#: of them (paths, file states, tasks) follows this number, not the images.
+FOLDER_FILES = 8192
+PART = "images_part"
+
 
 @F.pandas_udf(ArrayType(IntegerType()))
 def grey_values(data: pd.Series, channels: pd.Series) -> pd.Series:
@@ -59,11 +67,52 @@ def write_images(images: DataFrame, path: str) -> None:
     and any shared file system will do. Every file ends with one line break
     behind the content, which image readers pass over. Rows without a name or
     content are not written. Names must be unique: equal ones may share a file,
-    of which readers see the first image.
+    of which readers see the first image. More than FOLDER_FILES images are dealt
+    over folders by a hash of the name, each written by a job of its own.
     """
-    (images.where(F.col("filename").isNotNull() & F.col("content").isNotNull())
-     .select("filename", F.col("content").cast("string").alias("value"))
-     .write.mode("overwrite").partitionBy("filename").text(path))
+    spark = images.sparkSession
+    rows = images.where(F.col("filename").isNotNull() & F.col("content").isNotNull())
+    rows = rows.select("filename", F.col("content").cast("string").alias("value"))
+    parts = -(-images.where(F.col("filename").isNotNull()).count() // FOLDER_FILES)
+    if parts <= 1:
+        rows.write.mode("overwrite").partitionBy("filename").text(path)
+        return
+    held = scratch_path(spark, "image-rows")
+    rows.withColumn(PART, F.pmod(F.xxhash64("filename"), F.lit(parts))).write.partitionBy(PART).parquet(held)
+    fs, root = _file_system(spark, path)
+    fs.delete(root, True)
+    for part in _parts(spark, held):
+        with _small_files(spark):
+            one = spark.read.schema(rows.schema).parquet(f"{held}/{part}")
+            one.write.partitionBy("filename").text(f"{path}/{part}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders that ``path`` is dealt over; none if it is one folder."""
+    fs, root = _file_system(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{PART}=*"))
+    return sorted(f.getPath().getName() for f in found or ())
+
+
+@contextmanager
+def _small_files(spark: SparkSession):
+    """Folders of small files are listed and read by few tasks, and what was
+    listed is not kept when the job is done."""
+    wanted = {"spark.sql.files.openCostInBytes": str(64 << 10), "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+              "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(default_parallelism(spark))}
+    had = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in had.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def scan_images(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
@@ -72,7 +121,8 @@ def scan_images(spark: SparkSession, path: str, named: bool = False) -> DataFram
     ``filename`` is the path below ``path`` (``named``: the name that the file's
     folder carries, as ``write_images`` lays them out) and ``image_id`` a hash of
     it, so equal names in two folders are two images. Each file is read and
-    decoded once; the name goes along with its pixels.
+    decoded once; the name goes along with its pixels. Folders that
+    ``write_images`` has dealt are read one by one into a table of images.
     """
     root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "", path.rstrip("/"))
 
@@ -84,9 +134,22 @@ def scan_images(spark: SparkSession, path: str, named: bool = False) -> DataFram
         name = unescaped(F.regexp_extract(origin, "filename=([^/]*)/[^/]*$", 1))
     else:
         name = F.substring(origin, F.instr(origin, root) + len(root) + 1, F.length(origin))
-    img = (spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path)
-           .select(name.alias("filename"), F.col("image.height").alias("height"), F.col("image.width").alias("width"),
-                   grey_values("image.data", "image.nChannels").alias("vals")))
+
+    def decoded(folder):
+        return (spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(folder)
+                .select(name.alias("filename"), F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                        grey_values("image.data", "image.nChannels").alias("vals")))
+
+    parts = _parts(spark, path) if named else []
+    if parts:
+        kept = scratch_path(spark, "images")
+        for part in parts:
+            with _small_files(spark):
+                one = decoded(f"{path}/{part}")
+                one.write.mode("append").parquet(kept)
+        img = spark.read.schema(one.schema).parquet(kept)
+    else:
+        img = decoded(path)
     px = img.select("filename", "height", "width", F.posexplode("vals").alias("pos", "v"))
     return px.select("filename", F.xxhash64("filename").alias("image_id"), (F.col("pos") / F.col("width")).cast("int").alias("y"),
                      (F.col("pos") % F.col("width")).cast("int").alias("x"), "v", "height", "width")

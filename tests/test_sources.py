@@ -83,6 +83,30 @@ def test_image_folder_round_trip(spark):
         ("a%41 b/c+d.png", v, v) for v in (200, 1, 2, 3)]
 
 
+def test_image_folders_are_bounded(spark, monkeypatch):
+    """Many images are dealt over folders, so that no job lists them all."""
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    from tessera.sources import images as im
+    monkeypatch.setattr(im, "FOLDER_FILES", 8, raising=False)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    df = spark.range(60).select(F.concat(F.lit("a/"), "id", F.lit("=%.png")).alias("filename"),
+                                F.array_repeat((F.col("id") % 256).cast("int"), 6).alias("g")).repartition(3)
+    files = df.select("filename", F.when(F.col("filename") == "a/7=%.png", F.lit(b"cut")).otherwise(im.png_bytes("g", F.lit(2), F.lit(3))).alias("content"))
+    path = scratch_path(spark, "image-files")
+    im.write_images(files, path)
+    folders = {}
+    for d, _, names in os.walk(path.removeprefix("file:")):
+        if any(n.startswith("part-") for n in names):
+            folders.setdefault(os.path.dirname(d), []).append(d)
+    assert sum(map(len, folders.values())) == 60 and max(map(len, folders.values())) < 30
+    got = im.scan_images(spark, path, named=True).collect()
+    assert sorted((r.filename, r.y, r.x, r.v) for r in got) == sorted(
+        (f"a/{k}=%.png", y, x, k) for k in range(60) if k != 7 for y in range(2) for x in range(3))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
 ROBOTS = """User-agent: *
 Disallow: /private/
 Allow: /private/open
