@@ -25,9 +25,9 @@ def word_positions(docs: DataFrame, id_col: str, words) -> DataFrame:
 def inverted_index(positions: DataFrame, id_col: str, span: int = SPAN) -> DataFrame:
     """(word, part, docs, occurrences, postings): ``postings`` is an array of
     (id, positions), by id; ``part`` is the range of ids it covers."""
-    one = positions.groupBy("word", id_col).agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+    one = positions.groupBy("word", id_col).agg(F.sort_array(F.collect_list("pos")).alias("positions"))
     part = F.floor(F.col(id_col) / span).alias("part")
-    lists = one.groupBy("word", part).agg(F.array_sort(F.collect_list(F.struct(id_col, "positions"))).alias("postings"))
+    lists = one.groupBy("word", part).agg(F.sort_array(F.collect_list(F.struct(id_col, "positions"))).alias("postings"))
     held = F.aggregate("postings", F.lit(0).cast("long"), lambda n, p: n + F.size(p["positions"]))
     return lists.select("word", "part", F.size("postings").cast("long").alias("docs"), held.alias("occurrences"), "postings")
 

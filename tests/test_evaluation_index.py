@@ -42,3 +42,13 @@ def test_index_and_phrases(spark):
     for phrase in (["a"], ["a", "b"], ["a", "a"], ["a", "b", "a", "b"], ["a", "zz"]):
         found = {(r.id, r.pos) for r in index.phrase_search(lists, "id", phrase).collect()}
         assert found == {(i, k) for i, ws in docs for k in range(len(ws)) if ws[k:k + len(phrase)] == phrase}
+
+
+def test_lists_are_sorted_without_a_comparator(spark):
+    """A comparator given as an expression is evaluated row by row; the order is the same."""
+    docs = [(7, ["b", "a"]), (2, ["a", "b", "a"]), (7, ["a"]), (None, ["a"])]
+    lists = index.inverted_index(index.word_positions(spark.createDataFrame(docs, "id long, w array<string>"), "id", F.col("w")), "id", span=50)
+    assert {(r.word, r.part): [tuple(p) for p in r.postings] for r in lists.collect()} == {
+        ("a", 0): [(2, [0, 2]), (7, [0, 1])], ("b", 0): [(2, [1]), (7, [0])], ("a", None): [(None, [0])]}
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" in plan and "array_sort" not in plan
