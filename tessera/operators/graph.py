@@ -92,46 +92,45 @@ def kg_degree(triples: DataFrame) -> DataFrame:
 
 
 def oriented(edges: DataFrame) -> DataFrame:
-    """(src, dst, src_rank, dst_rank) of an undirected graph (u, v), each edge once,
-    from the end of smaller (degree, id) to the larger one.
+    """(src, dst) of an undirected graph (u, v), each edge once, from the end of
+    smaller (degree, id) to the larger one.
 
     A node has at most sqrt(2 x edges) edges out of it, hubs among them, which
-    bounds every join on ``src`` without a cap.
+    bounds every list of the nodes after a node without a cap.
     """
     pairs = edges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).where("a <> b").distinct()
     pairs = stored(pairs, "graph-pairs")
     degree = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
-    ranked = degree.select("node", F.struct("degree", "node").alias("rank"))
-    both = (pairs.join(ranked.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a")
-            .join(ranked.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b"))
-    up = F.col("ra") < F.col("rb")
-    low, high = F.when(up, F.col("ra")).otherwise(F.col("rb")), F.when(up, F.col("rb")).otherwise(F.col("ra"))
-    return stored(both.select(low.alias("src_rank"), high.alias("dst_rank")).select(
-        F.col("src_rank.node").alias("src"), F.col("dst_rank.node").alias("dst"), "src_rank", "dst_rank"), "graph-oriented")
+    both = (pairs.join(degree.select(F.col("node").alias("a"), F.col("degree").alias("da")), "a")
+            .join(degree.select(F.col("node").alias("b"), F.col("degree").alias("db")), "b"))
+    up = F.col("da") <= F.col("db")                  # a is the smaller id
+    return both.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("src"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("dst"))
 
 
 def triangles(edges: DataFrame) -> DataFrame:
     """(a, b, c) of every triangle once, in the order of the orientation: MATCH
-    (a)-(b)-(c)-(a) (E17). Two edges out of the same node, closed by a third."""
-    e = oriented(edges)
-    first = e.select("src", F.col("dst").alias("b"), F.col("dst_rank").alias("rb"))
-    second = e.select("src", F.col("dst").alias("c"), F.col("dst_rank").alias("rc"))
-    wedges = first.join(second, "src").where("rb < rc").select(F.col("src").alias("a"), "b", "c")
-    closing = e.select(F.col("src").alias("b"), F.col("dst").alias("c"))
-    return wedges.join(closing, ["b", "c"]).select("a", "b", "c")
+    (a)-(b)-(c)-(a) (E17).
+
+    An edge from a to b takes the nodes after b to the nodes after a; those in
+    both close a triangle. Moved are a list an edge, none where nothing comes
+    after b, and not a row for each two edges out of a node.
+    """
+    after = stored(oriented(edges).groupBy("src").agg(F.collect_list("dst").alias("after")), "graph-after")
+    ways = after.select(F.col("src").alias("a"), F.explode("after").alias("b"))
+    ways = ways.join(after.select(F.col("src").alias("b"), F.col("after").alias("of_b")), "b")
+    ways = ways.join(after.select(F.col("src").alias("a"), F.col("after").alias("of_a")), "a")
+    return ways.select("a", "b", F.explode(F.array_intersect("of_a", "of_b")).alias("c"))
 
 
 def pattern_counts(edges: DataFrame) -> DataFrame:
     """(node, triangles, diamonds): the triangles a node is in, and the diamonds -
     two triangles on one edge, MATCH (x)-(y), (x)-(p)-(y), (x)-(q)-(y) - whose
     shared edge it ends. An edge in t triangles is shared by t (t - 1) / 2, so
-    diamonds are counted without listing them."""
-    t = stored(triangles(edges), "graph-triangles")
-    nodes = t.select(F.explode(F.array("a", "b", "c")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("triangles"))
+    diamonds are counted without listing them, and a triangle has two edges at
+    each of its nodes, so triangles are counted once, by edge."""
     sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("a").alias("x"), F.col("c").alias("y")),
                     F.struct(F.col("b").alias("x"), F.col("c").alias("y")))
-    shared = t.select(F.inline(sides)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("t")).where("t > 1")
-    ends = shared.select(F.explode(F.array("x", "y")).alias("node"), (F.col("t") * (F.col("t") - 1) / 2).cast("long").alias("n"))
-    diamonds = ends.groupBy("node").agg(F.sum("n").alias("diamonds"))
-    return nodes.join(diamonds, "node", "left").select("node", "triangles", F.coalesce("diamonds", F.lit(0)).alias("diamonds"))
+    shared = triangles(edges).select(F.inline(sides)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("t"))
+    ends = shared.select(F.explode(F.array("x", "y")).alias("node"), "t", F.expr("t * (t - 1) div 2").alias("n"))
+    return ends.groupBy("node").agg(F.expr("sum(t) div 2").alias("triangles"), F.sum("n").alias("diamonds"))

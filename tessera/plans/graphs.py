@@ -114,10 +114,15 @@ def crawl_by_links(spark, sf):
 
 
 # --- E17: who buys what from whom ------------------------------------------------
+#: Marks of nodes in results; a node's number is 3 x key + the place of its mark.
+TRADERS = ("c:", "s:", "p:")
+
+
 def _trade_edges(spark, sf):
+    """(u, v) of numbered nodes: what moves is a third of marked keys as text."""
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey"])
     rows = li.join(read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"]), F.col("l_orderkey") == F.col("o_orderkey"))
-    c, s, p = (F.concat(F.lit(k), F.col(v)) for k, v in (("c:", "o_custkey"), ("s:", "l_suppkey"), ("p:", "l_partkey")))
+    c, s, p = (3 * F.col(v).cast("long") + k for k, v in enumerate(("o_custkey", "l_suppkey", "l_partkey")))
     return rows.select(F.inline(F.array(*(F.struct(a.alias("u"), b.alias("v")) for a, b in ((c, s), (s, p), (c, p))))))
 
 
@@ -131,7 +136,9 @@ ends AS (SELECT node, sum(n * (n - 1) // 2)::BIGINT AS diamonds FROM (SELECT unn
 SELECT node, triangles, diamonds FROM nodes JOIN ends USING (node)""")
 def kg_patterns(spark, sf):
     """Triangles and diamonds of customers, suppliers and parts that traded."""
-    return graph.pattern_counts(_trade_edges(spark, sf))
+    counts = graph.pattern_counts(_trade_edges(spark, sf))
+    mark = F.element_at(F.array(*map(F.lit, TRADERS)), (F.pmod("node", F.lit(3)) + 1).cast("int"))
+    return counts.withColumn("node", F.concat(mark, F.expr("(node - pmod(node, 3)) div 3")))
 
 
 # --- E18 ----------------------------------------------------------------------

@@ -108,6 +108,34 @@ def test_patterns(spark):
     assert out <= (2 * len(edges)) ** 0.5
 
 
+def _most_rows(plan):
+    """The most rows that any step of an executed plan put out."""
+    below = [plan.executedPlan()] if plan.nodeName() == "AdaptiveSparkPlan" else [plan.plan()] if "QueryStage" in plan.nodeName() else []
+    below += [plan.children().apply(k) for k in range(plan.children().size())]
+    rows = plan.metrics().get("numOutputRows")
+    return max([rows.get().value() if rows.isDefined() else 0, *map(_most_rows, below)])
+
+
+def test_triangles_do_not_list_every_two_edges_of_a_node(spark):
+    # 60 x 60 nodes: 3,600 edges, 106,200 pairs of edges out of one node, one edge between two of them closes 60
+    rows = [(f"a{x}", f"b{y}") for x in range(60) for y in range(60)] + [("b0", "b1"), (None, "b1"), ("a0", None), (None, None)]
+    df = graph.triangles(spark.createDataFrame(rows, "u string, v string"))
+    assert {tuple(sorted(r)) for r in df.collect()} == {(f"a{x}", "b0", "b1") for x in range(60)}
+    assert _most_rows(df._jdf.queryExecution().executedPlan()) <= 2 * len(rows)
+
+
+def test_traders_keep_their_marks(spark, tmp_path):
+    from tessera.plans import graphs
+    li = [(1, 5, 7), (1, 6, 7), (2, 5, 7), (3, 5, 8), (3, -4, 0), (4, 5, 7), (9, 1, 1), (None, 2, 2), (5, None, 3)]
+    spark.createDataFrame(li, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, 7), (2, 8), (3, -1), (4, None), (5, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.node: (r.triangles, r.diamonds) for r in graphs.kg_patterns(spark, str(tmp_path)).collect()}
+    # triangles: c:7 s:7 p:5 and p:6; c:8 s:7 p:5; c:-1 s:8 p:5; c:-1 s:0 p:-4. c:7 s:7 and s:7 p:5 are shared by two
+    assert got == {"c:7": (2, 1), "s:7": (3, 2), "p:5": (3, 1), "p:6": (1, 0), "c:8": (1, 0), "c:-1": (2, 0), "s:8": (1, 0),
+                   "s:0": (1, 0), "p:-4": (1, 0)}
+
+
 def _saturate(facts, rules):
     known = {f: (1, (f[0], f[2])) for f in facts}
     while True:
