@@ -12,8 +12,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import fixed
 from tessera.session import stored
@@ -97,6 +100,66 @@ def trigrams(sample_col: str) -> Column:
     return F.regexp_extract_all(F.col(sample_col), F.lit("(?s)(?=(.{3}))"), 1)
 
 
+#: Places counted at once: bounds the arrays of a task whatever the texts' length.
+GRAM_PLACES = 1 << 20
+
+
+def _counted_grams(texts: list[str]):
+    """(grams, counts) of texts' trigrams, as ``trigrams`` finds them: at every
+    UTF-16 unit three code points, half of a pair being a question mark."""
+    joined = "".join(texts)
+    units = np.frombuffer(joined.encode("utf-16-le"), np.uint16)
+    lens = [len(t) for t in texts] if len(units) == len(joined) else [len(t.encode("utf-16-le")) // 2 for t in texts]
+    ends = np.cumsum(lens)
+    for at in range(0, len(units), GRAM_PLACES):
+        u = units[at:at + GRAM_PLACES + 6].astype(np.int64)           # three pairs at most from the last place on
+        n = min(GRAM_PLACES, len(units) - at)
+        third = np.arange(2, n + 2)
+        cps = np.concatenate([u, np.full(6, 0x3F)])
+        halves = (cps >= 0xD800) & (cps < 0xE000)
+        if halves.any():
+            pair = np.flatnonzero(halves & (cps < 0xDC00))
+            step = np.ones(len(cps), np.int64)
+            step[pair] = 2
+            cps[pair] = 0x10000 + ((cps[pair] - 0xD800) << 10) + (cps[pair + 1] - 0xDC00)
+            cps[halves & (step == 1)] = 0x3F
+            second = np.arange(n) + step[:n]
+            third = second + step[second]
+            after = third + step[third]
+        else:
+            second, after = np.arange(1, n + 1), third + 1
+        first = np.searchsorted(ends, at, "right")
+        stop = np.searchsorted(ends, at + n - 1, "right") + 1
+        until = np.repeat(ends[first:stop], np.diff(np.concatenate([[at], np.minimum(ends[first:stop], at + n)])))
+        whole = at + after <= until
+        keys = ((cps[:n] << 42) | (cps[second] << 21) | cps[third])[whole]
+        keys, counts = np.unique(keys, return_counts=True)
+        back = np.stack([keys >> 42, (keys >> 21) & 0x1FFFFF, keys & 0x1FFFFF], 1).astype("<u4").tobytes().decode("utf-32-le")
+        yield [back[k:k + 3] for k in range(0, len(back), 3)], counts
+
+
+def _count_trigrams(batches):
+    """Batches (lang, text) to (lang, gram, c), summed over some texts of a language."""
+    for batch in batches:
+        by: dict = {}
+        size: dict = {}
+
+        def counted(lang):
+            size[lang] = 0
+            for grams, counts in _counted_grams(by.pop(lang)):
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), batch.schema.field(0).type), pa.array(grams, pa.string()),
+                                                  pa.array(counts, pa.int64())], ["lang", "gram", "c"])
+
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if text := text.as_py():
+                by.setdefault(lang, []).append(text)
+                size[lang] = size.get(lang, 0) + len(text)
+                if size[lang] >= GRAM_PLACES:
+                    yield from counted(lang)
+        for lang in list(by):
+            yield from counted(lang)
+
+
 @dataclass
 class LanguageProfiles:
     """``table`` (gram, logp): one log probability per language, in the order
@@ -110,13 +173,16 @@ def language_profiles(docs: DataFrame, text_col: str, lang_col: str) -> Language
     """Trigram profiles with add-one smoothing over the joint vocabulary, from
     the whole texts in one pass.
 
-    The counts are pre-aggregated per (language, gram), gathered to one row per
+    Tasks count the grams of their texts in arrays, so what reaches the aggregate
+    is a row for each gram of some texts and not one for each character. The
+    counts are pre-aggregated per (language, gram), gathered to one row per
     gram - at most one entry per language - and written once; totals and
     vocabulary are read from that table.
     """
-    low = docs.select(lang_col, F.lower(text_col).alias("_s"))
-    counts = (low.select(F.col(lang_col).alias("lang"), F.explode(trigrams("_s")).alias("gram"))
-              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
+    low = docs.select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("_s"))
+    made = T.StructType([T.StructField("lang", low.schema["lang"].dataType), T.StructField("gram", T.StringType()), T.StructField("c", T.LongType())])
+    counts = (low.mapInArrow(_count_trigrams, made)
+              .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
     table = stored(counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("c")), "grams")
     total = table.select(F.explode("c").alias("lang", "c")).groupBy("lang").agg(F.sum("c").alias("t"))
     rows = sorted(total.limit(MAX_CLASSES + 1).collect())

@@ -1,8 +1,10 @@
 """Hand-worked fixtures for the text functions and term counting (quirks Q1,
 Q7, Q8, Q10, Q14), with equivalence against a regex brute force."""
 
+import math
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera import fixed
@@ -110,3 +112,37 @@ def test_plan_prunes_and_broadcasts(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     scan = df._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in scan
+
+
+def test_profiles_count_every_trigram_of_long_and_astral_texts(spark, monkeypatch):
+    from collections import Counter
+
+    from tessera.operators import classify as cl
+
+    monkeypatch.setattr(cl, "GRAM_PLACES", 7)
+    texts = [("en", "The cat. The cat."), ("de", "Straße über\nalles"), ("en", "a😀b😀😀c"), ("en", "xy"), ("de", ""), ("en", None), ("ja", "日本語です"),
+             ("en", "abc" * 9)]
+    got = Counter()
+    for grams, counts in cl._counted_grams([t.lower() for _, t in texts if t]):
+        got.update(dict(zip(grams, map(int, counts))))
+    want = Counter(r.gram for r in spark.createDataFrame([(t.lower(),) for _, t in texts if t], "s string")
+                   .select(F.explode(cl.trigrams("s")).alias("gram")).collect())
+    assert got == want
+    df = spark.createDataFrame(texts, "lang string, text string")
+    profiles = cl.language_profiles(df, "text", "lang")
+    assert profiles.langs == ["de", "en", "ja"]
+    per = {lang: Counter(r.gram for r in df.where(F.col("lang") == lang).select(F.lower("text").alias("s"))
+                         .select(F.explode(cl.trigrams("s")).alias("gram")).collect()) for lang in profiles.langs}
+    vocabulary = set().union(*per.values())
+    for r in profiles.table.collect():
+        assert r.logp == pytest.approx([math.log((per[k][r.gram] + 1) / (sum(per[k].values()) + len(vocabulary))) for k in profiles.langs])
+    assert {r.gram for r in profiles.table.collect()} == vocabulary
+
+
+def test_profiles_hand_on_grams_not_characters(spark):
+    from tessera.operators import classify as cl
+
+    df = spark.createDataFrame([("en", "abcd" * 5000), ("de", "äbcd" * 5000)], "lang string, text string").repartition(1)
+    rows = spark.createDataFrame([], "lang string, gram string, c long")
+    rows = df.select("lang", F.lower("text").alias("s")).mapInArrow(cl._count_trigrams, rows.schema).collect()
+    assert len(rows) == 8 and sum(r.c for r in rows) == 2 * 19998
