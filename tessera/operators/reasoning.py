@@ -4,8 +4,10 @@ Rules are chains: ``head(x, y) :- p(x, y)`` or ``head(x, z) :- p(x, y), q(y, z)`
 Evaluation is semi-naive: a round joins only the facts that were new or got a
 shorter witness in the round before, on either side of a rule, with all facts.
 Facts whose predicate no rule derives never change: they are written once, and
-rounds only read them. The derived facts and a round's new ones are written
-tables, so a lost executor costs tasks of one round. A fact's witness is the
+rounds only read them. A round's new facts are a written table, so a lost
+executor costs tasks of one round. They are added to the derived ones as they
+are; only a round that found shorter witnesses, or ``MOST_TABLES`` tables, has
+the derived facts written anew. A fact's witness is the
 path of nodes of its shortest proof, of equal ones the smallest; a longer one is
 dropped before the shuffle that compares it (partial aggregation). Joins are on
 the shared node, which Spark can split where a node is a hub.
@@ -23,6 +25,9 @@ from tessera.session import stored
 
 FACT = ["subject", "predicate", "object"]
 
+#: Tables of derived facts that rounds read before they are written as one.
+MOST_TABLES = 16
+
 
 class Rule(NamedTuple):
     head: str
@@ -63,7 +68,7 @@ def infer(facts: DataFrame, rules: list[Rule]) -> DataFrame:
     def proved(df):
         return df.select(*FACT, F.lit(1).alias("length"), F.array("subject", "object").alias("path"))
 
-    given, known, delta = rows.where(~derived), proved(rows.where(derived)), None
+    given, known, delta, tables = rows.where(~derived), proved(rows.where(derived)), None, 1
 
     def having(predicate):
         return known if predicate in heads else given
@@ -82,7 +87,10 @@ def infer(facts: DataFrame, rules: list[Rule]) -> DataFrame:
             return proved(given).unionByName(known)
         had = known.select(*FACT, F.struct("length", "path").alias("had"))
         better = F.col("had").isNull() | (F.struct("length", "path") < F.col("had"))
-        delta = stored(_best(reduce(DataFrame.unionByName, made)).join(had, FACT, "left").where(better).drop("had"), "delta")
+        delta = _best(reduce(DataFrame.unionByName, made)).join(had, FACT, "left").where(better)
+        delta = stored(delta.withColumn("shorter", F.col("had").isNotNull()).drop("had"), "delta")
         if delta.isEmpty():
             return proved(given).unionByName(known)
-        known = stored(_best(known.unionByName(delta)), "facts")
+        again = tables >= MOST_TABLES or not delta.where("shorter").isEmpty()
+        known, delta = known.unionByName(delta.drop("shorter")), delta.drop("shorter")
+        known, tables = (stored(_best(known), "facts"), 1) if again else (known, tables + 1)

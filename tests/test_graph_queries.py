@@ -183,3 +183,25 @@ def test_facts_that_no_rule_derives_are_written_once(spark, monkeypatch):
            reasoning.infer(spark.createDataFrame(facts + facts, "subject string, predicate string, object string"), rules).collect()}
     assert got == _saturate(set(facts), rules)
     assert [n for _, n in written] == [6] + [0] * (len(written) - 1) and len(written) > 4
+
+
+@pytest.mark.parametrize("most", [2, 16])
+def test_found_facts_are_not_written_again(spark, monkeypatch, most):
+    from tessera.operators import reasoning
+    written = []
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append((name, out.count()))
+        return out
+
+    stored = reasoning.stored
+    monkeypatch.setattr(reasoning, "stored", counted)
+    monkeypatch.setattr(reasoning, "MOST_TABLES", most, raising=False)
+    facts = [(f"n{k}", "to", f"n{(k + s) % 9}") for k in range(9) for s in (1, 2)]
+    rules = [Rule("far", "to"), Rule("far", "far", "to")]
+    got = {(r.subject, r.predicate, r.object): (r.length, tuple(r.path)) for r in
+           reasoning.infer(spark.createDataFrame(facts, "subject string, predicate string, object string"), rules).collect()}
+    assert got == _saturate(set(facts), rules)
+    assert sum(n for name, n in written if name == "delta") == 81
+    assert [name for name, _ in written].count("facts") == (0 if most == 16 else 2)
