@@ -89,8 +89,9 @@ def infer(facts: DataFrame, rules: list[Rule]) -> DataFrame:
         better = F.col("had").isNull() | (F.struct("length", "path") < F.col("had"))
         delta = _best(reduce(DataFrame.unionByName, made)).join(had, FACT, "left").where(better)
         delta = stored(delta.withColumn("shorter", F.col("had").isNotNull()).drop("had"), "delta")
-        if delta.isEmpty():
+        found = delta.agg(F.bool_or("shorter").alias("shorter")).first()
+        if found.shorter is None:
             return proved(given).unionByName(known)
-        again = tables >= MOST_TABLES or not delta.where("shorter").isEmpty()
+        again = tables >= MOST_TABLES or found.shorter
         known, delta = known.unionByName(delta.drop("shorter")), delta.drop("shorter")
         known, tables = (stored(_best(known), "facts"), 1) if again else (known, tables + 1)
