@@ -7,13 +7,16 @@ the bytes become grey values per Arrow batch, then one row per pixel.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
+import uuid
 import zlib
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
@@ -63,28 +66,66 @@ def write_images(images: DataFrame, path: str) -> None:
     """One file per row of ``(filename, content)`` in a folder that carries its
     name, for ``scan_images(..., named=True)``.
 
-    Spark's own sink writes the files, so a task that is lost leaves none behind
-    and any shared file system will do. Every file ends with one line break
-    behind the content, which image readers pass over. Rows without a name or
-    content are not written. Names must be unique: equal ones may share a file,
-    of which readers see the first image. More than FOLDER_FILES images are dealt
-    over folders by a hash of the name, each written by a job of its own.
+    Every file ends with one line break behind the content, which image readers
+    pass over. Rows without a name or content are not written. Names must be
+    unique: equal ones may share a file, of which readers see the first image.
+    More than FOLDER_FILES images are dealt over folders by a hash of the name.
+
+    In a folder of the file system that executors share by its path, the tasks
+    put the files there themselves (``_put_files``): Spark's sink starts a process
+    for each folder and each file there, to set its mode. In any other store
+    Spark's sink writes them, a folder at a time.
     """
     spark = images.sparkSession
     rows = images.where(F.col("filename").isNotNull() & F.col("content").isNotNull())
-    rows = rows.select("filename", F.col("content").cast("string").alias("value"))
     parts = -(-images.where(F.col("filename").isNotNull()).count() // FOLDER_FILES)
+    part = F.pmod(F.xxhash64("filename"), F.lit(parts))
+    fs, root = _file_system(spark, path)
+    if fs.getScheme() == "file":
+        fs.delete(root, True)
+        fs.mkdirs(root)
+        folder = F.lit("") if parts <= 1 else F.concat(F.lit(f"{PART}="), part, F.lit("/"))
+        _put_files(rows.select("filename", F.col("content").cast("binary").alias("content"), folder.alias("folder")), root.toUri().getPath())
+        return
+    rows = rows.select("filename", F.col("content").cast("string").alias("value"))
     if parts <= 1:
         rows.write.mode("overwrite").partitionBy("filename").text(path)
         return
     held = scratch_path(spark, "image-rows")
-    rows.withColumn(PART, F.pmod(F.xxhash64("filename"), F.lit(parts))).write.partitionBy(PART).parquet(held)
-    fs, root = _file_system(spark, path)
+    rows.withColumn(PART, part).write.partitionBy(PART).parquet(held)
     fs.delete(root, True)
-    for part in _parts(spark, held):
+    for one_part in _parts(spark, held):
         with _small_files(spark):
-            one = spark.read.schema(rows.schema).parquet(f"{held}/{part}")
-            one.write.partitionBy("filename").text(f"{path}/{part}")
+            one = spark.read.schema(rows.schema).parquet(f"{held}/{one_part}")
+            one.write.partitionBy("filename").text(f"{path}/{one_part}")
+
+
+def _put_files(rows: DataFrame, root: str) -> None:
+    """Write ``(filename, content, folder)`` below ``root``, a file each.
+
+    Equal names come to one task, one after the other, so the first is the one
+    written. A file appears under its name when it is whole, and a task that runs
+    again puts the same files in the place of those it left.
+    """
+    special = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""      # what Spark's sink escapes in a folder's name
+
+    def put(batches):
+        last, mine = None, f".{uuid.uuid4().hex}"
+        for batch in batches:
+            for name, content, folder in zip(*(c.to_pylist() for c in batch.columns)):
+                if name == last:
+                    continue
+                last, escaped = name, re.sub(special, lambda c: f"%{ord(c[0]):02X}", name)
+                at = f"{root}/{folder}filename={escaped or '__HIVE_DEFAULT_PARTITION__'}"
+                os.makedirs(at, exist_ok=True)
+                with open(f"{at}/{mine}", "wb") as f:
+                    f.write(content + b"\n")
+                os.replace(f"{at}/{mine}", f"{at}/part-00000.txt")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    n = default_parallelism(rows.sparkSession)
+    dealt = rows.repartition(n, "filename").sortWithinPartitions("filename")
+    dealt.mapInArrow(put, "files long").agg(F.sum("files")).collect()
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -102,8 +143,10 @@ def _parts(spark: SparkSession, path: str) -> list[str]:
 @contextmanager
 def _small_files(spark: SparkSession):
     """Folders of small files are listed and read by few tasks, and what was
-    listed is not kept when the job is done."""
+    listed is not kept when the job is done. The image source makes a projection
+    for each file: interpreted, as generating code for it takes milliseconds."""
     wanted = {"spark.sql.files.openCostInBytes": str(64 << 10), "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+              "spark.sql.codegen.factoryMode": "NO_CODEGEN",
               "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(default_parallelism(spark))}
     had = {k: spark.conf.get(k, None) for k in wanted}
     try:

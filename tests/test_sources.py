@@ -107,6 +107,29 @@ def test_image_folders_are_bounded(spark, monkeypatch):
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
 
 
+def test_image_files_are_put_without_a_process_each(spark, monkeypatch):
+    """Spark's sink starts a process for the mode of each folder and file, and its
+    files have a checksum file beside them; equal names are one image, the first."""
+    from pyspark.sql import functions as F
+
+    from tessera.session import scratch_path
+    from tessera.sources import images as im
+    special = "q\"'#:?*[x]{y}^\\=/é+%41 .png"
+    rows = [(special, 9), ("a", 1), ("a", 2), ("", 3)]
+    files = spark.createDataFrame(rows, "filename string, v int").repartition(4, "v").select(
+        "filename", im.png_bytes(F.array("v"), F.lit(1), F.lit(1)).alias("content"))
+    for most in (8, 1):
+        monkeypatch.setattr(im, "FOLDER_FILES", most)
+        path = scratch_path(spark, "image-files")
+        im.write_images(files, path)
+        im.write_images(files, path)
+        found = [names for d, _, names in os.walk(path.removeprefix("file:")) if "filename=" in os.path.basename(d)]
+        assert len(found) == 3 and all(n == ["part-00000.txt"] for n in found)
+        got = im.scan_images(spark, path, named=True).select("filename", "v").collect()
+        assert len(got) == 3 and {r.filename for r in got} == {special, "a", "__HIVE_DEFAULT_PARTITION__"}
+        assert dict(map(tuple, got))[special] == 9 and dict(map(tuple, got))["a"] in (1, 2)
+
+
 ROBOTS = """User-agent: *
 Disallow: /private/
 Allow: /private/open
