@@ -2,44 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from tessera.operators.graph import components
 
-from tessera.session import stored
-
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) for every end of ``links`` (u, v); the component is the
-    smallest node reachable.
-
-    Large-star: every node hands its larger neighbours to its smallest one;
-    small-star: its smaller neighbours likewise. Each round is two aggregates
-    to the smallest neighbour and two joins on the node, so a node with any
-    number of links is pre-aggregated and its join can be split; the rounds end
-    when every component is a star, after a number of them that follows the
-    logarithm of the size. Each round is a written table.
-    """
-    edges = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                   .where("u > v").distinct(), "links")
-    before = None
-    while True:
-        near = _both_ways(edges)
-        low = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        edges = near.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .where("u > v").distinct()
-        low = edges.groupBy("u").agg(F.min("v").alias("m"))
-        edges = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .unionByName(low.select("u", F.col("m").alias("v"))).where("u > v").distinct()
-        edges = stored(edges, "stars")
-        # order-free digest; hash halves keep the sums inside a long
-        now = edges.agg(F.count("*"), F.sum(F.shiftrightunsigned(F.xxhash64("u", "v"), 32)),
-                        F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first()
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")) \
-        .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+__all__ = ["components"]

@@ -180,5 +180,5 @@ def page_paths(spark, sf):
     """Which page leads to which over any number of links, by the shortest path."""
     site, _ = site_graph(spark, sf)
     facts = site.select(F.col("src").alias("subject"), F.lit("links").alias("predicate"), F.col("dst").alias("object"))
-    out = infer(facts, [Rule("reaches", "links"), Rule("reaches", "reaches", "links")]).where("predicate = 'reaches'")
+    out = infer(facts, [Rule("reaches", "links"), Rule("reaches", "reaches", "links")], by_subject=True).where("predicate = 'reaches'")
     return out.select(F.col("subject").alias("src"), F.col("object").alias("dst"), "length", F.array_join("path", ">").alias("witness"))

@@ -205,3 +205,49 @@ def test_found_facts_are_not_written_again(spark, monkeypatch, most):
     assert got == _saturate(set(facts), rules)
     assert sum(n for name, n in written if name == "delta") == 81
     assert [name for name, _ in written].count("facts") == (0 if most == 16 else 2)
+
+
+@pytest.mark.parametrize("batch,states,most,least", [(512, 1 << 20, 1 << 14, 1 << 13), (3, 40, 2, 1)])
+def test_a_closure_by_subject_writes_no_derived_fact(spark, monkeypatch, batch, states, most, least):
+    from tessera.operators import graph as gr
+    from tessera.operators import reasoning
+    written = []
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append((name, out.count()))
+        return out
+
+    stored = reasoning.stored
+    for module in (reasoning, gr):
+        monkeypatch.setattr(module, "stored", counted)
+    for name, value in (("BATCH", batch), ("MOST_STATES", states), ("MOST_ROWS", most), ("LEAST_ROWS", least)):
+        monkeypatch.setattr(reasoning, name, value)
+    rng = random.Random(4)
+    facts = [(f"n{k}", "to", f"n{k // 20 * 20 + rng.randrange(20)}") for k in range(60) for _ in range(2)]
+    facts += [("n7", "far", "n50"), ("n7", "far", "n90x"), ("n90", "to", "n90"), (None, "to", "n3"), (None, "to", "n41"), ("n41", "to", None),
+              (None, "to", None), ("n5", "tag", "n6"), ("n5", None, "n6"), ("lone", "to", "lone"), ("lone", "far", None)]
+    rules = [Rule("far", "to"), Rule("far", "far", "to")]
+    known = {f: (1, (f[0], f[2])) for f in facts}
+    steps = {}
+    for x, p, y in facts:
+        if p == "to" and x is not None:
+            steps.setdefault(x, []).append(y)
+    new = {(x, "far", y): (1, (x, y)) for x, p, y in facts if p in ("to", "far")}
+    while new:
+        known |= new
+        made = {}
+        for (x, _, y), (n, w) in new.items():
+            for z in steps.get(y, ()) if y is not None else ():
+                proof = (n + 1, (*w, z))
+                if (x, "far", z) not in known and [e or "" for e in proof[1]] < [e or "" for e in made.get((x, "far", z), (0, ["~"]))[1]]:
+                    made[x, "far", z] = proof
+        new = made
+    df = spark.createDataFrame(facts + facts[:9], "subject string, predicate string, object string")
+    rows = reasoning.infer(df, rules, by_subject=True).collect()
+    got = {(r.subject, r.predicate, r.object): (r.length, tuple(r.path)) for r in rows}
+    assert got == known and len(rows) == len(known) and max(n for n, _ in known.values()) > 3
+    assert max(n for _, n in written) <= 2 * len(set(facts)) < len(known)
+    numbers = spark.createDataFrame([(1, "to", 10), (10, "to", 9), (1, "to", 2), (2, "to", 9)], "subject long, predicate string, object long")
+    assert {(r.subject, r.object): r.path for r in infer(numbers, rules, by_subject=True).where("predicate = 'far'").collect()} == {
+        (1, 10): [1, 10], (1, 2): [1, 2], (10, 9): [10, 9], (2, 9): [2, 9], (1, 9): [1, 2, 9]}
