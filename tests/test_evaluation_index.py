@@ -52,3 +52,20 @@ def test_lists_are_sorted_without_a_comparator(spark):
         ("a", 0): [(2, [0, 2]), (7, [0, 1])], ("b", 0): [(2, [1]), (7, [0])], ("a", None): [(None, [0])]}
     plan = lists._jdf.queryExecution().optimizedPlan().toString()
     assert "sort_array" in plan and "array_sort" not in plan
+
+
+def test_positions_move_once(spark):
+    """One shuffle, by word and part; ids below zero, of each width, null and repeated."""
+    for kind in ("tinyint", "int", "long"):
+        docs = [(-1, ["a", "b", "a"]), (-50, ["a"]), (-51, ["a", "a"]), (0, ["b"]), (99, ["a", "b"]), (99, ["b", "a"]), (None, ["a"]), (None, ["c", "a"])]
+        words = index.word_positions(spark.createDataFrame(docs, f"id {kind}, w array<string>"), "id", F.col("w"))
+        lists = index.inverted_index(words, "id", span=50)
+        assert lists.schema["postings"].dataType.elementType["id"].dataType.simpleString() == words.schema["id"].dataType.simpleString()
+        got = {(r.word, r.part): (r.docs, r.occurrences, [tuple(p) for p in r.postings]) for r in lists.collect()}
+        assert got == {("a", -2): (1, 2, [(-51, [0, 1])]), ("a", -1): (2, 3, [(-50, [0]), (-1, [0, 2])]), ("b", -1): (1, 1, [(-1, [1])]),
+                       ("b", 0): (1, 1, [(0, [0])]), ("a", 1): (1, 2, [(99, [0, 1])]), ("b", 1): (1, 2, [(99, [0, 1])]),
+                       ("a", None): (1, 2, [(None, [0, 1])]), ("c", None): (1, 1, [(None, [0])])}
+        assert lists._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    lists = index.inverted_index(spark.createDataFrame([("x", "a", 1), ("x", "a", 0)], "id string, word string, pos int")
+                                 .withColumn("id", F.lit(1.5)), "id", span=1)
+    assert [tuple(p) for p in lists.first().postings] == [(1.5, [0, 1])]
