@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +101,7 @@ def oriented(edges: DataFrame) -> DataFrame:
     bounds every list of the nodes after a node without a cap.
     """
     pairs = edges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).where("a <> b").distinct()
-    pairs = stored(pairs, "graph-pairs")
+    pairs = stored(pairs, "graph-pairs", give_back=True)
     degree = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
     both = (pairs.join(degree.select(F.col("node").alias("a"), F.col("degree").alias("da")), "a")
@@ -108,6 +110,24 @@ def oriented(edges: DataFrame) -> DataFrame:
     return both.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("src"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("dst"))
 
 
+#: Triangles are counted by slices of their first nodes: a slice moves so many
+#: nodes of lists for each edge, or that many in all.
+SLICE_NODES, SLICE_FROM = 3, 1 << 25
+
+
+def _after(edges: DataFrame) -> DataFrame:
+    """(src, after): the list of the nodes after a node, for nodes that have some."""
+    return stored(oriented(edges).groupBy("src").agg(F.collect_list("dst").alias("after")), "graph-after", give_back=True)
+
+
+def _closed(first: DataFrame, after: DataFrame) -> DataFrame:
+    """(a, b, c) of the triangles whose first node is in ``first``, rows of ``after``."""
+    ways = first.select(F.col("src").alias("a"), F.explode("after").alias("b"))
+    ways = ways.join(after.select(F.col("src").alias("b"), F.col("after").alias("of_b")), "b")
+    ways = ways.join(first.select(F.col("src").alias("a"), F.col("after").alias("of_a")), "a")
+    return ways.select("a", "b", F.explode(F.array_intersect("of_a", "of_b")).alias("c"))
+
+
 def triangles(edges: DataFrame) -> DataFrame:
     """(a, b, c) of every triangle once, in the order of the orientation: MATCH
     (a)-(b)-(c)-(a) (E17).
@@ -116,11 +136,16 @@ def triangles(edges: DataFrame) -> DataFrame:
     both close a triangle. Moved are a list an edge, none where nothing comes
     after b, and not a row for each two edges out of a node.
     """
-    after = stored(oriented(edges).groupBy("src").agg(F.collect_list("dst").alias("after")), "graph-after")
-    ways = after.select(F.col("src").alias("a"), F.explode("after").alias("b"))
-    ways = ways.join(after.select(F.col("src").alias("b"), F.col("after").alias("of_b")), "b")
-    ways = ways.join(after.select(F.col("src").alias("a"), F.col("after").alias("of_a")), "a")
-    return ways.select("a", "b", F.explode(F.array_intersect("of_a", "of_b")).alias("c"))
+    after = _after(edges)
+    return _closed(after, after)
+
+
+def _slices(after: DataFrame) -> int:
+    """Slices of the first nodes, by the lists that edges take to them."""
+    ways = after.select(F.explode("after").alias("src")).groupBy("src").agg(F.count(F.lit(1)).alias("ways"))
+    moved = ways.join(after.select("src", F.size("after").alias("n")), "src").agg(F.sum(F.col("ways") * F.col("n"))).first()[0]
+    edges = after.agg(F.sum(F.size("after").cast("long"))).first()[0]
+    return -(-(moved or 0) // max(SLICE_FROM, SLICE_NODES * (edges or 0)))
 
 
 def pattern_counts(edges: DataFrame) -> DataFrame:
@@ -128,10 +153,23 @@ def pattern_counts(edges: DataFrame) -> DataFrame:
     two triangles on one edge, MATCH (x)-(y), (x)-(p)-(y), (x)-(q)-(y) - whose
     shared edge it ends. An edge in t triangles is shared by t (t - 1) / 2, so
     diamonds are counted without listing them, and a triangle has two edges at
-    each of its nodes, so triangles are counted once, by edge."""
+    each of its nodes, so triangles are counted once, by edge. Where the lists
+    that edges take are many times the edges, slices of the first nodes are counted
+    one after the other, and what a slice has moved is given back when it is."""
     sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("a").alias("x"), F.col("c").alias("y")),
                     F.struct(F.col("b").alias("x"), F.col("c").alias("y")))
-    shared = triangles(edges).select(F.inline(sides)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("t"))
+
+    def by_edge(found):
+        return found.select(F.inline(sides)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("t"))
+
+    after = _after(edges)
+    slices = _slices(after)
+    if slices <= 1:
+        shared = by_edge(_closed(after, after))
+    else:
+        held = [stored(by_edge(_closed(after.where(F.pmod(F.xxhash64("src"), F.lit(slices)) == k), after)), "edge-counts", give_back=True)
+                for k in range(slices)]
+        shared = reduce(DataFrame.unionByName, held).groupBy("x", "y").agg(F.sum("t").alias("t"))
     ends = shared.select(F.explode(F.array("x", "y")).alias("node"), "t", F.expr("t * (t - 1) div 2").alias("n"))
     return ends.groupBy("node").agg(F.expr("sum(t) div 2").alias("triangles"), F.sum("n").alias("diamonds"))
 

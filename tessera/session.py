@@ -94,15 +94,28 @@ def remove_written(spark: SparkSession) -> None:
         path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Session setting: shuffle files go when the query that wrote them has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, give_back: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
 
     Cuts the lineage: a lost executor costs the tasks that were running, never
     the steps before, and every later reader scans the table instead of
-    computing it again.
+    computing it again. ``give_back``: the shuffle files of this job go with it,
+    and not when the driver happens to collect its garbage.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    had = conf.get(CLEANUP, None)
+    try:
+        if give_back:
+            conf.set(CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        if give_back:
+            conf.unset(CLEANUP) if had is None else conf.set(CLEANUP, had)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

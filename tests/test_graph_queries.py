@@ -251,3 +251,25 @@ def test_a_closure_by_subject_writes_no_derived_fact(spark, monkeypatch, batch,
     numbers = spark.createDataFrame([(1, "to", 10), (10, "to", 9), (1, "to", 2), (2, "to", 9)], "subject long, predicate string, object long")
     assert {(r.subject, r.object): r.path for r in infer(numbers, rules, by_subject=True).where("predicate = 'far'").collect()} == {
         (1, 10): [1, 10], (1, 2): [1, 2], (10, 9): [10, 9], (2, 9): [2, 9], (1, 9): [1, 2, 9]}
+
+
+def test_patterns_by_slices(spark, monkeypatch):
+    """Where lists are many times the edges, slices are counted one after the other."""
+    written = []
+
+    def counted(df, name, give_back=False):
+        written.append((name, give_back))
+        return stored(df, name, give_back)
+
+    stored = graph.stored
+    monkeypatch.setattr(graph, "stored", counted)
+    rng = random.Random(3)
+    rows = [(f"a{rng.randrange(25)}", f"b{rng.randrange(25)}") for _ in range(260)] + [(f"b{k}", f"b{k + 1}") for k in range(24)] + [(None, "b1")]
+    df = spark.createDataFrame(rows, "u string, v string")
+    whole = {tuple(r) for r in graph.pattern_counts(df).collect()}
+    assert len(whole) > 30 and [n for n, _ in written] == ["graph-pairs", "graph-after"]
+    monkeypatch.setattr(graph, "SLICE_FROM", 1)
+    monkeypatch.setattr(graph, "SLICE_NODES", 1)
+    assert {tuple(r) for r in graph.pattern_counts(df).collect()} == whole
+    assert len([n for n, _ in written if n == "edge-counts"]) > 1 and all(back for _, back in written)
+    assert graph.pattern_counts(df.limit(0)).count() == 0
