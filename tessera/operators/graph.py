@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import fixed
-from tessera.session import checkpoint_dir, stored
+from tessera.session import checkpoint_dir, dropped, stored
 
 
 def bfs_depth(edges: DataFrame, seeds: DataFrame,
@@ -117,7 +117,10 @@ SLICE_NODES, SLICE_FROM = 3, 1 << 25
 
 def _after(edges: DataFrame) -> DataFrame:
     """(src, after): the list of the nodes after a node, for nodes that have some."""
-    return stored(oriented(edges).groupBy("src").agg(F.collect_list("dst").alias("after")), "graph-after", give_back=True)
+    both = oriented(edges)
+    after = stored(both.groupBy("src").agg(F.collect_list("dst").alias("after")), "graph-after", give_back=True)
+    dropped(both)
+    return after
 
 
 def _closed(first: DataFrame, after: DataFrame) -> DataFrame:
@@ -169,6 +172,7 @@ def pattern_counts(edges: DataFrame) -> DataFrame:
     else:
         held = [stored(by_edge(_closed(after.where(F.pmod(F.xxhash64("src"), F.lit(slices)) == k), after)), "edge-counts", give_back=True)
                 for k in range(slices)]
+        dropped(after)
         shared = reduce(DataFrame.unionByName, held).groupBy("x", "y").agg(F.sum("t").alias("t"))
     ends = shared.select(F.explode(F.array("x", "y")).alias("node"), "t", F.expr("t * (t - 1) div 2").alias("n"))
     return ends.groupBy("node").agg(F.expr("sum(t) div 2").alias("triangles"), F.sum("n").alias("diamonds"))

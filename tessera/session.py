@@ -119,10 +119,20 @@ def stored(df: DataFrame, name: str, give_back: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the ``stored`` tables that ``df`` reads; nothing may read them later."""
+    spark = df.sparkSession
+    names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+    for path in [p for p in _written if p.rsplit("/", 1)[-1] in names]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _written.remove(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "stored", "remove_written",
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "stored", "dropped", "remove_written",
            "default_parallelism",
            "DEFAULT_CONF"]

@@ -272,4 +272,9 @@ def test_patterns_by_slices(spark, monkeypatch):
     monkeypatch.setattr(graph, "SLICE_NODES", 1)
     assert {tuple(r) for r in graph.pattern_counts(df).collect()} == whole
     assert len([n for n, _ in written if n == "edge-counts"]) > 1 and all(back for _, back in written)
+    # tables that nothing reads any more are gone, the edge counts are not
+    from tessera import session
+    before = len(session._written)
+    left = graph.pattern_counts(df)
+    assert {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._written[before:]} == {"edge-counts"} and left.count() == len(whole)
     assert graph.pattern_counts(df.limit(0)).count() == 0
